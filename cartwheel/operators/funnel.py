@@ -63,7 +63,10 @@ def funnel_partials(events: DataFrame, keys: list[str], time: str = "event_time"
                     stages=("view", "cart", "purchase")) -> DataFrame:
     """Per-key ordered summary: positions V, C, P, VC, CP, VCP (packed
     ``(event_time, seq)`` decimals, NULL when absent), ``purchase_count`` and
-    exact ``revenue_dec``."""
+    exact ``revenue_dec``.
+
+    Key columns must be non-null (the clean pipeline fills descriptive
+    columns with 'Unknown'; ``quality_report`` counts null user ids)."""
     keys = list(keys)
     ev, is_v, is_c, is_p = _prep(events, keys, time, seq, price, stages)
     pos = F.col("_pos")
@@ -73,14 +76,18 @@ def funnel_partials(events: DataFrame, keys: list[str], time: str = "event_time"
         F.min(F.when(is_p, pos)).alias("P"),
         F.count_if(is_p).alias("purchase_count"),
         F.sum(F.when(is_p, F.col("_price"))).alias("revenue_dec"))
+    # Carts and purchases only; the same shuffled subset feeds rounds 2 and 3
+    # (identical exchange → reused).  Keys are plain equi-join keys so the
+    # joins line up with the aggregates' hash partitioning (no re-shuffle).
     cp = ev.where(is_c | is_p).select(*keys, "event_type", "_pos")
-    r2 = (join_keys(cp, base.where(F.col("C").isNotNull()).select(*keys, "V", "C"), keys)
+    r2 = (cp.join(base.where(F.col("C").isNotNull()).select(*keys, "V", "C"), keys)
           .groupBy(*keys).agg(
               F.min(F.when(is_c & (pos > F.col("V")), pos)).alias("VC"),
               F.min(F.when(is_p & (pos > F.col("C")), pos)).alias("CP")))
-    r3 = (join_keys(cp.where(is_p), r2.where(F.col("VC").isNotNull()).select(*keys, "VC"), keys)
-          .groupBy(*keys).agg(F.min(F.when(pos > F.col("VC"), pos)).alias("VCP")))
-    out = join_keys(join_keys(base, r2, keys, "left"), r3, keys, "left")
+    r3 = (cp.join(r2.where(F.col("VC").isNotNull()).select(*keys, "VC"), keys)
+          .where(is_p & (pos > F.col("VC")))
+          .groupBy(*keys).agg(F.min(pos).alias("VCP")))
+    out = base.join(r2, keys, "left").join(r3, keys, "left")
     return out.select(*keys, *PARTIAL_COLS)
 
 

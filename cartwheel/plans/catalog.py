@@ -525,3 +525,81 @@ def _(spark, d):
 @q("state_size")
 def _(spark, d):
     return inc.state_size(seg_state(spark, d, "category"))
+
+
+# 11. streaming --------------------------------------------------------------
+STREAM_SLICES = 4
+
+
+def _stream_input(spark, d, variant="base") -> str:
+    """Clean-filled events written as time-ordered slices (equal event-time
+    ranges) under the checkpoint root, ready for a file stream source."""
+    from cartwheel.session import scratch_path
+    from cartwheel.streaming import write_ordered_slices
+    ev = cl.fill_unknown(shop(spark, d, variant))
+    secs = F.unix_micros(F.col("event_time").cast("timestamp"))
+    b = ev.agg(F.min(secs).alias("lo"), F.max(secs).alias("hi")).first()
+    width = max((b["hi"] - b["lo"]) // STREAM_SLICES + 1, 1)
+    sliced = ev.withColumn("_slice", F.floor((secs - F.lit(b["lo"])) / F.lit(width)).cast("int"))
+    path = scratch_path(spark, "stream-input")
+    write_ordered_slices(sliced, "_slice", path)
+    return path
+
+
+def _stream_schema(spark, d):
+    return cl.fill_unknown(shop(spark, d)).schema
+
+
+@q("stream_dedup")
+def _(spark, d):
+    from cartwheel.session import scratch_path
+    from cartwheel.streaming import event_stream, stream_dedup
+    src = _stream_input(spark, d, "duplicates")
+    out = stream_dedup(event_stream(spark, src, _stream_schema(spark, d)), scratch_path(spark, "stream-dedup-out"))
+    return _dbl_price(spark.read.parquet(out).select(*DEDUP_COLUMNS))
+
+
+@q("stream_funnel")
+def _(spark, d):
+    from cartwheel.session import scratch_path
+    from cartwheel.streaming import event_stream, stream_funnel_merge
+    src = _stream_input(spark, d)
+    latest = stream_funnel_merge(event_stream(spark, src, _stream_schema(spark, d)),
+                                 scratch_path(spark, "stream-funnel-state"))
+    return fn.finish(spark.read.parquet(latest), ["user_id"])
+
+
+@q("stream_funnel_state")
+def _(spark, d):
+    from cartwheel.session import scratch_path
+    from cartwheel.streaming import event_stream, latest_state, stream_funnel_state
+    src = _stream_input(spark, d)
+    out = stream_funnel_state(event_stream(spark, src, _stream_schema(spark, d)),
+                              scratch_path(spark, "stream-funnel-log"))
+    return latest_state(spark, out)
+
+
+@q("stream_activity")
+def _(spark, d):
+    from cartwheel.session import scratch_path
+    from cartwheel.operators.time_analysis import hour_spine
+    from cartwheel.streaming import event_stream, stream_activity
+    src = _stream_input(spark, d)
+    out = stream_activity(event_stream(spark, src, _stream_schema(spark, d)), scratch_path(spark, "stream-activity"))
+    agg = spark.read.parquet(out)
+    return (F.broadcast(hour_spine(spark)).join(agg, "time_value", "left")
+            .select("time_value",
+                    F.coalesce("purchase_users", F.lit(0)).cast("bigint").alias("purchase_users"),
+                    F.coalesce("purchase_events", F.lit(0)).cast("bigint").alias("purchase_events"),
+                    F.coalesce(F.col("revenue").cast("double"), F.lit(0.0)).alias("revenue")))
+
+
+# 12. sinks ------------------------------------------------------------------
+@q("roundtrip_parquet")
+def _(spark, d):
+    from cartwheel.session import scratch_path
+    from cartwheel.sources.sinks import write_clean
+    path = scratch_path(spark, "clean-events")
+    write_clean(clean(spark, d), path)
+    back = spark.read.parquet(path)
+    return _dbl_price(back.select(*[c for c in clean(spark, d).columns]))

@@ -430,6 +430,16 @@ def build() -> dict[str, str]:
         f"SELECT min(seq) AS seq, {EV9.replace('price', 'CAST(price AS DOUBLE) AS price')} FROM shop s "
         f"WHERE seq // 1000 >= {mid_base} AND NOT EXISTS (SELECT 1 FROM shop o WHERE o.seq // 1000 < {mid_base} AND "
         + " AND ".join(f"o.{c} IS NOT DISTINCT FROM s.{c}" for c in EV9.split(", ")) + ") GROUP BY ALL")
+    # 11. streaming (compared with the batch definitions)
+    S["stream_dedup"] = with_(variant="duplicates") + (
+        "SELECT DISTINCT event_time, event_type, product_id, category_id, coalesce(category_code,'Unknown') AS category_code, "
+        "coalesce(brand,'Unknown') AS brand, CAST(price AS DOUBLE) AS price, user_id, coalesce(user_session,'Unknown') AS user_session FROM shop")
+    S["stream_funnel"] = S["user_funnel"]
+    S["stream_funnel_state"] = S["user_funnel"]
+    S["stream_activity"] = tm + "SELECT time_value, purchase_users, purchase_events, revenue FROM act_h"
+
+    # 12. sinks
+    S["roundtrip_parquet"] = with_(CLEAN) + "SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM clean"
     return S
 
 
