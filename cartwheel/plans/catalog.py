@@ -603,3 +603,160 @@ def _(spark, d):
     write_clean(clean(spark, d), path)
     back = spark.read.parquet(path)
     return _dbl_price(back.select(*[c for c in clean(spark, d).columns]))
+
+
+# 13. text sources / sinks and remaining inventory items ---------------------
+def _csv_export(spark, d) -> str:
+    """The events as a headered text export in file order (several files,
+    written by a range-partitioned sort on the ingestion order)."""
+    from cartwheel.session import scratch_path
+    path = scratch_path(spark, "raw-csv")
+    (_text(shop(spark, d)).orderBy("seq").drop("seq")
+     .write.mode("overwrite").option("header", True).csv(path))
+    return path
+
+
+@q("csv_scan")
+def _(spark, d):
+    from cartwheel.sources.events import read_events
+    ev = cl.standardize(read_events(spark, _csv_export(spark, d), "csv"))
+    return ev.select(*DEDUP_COLUMNS)
+
+
+@q("csv_funnel")
+def _(spark, d):
+    """User funnel from the text export: ties inside a second are broken by
+    the file-order sequence generated at scan time."""
+    from cartwheel.sources.events import read_events
+    return fn.user_funnel(cl.clean_events(read_events(spark, _csv_export(spark, d), "csv")))
+
+
+@q("funnel_result_load")
+def _(spark, d):
+    """User funnel written as CSV (ordered by user), loaded back with a
+    required-column check and lenient typing, then cohort by first-view hour."""
+    from cartwheel.session import scratch_path
+    from cartwheel.sources.events import load_result
+    from cartwheel.sources.sinks import write_funnel
+    path = scratch_path(spark, "user-funnel-csv")
+    write_funnel(user_state(spark, d), path, fmt="csv")
+    cols = ["user_id", "viewed", "added_to_cart", "purchased", "first_view_time", "purchase_count", "purchase_revenue"]
+    raw = load_result(spark, path, cols, fmt="csv")
+    typed = raw.select(
+        F.col("user_id").try_cast("bigint").alias("user_id"),
+        *[F.coalesce(F.col(c).try_cast("int"), F.lit(0)).alias(c) for c in ["viewed", "added_to_cart", "purchased"]],
+        F.try_to_timestamp("first_view_time").cast("timestamp_ntz").alias("first_view_time"),
+        F.coalesce(F.col("purchase_count").try_cast("bigint"), F.lit(0)).alias("purchase_count"),
+        F.coalesce(F.col("purchase_revenue").try_cast("double"), F.lit(0.0)).alias("purchase_revenue"))
+    return ta.cohort_hour(typed)
+
+
+@q("summary_csv")
+def _(spark, d):
+    from cartwheel.session import scratch_path
+    from cartwheel.sources.sinks import write_summary
+    s = seg_summary(spark, d, "category")
+    path = scratch_path(spark, "category-summary-csv")
+    write_summary(s, path, fmt="csv")
+    return spark.read.schema(s.schema).option("header", True).csv(path)
+
+
+@q("state_semi_category")
+def _(spark, d):
+    ev = fn.with_segment(clean(spark, d), "category")
+    mid = _mid_chunk(ev)
+    keys = ["user_id", "category_code"]
+    state = fn.funnel(ev.where(chunk_of() < mid), keys)
+    return inc.state_for_batch(state, ev.where(chunk_of() >= mid), keys)
+
+
+@q("incremental_upsert")
+def _(spark, d):
+    """The reference's per-chunk loop: read the state of the batch's keys,
+    merge, upsert — over two halves; must equal the batch funnel."""
+    ev = clean(spark, d)
+    mid = _mid_chunk(ev)
+    keys = ["user_id"]
+    state = fn.funnel_partials(ev.where(chunk_of() < mid), keys)
+    batch = ev.where(chunk_of() >= mid)
+    touched = inc.state_for_batch(state, batch, keys)
+    merged = fn.merge_partials(touched, fn.funnel_partials(batch, keys), keys)
+    return fn.finish(inc.upsert(state, merged, keys), keys)
+
+
+@q("dup_marks")
+def _(spark, d):
+    ev = shop(spark, d, "duplicates")
+    first = dd.mark_duplicates(ev, keep="first").select("seq", F.col("is_duplicate").alias("duplicate_after_first"))
+    anyx = dd.mark_duplicates(ev, keep=False).select("seq", F.col("is_duplicate").alias("duplicate_any"))
+    return first.join(anyx, "seq")
+
+
+@q("zero_price_examples")
+def _(spark, d):
+    ev = shop(spark, d)
+    return _dbl_price(ev.where(F.col("price") == 0).orderBy("user_id", "event_time", "seq").limit(20).select(*EVENT_COLS))
+
+
+@q("negative_price_examples")
+def _(spark, d):
+    ev = shop(spark, d, "dirty")
+    return _dbl_price(ev.where(F.col("price") < 0).orderBy("user_id", "event_time", "seq").limit(20).select(*EVENT_COLS))
+
+
+@q("set_difference_bands")
+def _(spark, d):
+    from cartwheel.functions.columns import PRICE_BANDS
+    actual = seg_summary(spark, d, "price_band")
+    expected = spark.createDataFrame([(b,) for b in PRICE_BANDS], "price_band string")
+    return va.set_difference(actual, expected, "price_band")
+
+
+@q("kpi_table")
+def _(spark, d):
+    return pf.metric_table(sm.revenue_kpis(user_state(spark, d)))
+
+
+@q("time_null_summary")
+def _(spark, d):
+    return pf.missing_profile(time_table(spark, d), ta.TIME_COLUMNS)
+
+
+@q("category_lookup")
+def _(spark, d):
+    return rk.lookup(seg_summary(spark, d, "category"), "category_code", "LARGE", case_insensitive=False)
+
+
+@q("stage_flags")
+def _(spark, d):
+    et = F.col("event_type")
+    return shop(spark, d).select("seq", *[(et == s).cast("int").alias(f"is_{s}") for s in ("view", "cart", "purchase")])
+
+
+@q("stream_category")
+def _(spark, d):
+    from cartwheel.session import scratch_path
+    from cartwheel.streaming import event_stream, stream_funnel_merge
+    src = _stream_input(spark, d)
+    latest = stream_funnel_merge(event_stream(spark, src, _stream_schema(spark, d)),
+                                 scratch_path(spark, "stream-category-state"), keys=["user_id", "category_code"])
+    return fn.finish(spark.read.parquet(latest), ["user_id", "category_code"])
+
+
+@q("stream_dedup_watermark")
+def _(spark, d):
+    from cartwheel.session import scratch_path
+    from cartwheel.streaming import event_stream, stream_dedup
+    src = _stream_input(spark, d, "duplicates")
+    out = stream_dedup(event_stream(spark, src, _stream_schema(spark, d)), scratch_path(spark, "stream-dedupw-out"),
+                       watermark="1 hour")
+    return _dbl_price(spark.read.parquet(out).select(*DEDUP_COLUMNS))
+
+
+@q("stream_profile")
+def _(spark, d):
+    from cartwheel.session import scratch_path
+    from cartwheel.streaming import event_stream, stream_counts
+    src = _stream_input(spark, d)
+    out = stream_counts(event_stream(spark, src, _stream_schema(spark, d)), scratch_path(spark, "stream-profile"))
+    return spark.read.parquet(out)

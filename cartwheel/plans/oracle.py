@@ -38,6 +38,7 @@ VARIANTS = {
     "duplicates": """shop AS (SELECT * FROM shop_base
       UNION ALL SELECT * REPLACE (seq + 1000000000 AS seq) FROM shop_base WHERE seq % 50 = 0
       UNION ALL SELECT * REPLACE (seq + 2000000000 AS seq) FROM shop_base WHERE seq % 250 = 0)""",
+    "seconds": "shop AS (SELECT * REPLACE (date_trunc('second', event_time) AS event_time) FROM shop_base)",
     "disordered": """shop AS (SELECT * REPLACE (seq + CASE WHEN seq // 1000 = 1 THEN 1000
                                                   WHEN seq // 1000 = 2 THEN -1000 ELSE 0 END AS seq) FROM shop_base)""",
 }
@@ -440,6 +441,44 @@ def build() -> dict[str, str]:
 
     # 12. sinks
     S["roundtrip_parquet"] = with_(CLEAN) + "SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM clean"
+    # 13. text sources / sinks and remaining inventory items
+    S["csv_scan"] = with_() + (
+        "SELECT date_trunc('second', event_time) AS event_time, event_type, product_id, category_id, "
+        "category_code, brand, CAST(price AS DOUBLE) AS price, user_id, user_session FROM shop")
+    S["csv_funnel"] = with_(CLEAN, *funnel_ctes("clean"), variant="seconds") + "SELECT * FROM uf"
+    S["funnel_result_load"] = S["cohort_hour"]
+    S["summary_csv"] = S["category_summary"]
+    S["state_semi_category"] = with_(CLEAN, *funnel_ctes("clean", "category_code", where=f"WHERE seq // 1000 < {mid}")) + (
+        f"SELECT * FROM uf WHERE (user_id, category_code) IN (SELECT (user_id, category_code) FROM clean WHERE seq // 1000 >= {mid})")
+    S["incremental_upsert"] = S["user_funnel"]
+    S["dup_marks"] = with_(variant="duplicates") + (
+        f"SELECT seq, seq <> min(seq) OVER (PARTITION BY {EV9}) AS duplicate_after_first, "
+        f"count(*) OVER (PARTITION BY {EV9}) > 1 AS duplicate_any FROM shop")
+    S["zero_price_examples"] = with_() + f"SELECT {EV9_DBL} FROM shop WHERE price = 0 ORDER BY user_id, event_time, seq LIMIT 20"
+    S["negative_price_examples"] = with_(variant="dirty") + f"SELECT {EV9_DBL} FROM shop WHERE price < 0 ORDER BY user_id, event_time, seq LIMIT 20"
+    S["set_difference_bands"] = pb + (
+        f"SELECT b AS price_band, 'missing' AS side FROM (SELECT unnest([{band_list}]) AS b) WHERE b NOT IN (SELECT price_band FROM ss) "
+        f"UNION ALL SELECT price_band, 'unexpected' FROM ss WHERE price_band NOT IN ({band_list})")
+    S["kpi_table"] = uf + (
+        "SELECT metric, value FROM (SELECT total_revenue, CAST(purchase_events AS DOUBLE) AS purchase_events, "
+        "CAST(purchasing_users AS DOUBLE) AS purchasing_users, total_revenue / nullif(purchasing_users, 0) AS revenue_per_purchasing_user, "
+        "total_revenue / nullif(purchase_events, 0) AS average_purchase_value FROM (SELECT "
+        "CAST(sum(CAST(purchase_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue, CAST(sum(purchase_count) AS BIGINT) AS purchase_events, "
+        "count(*) FILTER (purchase_count > 0) AS purchasing_users FROM uf)) "
+        "UNPIVOT (value FOR metric IN (total_revenue, purchase_events, purchasing_users, revenue_per_purchasing_user, average_purchase_value))")
+    tcols = TIME_COLS.split(", ")
+    S["time_null_summary"] = tm + "SELECT column_name, missing, missing * 100.0 / nullif(n, 0) AS missing_pct FROM (" + \
+        " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS missing, count(*) AS n FROM tm" for c in tcols) + ")"
+    S["category_lookup"] = cat + "SELECT * FROM ss WHERE category_code = 'LARGE'"
+    S["stage_flags"] = with_() + (
+        "SELECT seq, (event_type = 'view')::INT AS is_view, (event_type = 'cart')::INT AS is_cart, "
+        "(event_type = 'purchase')::INT AS is_purchase FROM shop")
+    S["stream_category"] = S["category_state"]
+    S["stream_dedup_watermark"] = S["stream_dedup"]
+    S["stream_profile"] = with_() + (
+        "SELECT event_type, count(*) AS events, count(*) FILTER (price = 0) AS zero_price_rows, "
+        "count(*) FILTER (category_code IS NULL) AS unknown_category_code, count(*) FILTER (brand IS NULL) AS unknown_brand "
+        "FROM shop GROUP BY event_type")
     return S
 
 

@@ -228,3 +228,24 @@ def stream_activity(stream: DataFrame, out_path: str) -> str:
 
 __all__ = ["write_ordered_slices", "event_stream", "stream_dedup", "stream_funnel_merge",
            "stream_funnel_state", "stream_activity", "latest_state", "PARTIAL_COLS"]
+
+
+def stream_counts(stream: DataFrame, out_path: str) -> str:
+    """Incremental profile counters (I-06): events, zero-price events and
+    missing category / brand per event type, complete mode; each trigger
+    rewrites the current totals."""
+    spark = stream.sparkSession
+    agg = stream.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(F.col("price") == 0).alias("zero_price_rows"),
+        F.count_if(F.col("category_code") == "Unknown").alias("unknown_category_code"),
+        F.count_if(F.col("brand") == "Unknown").alias("unknown_brand"))
+
+    def sink(batch: DataFrame, batch_id: int):
+        batch.write.mode("overwrite").parquet(out_path)
+
+    q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
+         .option("checkpointLocation", scratch_path(spark, "ckpt-profile"))
+         .trigger(availableNow=True).start())
+    _run(q)
+    return out_path
