@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.operators.joins import join_keys
+from cartwheel.operators.skew import hot_keys, salted_join
 from cartwheel.sources.events import DEDUP_COLUMNS
 
 
@@ -64,10 +64,12 @@ def mark_duplicates(df: DataFrame, keys=DEDUP_COLUMNS, keep="first", seq: str =
 
     ``keep='first'``: every copy but the first; ``keep=False``: every row of
     a repeated key.  Implemented as aggregate + lookup join (not a window
-    over the key, which would put a huge group of copies into one task)."""
+    over the key, which would put a huge group of copies into one task;
+    groups with very many copies are salted across tasks)."""
     keys = list(keys)
     g = duplicate_groups(df, keys, seq)
-    j = join_keys(df, g, keys, "left")
+    hot = hot_keys(g, keys, "n")
+    j = salted_join(df, g, keys, hot, F.col(seq), how="left", null_safe=True)
     flag = (F.col("n") > 1) if keep is False else (F.col(seq) != F.col("first_seq"))
     return j.withColumn("is_duplicate", flag).drop("n", "first_seq")
 

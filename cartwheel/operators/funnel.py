@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import event_pos, money, pos_time, price_band, UNKNOWN
 from cartwheel.operators.joins import join_keys
+from cartwheel.operators.skew import hot_keys, salted_join
 
 POS_COLS = ["V", "C", "P", "VC", "CP", "VCP"]
 PARTIAL_COLS = POS_COLS + ["purchase_count", "revenue_dec"]
@@ -58,15 +59,9 @@ def _prep(events: DataFrame, keys, time, seq, price, stages):
     return ev, et == v, et == c, et == p
 
 
-def funnel_partials(events: DataFrame, keys: list[str], time: str = "event_time",
-                    seq: str = "seq", price: str = "price",
-                    stages=("view", "cart", "purchase")) -> DataFrame:
-    """Per-key ordered summary: positions V, C, P, VC, CP, VCP (packed
-    ``(event_time, seq)`` decimals, NULL when absent), ``purchase_count`` and
-    exact ``revenue_dec``.
-
-    Key columns must be non-null (the clean pipeline fills descriptive
-    columns with 'Unknown'; ``quality_report`` counts null user ids)."""
+def _funnel_parts(events: DataFrame, keys: list[str], time: str = "event_time",
+                  seq: str = "seq", price: str = "price", stages=("view", "cart", "purchase")):
+    """Partials plus the per-key base aggregate (with row counts)."""
     keys = list(keys)
     ev, is_v, is_c, is_p = _prep(events, keys, time, seq, price, stages)
     pos = F.col("_pos")
@@ -75,20 +70,34 @@ def funnel_partials(events: DataFrame, keys: list[str], time: str = "event_time"
         F.min(F.when(is_c, pos)).alias("C"),
         F.min(F.when(is_p, pos)).alias("P"),
         F.count_if(is_p).alias("purchase_count"),
-        F.sum(F.when(is_p, F.col("_price"))).alias("revenue_dec"))
-    # Carts and purchases only; the same shuffled subset feeds rounds 2 and 3
-    # (identical exchange → reused).  Keys are plain equi-join keys so the
-    # joins line up with the aggregates' hash partitioning (no re-shuffle).
+        F.sum(F.when(is_p, F.col("_price"))).alias("revenue_dec"),
+        F.count(F.lit(1)).alias("_n_events"),
+        F.count_if(is_c | is_p).alias("_n_cp"))
+    # Carts and purchases only (a few percent of a clickstream).  Keys with
+    # very many of them are salted across tasks for the two lookup joins.
+    hot = hot_keys(base, keys, "_n_cp")
     cp = ev.where(is_c | is_p).select(*keys, "event_type", "_pos")
-    r2 = (cp.join(base.where(F.col("C").isNotNull()).select(*keys, "V", "C"), keys)
+    r2 = (salted_join(cp, base.where(F.col("C").isNotNull()).select(*keys, "V", "C"), keys, hot, "_pos")
           .groupBy(*keys).agg(
               F.min(F.when(is_c & (pos > F.col("V")), pos)).alias("VC"),
               F.min(F.when(is_p & (pos > F.col("C")), pos)).alias("CP")))
-    r3 = (cp.join(r2.where(F.col("VC").isNotNull()).select(*keys, "VC"), keys)
-          .where(is_p & (pos > F.col("VC")))
+    r3 = (salted_join(cp.where(is_p), r2.where(F.col("VC").isNotNull()).select(*keys, "VC"), keys, hot, "_pos")
+          .where(pos > F.col("VC"))
           .groupBy(*keys).agg(F.min(pos).alias("VCP")))
     out = base.join(r2, keys, "left").join(r3, keys, "left")
-    return out.select(*keys, *PARTIAL_COLS)
+    return out.select(*keys, *PARTIAL_COLS), base
+
+
+def funnel_partials(events: DataFrame, keys: list[str], time: str = "event_time",
+                    seq: str = "seq", price: str = "price",
+                    stages=("view", "cart", "purchase")) -> DataFrame:
+    """Per-key ordered summary: positions V, C, P, VC, CP, VCP (packed
+    ``(event_time, seq)`` decimals, NULL when absent), ``purchase_count`` and
+    exact ``revenue_dec``.
+
+    Key columns must be non-null (the clean pipeline fills descriptive
+    columns with 'Unknown'; ``quality_report`` counts null user ids)."""
+    return _funnel_parts(events, keys, time, seq, price, stages)[0]
 
 
 def finish(partials: DataFrame, keys: list[str]) -> DataFrame:
@@ -144,12 +153,14 @@ def funnel_trace(events: DataFrame, keys=("user_id",), time: str = "event_time",
     """Event-level trace (E-01 .. E-04): each event with its running
     ``view_seen``, ``qualifying_cart``, ``cart_seen`` and
     ``qualifying_purchase`` flags, derived from the per-key positions by a
-    lookup join instead of a per-key sort."""
+    lookup join (salted for hot keys) instead of a per-key sort."""
     keys = list(keys)
-    st = funnel_partials(events, keys, time=time, seq=seq, **kw).select(*keys, "V", "VC")
+    parts, base = _funnel_parts(events, keys, time=time, seq=seq, **kw)
+    st = parts.select(*keys, "V", "VC")
     pos = event_pos(time, seq)
     et = F.col("event_type")
-    out = join_keys(events, st, keys, "left")
+    hot = hot_keys(base, keys, "_n_events")
+    out = salted_join(events, st, keys, hot, pos, how="left")
     return (out
             .withColumn("view_seen", F.coalesce(F.col("V") <= pos, F.lit(False)).cast("int"))
             .withColumn("qualifying_cart", F.coalesce((et == "cart") & (F.col("V") < pos), F.lit(False)).cast("int"))

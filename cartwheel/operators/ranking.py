@@ -4,6 +4,8 @@
 Summary tables hold one row per segment.  Thresholds (median, P75) are
 computed as *scalar subqueries* (``DataFrame.scalar()``) — Spark evaluates
 them once and inlines the value, no cross join and no driver round trip.
+The summary is checkpointed first (reliable storage), so the funnel behind
+it runs once rather than once per threshold.
 Top-k uses ``orderBy(...).limit(k)`` → ``TakeOrderedAndProject`` (each task
 keeps only its local top k).  Missing rates sort last in both directions
 and compare false in filters; the segment name breaks ties.
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import HIGH_VALUE_BANDS, UNKNOWN
+from cartwheel.sources.sinks import materialize
 
 RATE = "view_to_purchase_rate"
 
@@ -52,6 +55,7 @@ def best_conversion(summary: DataFrame, segment: str, min_views: int, k: int | N
 
 def weak_high_traffic(summary: DataFrame, segment: str, k: int = 10, q: float = 0.75) -> DataFrame:
     """Segments at or above the P75 of traffic, weakest conversion first (F-07)."""
+    summary = materialize(summary)
     thr = percentile_of(summary, "view_users", q)
     return top_k(summary.where(F.col("view_users") >= thr), segment, RATE, k, ascending=True)
 
@@ -61,6 +65,7 @@ def opportunities(summary: DataFrame, segment: str, traffic_q: float = 0.5, k: i
     """High traffic (≥ quantile ``traffic_q``) but conversion below the
     median, by traffic (F-08 categories with q=0.5; F-10 brands with
     q=0.75 and ``exclude=['Unknown']``)."""
+    summary = materialize(summary)
     base = summary.where(~F.col(segment).isin(exclude)) if exclude else summary
     thr = percentile_of(base, "view_users", traffic_q)
     med = percentile_of(base, RATE, 0.5)
@@ -78,6 +83,7 @@ def brand_opportunities(summary: DataFrame, k: int = 20) -> DataFrame:
 
 def stars(summary: DataFrame, segment: str, k: int = 20) -> DataFrame:
     """Traffic ≥ median and conversion ≥ median, by revenue (F-09)."""
+    summary = materialize(summary)
     v = percentile_of(summary, "view_users", 0.5)
     r = percentile_of(summary, RATE, 0.5)
     sel = summary.where((F.col("view_users") >= v) & (F.col(RATE) >= r))
@@ -114,7 +120,7 @@ def quadrants(summary: DataFrame, segment: str, min_views: int) -> DataFrame:
     """Revenue × conversion quadrant per segment (F-13).  Only segments with
     traffic ≥ ``min_views`` and revenue > 0; cut points are the medians of
     that set.  Adds percent / million display columns (B-15)."""
-    base = summary.where((F.col("view_users") >= min_views) & (F.col("revenue") > 0))
+    base = materialize(summary.where((F.col("view_users") >= min_views) & (F.col("revenue") > 0)))
     r_med = percentile_of(base, "revenue", 0.5)
     c_med = percentile_of(base, RATE, 0.5)
     hi_r = F.col("revenue") >= r_med

@@ -19,6 +19,7 @@ from cartwheel.functions.columns import (
 )
 from cartwheel.operators.joins import join_keys
 from cartwheel.operators.summary import SUMMARY_METRICS
+from cartwheel.sources.sinks import materialize
 
 REPORT_SCHEMA = "check string, violations bigint"
 
@@ -63,6 +64,7 @@ def _rate_check(num: str, den: str, rate: str):
 
 def validate_summary(summary: DataFrame, key: str) -> DataFrame:
     """Checks of a segment summary (brand / category / price band)."""
+    summary = materialize(summary)
     req = required_columns(summary, [key] + SUMMARY_METRICS)
     aggs = [F.count_if(F.col(key).isNull()).alias("missing_key")]
     aggs += [F.count_if(F.col(c) < 0).alias(f"negative_{c}") for c in _COUNTS]
@@ -105,6 +107,7 @@ def validate_user_funnel(state: DataFrame, keys=("user_id",)) -> DataFrame:
 
 def validate_time(time_df: DataFrame, expected_rows: int = TIME_ANALYSIS_ROWS) -> DataFrame:
     """Time-analysis table checks (Q-02, Q-03, Q-05, Q-06, Q-08, Q-11, Q-14)."""
+    time_df = materialize(time_df)
     hours = [f"{h:02d}" for h in range(24)]
     tv, td, at = F.col("time_value"), F.col("time_dimension"), F.col("analysis_type")
     act = at == "purchase_activity"
@@ -142,6 +145,7 @@ def reconcile(time_df: DataFrame, user_state: DataFrame, events: DataFrame) -> D
     """Totals that must agree (Q-13): hour-cohort users vs the overall
     funnel, activity events / revenue vs all purchase events.  Expected
     values are computed from the data, not hard-coded."""
+    time_df, user_state = materialize(time_df), materialize(user_state)
     coh = time_df.where("analysis_type = 'funnel_cohort' AND time_dimension = 'hour'").agg(
         F.sum("view_users").alias("v"), F.sum("cart_users").alias("c"), F.sum("purchase_users").alias("p"))
     act = time_df.where("analysis_type = 'purchase_activity' AND time_dimension = 'hour'").agg(

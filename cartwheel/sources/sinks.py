@@ -51,3 +51,15 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a result that a plan reads several times
+    (e.g. a summary table behind several scalar thresholds), so its upstream
+    work runs once.  Written to the SparkContext checkpoint folder, which
+    follows ``spark.checkpoint.dir`` (shared storage on a cluster)."""
+    from cartwheel.session import checkpoint_root
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(checkpoint_root(df.sparkSession))
+    return df.checkpoint(eager=True)
