@@ -112,27 +112,22 @@ _STATE_SCHEMA = ("V string, C string, P string, VC string, CP string, VCP string
 
 
 def _summarise(pdf: pd.DataFrame) -> dict:
-    """Ordered summary of one key's events of one micro-batch (pandas)."""
-    pdf = pdf.sort_values("_pos")
-    pos = pdf["_pos"].tolist()
-    et = pdf["event_type"].tolist()
-    out = dict.fromkeys(["V", "C", "P", "VC", "CP", "VCP"])
-    for p, t in zip(pos, et):
-        if t == "view":
-            out["V"] = out["V"] or p
-        elif t == "cart":
-            out["C"] = out["C"] or p
-            if out["V"] is not None and out["VC"] is None:
-                out["VC"] = p
-        elif t == "purchase":
-            out["P"] = out["P"] or p
-            if out["C"] is not None and out["CP"] is None:
-                out["CP"] = p
-            if out["VC"] is not None and out["VCP"] is None:
-                out["VCP"] = p
-    buy = pdf[pdf["event_type"] == "purchase"]
-    out["purchase_count"] = int(len(buy))
-    out["revenue"] = sum((Decimal(x) for x in buy["_price"].tolist() if x is not None), start=Decimal(0))
+    """Ordered summary of one key's events of one micro-batch (vectorised
+    pandas).  Positions are fixed-width digit strings, so text order is
+    numeric order."""
+    pos, et = pdf["_pos"], pdf["event_type"]
+
+    def first(mask):
+        m = pos[mask]
+        return None if m.empty else m.min()
+
+    out = {"V": first(et == "view"), "C": first(et == "cart"), "P": first(et == "purchase")}
+    out["VC"] = first((et == "cart") & (pos > out["V"])) if out["V"] else None
+    out["CP"] = first((et == "purchase") & (pos > out["C"])) if out["C"] else None
+    out["VCP"] = first((et == "purchase") & (pos > out["VC"])) if out["VC"] else None
+    buy = pdf.loc[et == "purchase", "_price"].dropna()
+    out["purchase_count"] = int((et == "purchase").sum())
+    out["revenue"] = sum((Decimal(x) for x in buy.tolist()), start=Decimal(0))
     return out
 
 
