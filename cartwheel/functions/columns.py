@@ -133,6 +133,31 @@ def pos_time(pos) -> Column:
     return F.expr(_EPOCH_NTZ) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
+def ntz_from_instant(ts) -> Column:
+    """Wall-clock UTC ``timestamp_ntz`` of an instant, independent of the
+    session time zone."""
+    secs = (F.unix_micros(col_(ts)).cast("decimal(38,0)") / F.lit(1_000_000)).cast("decimal(24,6)")
+    return F.expr(_EPOCH_NTZ) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+
+
+def parse_raw_time_lenient(c) -> Column:
+    """Raw ``yyyy-MM-dd HH:mm:ss UTC`` text → timestamp_ntz, NULL when it
+    does not parse.  The zone is parsed from the text, so the result does
+    not depend on the session time zone."""
+    return ntz_from_instant(F.try_to_timestamp(col_(c), F.lit("yyyy-MM-dd HH:mm:ss z")))
+
+
+def parse_iso_time_lenient(c) -> Column:
+    """ISO-8601 wall-clock text (UTC, no zone) → timestamp_ntz or NULL."""
+    return ntz_from_instant(F.try_to_timestamp(F.concat(col_(c), F.lit("Z"))))
+
+
+def micros_ntz(ts) -> Column:
+    """Microseconds since the epoch of a ``timestamp_ntz`` wall clock."""
+    return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH_NTZ}, cast({ts} as timestamp_ntz))") \
+        if isinstance(ts, str) else F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), ts.cast("timestamp_ntz"))
+
+
 def pos_seq(pos) -> Column:
     """Ingestion sequence back from a packed position."""
     s = col_(pos) - F.floor(col_(pos) / F.expr(_SCALE)).cast("decimal(38,0)") * F.expr(_SCALE)

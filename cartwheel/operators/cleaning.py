@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import (
-    DESCRIPTIVE_COLUMNS, EVENT_TYPES, RAW_TIME_FORMAT, UNKNOWN, null_tokens_to_null, weekday_name,
+    DESCRIPTIVE_COLUMNS, EVENT_TYPES, RAW_TIME_FORMAT, UNKNOWN, null_tokens_to_null, parse_raw_time_lenient,
+    weekday_name,
 )
 
 ID_COLUMNS = ["product_id", "category_id", "user_id"]
@@ -24,7 +25,7 @@ def _parse_time(c: str, strict: bool):
     if strict:
         return F.to_timestamp_ntz(F.col(c), F.lit(RAW_TIME_FORMAT))
     # lenient: text that does not parse becomes NULL
-    return F.try_to_timestamp(F.col(c), F.lit(RAW_TIME_FORMAT)).cast("timestamp_ntz")
+    return parse_raw_time_lenient(c)
 
 
 def standardize(df: DataFrame, strict: bool = True) -> DataFrame:

@@ -12,7 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import RAW_TIME_FORMAT
+from cartwheel.functions.columns import RAW_TIME_FORMAT, micros_ntz, parse_iso_time_lenient
 from cartwheel.operators import cleaning as cl
 from cartwheel.operators import dedup as dd
 from cartwheel.operators import funnel as fn
@@ -569,7 +569,7 @@ def _stream_input(spark, d, variant="base") -> str:
     from cartwheel.session import scratch_path
     from cartwheel.streaming import write_ordered_slices
     ev = cl.fill_unknown(shop(spark, d, variant))
-    secs = F.unix_micros(F.col("event_time").cast("timestamp"))
+    secs = micros_ntz("event_time")
     b = ev.agg(F.min(secs).alias("lo"), F.max(secs).alias("hi")).first()
     width = max((b["hi"] - b["lo"]) // STREAM_SLICES + 1, 1)
     sliced = ev.withColumn("_slice", F.floor((secs - F.lit(b["lo"])) / F.lit(width)).cast("int"))
@@ -677,7 +677,7 @@ def _(spark, d):
     typed = raw.select(
         F.col("user_id").try_cast("bigint").alias("user_id"),
         *[F.coalesce(F.col(c).try_cast("int"), F.lit(0)).alias(c) for c in ["viewed", "added_to_cart", "purchased"]],
-        F.try_to_timestamp("first_view_time").cast("timestamp_ntz").alias("first_view_time"),
+        parse_iso_time_lenient("first_view_time").alias("first_view_time"),
         F.coalesce(F.col("purchase_count").try_cast("bigint"), F.lit(0)).alias("purchase_count"),
         F.coalesce(F.col("purchase_revenue").try_cast("double"), F.lit(0.0)).alias("purchase_revenue"))
     return ta.cohort_hour(typed)
