@@ -109,6 +109,7 @@ _SCALE = "CAST(100000000000000000000 AS DECIMAL(21,0))"
 _OFFSET = "CAST(9223372036854775808 AS DECIMAL(20,0))"
 POS_SCALE = 10 ** 20
 SEQ_OFFSET = 2 ** 63
+NULL_TIME_MICROS = 9 * 10 ** 17   # beyond year 9999; 9e17 * 1e20 < 1e38
 
 
 def event_pos(time="event_time", seq="seq") -> Column:
@@ -122,6 +123,8 @@ def event_pos(time="event_time", seq="seq") -> Column:
     """
     micros = F.expr(f"timestampdiff(MICROSECOND, {_EPOCH_NTZ}, cast({time} as timestamp_ntz))") \
         if isinstance(time, str) else F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), time.cast("timestamp_ntz"))
+    # a missing time sorts after every real time (like NaT in a pandas sort)
+    micros = F.coalesce(micros, F.lit(NULL_TIME_MICROS))
     s = col_(seq).cast("decimal(20,0)") + F.expr(_OFFSET)
     return (micros.cast("decimal(38,0)") * F.expr(_SCALE) + s).cast("decimal(38,0)")
 
@@ -130,7 +133,8 @@ def pos_time(pos) -> Column:
     """Event time (timestamp_ntz) back from a packed position."""
     micros = F.floor(col_(pos) / F.expr(_SCALE))
     secs = (micros.cast("decimal(38,0)") / F.lit(1_000_000)).cast("decimal(24,6)")
-    return F.expr(_EPOCH_NTZ) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+    t = F.expr(_EPOCH_NTZ) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+    return F.when(micros < F.lit(NULL_TIME_MICROS), t)
 
 
 def ntz_from_instant(ts) -> Column:

@@ -792,3 +792,16 @@ def _(spark, d):
     src = _stream_input(spark, d)
     out = stream_counts(event_stream(spark, src, _stream_schema(spark, d)), scratch_path(spark, "stream-profile"))
     return spark.read.parquet(out)
+
+
+@q("price_band_summary_missing")
+def _(spark, d):
+    """Price-band summary when some prices are missing (the Unknown band)."""
+    st = fn.segment_funnel(clean(spark, d, "missing_price"), "price_band")
+    return sm.segment_summary(st, "price_band", sort_key=True)
+
+
+@q("clean_quality")
+def _(spark, d):
+    """Clean pipeline with the optional record-quality rules switched on."""
+    return _dbl_price(cl.clean_events(shop(spark, d, "dirty"), quality=True))

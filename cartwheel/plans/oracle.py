@@ -479,6 +479,12 @@ def build() -> dict[str, str]:
         "SELECT event_type, count(*) AS events, count(*) FILTER (price = 0) AS zero_price_rows, "
         "count(*) FILTER (category_code IS NULL) AS unknown_category_code, count(*) FILTER (brand IS NULL) AS unknown_brand "
         "FROM shop GROUP BY event_type")
+    S["price_band_summary_missing"] = with_(CLEAN, *summary_ctes("price_band"), variant="missing_price") + \
+        f"SELECT *, {BAND_RANK} AS price_band_sort FROM ss ORDER BY price_band_sort"
+    qclean = CLEAN.replace("FROM shop),", "FROM shop WHERE NOT (coalesce(price < 0, false) OR coalesce(product_id <= 0, false) "
+                           "OR coalesce(category_id <= 0, false) OR coalesce(user_id <= 0, false) "
+                           "OR coalesce(event_type NOT IN ('view','cart','remove_from_cart','purchase'), false))),", 1)
+    S["clean_quality"] = with_(qclean, variant="dirty") + "SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM clean"
     return S
 
 

@@ -51,3 +51,19 @@ def test_trace_flags(spark):
           for r in fn.funnel_trace(_events(spark)).where("user_id in (8, 9)").collect()}
     assert tr == {100: (1, 0, 0), 101: (1, 1, 0), 102: (1, 0, 1),
                   200: (0, 0, 0), 201: (0, 0, 0), 202: (1, 0, 0)}
+
+
+def test_missing_time_sorts_last(spark):
+    from tests.micro import ev as mk
+    rows = [mk(1, 20, "cart", 1), mk(2, 20, "view", 2)]
+    nt = list(mk(3, 20, "view", 0))
+    nt[1] = None                      # a view whose time did not parse
+    rows.append(tuple(nt))
+    rows += [mk(4, 21, "view", 1)]
+    nt2 = list(mk(5, 21, "cart", 0))
+    nt2[1] = None                     # a cart with no time comes after the view
+    rows.append(tuple(nt2))
+    got = {r.user_id: (r.viewed, r.added_to_cart, r.first_view_time is None, r.first_cart_time)
+           for r in fn.user_funnel(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[20][:3] == (1, 0, False)
+    assert got[21] == (1, 1, False, None)
