@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.operators.skew import hot_keys, salted_join
+from cartwheel.operators.skew import hot_keys_sampled, salted_join
 from cartwheel.sources.events import DEDUP_COLUMNS
 
 
@@ -68,7 +68,7 @@ def mark_duplicates(df: DataFrame, keys=DEDUP_COLUMNS, keep="first", seq: str =
     groups with very many copies are salted across tasks)."""
     keys = list(keys)
     g = duplicate_groups(df, keys, seq)
-    hot = hot_keys(g, keys, "n")
+    hot = hot_keys_sampled(df, keys)
     j = salted_join(df, g, keys, hot, F.col(seq), how="left", null_safe=True)
     flag = (F.col("n") > 1) if keep is False else (F.col(seq) != F.col("first_seq"))
     return j.withColumn("is_duplicate", flag).drop("n", "first_seq")

@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.columns import event_pos, money, pos_time, price_band, UNKNOWN
 from cartwheel.operators.joins import join_keys
 from cartwheel.operators.skew import hot_keys, salted_join
+from cartwheel.sources.sinks import materialize
 
 POS_COLS = ["V", "C", "P", "VC", "CP", "VCP"]
 PARTIAL_COLS = POS_COLS + ["purchase_count", "revenue_dec"]
@@ -73,6 +74,12 @@ def _funnel_parts(events: DataFrame, keys: list[str], time: str = "event_time",
         F.sum(F.when(is_p, F.col("_price"))).alias("revenue_dec"),
         F.count(F.lit(1)).alias("_n_events"),
         F.count_if(is_c | is_p).alias("_n_cp"))
+    # The per-key table feeds four consumers (hot-key detection, the two
+    # lookups, the final join) that each need different columns; column
+    # pruning would turn them into separate aggregations over all events.
+    # A reliable checkpoint (one row per key, far smaller than the events)
+    # makes the event scan + aggregate run exactly once.
+    base = materialize(base)
     # Carts and purchases only (a few percent of a clickstream).  Keys with
     # very many of them are salted across tasks for the two lookup joins.
     hot = hot_keys(base, keys, "_n_cp")
@@ -81,8 +88,9 @@ def _funnel_parts(events: DataFrame, keys: list[str], time: str = "event_time",
           .groupBy(*keys).agg(
               F.min(F.when(is_c & (pos > F.col("V")), pos)).alias("VC"),
               F.min(F.when(is_p & (pos > F.col("C")), pos)).alias("CP")))
-    r3 = (salted_join(cp.where(is_p), r2.where(F.col("VC").isNotNull()).select(*keys, "VC"), keys, hot, "_pos")
-          .where(pos > F.col("VC"))
+    # round 3 reuses the same shuffled cart/purchase rows (identical exchange)
+    r3 = (salted_join(cp, r2.where(F.col("VC").isNotNull()).select(*keys, "VC"), keys, hot, "_pos")
+          .where(is_p & (pos > F.col("VC")))
           .groupBy(*keys).agg(F.min(pos).alias("VCP")))
     out = base.join(r2, keys, "left").join(r3, keys, "left")
     return out.select(*keys, *PARTIAL_COLS), base

@@ -71,3 +71,20 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], hot: DataFram
     else:
         out = b.join(s, keys + ["_salt"], how)
     return out.drop("_salt")
+
+
+def hot_keys_sampled(df: DataFrame, keys: list[str], fraction: float = 0.01, seed: int = 17,
+                     min_rows: int | None = None, max_keys: int | None = None,
+                     null_safe: bool = False) -> DataFrame:
+    """Hot keys estimated from a fixed-seed Bernoulli sample.
+
+    Used where exact per-key counts would need a second full aggregation
+    of the data (e.g. nine-column duplicate groups).  Only the salting plan
+    depends on this set, never the result.  The same bound holds: sampled
+    counts above ``max(min_rows, total / max_keys) * fraction`` can belong
+    to fewer than ``max_keys`` keys."""
+    min_rows = _conf(df, "hotKeyMinRows", DEFAULT_MIN_ROWS) if min_rows is None else min_rows
+    max_keys = _conf(df, "maxHotKeys", DEFAULT_MAX_KEYS) if max_keys is None else max_keys
+    counts = df.select(*keys).sample(fraction=fraction, seed=seed).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_n", F.col("_n") / F.lit(fraction))
+    return hot_keys(counts, keys, "_n", min_rows, max_keys)

@@ -56,3 +56,6 @@ def test_salted_duplicate_marks(spark, sf_dir):
     plain = sorted(dd.mark_duplicates(ev, keep="first").collect())
     with skew_conf(spark, hotKeyMinRows=1, maxHotKeys=10 ** 6, salts=5):
         assert sorted(dd.mark_duplicates(ev, keep="first").collect()) == plain
+        from cartwheel.operators.skew import hot_keys_sampled
+        from cartwheel.sources.events import DEDUP_COLUMNS
+        assert hot_keys_sampled(ev, DEDUP_COLUMNS, fraction=0.5).count() > 0
