@@ -59,19 +59,28 @@ def duplicate_groups(df: DataFrame, keys=DEDUP_COLUMNS, seq: str = "seq") -> Dat
     return df.groupBy(*keys).agg(*aggs)
 
 
-def mark_duplicates(df: DataFrame, keys=DEDUP_COLUMNS, keep="first", seq: str = "seq") -> DataFrame:
-    """``is_duplicate`` flag like pandas ``duplicated`` (E-07).
-
-    ``keep='first'``: every copy but the first; ``keep=False``: every row of
-    a repeated key.  Implemented as aggregate + lookup join (not a window
-    over the key, which would put a huge group of copies into one task;
-    groups with very many copies are salted across tasks)."""
+def duplicate_flags(df: DataFrame, keys=DEDUP_COLUMNS, seq: str = "seq") -> DataFrame:
+    """Both pandas-style duplicate flags in one pass (E-07):
+    ``duplicate_after_first`` (``keep='first'``: every copy but the first)
+    and ``duplicate_any`` (``keep=False``: every row of a repeated key).
+
+    Implemented as aggregate + lookup join, not a window over the key
+    (which would put a huge group of copies into one task); groups with
+    very many copies are salted across tasks."""
     keys = list(keys)
     g = duplicate_groups(df, keys, seq)
     hot = hot_keys_sampled(df, keys)
     j = salted_join(df, g, keys, hot, F.col(seq), how="left", null_safe=True)
-    flag = (F.col("n") > 1) if keep is False else (F.col(seq) != F.col("first_seq"))
-    return j.withColumn("is_duplicate", flag).drop("n", "first_seq")
+    return (j.withColumn("duplicate_after_first", F.col(seq) != F.col("first_seq"))
+             .withColumn("duplicate_any", F.col("n") > 1)
+             .drop("n", "first_seq"))
+
+
+def mark_duplicates(df: DataFrame, keys=DEDUP_COLUMNS, keep="first", seq: str = "seq") -> DataFrame:
+    """``is_duplicate`` flag like pandas ``duplicated(keep=...)``."""
+    flags = duplicate_flags(df, keys, seq)
+    chosen = "duplicate_any" if keep is False else "duplicate_after_first"
+    return flags.withColumnRenamed(chosen, "is_duplicate").drop("duplicate_any", "duplicate_after_first")
 
 
 def duplicate_profile(df: DataFrame, keys=DEDUP_COLUMNS) -> DataFrame:

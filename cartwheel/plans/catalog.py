@@ -718,10 +718,7 @@ def _(spark, d):
 
 @q("dup_marks")
 def _(spark, d):
-    ev = shop(spark, d, "duplicates")
-    first = dd.mark_duplicates(ev, keep="first").select("seq", F.col("is_duplicate").alias("duplicate_after_first"))
-    anyx = dd.mark_duplicates(ev, keep=False).select("seq", F.col("is_duplicate").alias("duplicate_any"))
-    return first.join(anyx, "seq")
+    return dd.duplicate_flags(shop(spark, d, "duplicates")).select("seq", "duplicate_after_first", "duplicate_any")
 
 
 @q("zero_price_examples")
