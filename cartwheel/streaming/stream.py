@@ -76,33 +76,62 @@ def stream_dedup(stream: DataFrame, out_path: str, keys=DEDUP_COLUMNS, watermark
     return out_path
 
 
-def stream_funnel_merge(stream: DataFrame, state_root: str, keys=("user_id",), check_order: bool = True) -> str:
+def _latest_version(spark: SparkSession, root: str, before: int):
+    """Highest committed snapshot version below ``before`` (listed from the
+    snapshot folder, so a restarted driver finds it again)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(conf)
+    if not fs.exists(path):
+        return None
+    best = None
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            v = int(name[2:])
+            if v < before and (best is None or v > best):
+                best = v
+    return best
+
+
+def stream_funnel_merge(stream: DataFrame, state_root: str, keys=("user_id",), check_order: bool = True,
+                        checkpoint: str | None = None) -> str:
     """Incremental funnel through ``foreachBatch`` ordered merges (I-02 / I-03).
-    Returns the folder of the latest state snapshot."""
+
+    Each micro-batch is summarised with the batch operator and merged into
+    the previous snapshot; snapshot ``v=<batch id>`` holds the partial state
+    and ``meta/v=<batch id>`` the latest event time seen.  Both are found
+    again by listing, so a restarted query continues from its checkpoint; a
+    replayed batch overwrites its own snapshot.  Returns the latest snapshot
+    folder."""
     spark = stream.sparkSession
     keys = list(keys)
-    meta = {"latest": None, "max_time": None}
 
     def step(batch: DataFrame, batch_id: int):
-        if check_order:
-            lo_hi = batch.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi")).first()
-            if lo_hi["lo"] is None:
-                return
-            if meta["max_time"] is not None and lo_hi["lo"] < meta["max_time"]:
-                raise OutOfOrderBatch(f"batch {batch_id} starts before already processed events")
-            meta["max_time"] = lo_hi["hi"]
+        prev = _latest_version(spark, state_root, batch_id)
+        lo_hi = batch.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi")).first()
+        if lo_hi["lo"] is None:
+            return
+        prev_hi = None
+        if prev is not None:
+            prev_hi = spark.read.parquet(f"{state_root}/meta/v={prev:09d}").first()["hi"]
+        if check_order and prev_hi is not None and lo_hi["lo"] < prev_hi:
+            raise OutOfOrderBatch(f"batch {batch_id} starts before already processed events")
         part = funnel_partials(batch, keys)
-        if meta["latest"] is not None:
-            part = merge_partials(spark.read.parquet(meta["latest"]), part, keys)
-        target = f"{state_root}/v={batch_id:09d}"
-        part.write.mode("overwrite").parquet(target)
-        meta["latest"] = target
+        if prev is not None:
+            part = merge_partials(spark.read.parquet(f"{state_root}/v={prev:09d}"), part, keys)
+        hi = lo_hi["hi"] if prev_hi is None else max(prev_hi, lo_hi["hi"])
+        spark.createDataFrame([(hi,)], "hi timestamp_ntz").write.mode("overwrite") \
+            .parquet(f"{state_root}/meta/v={batch_id:09d}")
+        part.write.mode("overwrite").parquet(f"{state_root}/v={batch_id:09d}")
 
     q = (stream.writeStream.foreachBatch(step)
-         .option("checkpointLocation", scratch_path(spark, "ckpt-funnel"))
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-funnel"))
          .trigger(availableNow=True).start())
     _run(q)
-    return meta["latest"]
+    latest = _latest_version(spark, state_root, 1 << 62)
+    return None if latest is None else f"{state_root}/v={latest:09d}"
 
 
 # -- applyInPandasWithState --------------------------------------------------

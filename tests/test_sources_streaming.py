@@ -40,3 +40,18 @@ def test_csv_sequence_follows_file_order(spark, sf_dir):
     assert ordered == orig
     assert ev.select("seq").distinct().count() == ev.count()
     assert fn is not None
+
+
+def test_stream_funnel_restart_continues(spark, sf_dir):
+    """Two runs of the same query (same checkpoint and state folder): the
+    second run picks up new input files and continues from the stored
+    snapshot, as after a driver restart."""
+    ev = fill_unknown(shop_events(spark, sf_dir))
+    sliced = ev.withColumn("_slice", F.floor(F.col("seq") / 2500).cast("int"))
+    src, state, ckpt = (scratch_path(spark, n) for n in ("restart-src", "restart-state", "restart-ckpt"))
+    write_ordered_slices(sliced.where(F.col("_slice") < 2), "_slice", src)
+    stream_funnel_merge(event_stream(spark, src, ev.schema), state, checkpoint=ckpt)
+    write_ordered_slices(sliced.where(F.col("_slice") >= 2), "_slice", src)
+    latest = stream_funnel_merge(event_stream(spark, src, ev.schema), state, checkpoint=ckpt)
+    got = sorted(fn.finish(spark.read.parquet(latest), ["user_id"]).collect())
+    assert got == sorted(fn.user_funnel(ev).collect())
