@@ -7,7 +7,6 @@ unpivoted with ``stack``, so validating a large table is a single scan.
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,21 +25,16 @@ REPORT_SCHEMA = "check string, violations bigint"
 _COUNTS = ["view_users", "cart_users", "purchase_users", "purchase_events", "revenue"]
 
 
-def _report(agg_row: DataFrame, names: list[str]) -> DataFrame:
+def _report(agg_row: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Unpivot a one-row aggregate of named checks into report rows; the
+    check names are the aggregate's column names."""
+    names = names or agg_row.columns
     pairs = ", ".join(f"'{n}', CAST(`{n}` AS BIGINT)" for n in names)
     return (agg_row.select(F.expr(f"stack({len(names)}, {pairs}) AS (check, violations)"))
             .withColumn("violations", F.coalesce(F.col("violations"), F.lit(0)).cast("bigint"))
             .withColumn("passed", F.col("violations") == 0))
 
 
-def _names(aggs) -> list[str]:
-    out = []
-    for a in aggs:
-        m = re.search(r"AS `?([A-Za-z0-9_]+)`?$", str(a).rstrip("'>"))
-        out.append(m.group(1))
-    return out
-
-
 def _const(spark: SparkSession, rows: list[tuple[str, int]]) -> DataFrame:
     return (spark.createDataFrame(rows, REPORT_SCHEMA)
             .withColumn("passed", F.col("violations") == 0))
@@ -79,8 +73,7 @@ def validate_summary(summary: DataFrame, key: str) -> DataFrame:
          .alias("undefined_rate_vs_zero_cart"),
         F.count_if((F.col("purchase_events") > 0) & (F.col("revenue") == 0)).alias("purchases_without_revenue"),
     ]
-    names = _names(aggs)
-    checks = [req, _dup_keys(summary, [key], "duplicate_key"), _report(summary.agg(*aggs), names)]
+    checks = [req, _dup_keys(summary, [key], "duplicate_key"), _report(summary.agg(*aggs))]
     if key == "price_band":
         checks.append(_report(summary.agg(F.count_if(~F.col(key).isin(PRICE_BANDS)).alias("unexpected_band")),
                               ["unexpected_band"]))
@@ -101,8 +94,7 @@ def validate_user_funnel(state: DataFrame, keys=("user_id",)) -> DataFrame:
             F.count_if((F.col("added_to_cart") == 1) & (F.col("viewed") == 0)).alias("cart_without_view"),
             F.count_if((F.col("purchased") == 1) & (F.col("added_to_cart") == 0)).alias("purchase_without_cart"),
             F.count_if((F.col("purchased") == 1) & (F.col("purchase_count") == 0)).alias("purchased_without_events")]
-    names = _names(aggs)
-    return _dup_keys(state, keys, "duplicate_key").unionByName(_report(state.agg(*aggs), names))
+    return _dup_keys(state, keys, "duplicate_key").unionByName(_report(state.agg(*aggs)))
 
 
 def validate_time(time_df: DataFrame, expected_rows: int = TIME_ANALYSIS_ROWS) -> DataFrame:
@@ -130,8 +122,7 @@ def validate_time(time_df: DataFrame, expected_rows: int = TIME_ANALYSIS_ROWS) -
                           | F.col("view_to_cart_rate").isNotNull() | F.col("cart_to_purchase_rate").isNotNull()
                           | F.col("view_to_purchase_rate").isNotNull())).alias("activity_funnel_fields_not_null"),
     ]
-    names = _names(aggs)
-    rep = _report(time_df.agg(*aggs), names)
+    rep = _report(time_df.agg(*aggs))
     fix = (F.when(F.col("check") == "activity_hours_vs_24", F.abs(F.col("violations") - 24))
            .when(F.col("check") == "activity_days_vs_7", F.abs(F.col("violations") - 7))
            .otherwise(F.col("violations")))
@@ -177,8 +168,7 @@ def quality_report(raw: DataFrame, clean: DataFrame | None = None) -> DataFrame:
                    | F.col("user_id").isNull()).alias("null_critical_field"),
         F.count_if(~F.col("event_type").isin(EVENT_TYPES)).alias("unexpected_event_type"),
     ]
-    names = _names(aggs)
-    rep = _report(raw.agg(*aggs), names)
+    rep = _report(raw.agg(*aggs))
     if clean is not None:
         d = (clean.groupBy(*DEDUP_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
              .agg(F.sum(F.col("n") - 1).alias("remaining_duplicates")))
