@@ -31,7 +31,7 @@ def main():
     base = C.clean(spark, sf)
     n_users = base.agg(F.max("user_id")).first()[0] + 1
     n_seq = base.agg(F.max("seq")).first()[0] + 1
-    rep = (base.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).cast("long"))
+    rep = (base.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))))
            .withColumn("user_id", F.col("user_id") + F.col("copy") * n_users)
            .withColumn("seq", F.col("seq") + F.col("copy") * n_seq).drop("copy"))
     path = scratch_path(spark, "scale-probe")
