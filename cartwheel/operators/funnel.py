@@ -221,7 +221,9 @@ def fold_slices(partials: DataFrame, keys: list[str], slice_col: str) -> DataFra
     expressed as aggregates: for a key, ``VC`` is ``VC`` of the slice holding
     the first view, else the first ``C`` of a later slice; ``CP`` and ``VCP``
     likewise.  The window groups hold one row per (key, slice), so their
-    size is bounded by the number of slices, not by the number of events.
+    size is bounded by the number of slices, not by the number of events —
+    use time buckets (days, hours) as slices, never row-count chunks, so a
+    key's group stays bounded by the time span however many events it has.
     """
     keys = list(keys)
     w = Window.partitionBy(*keys)

@@ -469,6 +469,12 @@ def _(spark, d):
     return pf.zero_price_top(clean(spark, d), "category_code")
 
 
+@q("zero_price_top")
+def _(spark, d):
+    """Most frequent categories among zero-price rows (D-27)."""
+    return pf.zero_price_top(clean(spark, d), "category_code")
+
+
 @q("zero_price_top_brand")
 def _(spark, d):
     return pf.zero_price_top(clean(spark, d), "brand")
@@ -545,13 +551,15 @@ def _(spark, d):
 
 @q("incremental_funnel")
 def _(spark, d):
-    return fn.sliced_funnel(clean(spark, d), ["user_id"], chunk_of())
+    """Daily partial summaries per (user, day), merged in day order.  Day
+    slices keep the number of partials per key bounded by the time span."""
+    return fn.sliced_funnel(clean(spark, d), ["user_id"], F.col("event_date"))
 
 
 @q("incremental_category")
 def _(spark, d):
     ev = fn.with_segment(clean(spark, d), "category")
-    return fn.sliced_funnel(ev, ["user_id", "category_code"], chunk_of())
+    return fn.sliced_funnel(ev, ["user_id", "category_code"], F.col("event_date"))
 
 
 @q("state_size")

@@ -332,7 +332,8 @@ def build() -> dict[str, str]:
         "count(DISTINCT product_id) FILTER (price = 0) AS zero_price_products, "
         "count(*) FILTER (price = 0) * 100.0 / nullif(count(*), 0) AS zero_price_pct FROM shop")
     S["zero_price_by_event"] = sh + "SELECT event_type, count(*) AS zero_price_rows FROM shop WHERE price = 0 GROUP BY event_type"
-    for name, c in [("zero_price_top_category", "category_code"), ("zero_price_top_brand", "brand")]:
+    for name, c in [("zero_price_top_category", "category_code"), ("zero_price_top", "category_code"),
+                    ("zero_price_top_brand", "brand")]:
         S[name] = with_(CLEAN) + (f"SELECT {c}, count(*) AS rows FROM clean WHERE price = 0 AND {c} IS NOT NULL "
                                   f"GROUP BY {c} ORDER BY rows DESC, {c} LIMIT 20")
 
