@@ -88,7 +88,8 @@ def _funnel_parts(events: DataFrame, keys: list[str], time: str = "event_time",
           .groupBy(*keys).agg(
               F.min(F.when(is_c & (pos > F.col("V")), pos)).alias("VC"),
               F.min(F.when(is_p & (pos > F.col("C")), pos)).alias("CP")))
-    # round 3 reuses the same shuffled cart/purchase rows (identical exchange)
+    # round 3: Catalyst pushes the purchase filter below the join, so only
+    # purchases are shuffled for it
     r3 = (salted_join(cp, r2.where(F.col("VC").isNotNull()).select(*keys, "VC"), keys, hot, "_pos")
           .where(is_p & (pos > F.col("VC")))
           .groupBy(*keys).agg(F.min(pos).alias("VCP")))
