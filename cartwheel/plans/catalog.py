@@ -671,6 +671,15 @@ def _(spark, d):
     return fn.user_funnel(cl.clean_events(read_events(spark, _csv_export(spark, d), "csv")))
 
 
+@q("csv_prefix_run")
+def _(spark, d):
+    """First chunks of the raw text export only (the reference's
+    ``max_chunks``), cleaned and funnelled."""
+    from cartwheel.sources.events import read_events
+    raw = prefix_run(read_events(spark, _csv_export(spark, d), "csv"), PREFIX_CHUNKS, CHUNK_ROWS, dense=False)
+    return fn.user_funnel(cl.clean_events(raw))
+
+
 @q("funnel_result_load")
 def _(spark, d):
     """User funnel written as CSV (ordered by user), loaded back with a
