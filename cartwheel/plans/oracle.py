@@ -108,10 +108,6 @@ def summary_ctes(seg: str, out: str = "ss", variant_src: str = "clean") -> list[
     ]
 
 
-def seg_col(seg: str) -> str:
-    return seg
-
-
 TIME_COLS = ("analysis_type, time_dimension, time_value, view_users, cart_users, purchase_users, "
              "purchase_events, revenue, view_to_cart_rate, cart_to_purchase_rate, view_to_purchase_rate")
 
@@ -146,11 +142,6 @@ def top(table: str, seg: str, by: str, k: int | None, asc: bool = False, where:
     return f"SELECT * FROM {table} {where} ORDER BY {order}{lim}"
 
 
-def q(p: str) -> str:
-    """Exact interpolated quantile over a column (NULLs skipped)."""
-    return p
-
-
 def report(rows: list[tuple[str, str]], src: str) -> str:
     """One SELECT per check → (check, violations, passed)."""
     parts = [f"SELECT '{n}' AS \"check\", CAST(coalesce(({e}), 0) AS BIGINT) AS violations FROM {src}"

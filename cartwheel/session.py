@@ -8,7 +8,6 @@ session — a local fallback is only used when the setting is absent (tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -105,4 +104,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
-__all__ = ["get_spark", "checkpoint_root", "scratch_path", "path_exists", "local_path", "os"]
+__all__ = ["get_spark", "scale_conf", "checkpoint_root", "scratch_path", "path_exists", "local_path"]

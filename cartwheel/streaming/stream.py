@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from cartwheel.functions.columns import hour_label, money
-from cartwheel.operators.funnel import PARTIAL_COLS, finish, funnel_partials, merge_partials
+from cartwheel.operators.funnel import finish, funnel_partials, merge_partials
 from cartwheel.operators.incremental import OutOfOrderBatch
 from cartwheel.session import scratch_path
 from cartwheel.sources.events import DEDUP_COLUMNS
@@ -251,7 +251,7 @@ def stream_activity(stream: DataFrame, out_path: str) -> str:
 
 
 __all__ = ["write_ordered_slices", "event_stream", "stream_dedup", "stream_funnel_merge",
-           "stream_funnel_state", "stream_activity", "latest_state", "PARTIAL_COLS"]
+           "stream_funnel_state", "stream_activity", "stream_counts", "latest_state"]
 
 
 def stream_counts(stream: DataFrame, out_path: str) -> str:

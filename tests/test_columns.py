@@ -46,3 +46,11 @@ def test_time_features(spark):
     r = cl.add_time_features(cl.standardize(df)).collect()[0]
     assert (r.event_hour, r.day_of_week, r.day_of_month, str(r.event_date)) == (9, "Tuesday", 1, "2019-10-01")
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_scale_conf_partitions():
+    from cartwheel.session import scale_conf
+    big = scale_conf(100 * 2 ** 40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) % 8000 == 0
+    assert int(big["spark.sql.shuffle.partitions"]) * 256 * 2 ** 20 >= 100 * 2 ** 40
+    assert scale_conf(10 * 2 ** 20, 8)["spark.sql.shuffle.partitions"] == "16"
