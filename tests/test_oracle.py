@@ -10,7 +10,6 @@ import pytest
 import __spark_entry__ as E
 
 SF_SMALL = os.environ.get("CARTWHEEL_ORACLE_SF", "/root/testdata/sf0.001")
-SKIP_SLOW = {"stream_dedup", "stream_funnel_state", "stream_activity"}
 
 
 def _norm(v):
@@ -40,8 +39,6 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
-    if name in SKIP_SLOW and not os.environ.get("CARTWHEEL_SLOW"):
-        pytest.skip("slow streaming query; set CARTWHEEL_SLOW=1")
     got = E.queries()[name](spark, SF_SMALL).toPandas()
     exp = con.execute(E.oracle_sql()[name]).fetchdf()
     assert sorted(got.columns) == sorted(exp.columns)
