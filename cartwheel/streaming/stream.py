@@ -140,23 +140,42 @@ _STATE_SCHEMA = ("V string, C string, P string, VC string, CP string, VCP string
                  "purchase_count long, revenue string, version long")
 
 
-def _summarise(pdf: pd.DataFrame) -> dict:
-    """Ordered summary of one key's events of one micro-batch (vectorised
-    pandas).  Positions are fixed-width digit strings, so text order is
-    numeric order."""
-    pos, et = pdf["_pos"], pdf["event_type"]
-
-    def first(mask):
-        m = pos[mask]
+def _summarise(pdfs) -> dict:
+    """Ordered summary of one key's events of one micro-batch.
+
+    The rows arrive as several Arrow batches in no particular order, so the
+    first view / cart / purchase are running minima, and only cart and
+    purchase positions are kept (a small share of events) to resolve
+    "first cart after the first view" etc. once all batches are seen.
+    Positions are fixed-width digit strings, so text order is numeric order."""
+    firsts = {"V": None, "C": None, "P": None}
+    carts, buys = [], []
+    count, revenue = 0, Decimal(0)
+    for pdf in pdfs:
+        pos, et = pdf["_pos"], pdf["event_type"]
+        for k, t in (("V", "view"), ("C", "cart"), ("P", "purchase")):
+            m = pos[et == t]
+            if not m.empty:
+                firsts[k] = m.min() if firsts[k] is None else min(firsts[k], m.min())
+        carts.append(pos[et == "cart"])
+        buys.append(pos[et == "purchase"])
+        count += int((et == "purchase").sum())
+        revenue += sum((Decimal(x) for x in pdf.loc[et == "purchase", "_price"].dropna().tolist()), start=Decimal(0))
+    carts = pd.concat(carts) if carts else pd.Series([], dtype=object)
+    buys = pd.concat(buys) if buys else pd.Series([], dtype=object)
+
+    def first_after(s, bound):
+        if bound is None:
+            return None
+        m = s[s > bound]
         return None if m.empty else m.min()
 
-    out = {"V": first(et == "view"), "C": first(et == "cart"), "P": first(et == "purchase")}
-    out["VC"] = first((et == "cart") & (pos > out["V"])) if out["V"] else None
-    out["CP"] = first((et == "purchase") & (pos > out["C"])) if out["C"] else None
-    out["VCP"] = first((et == "purchase") & (pos > out["VC"])) if out["VC"] else None
-    buy = pdf.loc[et == "purchase", "_price"].dropna()
-    out["purchase_count"] = int((et == "purchase").sum())
-    out["revenue"] = sum((Decimal(x) for x in buy.tolist()), start=Decimal(0))
+    out = dict(firsts)
+    out["VC"] = first_after(carts, out["V"])
+    out["CP"] = first_after(buys, out["C"])
+    out["VCP"] = first_after(buys, out["VC"])
+    out["purchase_count"] = count
+    out["revenue"] = revenue
     return out
 
 
@@ -173,10 +192,7 @@ def _merge(a: dict, b: dict) -> dict:
 
 
 def _state_fn(key, pdfs, state):
-    batch = None
-    for pdf in pdfs:
-        s = _summarise(pdf)
-        batch = s if batch is None else _merge(batch, s)
+    batch = _summarise(pdfs)
     if state.exists:
         v = state.get
         prev = {k: v[i] for i, k in enumerate(["V", "C", "P", "VC", "CP", "VCP"])}

@@ -77,3 +77,23 @@ def test_row_number_with_many_small_splits(spark, sf_dir):
     orig = [r.user_session for r in shop_events(spark, sf_dir).orderBy("seq").select("user_session").collect()]
     assert got == orig
     assert nums == list(range(len(orig)))
+
+
+def test_keyed_state_with_many_arrow_batches(spark, sf_dir):
+    """Large groups reach the state function as several Arrow batches in no
+    time order (rows are shuffled inside each micro-batch file here); the
+    summary must not depend on their order."""
+    from cartwheel.streaming import latest_state, stream_funnel_state
+    ev = fill_unknown(shop_events(spark, sf_dir))
+    sliced = (ev.withColumn("_slice", F.floor(F.col("seq") / 5000).cast("int"))
+              .repartition(1).orderBy(F.rand(11)))
+    src = scratch_path(spark, "shuffled-stream")
+    write_ordered_slices(sliced, "_slice", src)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = stream_funnel_state(event_stream(spark, src, ev.schema), scratch_path(spark, "shuffled-log"))
+        got = sorted(latest_state(spark, out).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == sorted(fn.user_funnel(ev).collect())
