@@ -100,7 +100,9 @@ def clean_events(df: DataFrame, quality: bool = False, dedup: bool = True,
     """
     from cartwheel.operators.dedup import dedup_exact
 
-    x = standardize(normalize_null_tokens(df, DESCRIPTIVE_COLUMNS + ["event_type"]), strict=strict)
+    # missing-value tokens count as missing in every text column (a raw
+    # price of 'NA' is missing, not a cast error)
+    x = standardize(normalize_null_tokens(df), strict=strict)
     x = fill_unknown(x)
     if quality:
         x = quality_filter(x)

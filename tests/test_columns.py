@@ -54,3 +54,13 @@ def test_scale_conf_partitions():
     assert int(big["spark.sql.shuffle.partitions"]) % 8000 == 0
     assert int(big["spark.sql.shuffle.partitions"]) * 256 * 2 ** 20 >= 100 * 2 ** 40
     assert scale_conf(10 * 2 ** 20, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_clean_events_reads_tokens_as_missing(spark):
+    rows = [("2019-10-01 00:00:01 UTC", "view", "1", "2", "NA", "NA", "", "7", "s", 1),
+            ("2019-10-01 00:00:02 UTC", "purchase", "1", "2", "c", "b", "5.5", "7", "null", 2)]
+    df = spark.createDataFrame(rows, "event_time string, event_type string, product_id string, category_id string, "
+                                     "category_code string, brand string, price string, user_id string, "
+                                     "user_session string, seq long")
+    got = {r.seq: (r.category_code, r.brand, r.price, r.user_session) for r in cl.clean_events(df).collect()}
+    assert got == {1: ("Unknown", "Unknown", None, "s"), 2: ("c", "b", 5.5, "Unknown")}
