@@ -101,7 +101,7 @@ def money(c) -> Column:
 def null_tokens_to_null(c) -> Column:
     """Normalise the default missing-value text tokens to SQL NULL."""
     c = col_(c)
-    return F.when(F.trim(c).isin(NULL_TOKENS) | c.isNull(), F.lit(None).cast("string")).otherwise(c)
+    return F.when(c.isin(NULL_TOKENS) | c.isNull(), F.lit(None).cast("string")).otherwise(c)
 
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
