@@ -40,7 +40,12 @@ from cartwheel.sources.events import DEDUP_COLUMNS
 def write_ordered_slices(df: DataFrame, slice_col: str, path: str) -> list[int]:
     """Write ``df`` as one Parquet folder per slice, oldest slice first, so a
     file stream source (ordered by modification time) replays them in order.
-    One write job per slice; the slice list itself is a tiny aggregate."""
+    One write job per slice; the slice list itself is a tiny aggregate.
+
+    Test / demo helper for replaying static tables as a stream: each slice
+    is one file (so one micro-batch is exactly one slice) and is therefore
+    written by one task — keep slices small.  Real streams arrive over time
+    and need no replay."""
     slices = sorted(r[0] for r in df.select(slice_col).distinct().collect())
     for s in slices:
         df.where(F.col(slice_col) == s).drop(slice_col).coalesce(1).write.mode("overwrite") \
