@@ -3,11 +3,12 @@
 The library never creates its own session inside an operator; these helpers
 are for scripts, tests and the benchmark.  Shared storage for lineage cuts
 and streaming checkpoints comes from ``spark.checkpoint.dir`` of the running
-session — a local fallback is only used when the setting is absent (tests).
+session; only a local session (tests) may do without it.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,10 +40,8 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        local = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
     return spark
 
 
@@ -76,13 +75,19 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be a shared file system (HDFS/S3/ABFS...).  Only
-    when it is unset (unit tests) a fresh local folder is created.
+    On a cluster this must be a shared file system (HDFS/S3/ABFS...); a
+    cluster session without it is an error, because files in one machine's
+    temporary folder are invisible to the others.  A local session (tests)
+    has only one machine and gets a fresh folder, remembered as the
+    SparkContext's checkpoint folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="cartwheel-ckpt-"))
+        d = sc.getCheckpointDir()
     return d
 
 
@@ -92,10 +97,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/cartwheel/{name}-{uuid.uuid4().hex}"
 
 
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of the path's scheme."""
     jvm = spark.sparkContext._jvm
@@ -104,4 +105,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
-__all__ = ["get_spark", "scale_conf", "checkpoint_root", "scratch_path", "path_exists", "local_path"]
+__all__ = ["get_spark", "scale_conf", "checkpoint_root", "scratch_path", "path_exists"]

@@ -41,7 +41,7 @@ def _brute(rows):
         fv = fc = fp = None
         count, revenue = 0, Decimal(0)
         for seq, t, typ, *_rest in evs:
-            price = _rest[5]
+            price = _rest[4]
             if typ == "view":
                 view_seen = True
                 fv = fv or t
