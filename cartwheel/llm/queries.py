@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from cartwheel.llm.bpe import op7_byte_bpe
 from cartwheel.llm.substring_dedup import op4_substring_dedup
 
-QUERIES = {f.__name__: f for f in (op4_substring_dedup,)}
+QUERIES = {f.__name__: f for f in (op4_substring_dedup, op7_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {}
