@@ -108,32 +108,39 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class _Codes(dict):
+    """Code of every pre-token of a block, filled at first sight."""
+
+    def __init__(self, direct):
+        self.direct, self.words = direct, []
+
+    def __missing__(self, token):
+        code = self.direct.get(token)
+        if code is None:
+            code = DIRECT + len(self.words)
+            self.words.append(token)
+        self[token] = code
+        return code
+
+
 def _blocks(batches, pattern, rank_path):
     """(block id, distinct words to encode, [(doc_id, codes)]) of the rows of
     one task, cut only by the number of characters seen."""
     find, ranks = _pattern(pattern).findall, load_ranks(rank_path)
-    direct = {k.decode("utf-8", "replace"): v for k, v in ranks.items() if _is_utf8(k)}
-
-    def start():
-        return {}, [], hashlib.blake2b(digest_size=8), 0
-
-    words, docs, digest, chars = start()
+    direct = {k.decode(): v for k, v in ranks.items() if _is_utf8(k)}
+    code, docs, digest, chars = _Codes(direct), [], hashlib.blake2b(digest_size=8), 0
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
         for i in range(batch.num_rows):
             doc_id, text = ids[i].as_py(), texts[i].as_py()
-            codes = []
-            for t in find(text):
-                c = direct.get(t)
-                codes.append(DIRECT + words.setdefault(t, len(words)) if c is None else c)
-            docs.append((doc_id, np.array(codes, dtype=np.uint32)))
-            digest.update(repr(doc_id).encode() + b"\0" + text.encode() + b"\0")
+            docs.append((doc_id, np.array([code[t] for t in find(text)], dtype=np.uint32)))
+            digest.update(b"%d\0" % (doc_id or 0) + text.encode() + b"\0")
             chars += len(text)
             if chars >= BLOCK_CHARS:
-                yield int.from_bytes(digest.digest(), "little", signed=True), words, docs
-                words, docs, digest, chars = start()
+                yield int.from_bytes(digest.digest(), "little", signed=True), code.words, docs
+                code, docs, digest, chars = _Codes(direct), [], hashlib.blake2b(digest_size=8), 0
     if docs:
-        yield int.from_bytes(digest.digest(), "little", signed=True), words, docs
+        yield int.from_bytes(digest.digest(), "little", signed=True), code.words, docs
 
 
 def _is_utf8(b: bytes) -> bool:
@@ -147,9 +154,8 @@ def _is_utf8(b: bytes) -> bool:
 def _block_words(pattern, rank_path):
     def run(batches):
         for block, words, _ in _blocks(batches, pattern, rank_path):
-            listed = list(words)
-            for at in range(0, len(listed), 100_000):
-                part = listed[at:at + 100_000]
+            for at in range(0, len(words), 100_000):
+                part = words[at:at + 100_000]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part, pa.string()), pa.array(np.full(len(part), block)),
                      pa.array(np.arange(at, at + len(part), dtype=np.int32))], names=["word", "block", "k"])
@@ -215,34 +221,58 @@ def _gather(starts, sizes, flat, codes):
     return flat[first + np.arange(total)]
 
 
-def _reassemble(docs: pa.Table, words: pa.Table) -> pa.Table:
-    unpack = zstandard.ZstdDecompressor().decompress
-    n_words = max(docs.column("n_words").to_pylist(), default=0)
-    sizes = np.concatenate((np.ones(DIRECT, dtype=np.int64), np.zeros(n_words, dtype=np.int64)))
-    starts = np.arange(DIRECT + n_words, dtype=np.int64)
-    flat, at = [np.arange(DIRECT, dtype=np.uint32)], DIRECT
-    for n, blob in zip(words.column("n").to_pylist(), words.column("ids").to_pylist()):
-        a = np.frombuffer(unpack(blob), dtype="<u4")
-        k = DIRECT + np.cumsum(a[:n].astype(np.int64))
-        size = a[n:2 * n].astype(np.int64)
-        sizes[k] = size
-        starts[k] = at + np.cumsum(size) - size
-        flat.append(a[2 * n:])
-        at += int(size.sum())
-    if n_words and not sizes.all():
-        raise RuntimeError("a block's words changed between two reads: the input must be a table, not a random expression")
-    flat = np.concatenate(flat)
-    out = []
-    for blob in docs.column("codes").to_pylist():
-        a = np.frombuffer(unpack(blob), dtype="<u2").astype(np.int64)
-        codes = a[:len(a) // 2] + (a[len(a) // 2:] << 16)
-        out.append(_gather(starts, sizes, flat, codes).astype("<u4").tobytes())
-    return pa.table({"doc_id": docs.column("doc_id"), "ids": pa.array(out, pa.binary())})
-
-
-def encode(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
+def _reassemble(rank_path, decoded):
+    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
+        unpack = zstandard.ZstdDecompressor().decompress
+        back = _decoder(rank_path) if decoded else None
+        n_words = max(docs.column("n_words").to_pylist(), default=0)
+        sizes = np.concatenate((np.ones(DIRECT, dtype=np.int64), np.zeros(n_words, dtype=np.int64)))
+        starts = np.arange(DIRECT + n_words, dtype=np.int64)
+        flat, at = [np.arange(DIRECT, dtype=np.uint32)], DIRECT
+        for n, blob in zip(words.column("n").to_pylist(), words.column("ids").to_pylist()):
+            a = np.frombuffer(unpack(blob), dtype="<u4")
+            k = DIRECT + np.cumsum(a[:n].astype(np.int64))
+            size = a[n:2 * n].astype(np.int64)
+            sizes[k] = size
+            starts[k] = at + np.cumsum(size) - size
+            flat.append(a[2 * n:])
+            at += int(size.sum())
+        if n_words and not sizes.all():
+            raise RuntimeError("a block's words changed between two reads: the input must be a table, not a random expression")
+        flat = np.concatenate(flat)
+        names = ["doc_id", "ids", "decoded"] if decoded else ["doc_id", "ids"]
+        parts = []
+        for batch in docs.select(["doc_id", "codes"]).to_batches(max_chunksize=200):  # small batches out
+            out = []
+            for blob in batch.column("codes"):
+                a = np.frombuffer(unpack(blob.as_buffer()), dtype="<u2").astype(np.int64)
+                codes = a[:len(a) // 2] + (a[len(a) // 2:] << 16)
+                out.append(_gather(starts, sizes, flat, codes).astype("<u4"))
+            columns = [batch.column("doc_id"), pa.array([x.tobytes() for x in out], pa.binary())]
+            if decoded:
+                columns.append(pa.array([back(x) for x in out], pa.binary()))
+            parts.append(pa.RecordBatch.from_arrays(columns, names=names))
+        kinds = [pa.int64(), pa.binary(), pa.binary()]
+        return pa.Table.from_batches(parts, schema=pa.schema(list(zip(names, kinds))))
+    return run
+
+
+def _decoder(rank_path):
+    """Bytes of an array of ids, gathered from the token-byte table."""
+    by_id = sorted((v, k) for k, v in load_ranks(rank_path).items())
+    top = by_id[-1][0] + 1 if by_id else 0
+    sizes, starts = np.zeros(top, dtype=np.int64), np.zeros(top, dtype=np.int64)
+    ids = np.array([v for v, _ in by_id], dtype=np.int64)
+    sizes[ids] = [len(k) for _, k in by_id]
+    starts[ids] = np.cumsum(sizes[ids]) - sizes[ids]
+    flat = np.frombuffer(b"".join(k for _, k in by_id), dtype=np.uint8)
+    return lambda x: _gather(starts, sizes, flat, x).tobytes()
+
+
+def encode(docs: DataFrame, rank_path: str, pattern: str, decoded: bool = False) -> DataFrame:
     """Token ids of every whole text: doc_id, ids (binary, little-endian
-    unsigned 32-bit, in text order).  One row per input row.
+    unsigned 32-bit, in text order).  One row per input row.  ``decoded``
+    adds the bytes that the ids stand for, decoded by the same tasks.
 
     Null text is read as empty and has no ids; a null doc_id is kept; repeated
     rows are encoded alike; a text or a word of any length is encoded whole;
@@ -257,26 +287,20 @@ def encode(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
              .mapInArrow(_encode_words(rank_path), "block long, n int, ids binary"))
     codes = base.mapInArrow(_block_codes(pattern, rank_path), "block long, n_words int, doc_id long, codes binary")
     return (codes.groupBy("block").cogroup(words.groupBy("block"))
-            .applyInArrow(_reassemble, "doc_id long, ids binary"))
+            .applyInArrow(_reassemble(rank_path, decoded), "doc_id long, ids binary" + ", decoded binary" * decoded))
 
 
 def decode(encoded: DataFrame, rank_path: str) -> DataFrame:
-    """Adds ``decoded`` (binary): every id's bytes from the token-byte table,
-    a bounded table that each task holds, joined in order."""
+    """Adds ``decoded`` (binary) to a table with ``ids``: every id's bytes
+    from the token-byte table, a bounded table that each task holds, joined
+    in order.  Null ids decode to null, empty ones to no bytes."""
     ship(encoded.sparkSession)
 
     def run(batches):
-        ranks = load_ranks(rank_path)
-        by_id = sorted((v, k) for k, v in ranks.items())
-        top = by_id[-1][0] + 1 if by_id else 0
-        sizes, starts = np.zeros(top, dtype=np.int64), np.zeros(top, dtype=np.int64)
-        ids = np.array([v for v, _ in by_id], dtype=np.int64)
-        sizes[ids] = [len(k) for _, k in by_id]
-        starts[ids] = np.cumsum(sizes[ids]) - sizes[ids]
-        flat = np.frombuffer(b"".join(k for _, k in by_id), dtype=np.uint8)
+        back = _decoder(rank_path)
         for batch in batches:
-            column = batch.schema.get_field_index("ids")
-            out = [_gather(starts, sizes, flat, np.frombuffer(x.as_buffer(), dtype="<u4")).tobytes() for x in batch.column(column)]
+            column = batch.column(batch.schema.get_field_index("ids"))
+            out = [back(np.frombuffer(x.as_buffer(), dtype="<u4")) if x.is_valid else None for x in column]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"])
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
@@ -291,6 +315,6 @@ def public_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
 def op7_byte_bpe(spark, sf_dir: str) -> DataFrame:
     rank_path, pattern = public_vocabulary()
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return decode(encode(docs, rank_path, pattern), rank_path).select(
+    return encode(docs, rank_path, pattern, decoded=True).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
