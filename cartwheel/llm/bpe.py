@@ -20,6 +20,8 @@ import base64
 import functools
 import hashlib
 import heapq
+import itertools
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,9 @@ from cartwheel.llm.common import ship, text_column
 
 #: Characters of a block, and encoded words buffered before they are sent on.
 BLOCK_CHARS, BUFFER_WORDS = 32_000_000, 400_000
+#: A run of other characters with one space before it, or white space.
+_WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+CHUNKS = f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
 #: Codes below this are vocabulary ids; above it, positions in the block's word list.
 DIRECT = 1 << 20
 
@@ -108,39 +113,55 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class _Codes(dict):
-    """Code of every pre-token of a block, filled at first sight."""
+class _Index(dict):
+    """Number of every chunk of a block, in order of first sight."""
 
-    def __init__(self, direct):
-        self.direct, self.words = direct, []
+    def __missing__(self, chunk):
+        self[chunk] = n = len(self)
+        return n
 
-    def __missing__(self, token):
-        code = self.direct.get(token)
-        if code is None:
-            code = DIRECT + len(self.words)
-            self.words.append(token)
-        self[token] = code
-        return code
 
-
-def _blocks(batches, pattern, rank_path):
-    """(block id, distinct words to encode, [(doc_id, codes)]) of the rows of
-    one task, cut only by the number of characters seen."""
+def _expand(chunks, pattern, rank_path):
+    """Pre-tokens of the distinct chunks: words to encode, then per chunk the
+    start and number of its codes in a flat array."""
     find, ranks = _pattern(pattern).findall, load_ranks(rank_path)
     direct = {k.decode(): v for k, v in ranks.items() if _is_utf8(k)}
-    code, docs, digest, chars = _Codes(direct), [], hashlib.blake2b(digest_size=8), 0
+    number, sizes, flat = {}, [], []
+    for chunk in chunks:
+        tokens = (chunk,) if chunk.isascii() and (chunk[1:] if chunk[0] == " " else chunk).isalpha() else find(chunk)
+        sizes.append(len(tokens))
+        for t in tokens:
+            code = direct.get(t)
+            flat.append(DIRECT + number.setdefault(t, len(number)) if code is None else code)
+    sizes = np.array(sizes, dtype=np.int64)
+    return list(number), np.cumsum(sizes) - sizes, sizes, np.array(flat, dtype=np.int64)
+
+
+def _blocks(batches, chunk_pattern, positions):
+    """(block id, distinct chunks, documents) of the rows of one task, cut
+    only by the number of characters seen.  With ``positions`` the documents
+    are (doc_id, numbers of the chunks); else they are left out."""
+    find = re.compile(chunk_pattern).findall
+
+    def start():
+        return _Index() if positions else {}, [], hashlib.blake2b(digest_size=8), 0
+
+    seen, docs, digest, chars = start()
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
         for i in range(batch.num_rows):
             doc_id, text = ids[i].as_py(), texts[i].as_py()
-            docs.append((doc_id, np.array([code[t] for t in find(text)], dtype=np.uint32)))
+            if positions:
+                docs.append((doc_id, np.array([seen[c] for c in find(text)], dtype=np.uint32)))
+            else:
+                seen.update(zip(find(text), itertools.repeat(None)))
             digest.update(b"%d\0" % (doc_id or 0) + text.encode() + b"\0")
             chars += len(text)
             if chars >= BLOCK_CHARS:
-                yield int.from_bytes(digest.digest(), "little", signed=True), code.words, docs
-                code, docs, digest, chars = _Codes(direct), [], hashlib.blake2b(digest_size=8), 0
-    if docs:
-        yield int.from_bytes(digest.digest(), "little", signed=True), code.words, docs
+                yield int.from_bytes(digest.digest(), "little", signed=True), seen, docs
+                seen, docs, digest, chars = start()
+    if chars or docs:
+        yield int.from_bytes(digest.digest(), "little", signed=True), seen, docs
 
 
 def _is_utf8(b: bytes) -> bool:
@@ -151,9 +172,10 @@ def _is_utf8(b: bytes) -> bool:
         return False
 
 
-def _block_words(pattern, rank_path):
+def _block_words(pattern, chunk_pattern, rank_path):
     def run(batches):
-        for block, words, _ in _blocks(batches, pattern, rank_path):
+        for block, chunks, _ in _blocks(batches, chunk_pattern, False):
+            words = _expand(chunks, pattern, rank_path)[0]
             for at in range(0, len(words), 100_000):
                 part = words[at:at + 100_000]
                 yield pa.RecordBatch.from_arrays(
@@ -162,13 +184,15 @@ def _block_words(pattern, rank_path):
     return run
 
 
-def _block_codes(pattern, rank_path):
+def _block_codes(pattern, chunk_pattern, rank_path):
     def run(batches):
         pack = zstandard.ZstdCompressor(level=3).compress
-        for block, words, docs in _blocks(batches, pattern, rank_path):
+        for block, chunks, docs in _blocks(batches, chunk_pattern, True):
+            words, starts, sizes, flat = _expand(chunks, pattern, rank_path)
             for at in range(0, len(docs), 2000):
                 part = docs[at:at + 2000]
-                planes = [pack((c & 0xFFFF).astype("<u2").tobytes() + (c >> 16).astype("<u2").tobytes()) for _, c in part]
+                codes = [_gather(starts, sizes, flat, c) for _, c in part]
+                planes = [pack((c & 0xFFFF).astype("<u2").tobytes() + (c >> 16).astype("<u2").tobytes()) for c in codes]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(part), block)), pa.array(np.full(len(part), len(words), dtype=np.int32)),
                      pa.array([d for d, _ in part], pa.int64()), pa.array(planes, pa.binary())],
@@ -269,10 +293,13 @@ def _decoder(rank_path):
     return lambda x: _gather(starts, sizes, flat, x).tobytes()
 
 
-def encode(docs: DataFrame, rank_path: str, pattern: str, decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, rank_path: str, pattern: str, chunk_pattern: str = CHUNKS, decoded: bool = False) -> DataFrame:
     """Token ids of every whole text: doc_id, ids (binary, little-endian
     unsigned 32-bit, in text order).  One row per input row.  ``decoded``
     adds the bytes that the ids stand for, decoded by the same tasks.
+    ``chunk_pattern`` cuts a text into chunks cheaply, only where ``pattern``
+    always starts a new match; the default suits patterns that cut before
+    each single space.
 
     Null text is read as empty and has no ids; a null doc_id is kept; repeated
     rows are encoded alike; a text or a word of any length is encoded whole;
@@ -282,10 +309,10 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, decoded: bool = False)
     """
     ship(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
-    words = (base.mapInArrow(_block_words(pattern, rank_path), "word string, block long, k int")
+    words = (base.mapInArrow(_block_words(pattern, chunk_pattern, rank_path), "word string, block long, k int")
              .repartition("word").sortWithinPartitions("word")
              .mapInArrow(_encode_words(rank_path), "block long, n int, ids binary"))
-    codes = base.mapInArrow(_block_codes(pattern, rank_path), "block long, n_words int, doc_id long, codes binary")
+    codes = base.mapInArrow(_block_codes(pattern, chunk_pattern, rank_path), "block long, n_words int, doc_id long, codes binary")
     return (codes.groupBy("block").cogroup(words.groupBy("block"))
             .applyInArrow(_reassemble(rank_path, decoded), "doc_id long, ids binary" + ", decoded binary" * decoded))
 
