@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from cartwheel.llm.bpe import op7_byte_bpe
+from cartwheel.llm.lm_scoring import op10_lm_scoring
 from cartwheel.llm.substring_dedup import op4_substring_dedup
 
-QUERIES = {f.__name__: f for f in (op4_substring_dedup, op7_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op4_substring_dedup, op7_byte_bpe, op10_lm_scoring)}
 
 ORACLE_SQL: dict[str, str] = {}
