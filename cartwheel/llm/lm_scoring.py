@@ -283,7 +283,15 @@ def score_documents(docs: DataFrame, parts: int = 5, held_part: int = 1, rounds:
     log_total = float(np.log10(total + 0.5 * (types + 1)))
     end_log = float(np.log10(n_docs + 0.5))
 
-    top = counts.orderBy(F.desc("c"), "word").limit(DIRECT_WORDS).collect()
+    # the most frequent words: whole steps of the count's logarithm, as many as DIRECT_WORDS allows
+    step = F.floor(F.log2("c") * 16).cast("int")
+    cut, held = None, 0
+    for k, words_there in sorted(counts.groupBy(step.alias("k")).agg(F.count("*")).collect(), reverse=True):
+        held += words_there
+        if held > DIRECT_WORDS:
+            break
+        cut = k
+    top = sorted(counts.filter(step >= cut).collect(), key=lambda r: (-r["c"], r["word"])) if cut is not None else []
     direct = [bytes(r["word"]) for r in top]
     logs = np.log10(np.array([r["c"] for r in top], dtype=np.float64) + 0.5)
     own_n = min(OWN_CLASSES, len(direct))
