@@ -33,7 +33,7 @@ disgusting filth filthy vermin garbage imbecile jerk fool bastard bitch damn cra
 _WORD = re.compile(r"[^\W\d_]+")
 _ADDRESSED = re.compile(r"\b(?:you|your|you're|u)\b[^.!?\n]{0,30}\b(?:" + "|".join(sorted(INSULTS)) + r")\b")
 VOTERS = ("insult", "two insults", "addressed", "word, first half", "word, second half", "beginning, first half",
-          "beginning, second half", "two terms", "dense", "no term", "no insult")
+          "beginning, second half", "two signs", "dense", "no sign", "no insult")
 
 
 def text_terms(text: str) -> tuple[set, int]:
@@ -56,23 +56,25 @@ class Terms:
         self.words = frozenset(t for t in listed if ":" not in t)
         self.starts = tuple((n, frozenset(t[2:] for t in listed if t.startswith(f"{n}:"))) for n in PREFIXES)
 
-    def found(self, words: set) -> tuple[set, set]:
-        """Discovered words, and marked beginnings, of a text."""
-        starts = set()
+    def found(self, words: set) -> tuple[set, set, int]:
+        """Discovered words and marked beginnings of a text, and how many of
+        its distinct words are or begin with one."""
+        starts, plain = set(), words & self.words
+        signs = set(plain)
         for n, known in self.starts:
-            if known:
-                starts.update(f"{n}:{x}" for x in known.intersection([w[:n] for w in words if len(w) > n]))
-        return words & self.words, starts
+            if known and (here := known.intersection([w[:n] for w in words if len(w) > n])):
+                starts.update(f"{n}:{x}" for x in here)
+                signs.update(w for w in words if len(w) > n and w[:n] in here)
+        return plain, starts, len(signs)
 
     def features(self, text: str) -> tuple[str, list[int], list[float]]:
         """Votes (one sign per voter), numbers of the present terms, and
         dense features."""
         words, total = text_terms(text)
-        plain, starts = self.found(words)
+        plain, starts, stems = self.found(words)
         insults = words & INSULTS
         present = sorted(self.number[t] for t in plain | starts)
         addressed = bool(insults) and _ADDRESSED.search(text.lower()) is not None
-        stems = len(plain) + len(starts)
         votes = (
             "+" if insults else "0",
             "+" if len(insults) > 1 else "0",
@@ -86,7 +88,7 @@ class Terms:
             "0" if stems else "-",
             "0" if insults else "-",
         )
-        dense = [float(np.log1p(len(plain))), float(np.log1p(len(starts))), float(np.log1p(len(insults))),
+        dense = [float(np.log1p(len(plain))), float(np.log1p(stems)), float(np.log1p(len(insults))),
                  float(min(1.0, 50.0 * stems / total)) if total else 0.0]
         return "".join(votes), present, dense
 
@@ -120,8 +122,8 @@ def _votes(terms):
     def run(batches):
         known = Terms(terms.value)
         for batch in batches:
-            votes = [known.features(t.as_py())[0] for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.string()), batch.column(1)], names=["votes", "toxic_label"])
+            votes = [known.features(t.as_py())[0] for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.string())], names=["doc_id", "votes"])
     return run
 
 
@@ -211,28 +213,28 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 5, held_part: int = 0,
     ``held_part``; no label of another row is read into the model.
 
     Rows without a label still count in the label model.  Null texts are
-    empty; null labels and ids are no labels; repeated labels of one id count
-    each.  With no labelled rows the model is only the fixed lexicon's voters.
+    empty; null labels and ids are no labels; an id with several labels is
+    toxic if one of them says so.  With no labelled rows the model is only the fixed lexicon's voters.
     """
     spark = docs.sparkSession
     ship(spark)
     training = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text")).filter(
         fold_column("doc_id", parts) != held_part)
-    gold = labels.filter("doc_id is not null and toxic is not null").select(
-        F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") == 1).alias("toxic_label")).filter(
-        fold_column("doc_id", parts) != held_part)
+    gold = (labels.filter("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
+            .filter(fold_column("doc_id", parts) != held_part)
+            .groupBy("doc_id").agg((F.max(F.col("toxic").cast("int")) == 1).alias("toxic_label")))
     n_gold = gold.count()
     steps = 1 << 30
     cut = int(steps * min(1.0, sample / max(n_gold, 1)))
     chosen = gold.filter(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < cut)
-    rows = table(training.join(chosen, "doc_id").select("text", "toxic_label"), "toxic-sample")
+    # the chosen ids are distinct and about ``sample`` in number, whatever the size of the tables
+    rows = table(training.join(F.broadcast(chosen), "doc_id").select("text", "toxic_label"), "toxic-sample")
     toxic_rows, all_rows = rows.agg(F.count(F.when(F.col("toxic_label"), 1)), F.count("*")).first()
     terms = discover_terms(rows, toxic_rows, all_rows - toxic_rows) if toxic_rows else []
 
     shared = spark.sparkContext.broadcast(terms)
     patterns = [(r["votes"], r["toxic_label"], r["n"]) for r in
-                training.join(gold, "doc_id", "left").select("text", "toxic_label")
-                .mapInArrow(_votes(shared), "votes string, toxic_label boolean")
+                training.mapInArrow(_votes(shared), "doc_id long, votes string").join(gold, "doc_id", "left")
                 .groupBy("votes", "toxic_label").agg(F.count("*").alias("n")).collect()]  # at most 3 * 2 ** voters rows
     model = LabelModel(patterns, prior=toxic_rows / all_rows if all_rows else 0.05)
 
