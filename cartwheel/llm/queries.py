@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from cartwheel.llm.bpe import op7_byte_bpe
 from cartwheel.llm.decontamination import op3_decontamination
+from cartwheel.llm.jaccard_join import op8_jaccard_join
 from cartwheel.llm.lm_scoring import op10_lm_scoring
 from cartwheel.llm.pii import op6_pii
 from cartwheel.llm.substring_dedup import op4_substring_dedup
 from cartwheel.llm.token_counts import op1_token_counts
 from cartwheel.llm.toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_decontamination, op4_substring_dedup, op5_toxicity, op6_pii, op7_byte_bpe, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op3_decontamination, op4_substring_dedup, op5_toxicity, op6_pii, op7_byte_bpe, op8_jaccard_join, op10_lm_scoring)}
 
 ORACLE_SQL: dict[str, str] = {}
