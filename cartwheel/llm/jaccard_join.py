@@ -6,7 +6,7 @@ that band can differ by, so a linked pair agrees on at least one whole slice.
 Documents that share a slice (a *tile*) are candidates, and tiles are swept
 without listing all their pairs:
 
-1. copies of one set are a single class; only its first document goes on;
+1. copies of one set are a single class; only its first document is compared;
 2. each tile compares its members with its first one (a star).  Hashed bitmap
    signatures bound the overlap from above by bit counts; pairs that pass are
    settled by exact intersection of the sorted arrays;
@@ -21,6 +21,7 @@ share a tile, and in it they are compared unless already connected.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ WORDS, PERCENT = 3, 90
 #: Upper ends of the size bands grow by this factor; 64-bit words of a bitmap;
 #: members of one block of a tile.
 BAND, BITMAP, BLOCK = 1.5, 8, 1024
+FILTER_BITS = 1 << 23
 
 
 def _edges(limit: int) -> np.ndarray:
@@ -96,28 +98,42 @@ def _signatures(batches):
                                              names=["doc_id", "n", "h1", "h2", "bits", "slices"])
 
 
-def _arrays(batches):
-    for batch in batches:
-        sets = [shingles(t.as_py()).tobytes() for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "set"])
-
-
 def _intersections(batches):
+    """Exact check of the pairs (a, b, text of a, text of b)."""
     for batch in batches:
         linked, last, x = [], None, None
-        for a, sa, sb in zip(batch.column(0), batch.column(2), batch.column(3)):
-            if a.as_py() != last:
-                last, x = a.as_py(), np.frombuffer(sa.as_buffer(), dtype=np.uint64)
-            elif len(x) * 8 != len(sa.as_buffer()):
-                x = np.frombuffer(sa.as_buffer(), dtype=np.uint64)
-            y = np.frombuffer(sb.as_buffer(), dtype=np.uint64)
+        for a, b in zip(batch.column(2), batch.column(3)):
+            a = a.as_py()
+            if a != last:
+                last, x = a, shingles(a)
+            y = shingles(b.as_py())
             if not len(x) or not len(y):
                 linked.append(False)
                 continue
             at = np.minimum(np.searchsorted(x, y), len(x) - 1)
             both = int((x[at] == y).sum())
             linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked)], names=["a", "b", "linked"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+
+
+def _only_near(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id may stand in ``wanted``: a bitmap of
+    FILTER_BITS hashed ids (of that size whatever the data) keeps most other
+    texts out of the shuffle; the join that follows decides."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    words = wanted.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits")).collect()
+    bitmap = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    for r in words:
+        bitmap[r["w"]] = r["bits"]
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+
+    @F.pandas_udf("boolean")
+    def held(s: pd.Series) -> pd.Series:
+        at = s.to_numpy()
+        return pd.Series((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    return docs.filter(held(slot))
 
 
 def _tile_pairs(batches):
@@ -172,12 +188,13 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     base = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
     signed = table(base.mapInArrow(_signatures, "doc_id long, n long, h1 long, h2 long, bits array<long>, slices array<long>"), "signatures")
     classes = signed.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("doc_id"))
-    first = table(signed.join(classes, ["doc_id", "n", "h1", "h2"], "left_semi").select("doc_id", "n", "bits", "slices"), "classes")
-    narrow = first.select("doc_id", "n", "bits")
+    narrow = table(signed.select("doc_id", "n", "h1", "h2", "bits").join(classes, ["doc_id", "n", "h1", "h2"], "left_semi")
+                   .select("doc_id", "n", "bits"), "classes")
 
-    sliced = first.select("doc_id", F.explode("slices").alias("slice"))
+    sliced = signed.select("doc_id", F.explode("slices").alias("slice"))
     shared = sliced.groupBy("slice").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("slice", "lo")
-    members = table(sliced.join(shared, "slice"), "tiles")
+    # the first document of a tile is the first of its class, too; other copies go
+    members = table(sliced.join(shared, "slice").join(narrow.select("doc_id"), "doc_id", "left_semi").distinct(), "tiles")
 
     allowed = (f"least(na, nb) * 100 >= {PERCENT} * greatest(na, nb) and {100 + PERCENT} * aggregate("
                f"zip_with(bits_a, bits_b, (x, y) -> bit_count(x ^ y)), 0L, (s, x) -> s + x) <= {100 - PERCENT} * (na + nb)")
@@ -189,11 +206,11 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def exact(pairs):
         pairs = table(pairs, "pairs")
-        wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        arrays = base.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_arrays, "doc_id long, set binary")
-        both = (pairs.join(arrays.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b")
-                .join(arrays.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a"))
-        return table(both.select("a", "b", "set_a", "set_b").mapInArrow(_intersections, "a long, b long, linked boolean")
+        wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+        near = _only_near(base, wanted)
+        both = (pairs.join(near.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+                .join(near.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"))
+        return table(both.select("a", "b", "text_a", "text_b").mapInArrow(_intersections, "a long, b long, linked boolean")
                      .filter("linked").select("a", "b"), "links")
 
     star = exact(bounded(members.filter("doc_id <> lo").select(F.col("lo").alias("a"), F.col("doc_id").alias("b")).distinct()))
