@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from cartwheel.llm.ann_search import op2_ann_search
 from cartwheel.llm.bpe import op7_byte_bpe
+from cartwheel.llm.chat_format import op9_chat_format
 from cartwheel.llm.decontamination import op3_decontamination
 from cartwheel.llm.jaccard_join import op8_jaccard_join
 from cartwheel.llm.lm_scoring import op10_lm_scoring
@@ -11,6 +13,8 @@ from cartwheel.llm.substring_dedup import op4_substring_dedup
 from cartwheel.llm.token_counts import op1_token_counts
 from cartwheel.llm.toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_decontamination, op4_substring_dedup, op5_toxicity, op6_pii, op7_byte_bpe, op8_jaccard_join, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_ann_search, op3_decontamination, op4_substring_dedup, op5_toxicity,
+    op6_pii, op7_byte_bpe, op8_jaccard_join, op9_chat_format, op10_lm_scoring)}
 
 ORACLE_SQL: dict[str, str] = {}

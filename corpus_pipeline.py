@@ -1,12 +1,85 @@
-"""Corpus pipeline (stages are added as their operators land)."""
+"""Corpus pipeline: toxic documents go, one document of each group of near
+duplicates stays, contaminated documents go, personal data is masked, and the
+rest is encoded.
+
+Every stage takes (spark, docs, sf_dir) and works on all that the stage before
+it kept; its result is written as Parquet and read again as the next one's
+``docs``.  All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cartwheel.llm import bpe, decontamination, jaccard_join, pii, toxicity
+from cartwheel.llm.common import table, text_column
 
-STAGES: list = []
+#: SQL has no toxicity model, alignment or byte-pair merges; tests/llm hold
+#: the stages against brute force instead.
 ORACLE_SQL = None
 
 
+def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scoring under 0.5.  A null text is scored as empty and stays
+    null; null ids are scored; repeated rows are treated alike; without rows
+    or labels nothing but the fixed lexicon decides."""
+    model = toxicity.fit(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score_texts(docs, model).filter("toxicity < 0.5").select(*docs.columns)
+
+
+def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest doc_id of every group of linked documents.
+    Texts without words and rows without a doc_id are in no group and stay;
+    of rows that repeat a doc_id one stays."""
+    groups = table(jaccard_join.near_duplicates(docs.select("doc_id", "text"))
+                   .filter("doc_id is not null and n_shingles > 0").groupBy("doc_id")
+                   .agg(F.min("component_id").alias("component"), F.count("*").alias("rows"))
+                   .filter("component < doc_id or rows > 1").select(F.col("doc_id").alias("group_id"), (F.col("component") < F.col("doc_id")).alias("goes")), "groups")
+    worded = F.length(F.regexp_replace(text_column(), "[\\x20\\x09-\\x0D]+", "")) > 0
+    marked = docs.join(groups, (docs["doc_id"] == groups["group_id"]) & worded, "left")
+    alone = marked.filter("goes is null")
+    repeated = marked.filter("not goes").dropDuplicates(["doc_id"])
+    return alone.select(*docs.columns).unionByName(repeated.select(*docs.columns))
+
+
+def drop_contaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no copy of a benchmark item.  Null and empty texts
+    hold none; rows that repeat doc_id and text stay or go together."""
+    found = decontamination.contaminated(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    bad = table(found.select(F.col("doc_id").alias("bad_id"), F.col("key").alias("bad_key")).distinct(), "contaminated")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(text_column()) == bad["bad_key"]), "left_anti")
+
+
+def mask_personal_data(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind in brackets and
+    n_chars counted anew.  Null texts stay null."""
+    masked = pii.find_pii(docs, redact=True).drop("pii_spans")
+    if "n_chars" in docs.columns:
+        masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return masked.select(*docs.columns)
+
+
+def encode_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids (little-endian unsigned 32-bit) of every document, with
+    digests of the ids and of the bytes they decode to."""
+    rank_path, pattern = bpe.public_vocabulary()
+    return bpe.encode(docs, rank_path, pattern, decoded=True).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("personal_data", mask_personal_data),
+    ("byte_bpe", encode_documents),
+]
+
+
 def run(spark, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
