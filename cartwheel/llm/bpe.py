@@ -16,6 +16,7 @@ content: a recomputed task yields the same ids.
 
 from __future__ import annotations
 
+import array
 import base64
 import functools
 import hashlib
@@ -29,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import ship, text_column
+from cartwheel.llm.common import ship, text_column, tidy
 
 #: Characters of a block, and encoded words buffered before they are sent on.
 BLOCK_CHARS, BUFFER_WORDS = 32_000_000, 400_000
@@ -126,7 +127,7 @@ def _expand(chunks, pattern, rank_path):
     start and number of its codes in a flat array."""
     find, ranks = _pattern(pattern).findall, load_ranks(rank_path)
     direct = {k.decode(): v for k, v in ranks.items() if _is_utf8(k)}
-    number, sizes, flat = {}, [], []
+    number, sizes, flat = {}, array.array("q"), array.array("q")
     for chunk in chunks:
         tokens = (chunk,) if chunk.isascii() and (chunk[1:] if chunk[0] == " " else chunk).isalpha() else find(chunk)
         sizes.append(len(tokens))
@@ -134,7 +135,7 @@ def _expand(chunks, pattern, rank_path):
             code = direct.get(t)
             flat.append(DIRECT + number.setdefault(t, len(number)) if code is None else code)
     sizes = np.array(sizes, dtype=np.int64)
-    return list(number), np.cumsum(sizes) - sizes, sizes, np.array(flat, dtype=np.int64)
+    return list(number), np.cumsum(sizes) - sizes, sizes, np.frombuffer(flat, dtype=np.int64)
 
 
 def _blocks(batches, chunk_pattern, positions):
@@ -173,6 +174,7 @@ def _is_utf8(b: bytes) -> bool:
 
 
 def _block_words(pattern, chunk_pattern, rank_path):
+    @tidy
     def run(batches):
         for block, chunks, _ in _blocks(batches, chunk_pattern, False):
             words = _expand(chunks, pattern, rank_path)[0]
@@ -185,6 +187,7 @@ def _block_words(pattern, chunk_pattern, rank_path):
 
 
 def _block_codes(pattern, chunk_pattern, rank_path):
+    @tidy
     def run(batches):
         pack = zstandard.ZstdCompressor(level=3).compress
         for block, chunks, docs in _blocks(batches, chunk_pattern, True):
@@ -203,6 +206,7 @@ def _block_codes(pattern, chunk_pattern, rank_path):
 def _encode_words(rank_path):
     """Words come sorted: each is encoded when it first appears.  The ids are
     sent back packed per block."""
+    @tidy
     def run(batches):
         ranks = load_ranks(rank_path)
         pack = zstandard.ZstdCompressor(level=3).compress

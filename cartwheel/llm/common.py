@@ -3,6 +3,8 @@ vectorised word hashing and connected components."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import hashlib
 import os
 import tempfile
@@ -10,6 +12,7 @@ import zipfile
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +25,7 @@ SEPARATORS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: A longer word is hashed by blake2b instead of the vectorised polynomial.
 LONG_WORD = 1 << 16
 #: Bytes (or words) hashed at a time, which bounds the helper arrays.
-CHUNK = 1 << 19
+CHUNK = 1 << 16
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -48,6 +51,20 @@ def ship(spark) -> None:
     sc._cartwheel_shipped = True
 
 
+def tidy(run):
+    """Wraps a task's generator: when it ends, freed memory goes back to the
+    system, so that reused workers don't hold what an earlier task needed."""
+    @functools.wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # not glibc
+            pass
+    return wrapped
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: the
     lineage is cut and a lost executor costs only its own tasks."""

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cartwheel.llm.common import mix, ship, table, text_column
+from cartwheel.llm.common import mix, ship, table, text_column, tidy
 
 GRAM, SEED_SHARE, LEAST_SEEDS = 4, 0.5, 8
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -91,6 +91,7 @@ def _all_known(known: np.ndarray) -> np.ndarray:
 
 def _stretches(items):
     """Stretches of a document around the grams of each item."""
+    @tidy
     def run(batches):
         block = _Block(items.value)
         for batch in batches:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import BASES, components, mix, ship, table, text_column, word_hashes
+from cartwheel.llm.common import BASES, components, mix, ship, table, text_column, tidy, word_hashes
 
 #: Words of a shingle; links need 100 * intersection >= PERCENT * union.
 WORDS, PERCENT = 3, 90
@@ -77,6 +77,7 @@ def _slices(s: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+@tidy
 def _signatures(batches):
     edges = _edges(1 << 40)
     for batch in batches:
@@ -98,6 +99,7 @@ def _signatures(batches):
                                              names=["doc_id", "n", "h1", "h2", "bits", "slices"])
 
 
+@tidy
 def _intersections(batches):
     """Exact check of the pairs (a, b, text of a, text of b)."""
     for batch in batches:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import fold_column, ship, table, text_column
+from cartwheel.llm.common import fold_column, ship, table, text_column, tidy
 
 #: Labelled rows (expected number) used to find terms and fit the classifier.
 SAMPLE = 12_000
@@ -96,6 +96,7 @@ class Terms:
 DENSE = 4
 
 
+@tidy
 def _term_rows(batches):
     """Rows with each term, by label, pre-counted per task."""
     toxic, clean = Counter(), Counter()
@@ -119,6 +120,7 @@ def discover_terms(sample: DataFrame, toxic_rows: int, clean_rows: int) -> list[
 
 
 def _votes(terms):
+    @tidy
     def run(batches):
         known = Terms(terms.value)
         for batch in batches:
@@ -264,6 +266,7 @@ def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     shared = spark.sparkContext.broadcast((model.terms, model.weights))
     docs = docs.drop("toxicity")
 
+    @tidy
     def run(batches):
         score = ToxicityModel(*shared.value).scorer()
         for batch in batches:
