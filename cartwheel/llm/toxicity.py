@@ -179,12 +179,14 @@ def fit_linear(rows, labels: np.ndarray, n_terms: int, rounds: int = 400, decay:
     """Logistic regression on present terms and dense features, by Adam on
     the whole sample; the last weight is the intercept."""
     size = n_terms + DENSE + 1
+    if not rows:
+        return np.zeros(size)
     at = np.repeat(np.arange(len(rows)), [len(p) for p, _ in rows])
     term = np.array([t for p, _ in rows for t in p], dtype=np.int64)
     dense = np.array([d for _, d in rows], dtype=np.float64).reshape(len(rows), DENSE)
     w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
     balance = np.where(labels > 0.5, 0.5 / max(labels.mean(), 1e-6), 0.5 / max(1 - labels.mean(), 1e-6))
-    balance /= balance.mean() if len(balance) else 1
+    balance /= balance.mean()
     for t in range(1, rounds + 1):
         z = np.bincount(at, weights=w[term], minlength=len(rows)) + dense @ w[n_terms:-1] + w[-1]
         r = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) * balance / max(len(rows), 1)

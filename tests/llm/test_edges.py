@@ -1,0 +1,340 @@
+"""Nulls, empty and long texts, repeated rows, ties, empty tables and extra
+columns with clashing names, for every operator; and brute-force comparisons."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from cartwheel.llm import (ann_search, bpe, chat_format, decontamination, jaccard_join, lm_scoring, pii,
+                           substring_dedup, token_counts, toxicity)
+
+CLASH = "key string, k string, anchor string, word string, ids string, n string, slices string, classes string"
+WORDS = "the of and to river stone cloud walks quietly seven green boats under old bridges while nobody watches them go".split()
+
+
+def words(n, seed):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) + r.choice(["", "", "s", "ed"]) for _ in range(n))
+
+
+def rows():
+    long = words(30_000, 1)
+    shared = words(70, 2)
+    return [
+        (1, None), (2, ""), (3, " \t\n "), (4, "one"), (5, "one two"), (6, long), (7, long),
+        (8, words(40, 3) + " " + shared + " " + words(40, 4)), (9, words(40, 5) + "\n" + shared + " " + words(30, 6)),
+        (9, words(40, 5) + "\n" + shared + " " + words(30, 6)), (None, shared), (None, None), (10, "x" * 200_000),
+        (11, words(200, 7)), (12, words(200, 7).upper()), (13, words(199, 7) + " end"), (-5, shared + " é ß 日本 🙂"),
+    ]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame(rows(), "doc_id long, text string").repartition(3)
+    for c in CLASH.split(", "):
+        df = df.withColumn(c.split()[0], F.lit("clash"))
+    path = df.sparkSession.sparkContext.getCheckpointDir() + "/edge-docs"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.filter("doc_id = 987654")
+
+
+def split(text):
+    return (text or "").encode().split()
+
+
+def test_substring_dedup(docs, empty):
+    window = 50
+    first = {}
+    for i, t in rows():
+        w = split(t)
+        for k in range(len(w) - window + 1):
+            g = tuple(w[k:k + window])
+            if i is not None:
+                first[g] = min(i, first.get(g, i))
+    expected = Counter()
+    for i, t in rows():
+        w = split(t)
+        gone = set()
+        for k in range(len(w) - window + 1):
+            if i is not None and first[tuple(w[k:k + window])] < i:
+                gone.update(range(k, k + window))
+        expected[i, len(w), len(gone), " ".join(x.decode() for k, x in enumerate(w) if k not in gone)] += 1
+    got = Counter((r["doc_id"], r["n_words"], sum(s["end"] - s["start"] for s in r["spans"]), r["kept_text"])
+                  for r in substring_dedup.remove_repeated_windows(docs, window).collect())
+    assert got == expected
+    assert substring_dedup.remove_repeated_windows(empty, window).count() == 0
+
+
+def test_bpe_round_trip(docs, empty):
+    import tiktoken
+    path, pattern = bpe.public_vocabulary()
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+    got = Counter((r["doc_id"], bytes(r["ids"]), bytes(r["decoded"])) for r in bpe.decode(bpe.encode(docs, path, pattern), path).collect())
+    assert got == Counter((i, np.array(own.encode_ordinary(t or ""), dtype="<u4").tobytes(), (t or "").encode()) for i, t in rows())
+    assert bpe.encode(empty, path, pattern, decoded=True).count() == 0
+
+
+def test_token_counts(docs, empty):
+    import public_tokenizers
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    pieces = token_counts.load_pieces(path)
+    got = Counter(tuple(r) for r in token_counts.token_counts(docs, path).collect())
+    expected = Counter((i, len((t or "").split()), sum(token_counts.count_pieces([token_counts.WORD_START + w], pieces)[0] for w in (t or "").split()))
+                       for i, t in rows())
+    assert got == expected
+    assert token_counts.token_counts(empty, path).count() == 0
+
+
+def test_unigram_segmentation_is_best():
+    from tokenizers import Tokenizer, models
+    pieces = {"a": -2.0, "b": -2.5, "ab": -3.0, "ba": -3.5, "aba": -6.0, "abb": -5.0, "é": -4.0}
+    reference = Tokenizer(models.Unigram([("<unk>", 0.0)] + [(f"<0x{i:02X}>", -99.0) for i in range(256)] + list(pieces.items()), 0, True))
+    r = random.Random(1)
+    tokens = sorted({"".join(r.choice("abé日") for _ in range(r.randint(1, 9))) for _ in range(500)})
+    scored = token_counts.count_pieces(tokens, pieces)
+    assert scored == [len(reference.encode(t).tokens) for t in tokens]
+
+
+def test_jaccard_join(docs, empty):
+    def shingle(t):
+        w = (t or "").encode().lower().split()
+        return frozenset(tuple(w[k:k + 3]) for k in range(len(w) - 2)) if len(w) > 2 else frozenset([tuple(w)] if w else [])
+
+    known = [(i, shingle(t)) for i, t in rows() if i is not None]
+    label = {i: i for i, _ in known}
+    for _ in known:
+        for i, x in known:
+            for j, y in known:
+                if x and y and 100 * len(x & y) >= 90 * len(x | y):
+                    label[i] = label[j] = min(label[i], label[j])
+    got = Counter(tuple(r) for r in jaccard_join.near_duplicates(docs).collect())
+    assert got == Counter((i, len(shingle(t)), None if i is None else label[i]) for i, t in rows())
+    assert jaccard_join.near_duplicates(empty).count() == 0
+
+
+def test_jaccard_join_finds_every_link_at_the_edge(spark):
+    r = random.Random(4)
+    made, n = [], 0
+    for size in [3, 8, 9, 10, 11, 12, 18, 19, 20, 21, 40, 60, 61, 90, 150, 400]:
+        for _ in range(12):
+            base = [f"w{r.randint(0, 10 ** 6)}" for _ in range(size + 2)]
+            for _ in range(4):
+                w = list(base)
+                for _ in range(r.randint(0, max(1, size // 25))):
+                    w[r.randrange(len(w))] = f"e{r.randint(0, 10 ** 6)}"
+                made.append((n, " ".join(w + [f"t{n}"] * r.randint(0, 1))))
+                n += 1
+    sets = {i: frozenset(zip(t.split(), t.split()[1:], t.split()[2:])) for i, t in made}
+    label = {i: i for i in sets}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in sets:
+        for j in range(i - i % 4, i):
+            if 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                label[b] = a
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicates(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    assert got == {i: root(i) for i in sets}
+
+
+def test_tiles_compare_only_what_stars_left_open(spark):
+    """Chains and a large tile: a hub of copies with small edits."""
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(300)]
+    made = []
+    for i in range(60):
+        w = list(base)
+        for at in range(0, i * 4, 4):
+            w[at] = f"z{at}"
+        made.append((i, " ".join(w)))
+    r.shuffle(made)
+    sets = {i: frozenset(zip(t.split(), t.split()[1:], t.split()[2:])) for i, t in made}
+    got = {x["doc_id"]: x["component_id"] for x in jaccard_join.near_duplicates(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    label = {i: i for i in sets}
+    for _ in sets:
+        for i in sets:
+            for j in sets:
+                if 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+    assert got == label
+
+
+BASE_PATTERNS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+                 ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(p) <= 255 for p in s.split("."))),
+                 ("card", r"[0-9]([\x20-]?[0-9])+", lambda s: 16 <= len(re.sub(r"\D", "", s)) <= 19 and pii._luhn(re.sub(r"\D", "", s))),
+                 ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 8 <= len(re.sub(r"\D", "", s)) <= 15)]
+
+
+def test_pii_base_kinds_equal_their_patterns():
+    r = random.Random(5)
+    for _ in range(20_000):
+        t = "".join(r.choice("0123456789 .-+()@@a..bé1 2") for _ in range(r.randint(0, 60)))
+        expected = [(k, m.start(), m.end()) for k, p, ok in BASE_PATTERNS for m in re.finditer(p, t) if ok(m[0])]
+        assert [x for x in pii.find_spans(t) if x[0] in pii.BASE] == expected
+
+
+def test_pii_table(docs, empty, spark):
+    got = pii.find_pii(docs, redact=True)
+    assert got.columns == [*docs.columns, "pii_spans"] and got.count() == len(rows())
+    assert Counter(r["text"] for r in got.collect()) == Counter(t for _, t in rows())  # nothing to mask
+    text = "mail a.b@c.de or https://x.org/y. IBAN DE89 3704 0044 0532 0130 00 password=abc12345 at 12 Long Oak Street"
+    one = pii.find_pii(spark.createDataFrame([(1, text)], "doc_id long, text string"), redact=True).first()
+    assert one["text"] == "mail [EMAIL] or [URL]. IBAN [IBAN] password=[SECRET] at [ADDRESS]"
+    assert pii.find_pii(empty).count() == 0
+
+
+def test_decontamination(docs, empty, spark):
+    item = words(40, 20).split()
+    edited = list(item)
+    for at in (5, 17, 30):
+        edited[at] = "changed"
+    del edited[22]
+    made = [(1, words(60, 21) + " " + " ".join(item) + " " + words(60, 22)), (2, words(60, 23) + ". " + " ".join(edited).upper() + "! " + words(60, 24)),
+            (3, "q " * 500), (4, None), (5, ""), (None, " ".join(item)), (1, words(60, 21) + " " + " ".join(item) + " " + words(60, 22))]
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, None), (9, "too short"), (7, " ".join(item))], "item_id long, text string")
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    got = sorted(((r["doc_id"] or 0), r["item_id"], round(r["similarity"], 2)) for r in decontamination.contaminated(df, bench).collect())
+    assert [g[:2] for g in got] == [(0, 7), (1, 7), (2, 7)] and got[0][2] == got[1][2] == 1.0 and 0.7 < got[2][2] < 1
+    assert decontamination.contaminated(empty, bench).count() == 0
+    assert decontamination.contaminated(docs, bench.filter("item_id = 0")).count() == 0
+
+
+def test_alignment_equals_the_plain_program():
+    def plain(a, b):
+        h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                h[i][j] = max(0, h[i - 1][j - 1] + (2 if a[i - 1] == b[j - 1] else -1), h[i - 1][j] - 1, h[i][j - 1] - 1)
+        return max(map(max, h))
+
+    r = random.Random(1)
+    for _ in range(100):
+        a = [r.choice("abcd") for _ in range(r.randint(1, 12))]
+        bs = [[r.choice("abcde") for _ in range(r.randint(1, 20))] for _ in range(4)]
+        assert decontamination.align(a, bs)[0].tolist() == [plain(a, b) for b in bs]
+
+
+def test_toxicity(docs, empty, spark):
+    r = random.Random(2)
+    made, labels = [], []
+    for i in range(400):
+        bad = i % 5 == 0 or i % 7 == 0
+        made.append((i, words(60, i) + (" " + r.choice(["idiot", "zornify", "zornata", "zornix"]) + " " + words(9, i + 999) if bad else "")))
+        labels.append((i, int(bad)))
+    df, gold = spark.createDataFrame(made, "doc_id long, text string"), spark.createDataFrame(labels + [(None, 1), (3, None)], "doc_id long, toxic int")
+    model = toxicity.fit(df, gold)
+    scored = {x["doc_id"]: x["toxicity"] for x in toxicity.score_texts(df, model).collect()}
+    held = [(scored[i] >= 0.5) == bool(y) for i, y in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum(held) / len(held) > 0.97
+    edge = toxicity.score_texts(docs, model)
+    assert edge.columns == [*docs.columns, "toxicity"] and all(0 <= x["toxicity"] <= 1 for x in edge.collect())
+    bare = toxicity.fit(empty, gold.filter("doc_id = -1"))
+    assert toxicity.score_texts(spark.createDataFrame([(1, "you idiot moron"), (2, "fine")], "doc_id long, text string"), bare).filter("toxicity >= 0.5").count() == 1
+
+
+def test_lm_scoring(docs, empty):
+    counts, ends = Counter(), 0
+    for i, t in rows():
+        if zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 1:
+            counts.update((t or "").encode().lower().split())
+            ends += 1
+    counts[None] = ends
+    total, types = sum(counts.values()), len(counts)
+    got = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["n_known"], round(r["base_score"], 6))
+                  for r in lm_scoring.score_documents(docs).collect()))
+    expected = []
+    for i, t in rows():
+        w = (t or "").encode().lower().split() + [None]
+        base = sum(math.log10((counts.get(x, 0) + 0.5) / (total + 0.5 * (types + 1))) for x in w)
+        expected.append((i is None, i or 0, len(w), sum(counts.get(x, 0) > 0 for x in w), round(base, 6)))
+    assert [g[:4] for g in got] == [e[:4] for e in sorted(expected)]
+    assert all(abs(g[4] - e[4]) <= 1e-6 * max(1, abs(e[4])) + 1e-6 for g, e in zip(got, sorted(expected)))
+    assert lm_scoring.score_documents(empty).count() == 0
+
+
+def test_lm_is_normalised():
+    p = lm_scoring.Parameters(7, 4, prior=np.full(7, 1 / 7))
+    a, b, z = lm_scoring.log_tables(p)
+    for u in range(8):
+        for v in range(8):
+            assert abs(np.exp(a[u] + b[v] - z[u, v]).sum() - 1) < 1e-4
+
+
+def test_ann_search(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 16)).astype(np.float32)
+    x[100:140] = x[0]
+    made = [(i, v.tolist()) for i, v in enumerate(x)] + [(700, None), (750, [0.0] * 16), (800, [float("nan")] * 16), (850, [1.0, None]), (900, [2.0, 1.0]),
+                                                         (901, [1.0, 1.0]), (None, x[0].tolist()), (5, x[5].tolist())]
+    df = spark.createDataFrame(made, "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann_search.nearest(df, df.filter("vec_id % 50 = 0")).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    d = x.astype(np.float64)
+    norm = np.sqrt((d * d).sum(1))
+    hits = total = 0
+    for q in range(0, 600, 50):
+        cos = d @ d[q] / norm / norm[q]
+        best = [i for i in np.lexsort((np.arange(600), -np.round(cos, 12))) if i != q][:5]
+        mine = [v for _, v, _ in sorted(got[q])]
+        hits, total = hits + len(set(best) & set(mine)), total + 5
+        assert all(abs(s - cos[v]) < 1e-12 for _, v, s in got[q])
+    assert hits / total >= 0.9
+    assert [v for _, v, _ in sorted(got[0])] == [100, 101, 102, 103, 104]
+    assert [v for _, v, _ in got[900]] == [901] and not {700, 750, 800, 850} & got.keys()
+    assert ann_search.nearest(df.filter("vec_id = -1"), df).count() == 0
+
+
+def brute_cost(roles):
+    best = chat_format.FAR
+
+    def go(i, state, cost):
+        nonlocal best
+        if i == len(roles):
+            best = min(best, cost + chat_format.INSERT * len(chat_format.CLOSING[state]))
+            return
+        for to in (1, 2, 3):
+            change = chat_format.RELABEL[roles[i]][chat_format.ROLES[to - 1]]
+            if state == to:
+                go(i + 1, to, cost + change + chat_format.MERGE)
+            if (state, to) in chat_format.BETWEEN:
+                go(i + 1, to, cost + change + chat_format.INSERT * len(chat_format.BETWEEN[state, to]))
+
+    go(0, chat_format.START, 0)
+    return best
+
+
+def test_chat_repair_is_cheapest_and_legal(spark, monkeypatch):
+    monkeypatch.setattr(chat_format, "CHUNK_TURNS", 2)
+    r = random.Random(3)
+    made = [(c, t, r.choice(["system", "User ", "assistant", "tool", None]), r.choice([None, "", f"m{t}"])) for c in range(40) for t in range(r.randint(1, 6))]
+    made += [(None, 0, "user", "hi"), (50, None, "user", "a"), (50, None, "assistant", "b"), (50, 1, "user", "c"), (51, 1, "user", "x" * 100_000)]
+    df = spark.createDataFrame(made, "conv_id long, turn long, role string, text string").selectExpr("*", "1 as k", "2 as chunk", "'p' as piece")
+    by = {}
+    for x in sorted(chat_format.format_chats(df).collect(), key=lambda x: (x["chunk"], x["k"])):
+        by.setdefault(x["conv_id"], []).append(x)
+    for conv in range(40):
+        roles = [chat_format.known(role) for c, _, role, _ in made if c == conv]
+        assert sum(x["cost"] for x in by[conv]) == brute_cost(roles)
+    for conv, found in by.items():
+        text = "".join(x["piece"] for x in found)
+        seen = re.findall(r"<\|(system|user|assistant)\|>\n", text)
+        body = seen[1:] if seen[0] == "system" else seen
+        assert body == ["user", "assistant"] * (len(body) // 2) and text.count(chat_format.END) == len(seen)
+    assert len(by) == 43 and chat_format.format_chats(df.filter("conv_id = -1")).count() == 0
