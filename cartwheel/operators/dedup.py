@@ -32,23 +32,17 @@ def _text(c: str, dtype: str):
     col = F.col(c)
     if dtype.startswith("timestamp"):
         col = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return F.coalesce(col.cast("string"), F.lit("∅"))
+    text = col.cast("string")
+    return F.when(text.isNull(), F.lit("N")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text))
 
 
 def fingerprint(df: DataFrame, keys=DEDUP_COLUMNS, name: str = "fingerprint") -> DataFrame:
     """128-bit row fingerprint (E-06): MD5 over the key columns rendered as
-    text with an explicit NULL marker and fixed time format, so the value
-    is the same in any engine."""
+    text (fixed time format), each as its length and text or as NULL, which
+    no text can imitate; the value is the same in any engine."""
     types = dict(df.dtypes)
     parts = [_text(c, types[c]) for c in keys]
-    return df.withColumn(name, F.md5(F.concat_ws("|", *parts)))
-
-
-def fingerprint64(df: DataFrame, keys=DEDUP_COLUMNS) -> DataFrame:
-    """Two native 64-bit hashes, the second over the reversed column order
-    (cheap in-engine 128-bit fingerprint)."""
-    return (df.withColumn("fp_hi", F.xxhash64(*keys))
-              .withColumn("fp_lo", F.xxhash64(*reversed(list(keys)))))
+    return df.withColumn(name, F.md5(F.concat(*parts)))
 
 
 def duplicate_groups(df: DataFrame, keys=DEDUP_COLUMNS, seq: str = "seq") -> DataFrame:
@@ -64,15 +58,16 @@ def duplicate_flags(df: DataFrame, keys=DEDUP_COLUMNS, seq: str = "seq") -> Data
     ``duplicate_after_first`` (``keep='first'``: every copy but the first)
     and ``duplicate_any`` (``keep=False``: every row of a repeated key).
 
-    Implemented as aggregate + lookup join, not a window over the key
-    (which would put a huge group of copies into one task); groups with
-    very many copies are salted across tasks."""
+    Only the repeated keys (a small share of the data) are looked up, after
+    an aggregate with map-side combine; a row without a match is no
+    duplicate.  The look-up side is broadcast if Spark finds it small, and
+    keys with very many copies are salted across tasks otherwise."""
     keys = list(keys)
-    g = duplicate_groups(df, keys, seq)
+    g = duplicate_groups(df, keys, seq).where(F.col("n") > 1)
     hot = hot_keys_sampled(df, keys)
     j = salted_join(df, g, keys, hot, F.col(seq), how="left", null_safe=True)
-    return (j.withColumn("duplicate_after_first", F.col(seq) != F.col("first_seq"))
-             .withColumn("duplicate_any", F.col("n") > 1)
+    return (j.withColumn("duplicate_after_first", F.coalesce(F.col(seq) != F.col("first_seq"), F.lit(False)))
+             .withColumn("duplicate_any", F.col("n").isNotNull())
              .drop("n", "first_seq"))
 
 

@@ -44,9 +44,9 @@ def dedup_batch(batch: DataFrame, seen: DataFrame, keys=DEDUP_COLUMNS):
     never seen (first occurrence inside the batch kept) and the grown
     fingerprint set."""
     fresh = fingerprint(dedup_exact(batch, keys))
-    # distinct first: copies of one row collapse map-side instead of piling
-    # up as one hot key on the buffered side of the anti-join
-    seen = seen.select("fingerprint").distinct()
+    # unique by construction when built by this function; a first set taken
+    # from raw rows should be distinct
+    seen = seen.select("fingerprint")
     new = join_keys(fresh, seen, ["fingerprint"], "left_anti")
     return new.drop("fingerprint"), seen.unionByName(new.select("fingerprint"))
 

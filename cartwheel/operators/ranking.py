@@ -60,9 +60,9 @@ def weak_high_traffic(summary: DataFrame, segment: str, k: int = 10, q: float =
     return top_k(summary.where(F.col("view_users") >= thr), segment, RATE, k, ascending=True)
 
 
-def opportunities(summary: DataFrame, segment: str, traffic_q: float = 0.5, k: int = 20,
+def opportunities(summary: DataFrame, segment: str, traffic_q: float = 0.5, k: int | None = None,
                   exclude: list[str] | None = None) -> DataFrame:
-    """High traffic (≥ quantile ``traffic_q``) but conversion below the
+    """The whole set (``k`` cuts it for display): high traffic (≥ quantile ``traffic_q``) but conversion below the
     median, by traffic (F-08 categories with q=0.5; F-10 brands with
     q=0.75 and ``exclude=['Unknown']``)."""
     summary = materialize(summary)
@@ -73,11 +73,11 @@ def opportunities(summary: DataFrame, segment: str, traffic_q: float = 0.5, k: i
     return top_k(sel, segment, "view_users", k)
 
 
-def category_opportunities(summary: DataFrame, k: int = 20) -> DataFrame:
+def category_opportunities(summary: DataFrame, k: int | None = None) -> DataFrame:
     return opportunities(summary, "category_code", 0.5, k)
 
 
-def brand_opportunities(summary: DataFrame, k: int = 20) -> DataFrame:
+def brand_opportunities(summary: DataFrame, k: int | None = None) -> DataFrame:
     return opportunities(summary, "brand", 0.75, k, exclude=[UNKNOWN])
 
 

@@ -544,7 +544,7 @@ def _(spark, d):
 def _(spark, d):
     ev = shop(spark, d, "duplicates")
     mid = _mid_chunk(shop(spark, d))
-    seen = dd.fingerprint(ev.where(chunk_of() < mid)).select("fingerprint")
+    seen = dd.fingerprint(ev.where(chunk_of() < mid)).select("fingerprint").distinct()
     new, _seen2 = inc.dedup_batch(ev.where(chunk_of() >= mid), seen)
     return _dbl_price(new.select(*EVENT_COLS))
 
@@ -676,7 +676,7 @@ def _(spark, d):
     """First chunks of the raw text export only (the reference's
     ``max_chunks``), cleaned and funnelled."""
     from cartwheel.sources.events import read_events
-    raw = prefix_run(read_events(spark, _csv_export(spark, d), "csv"), PREFIX_CHUNKS, CHUNK_ROWS, dense=False)
+    raw = prefix_run(read_events(spark, _csv_export(spark, d), "csv"), PREFIX_CHUNKS, CHUNK_ROWS)
     return fn.user_funnel(cl.clean_events(raw))
 
 

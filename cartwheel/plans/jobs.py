@@ -27,6 +27,7 @@ from cartwheel.operators import funnel as fn
 from cartwheel.operators import summary as sm
 from cartwheel.operators import time_analysis as ta
 from cartwheel.operators import validate as va
+from cartwheel.session import scale_conf
 from cartwheel.sources.events import read_events
 from cartwheel.sources.sinks import write_clean, write_funnel, write_summary
 
@@ -59,7 +60,7 @@ def run_all(spark: SparkSession, raw: str, out: str, fmt: str = "csv", quality:
     write_summary(va.validate_time(time_df.drop("day_order")), f"{out}/validation/time_analysis")
     write_summary(va.validate_user_funnel(users), f"{out}/validation/user_funnel")
     write_summary(va.reconcile(time_df, users, clean), f"{out}/validation/reconcile")
-    write_summary(va.quality_report(raw_df if fmt != "csv" else cl.standardize(raw_df), clean),
+    write_summary(va.quality_report(raw_df if fmt != "csv" else cl.standardize(cl.normalize_null_tokens(raw_df)), clean),
                   f"{out}/validation/quality_report")
     return {"clean_events": f"{out}/clean_events", "user_funnel": f"{out}/user_funnel", "eda": f"{out}/eda",
             "validation": f"{out}/validation"}
@@ -70,9 +71,17 @@ def main(argv=None):
     ap.add_argument("--raw", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    ap.add_argument("--checkpoint-dir", help="folder that driver and executors share; else spark.checkpoint.dir of the session")
+    ap.add_argument("--input-bytes", type=int, default=0, help="size of the raw data, to set the partitioning")
+    ap.add_argument("--cores", type=int, default=8, help="cores of the whole cluster, to set the partitioning")
     ap.add_argument("--quality", action="store_true", help="drop rows that break the record-quality rules")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("cartwheel-jobs").getOrCreate()
+    builder = SparkSession.builder.appName("cartwheel-jobs")
+    for k, v in (scale_conf(a.input_bytes, a.cores) if a.input_bytes else {}).items():
+        builder = builder.config(k, v)
+    if a.checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", a.checkpoint_dir)
+    spark = builder.getOrCreate()
     for k, v in run_all(spark, a.raw, a.out, a.format, a.quality).items():
         print(f"{k}: {v}")
 

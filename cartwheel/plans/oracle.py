@@ -186,10 +186,9 @@ def build() -> dict[str, str]:
     # 3. dedup
     dup = with_(variant="duplicates")
     S["dedup_exact"] = dup + f"SELECT min(seq) AS seq, {EV9.replace('price', 'CAST(price AS DOUBLE) AS price')} FROM shop GROUP BY ALL"
-    fmt = ("md5(concat_ws('|', coalesce(strftime(event_time, '%Y-%m-%d %H:%M:%S.%f'), '∅'), coalesce(event_type, '∅'), "
-           "coalesce(CAST(product_id AS VARCHAR), '∅'), coalesce(CAST(category_id AS VARCHAR), '∅'), "
-           "coalesce(category_code, '∅'), coalesce(brand, '∅'), coalesce(CAST(price AS VARCHAR), '∅'), "
-           "coalesce(CAST(user_id AS VARCHAR), '∅'), coalesce(user_session, '∅')))")
+    texts = ["strftime(event_time, '%Y-%m-%d %H:%M:%S.%f')", "event_type", "CAST(product_id AS VARCHAR)", "CAST(category_id AS VARCHAR)",
+             "category_code", "brand", "CAST(price AS VARCHAR)", "CAST(user_id AS VARCHAR)", "user_session"]
+    fmt = "md5(" + " || ".join(f"CASE WHEN {t} IS NULL THEN 'N' ELSE CAST(length({t}) AS VARCHAR) || ':' || {t} END" for t in texts) + ")"
     S["event_fingerprint"] = with_() + f"SELECT seq, {fmt} AS fingerprint FROM shop"
     grp = f"g AS (SELECT {EV9}, count(*) AS n FROM shop GROUP BY ALL)"
     S["dup_profile"] = with_(grp, variant="duplicates") + (
@@ -267,7 +266,7 @@ def build() -> dict[str, str]:
         "CAST(quantile_cont(view_to_purchase_rate, 0.5) AS DOUBLE) AS median_view_to_purchase_rate, "
         "CAST(quantile_cont(view_users, 0.75) AS DOUBLE) AS p75_view_users FROM ss")
     S["category_opportunities"] = cat + top(
-        "ss", "category_code", "view_users", 20,
+        "ss", "category_code", "view_users", None,
         where="WHERE view_users >= (SELECT quantile_cont(view_users, 0.5) FROM ss) "
               "AND view_to_purchase_rate < (SELECT quantile_cont(view_to_purchase_rate, 0.5) FROM ss)")
     S["category_stars"] = cat + top(
@@ -275,7 +274,7 @@ def build() -> dict[str, str]:
         where="WHERE view_users >= (SELECT quantile_cont(view_users, 0.5) FROM ss) "
               "AND view_to_purchase_rate >= (SELECT quantile_cont(view_to_purchase_rate, 0.5) FROM ss)")
     S["brand_opportunities"] = with_(CLEAN, *summary_ctes("brand"), "kb AS (SELECT * FROM ss WHERE brand <> 'Unknown')") + top(
-        "kb", "brand", "view_users", 20,
+        "kb", "brand", "view_users", None,
         where="WHERE view_users >= (SELECT quantile_cont(view_users, 0.75) FROM kb) "
               "AND view_to_purchase_rate < (SELECT quantile_cont(view_to_purchase_rate, 0.5) FROM kb)")
     S["paid_bands"] = pb + top("ss", "price_band", "view_to_purchase_rate", None, where="WHERE price_band <> '$0'")

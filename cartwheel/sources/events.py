@@ -33,73 +33,48 @@ def require_input(spark: SparkSession, path: str) -> str:
     return path
 
 
-FILE_BITS = 10          # up to 1 024 input files
-BLOCK_BITS = 26         # split start in 4 KiB units: files up to 256 GiB
-BLOCK_UNIT_SHIFT = 12
-ROW_BITS = 27           # rows read by one task: up to 134 M
-ROW_MASK = (1 << ROW_BITS) - 1
-
-
-def _norm_uri(p: str) -> str:
-    return p.replace("file:///", "file:/")
-
-
 def with_ingest_seq(df: DataFrame, name: str = "seq") -> DataFrame:
-    """Ingestion order of a file scan as one ``long`` (A-06), in three
-    disjoint bit fields: ``file index | split start (MiB) | row in task``.
-
-    A split is read by exactly one task and ``monotonically_increasing_id``
-    grows in read order inside a task (its low bits are the row number), so
-    the value increases in file order.  Splits are far more than 4 KiB apart
-    (``maxPartitionBytes`` / file-open cost), so their 4 KiB-granular starts
-    differ.  The file index
-    comes from the sorted input listing (metadata only, no data scan).  A
-    task reading more rows than the row field holds fails loudly instead of
-    producing a wrong order.  Limits: ≤ 1 024 files, files < 256 GiB.
+    """Ingestion order of a file scan as a dense 0-based ``long`` (A-06): row
+    position in the files in path order.
+
+    The scan runs once: rows, their split (file and start) and their order in
+    the task are written to the shared checkpoint folder, so the sequence
+    can't depend on how a later scan is split.  Rows are then counted per
+    split, and a split's offset is the number of rows before it; offsets are
+    two-level (splits within a file, then one row per file).  Splits are
+    known by a 64-bit hash of their path, so the offset table has a few bytes
+    per split and Spark may broadcast it by its size.  There is no limit on
+    files, file sizes or rows.
     """
-    files = sorted(_norm_uri(f) for f in df.inputFiles())
-    if len(files) >= (1 << FILE_BITS):
-        raise ValueError(f"too many input files for the ingestion sequence: {len(files)}")
-    path = F.regexp_replace(F.col("_metadata.file_path"), "^file:///", "file:/")
-    idx = (F.array_position(F.array(*[F.lit(f) for f in files]), path) - 1).cast("long")
-    block = F.shiftright(F.col("_metadata.file_block_start").cast("long"), BLOCK_UNIT_SHIFT)
-    block = F.when(block < F.lit(1 << BLOCK_BITS), block).otherwise(
-        F.raise_error(F.lit("ingestion sequence: input file too large")).cast("long"))
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    row = F.when(row <= F.lit(ROW_MASK), row).otherwise(
-        F.raise_error(F.lit("ingestion sequence: too many rows in one task")).cast("long"))
-    return df.withColumn(name, F.shiftleft(idx, BLOCK_BITS + ROW_BITS) + F.shiftleft(block, ROW_BITS) + row)
-
-
-def with_row_number(df: DataFrame, seq: str = "seq", name: str = "row_number") -> DataFrame:
-    """Dense 0-based row number in file order from the packed ingestion
-    sequence (like a row position in the file).
-
-    Rows are counted per input split (one row per split — metadata-sized,
-    e.g. ~800 000 rows for 100 TB in 128 MB splits); cumulative offsets over
-    that small table come from a window, and are joined back by split id.
-    The data itself never passes through a single task."""
     from pyspark.sql import Window
-    split = F.shiftright(F.col(seq), ROW_BITS)
-    row = F.col(seq).bitwiseAND(F.lit(ROW_MASK))
-    x = df.withColumn("_split", split).withColumn("_row", row)
-    per = x.groupBy("_split").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
-    per = per.withColumn("_offset", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = x.join(per.select("_split", "_offset", "_first"), "_split")
-    return out.withColumn(name, F.col("_offset") + F.col("_row") - F.col("_first")) \
-              .drop("_split", "_row", "_offset", "_first")
+
+    from cartwheel.sources.sinks import cut_lineage
+    x = cut_lineage(df.withColumns({
+        "_path": F.col("_metadata.file_path"), "_start": F.col("_metadata.file_block_start").cast("long"),
+        "_order": F.monotonically_increasing_id()}), "ingest")
+    x = x.withColumn("_file", F.xxhash64("_path"))
+    splits = x.groupBy("_path", "_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_order").alias("_first"))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("_n").over(before.partitionBy("_path").orderBy("_start")), F.lit(0))
+    files = splits.groupBy("_path").agg(F.sum("_n").alias("_rows"))
+    files = files.select("_path", F.coalesce(F.sum("_rows").over(before.orderBy("_path")), F.lit(0)).alias("_base"))
+    offsets = splits.withColumn("_inside", inside).join(files, "_path").select(
+        "_file", "_start", (F.col("_base") + F.col("_inside") - F.col("_first")).alias("_offset"))
+    return (x.join(offsets, ["_file", "_start"]).withColumn(name, F.col("_order") + F.col("_offset"))
+            .drop("_path", "_file", "_start", "_order", "_offset"))
 
 
 def read_events(spark: SparkSession, path: str, fmt: str = "csv",
                 with_seq: bool = True, columns: list[str] | None = None) -> DataFrame:
     """Scan raw events.  ``fmt='csv'`` reads the headered text export with a
-    fixed all-string schema; ``fmt='parquet'`` reads already-typed events.
+    fixed all-string schema; a file whose header has other names or another
+    order, and a row with too few or too many fields, is an error rather than
+    shifted columns.  ``fmt='parquet'`` reads already-typed events.
     ``columns`` projects early (A-02) so only those columns are read."""
     require_input(spark, path)
     if fmt == "csv":
-        df = (spark.read.schema(RAW_CSV_SCHEMA).option("header", True)
-              .option("mode", "PERMISSIVE").csv(path))
+        df = (spark.read.schema(RAW_CSV_SCHEMA).option("header", True).option("enforceSchema", False)
+              .option("escape", '"').option("mode", "FAILFAST").csv(path))
     else:
         df = spark.read.parquet(path)
     if with_seq and "seq" not in df.columns:
@@ -116,15 +91,10 @@ def head_sample(df: DataFrame, n: int, order: str = "seq") -> DataFrame:
     return df.orderBy(order).limit(n)
 
 
-def prefix_run(df: DataFrame, n_chunks: int, chunk_rows: int, seq: str = "seq",
-               dense: bool = True) -> DataFrame:
-    """Only the first ``n_chunks`` chunks of ``chunk_rows`` rows (A-04).
-    With a dense 0-based sequence (event ids) it is a plain predicate that
-    reaches the scan; with the packed file-order sequence of a text scan
-    (``dense=False``) the dense row number is derived first."""
-    if dense:
-        return df.where(F.col(seq) < F.lit(n_chunks * chunk_rows))
-    return with_row_number(df, seq).where(F.col("row_number") < F.lit(n_chunks * chunk_rows)).drop("row_number")
+def prefix_run(df: DataFrame, n_chunks: int, chunk_rows: int, seq: str = "seq") -> DataFrame:
+    """Only the first ``n_chunks`` chunks of ``chunk_rows`` rows (A-04): a
+    plain predicate on the dense sequence, which reaches a table scan."""
+    return df.where(F.col(seq) < F.lit(n_chunks * chunk_rows))
 
 
 def require_columns(df: DataFrame, required: list[str]) -> DataFrame:

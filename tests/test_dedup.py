@@ -36,3 +36,16 @@ def test_dedup_idempotent(spark):
     df = spark.createDataFrame(_rows(), SCHEMA)
     once = dd.dedup_exact(df)
     assert sorted(once.collect()) == sorted(dd.dedup_exact(once).collect())
+
+
+def test_fingerprint_keeps_markers_and_delimiters_apart(spark):
+    from cartwheel.operators.dedup import fingerprint
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "z"), ("∅", "z"), ("N", "z"), ("", "z"), ("1:N", None), ("1", ":N"), ("1:a", "b"), ("1", ":ab")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert fingerprint(df, ["x", "y"]).select("fingerprint").distinct().count() == len(rows)
+
+
+def test_incremental_dedup_keeps_new_rows_with_markers(spark):
+    from cartwheel.operators.dedup import fingerprint
+    seen = fingerprint(spark.createDataFrame([("a|b", "c"), (None, "z")], "x string, y string"), ["x", "y"]).select("fingerprint")
+    assert fingerprint(spark.createDataFrame([("a", "b|c"), ("∅", "z")], "x string, y string"), ["x", "y"]).join(seen, "fingerprint", "left_anti").count() == 2

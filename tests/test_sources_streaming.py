@@ -59,18 +59,16 @@ def test_stream_funnel_restart_continues(spark, sf_dir):
 
 def test_row_number_with_many_small_splits(spark, sf_dir):
     """Force several splits per file (and several splits per task): the
-    dense file-order row number must still equal the original order."""
+    dense file-order sequence must still equal the original order."""
     from cartwheel.plans.catalog import _csv_export
-    from cartwheel.sources.events import with_row_number
     path = _csv_export(spark, sf_dir)
     old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
     spark.conf.set("spark.sql.files.openCostInBytes", str(8 * 1024))
     try:
         ev = read_events(spark, path, "csv")
-        assert ev.rdd.getNumPartitions() > 4
-        got = [r.user_session for r in with_row_number(ev).orderBy("row_number").select("user_session").collect()]
-        nums = sorted(r.row_number for r in with_row_number(ev).select("row_number").collect())
+        got = [r.user_session for r in ev.orderBy("seq").select("user_session").collect()]
+        nums = sorted(r.seq for r in ev.select("seq").collect())
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
@@ -97,3 +95,37 @@ def test_keyed_state_with_many_arrow_batches(spark, sf_dir):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert got == sorted(fn.user_funnel(ev).collect())
+
+
+HEADER = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session"
+
+
+def _write(tmp_path, files):
+    for i, text in enumerate(files):
+        (tmp_path / f"part-{i:05d}.csv").write_text(text)
+    return f"file://{tmp_path}"
+
+
+def test_sequence_over_more_files_than_any_bit_field(spark, tmp_path):
+    path = _write(tmp_path, [f"{HEADER}\nt,view,{i},,,,1,2,s{2 * i}\nt,view,{i},,,,1,2,s{2 * i + 1}\n" for i in range(2100)])
+    rows = read_events(spark, path, "csv").orderBy("seq").select("seq", "user_session").collect()
+    assert [tuple(r) for r in rows] == [(k, f"s{k}") for k in range(4200)]
+
+
+def test_swapped_header_is_an_error(spark, tmp_path):
+    path = _write(tmp_path, [HEADER.replace("category_code,brand", "brand,category_code") + "\nt,view,1,2,acme,toys,1,2,s\n"])
+    with pytest.raises(Exception, match="(?i)header"):
+        read_events(spark, path, "csv").collect()
+
+
+def test_short_row_is_an_error(spark, tmp_path):
+    path = _write(tmp_path, [f"{HEADER}\nt,view,1,2,c,b,1,2\n"])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_events(spark, path, "csv").collect()
+
+
+def test_quotes_and_null_tokens_in_every_column(spark, tmp_path):
+    from cartwheel.operators.cleaning import normalize_null_tokens
+    path = _write(tmp_path, [HEADER + '\n"a ""b"", c",' + ",".join(["NA"] * 8) + "\n" + ",".join(["NaN"] * 9) + "\n"])
+    rows = normalize_null_tokens(read_events(spark, path, "csv")).orderBy("seq").drop("seq").collect()
+    assert rows[0]["event_time"] == 'a "b", c' and all(v is None for v in rows[0][1:]) and all(v is None for v in rows[1])
