@@ -52,23 +52,22 @@ def _dbl_price(df: DataFrame) -> DataFrame:
     return df.withColumn("price", F.col("price").cast("double"))
 
 
-def shop(spark, d, variant="base") -> DataFrame:
-    return shop_events(spark, d, variant)
+def shop(spark, d, variant="base", columns=None) -> DataFrame:
+    return shop_events(spark, d, variant, columns)
 
 
 _CLEAN_TABLES: dict[tuple, str] = {}
 
 
 def _source_stamp(spark, d) -> tuple:
-    """(path, size, modification time) of the source tables, via the
-    Hadoop file system of the path — used to detect changed inputs."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Number and hash of (path, size, modification time) of every file of
+    the source tables, so that a changed part file is noticed.  Listed by
+    Spark; no file is opened."""
     out = []
     for t in ("events", "part"):
-        p = jvm.org.apache.hadoop.fs.Path(f"{d.rstrip('/')}/{t}.parquet")
-        st = p.getFileSystem(conf).getFileStatus(p)
-        out.append((t, st.getLen(), st.getModificationTime()))
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{d.rstrip('/')}/{t}.parquet")
+                 .select("path", "length", "modificationTime"))
+        out.append(tuple(files.agg(F.count("*"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()))
     return tuple(out)
 
 
@@ -129,7 +128,7 @@ def _mid_chunk(ev: DataFrame):
 # 1. sources -----------------------------------------------------------------
 @q("scan_projected")
 def _(spark, d):
-    return _dbl_price(shop(spark, d).select("seq", "event_time", "event_type", "price", "user_id"))
+    return _dbl_price(shop(spark, d, columns=["seq", "event_time", "event_type", "price", "user_id"]))
 
 
 @q("head_sample")
@@ -167,7 +166,7 @@ def _(spark, d):
 
 @q("time_features")
 def _(spark, d):
-    return cl.add_time_features(shop(spark, d)).select(
+    return cl.add_time_features(shop(spark, d, columns=["event_time"])).select(
         "seq", "event_date", "event_hour", "day_of_week", "day_of_month")
 
 
@@ -426,12 +425,12 @@ def _(spark, d):
 # 8. profiling ---------------------------------------------------------------
 @q("row_count")
 def _(spark, d):
-    return pf.row_count(shop(spark, d))
+    return pf.row_count(shop(spark, d, columns=["seq"]))
 
 
 @q("event_distribution")
 def _(spark, d):
-    return pf.event_distribution(shop(spark, d))
+    return pf.event_distribution(shop(spark, d, columns=["event_type"]))
 
 
 @q("distinct_counts")
@@ -456,12 +455,12 @@ def _(spark, d):
 
 @q("zero_price_profile")
 def _(spark, d):
-    return pf.zero_price_profile(shop(spark, d))
+    return pf.zero_price_profile(shop(spark, d, columns=["product_id", "price"]))
 
 
 @q("zero_price_by_event")
 def _(spark, d):
-    return pf.zero_price_by_event(shop(spark, d))
+    return pf.zero_price_by_event(shop(spark, d, columns=["event_type", "price"]))
 
 
 @q("zero_price_top_category")
@@ -520,7 +519,7 @@ def _(spark, d):
 
 @q("order_check")
 def _(spark, d):
-    return va.order_check(shop(spark, d, "disordered").withColumn("chunk", chunk_of()))
+    return va.order_check(shop(spark, d, "disordered", ["event_time"]).withColumn("chunk", chunk_of()))
 
 
 # 10. incremental ------------------------------------------------------------
@@ -562,6 +561,18 @@ def _(spark, d):
     return fn.sliced_funnel(ev, ["user_id", "category_code"], F.col("event_date"))
 
 
+@q("incremental_brand")
+def _(spark, d):
+    ev = fn.with_segment(clean(spark, d), "brand")
+    return fn.sliced_funnel(ev, ["user_id", "brand"], F.col("event_date"))
+
+
+@q("incremental_price")
+def _(spark, d):
+    ev = fn.with_segment(clean(spark, d), "price_band")
+    return fn.sliced_funnel(ev, ["user_id", "price_band"], F.col("event_date"))
+
+
 @q("state_size")
 def _(spark, d):
     return inc.state_size(seg_state(spark, d, "category"))
@@ -776,7 +787,7 @@ def _(spark, d):
 @q("stage_flags")
 def _(spark, d):
     et = F.col("event_type")
-    return shop(spark, d).select("seq", *[(et == s).cast("int").alias(f"is_{s}") for s in ("view", "cart", "purchase")])
+    return shop(spark, d, columns=["event_type"]).select("seq", *[(et == s).cast("int").alias(f"is_{s}") for s in ("view", "cart", "purchase")])
 
 
 @q("stream_category")

@@ -416,6 +416,8 @@ def build() -> dict[str, str]:
     S["state_merge"] = S["user_funnel"]
     S["incremental_funnel"] = S["user_funnel"]
     S["incremental_category"] = S["category_state"]
+    S["incremental_brand"] = S["brand_state"]
+    S["incremental_price"] = S["price_state"]
     S["state_size"] = with_(CLEAN, *funnel_ctes("clean", "category_code")) + "SELECT count(*) AS state_rows FROM uf"
     mid_base = "(SELECT floor((max(seq // 1000) + 1) / 2) FROM shop_base)"
     S["seen_anti"] = with_(variant="duplicates") + (

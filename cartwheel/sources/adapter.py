@@ -35,9 +35,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shop_events(spark: SparkSession, sf_dir: str, variant: str = "base") -> DataFrame:
+PART_COLUMNS = ("category_id", "category_code", "brand")
+
+
+def shop_events(spark: SparkSession, sf_dir: str, variant: str = "base", columns: list[str] | None = None) -> DataFrame:
     """Raw clickstream events derived from ``events`` ⋈ ``part``.
 
+    columns: what the caller will read; without a column of ``part`` the
+    join (on its primary key, so it changes no rows) is left out, and unread
+    columns, parsed JSON included, are pruned at the scan.
+
     variant: ``base`` | ``missing_price`` | ``dirty`` | ``duplicates`` | ``disordered``
     """
     ev = read_table(spark, sf_dir, "events")
@@ -56,19 +63,25 @@ def shop_events(spark: SparkSession, sf_dir: str, variant: str = "base") -> Data
     session = (F.when(eid % MISSING_SESSION_EVERY == 0, F.lit(None).cast("string"))
                .otherwise(F.concat(F.col("user_id").cast("string"), F.lit("-"),
                                    F.date_format("ts", "yyyy-MM-dd"))))
-    base = (ev.withColumn("k", k)
-            .join(part, F.col("k") == F.col("p_partkey"), "left")
-            .select(
-                eid.alias("seq"),
-                F.col("ts").alias("event_time"),
-                mapped.alias("event_type"),
-                F.col("k").alias("product_id"),
-                F.when(cat_pos > 0, cat_pos.cast("bigint")).alias("category_id"),
-                F.nullif(F.col("p_type"), F.lit(MISSING_CATEGORY)).alias("category_code"),
-                F.nullif(F.col("p_brand"), F.lit(MISSING_BRAND)).alias("brand"),
-                price.alias("price"),
-                F.col("user_id"),
-                session.alias("user_session")))
+    with_part = columns is None or any(c in PART_COLUMNS for c in columns)
+    from_part = [
+        F.when(cat_pos > 0, cat_pos.cast("bigint")).alias("category_id"),
+        F.nullif(F.col("p_type"), F.lit(MISSING_CATEGORY)).alias("category_code"),
+        F.nullif(F.col("p_brand"), F.lit(MISSING_BRAND)).alias("brand")]
+    base = ev.withColumn("k", k)
+    if with_part:
+        base = base.join(part, F.col("k") == F.col("p_partkey"), "left")
+    base = base.select(
+        eid.alias("seq"),
+        F.col("ts").alias("event_time"),
+        mapped.alias("event_type"),
+        F.col("k").alias("product_id"),
+        *(from_part if with_part else []),
+        price.alias("price"),
+        F.col("user_id"),
+        session.alias("user_session"))
+    if columns is not None:
+        base = base.select("seq", *[c for c in columns if c != "seq"])
     if variant == "duplicates":
         c2 = base.where(F.col("seq") % DUP2_EVERY == 0).withColumn("seq", F.col("seq") + COPY_SEQ_OFFSET)
         c3 = base.where(F.col("seq") % DUP3_EVERY == 0).withColumn("seq", F.col("seq") + 2 * COPY_SEQ_OFFSET)
