@@ -582,51 +582,43 @@ def _(spark, d):
 STREAM_SLICES = 4
 
 
-def _stream_input(spark, d, variant="base") -> str:
-    """Clean-filled events written as time-ordered slices (equal event-time
-    ranges) under the checkpoint root, ready for a file stream source."""
-    from cartwheel.session import scratch_path
-    from cartwheel.streaming import write_ordered_slices
+def _replay(spark, d, run, variant="base"):
+    """``run(stream, checkpoint)`` over the clean-filled events, landing as
+    time-ordered slices (equal event-time ranges) of as many files as the
+    data has partitions."""
+    from cartwheel.streaming import replay_slices
     ev = cl.fill_unknown(shop(spark, d, variant))
     secs = micros_ntz("event_time")
     b = ev.agg(F.min(secs).alias("lo"), F.max(secs).alias("hi")).first()
     width = max((b["hi"] - b["lo"]) // STREAM_SLICES + 1, 1)
     sliced = ev.withColumn("_slice", F.floor((secs - F.lit(b["lo"])) / F.lit(width)).cast("int"))
-    path = scratch_path(spark, "stream-input")
-    write_ordered_slices(sliced, "_slice", path)
-    return path
-
-
-def _stream_schema(spark, d):
-    return cl.fill_unknown(shop(spark, d)).schema
+    return replay_slices(sliced, "_slice", run)
 
 
 @q("stream_dedup")
 def _(spark, d):
     from cartwheel.session import scratch_path
-    from cartwheel.streaming import event_stream, stream_dedup
-    src = _stream_input(spark, d, "duplicates")
-    out = stream_dedup(event_stream(spark, src, _stream_schema(spark, d)), scratch_path(spark, "stream-dedup-out"))
+    from cartwheel.streaming import stream_dedup
+    path = scratch_path(spark, "stream-dedup-out")
+    out = _replay(spark, d, lambda stream, ckpt: stream_dedup(stream, path, checkpoint=ckpt), "duplicates")
     return _dbl_price(spark.read.parquet(out).select(*DEDUP_COLUMNS))
 
 
 @q("stream_funnel")
 def _(spark, d):
     from cartwheel.session import scratch_path
-    from cartwheel.streaming import event_stream, stream_funnel_merge
-    src = _stream_input(spark, d)
-    latest = stream_funnel_merge(event_stream(spark, src, _stream_schema(spark, d)),
-                                 scratch_path(spark, "stream-funnel-state"))
+    from cartwheel.streaming import stream_funnel_merge
+    path = scratch_path(spark, "stream-funnel-state")
+    latest = _replay(spark, d, lambda stream, ckpt: stream_funnel_merge(stream, path, checkpoint=ckpt))
     return fn.finish(spark.read.parquet(latest), ["user_id"])
 
 
 @q("stream_funnel_state")
 def _(spark, d):
     from cartwheel.session import scratch_path
-    from cartwheel.streaming import event_stream, latest_state, stream_funnel_state
-    src = _stream_input(spark, d)
-    out = stream_funnel_state(event_stream(spark, src, _stream_schema(spark, d)),
-                              scratch_path(spark, "stream-funnel-log"))
+    from cartwheel.streaming import latest_state, stream_funnel_state
+    path = scratch_path(spark, "stream-funnel-log")
+    out = _replay(spark, d, lambda stream, ckpt: stream_funnel_state(stream, path, checkpoint=ckpt))
     return latest_state(spark, out)
 
 
@@ -634,9 +626,9 @@ def _(spark, d):
 def _(spark, d):
     from cartwheel.session import scratch_path
     from cartwheel.operators.time_analysis import hour_spine
-    from cartwheel.streaming import event_stream, stream_activity
-    src = _stream_input(spark, d)
-    out = stream_activity(event_stream(spark, src, _stream_schema(spark, d)), scratch_path(spark, "stream-activity"))
+    from cartwheel.streaming import stream_activity
+    path = scratch_path(spark, "stream-activity")
+    out = _replay(spark, d, lambda stream, ckpt: stream_activity(stream, path, checkpoint=ckpt))
     agg = spark.read.parquet(out)
     return (F.broadcast(hour_spine(spark)).join(agg, "time_value", "left")
             .select("time_value",
@@ -793,29 +785,45 @@ def _(spark, d):
 @q("stream_category")
 def _(spark, d):
     from cartwheel.session import scratch_path
-    from cartwheel.streaming import event_stream, stream_funnel_merge
-    src = _stream_input(spark, d)
-    latest = stream_funnel_merge(event_stream(spark, src, _stream_schema(spark, d)),
-                                 scratch_path(spark, "stream-category-state"), keys=["user_id", "category_code"])
+    from cartwheel.streaming import stream_funnel_merge
+    path = scratch_path(spark, "stream-category-state")
+    latest = _replay(spark, d, lambda stream, ckpt: stream_funnel_merge(stream, path, keys=["user_id", "category_code"], checkpoint=ckpt))
     return fn.finish(spark.read.parquet(latest), ["user_id", "category_code"])
 
 
+def _stream_segment(spark, d, segment):
+    from cartwheel.session import scratch_path
+    from cartwheel.streaming import stream_funnel_merge
+    keys, path = ["user_id", fn.SEGMENTS[segment]], scratch_path(spark, f"stream-{segment}-state")
+    latest = _replay(spark, d, lambda stream, ckpt: stream_funnel_merge(fn.with_segment(stream, segment), path, keys=keys, checkpoint=ckpt))
+    return fn.finish(spark.read.parquet(latest), keys)
+
+
+@q("stream_brand")
+def _(spark, d):
+    return _stream_segment(spark, d, "brand")
+
+
+@q("stream_price")
+def _(spark, d):
+    return _stream_segment(spark, d, "price_band")
+
+
 @q("stream_dedup_watermark")
 def _(spark, d):
     from cartwheel.session import scratch_path
-    from cartwheel.streaming import event_stream, stream_dedup
-    src = _stream_input(spark, d, "duplicates")
-    out = stream_dedup(event_stream(spark, src, _stream_schema(spark, d)), scratch_path(spark, "stream-dedupw-out"),
-                       watermark="1 hour")
+    from cartwheel.streaming import stream_dedup
+    path = scratch_path(spark, "stream-dedupw-out")
+    out = _replay(spark, d, lambda stream, ckpt: stream_dedup(stream, path, watermark="1 hour", checkpoint=ckpt), "duplicates")
     return _dbl_price(spark.read.parquet(out).select(*DEDUP_COLUMNS))
 
 
 @q("stream_profile")
 def _(spark, d):
     from cartwheel.session import scratch_path
-    from cartwheel.streaming import event_stream, stream_counts
-    src = _stream_input(spark, d)
-    out = stream_counts(event_stream(spark, src, _stream_schema(spark, d)), scratch_path(spark, "stream-profile"))
+    from cartwheel.streaming import stream_counts
+    path = scratch_path(spark, "stream-profile")
+    out = _replay(spark, d, lambda stream, ckpt: stream_counts(stream, path, checkpoint=ckpt))
     return spark.read.parquet(out)
 
 

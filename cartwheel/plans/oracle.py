@@ -468,6 +468,8 @@ def build() -> dict[str, str]:
         "SELECT seq, (event_type = 'view')::INT AS is_view, (event_type = 'cart')::INT AS is_cart, "
         "(event_type = 'purchase')::INT AS is_purchase FROM shop")
     S["stream_category"] = S["category_state"]
+    S["stream_brand"] = S["brand_state"]
+    S["stream_price"] = S["price_state"]
     S["stream_dedup_watermark"] = S["stream_dedup"]
     S["stream_profile"] = with_() + (
         "SELECT event_type, count(*) AS events, count(*) FILTER (price = 0) AS zero_price_rows, "

@@ -53,9 +53,26 @@ def write_ordered_slices(df: DataFrame, slice_col: str, path: str) -> list[int]:
     return slices
 
 
-def event_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .option("recursiveFileLookup", "true").parquet(path))
+def event_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = 1) -> DataFrame:
+    """File stream; ``files_per_trigger=None`` takes all that has landed."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
+
+
+def replay_slices(df: DataFrame, slice_col: str, run):
+    """Replay a static table as a stream, oldest slice first: a slice lands as
+    as many files as it has partitions, and ``run(stream, checkpoint)``
+    processes all that has landed; the next slice continues from the same
+    checkpoint.  Returns what the last run returned."""
+    spark = df.sparkSession
+    path, checkpoint = scratch_path(spark, "stream-input"), scratch_path(spark, "ckpt-replay")
+    schema, result = df.drop(slice_col).schema, None
+    for s in sorted(r[0] for r in df.select(slice_col).distinct().collect()):
+        df.where(F.col(slice_col) == s).drop(slice_col).write.mode("overwrite").parquet(f"{path}/slice={s:06d}")
+        result = run(event_stream(spark, path, schema, None), checkpoint)
+    return result
 
 
 def _run(q):
@@ -65,8 +82,11 @@ def _run(q):
 
 
 def stream_dedup(stream: DataFrame, out_path: str, keys=DEDUP_COLUMNS, watermark: str | None = None,
-                 time_col: str = "event_time") -> str:
-    """Exact streaming dedup into a Parquet sink (append mode)."""
+                 time_col: str = "event_time", checkpoint: str | None = None) -> str:
+    """Exact streaming dedup into a Parquet sink (append mode).  Without a
+    watermark every distinct row stays in the state store: for large keyed
+    state set spark.sql.streaming.stateStore.providerClass to the RocksDB
+    provider, which keeps it on disk instead of in executor heap."""
     spark = stream.sparkSession
     s = stream
     if watermark:
@@ -75,7 +95,7 @@ def stream_dedup(stream: DataFrame, out_path: str, keys=DEDUP_COLUMNS, watermark
     else:
         s = s.dropDuplicates(list(keys))
     q = (s.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", scratch_path(spark, "ckpt-dedup"))
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-dedup"))
          .trigger(availableNow=True).start(out_path))
     _run(q)
     return out_path
@@ -114,19 +134,27 @@ def stream_funnel_merge(stream: DataFrame, state_root: str, keys=("user_id",), c
     keys = list(keys)
 
     def step(batch: DataFrame, batch_id: int):
+        batch.persist()
+        try:
+            merge(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def merge(batch: DataFrame, batch_id: int):
         prev = _latest_version(spark, state_root, batch_id)
-        lo_hi = batch.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi")).first()
-        if lo_hi["lo"] is None:
+        rows, lo, hi = batch.agg(F.count(F.lit(1)), F.min("event_time"), F.max("event_time")).first()
+        if rows == 0:
             return
         prev_hi = None
         if prev is not None:
             prev_hi = spark.read.parquet(f"{state_root}/meta/v={prev:09d}").first()["hi"]
-        if check_order and prev_hi is not None and lo_hi["lo"] < prev_hi:
+        if check_order and prev_hi is not None and lo is not None and lo < prev_hi:
             raise OutOfOrderBatch(f"batch {batch_id} starts before already processed events")
         part = funnel_partials(batch, keys)
         if prev is not None:
             part = merge_partials(spark.read.parquet(f"{state_root}/v={prev:09d}"), part, keys)
-        hi = lo_hi["hi"] if prev_hi is None else max(prev_hi, lo_hi["hi"])
+        # a batch without any time still has purchases and revenue to add
+        hi = max((h for h in (prev_hi, hi) if h is not None), default=None)
         spark.createDataFrame([(hi,)], "hi timestamp_ntz").write.mode("overwrite") \
             .parquet(f"{state_root}/meta/v={batch_id:09d}")
         part.write.mode("overwrite").parquet(f"{state_root}/v={batch_id:09d}")
@@ -214,7 +242,7 @@ def _state_fn(key, pdfs, state):
                          "version": version}])
 
 
-def stream_funnel_state(stream: DataFrame, out_path: str) -> str:
+def stream_funnel_state(stream: DataFrame, out_path: str, checkpoint: str | None = None) -> str:
     """User funnel with keyed state (``applyInPandasWithState``), append sink
     of per-batch state versions; read with :func:`latest_state`."""
     from cartwheel.functions.columns import event_pos
@@ -229,7 +257,7 @@ def stream_funnel_state(stream: DataFrame, out_path: str) -> str:
         "purchase_count long, revenue string, version long",
         _STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
     q = (out.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", scratch_path(spark, "ckpt-funnel-state"))
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-funnel-state"))
          .trigger(availableNow=True).start(out_path))
     _run(q)
     return out_path
@@ -246,7 +274,7 @@ def latest_state(spark: SparkSession, path: str, keys=("user_id",)) -> DataFrame
     return finish(parts, keys)
 
 
-def stream_activity(stream: DataFrame, out_path: str) -> str:
+def stream_activity(stream: DataFrame, out_path: str, checkpoint: str | None = None) -> str:
     """Purchases per hour bucket: events and revenue by streaming aggregate,
     distinct users via streaming dedup on (bucket, user) (I-05)."""
     spark = stream.sparkSession
@@ -265,7 +293,7 @@ def stream_activity(stream: DataFrame, out_path: str) -> str:
         batch.write.mode("overwrite").parquet(out_path)
 
     q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
-         .option("checkpointLocation", scratch_path(spark, "ckpt-activity"))
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-activity"))
          .trigger(availableNow=True).start())
     _run(q)
     return out_path
@@ -275,7 +303,7 @@ __all__ = ["write_ordered_slices", "event_stream", "stream_dedup", "stream_funne
            "stream_funnel_state", "stream_activity", "stream_counts", "latest_state"]
 
 
-def stream_counts(stream: DataFrame, out_path: str) -> str:
+def stream_counts(stream: DataFrame, out_path: str, checkpoint: str | None = None) -> str:
     """Incremental profile counters (I-06): events, zero-price events and
     missing category / brand per event type, complete mode; each trigger
     rewrites the current totals."""
@@ -290,7 +318,7 @@ def stream_counts(stream: DataFrame, out_path: str) -> str:
         batch.write.mode("overwrite").parquet(out_path)
 
     q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
-         .option("checkpointLocation", scratch_path(spark, "ckpt-profile"))
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-profile"))
          .trigger(availableNow=True).start())
     _run(q)
     return out_path
