@@ -27,7 +27,8 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NUMERIC = frozenset("0123456789. ()+-")
 _CLUSTER = re.compile(r"[0-9. ()+-]+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+#: A run of digits can only match from its first one, so it is read once.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SCHEME = re.compile(r"(?:https?|ftp|ssh|git|file)\Z", re.I)
@@ -82,7 +83,7 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     and then start.  The base kinds are exactly the leftmost non-overlapping
     matches of their patterns, less those that fail their check."""
     found = {k: [] for k in KINDS}
-    email_end = cluster_end = 0
+    email_end = cluster_end = url_end = 0
     for end, (kind, size) in _automaton().iter(text):
         at = end - size + 1
         after = end + 1
@@ -96,7 +97,8 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
             if cluster_end - start < 3:
                 continue
             for m in _IP.finditer(text, start, cluster_end):
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+                parts = [p.lstrip("0") for p in m[0].split(".")]
+                if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
                     found["ip"].append(m.span())
             for m in _CARD.finditer(text, start, cluster_end):
                 if m.end() - m.start() >= 16 and 16 <= len(d := _only_digits(m[0])) <= 19 and _luhn(d):
@@ -112,12 +114,13 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
                 found["email"].append((start, m.end()))
                 email_end = m.end()
         elif kind == "scheme":
-            m = _SCHEME.search(text[max(0, at - 5):at])
-            rest = _URL_REST.match(text, after)
-            if m and rest:
+            if at < url_end or not (m := _SCHEME.search(text[max(0, at - 5):at])):
+                continue  # a scheme inside a URL is part of it
+            if rest := _URL_REST.match(text, after):
                 stop = after + len(rest[0].rstrip(".,;:!?)]"))
                 if stop > after:
                     found["url"].append((at - len(m[0]), stop))
+                    url_end = stop
         elif kind == "iban":
             m = _IBAN.match(text, after)
             if m and _iban_valid(m[1]):

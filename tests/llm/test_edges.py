@@ -189,6 +189,18 @@ def test_pii_base_kinds_equal_their_patterns():
         assert [x for x in pii.find_spans(t) if x[0] in pii.BASE] == expected
 
 
+def test_pii_long_runs_are_read_once():
+    """Runs that are all digits, marks or schemes: megabytes within seconds."""
+    import time
+    started = time.time()
+    for part in ("1", "1.", "0", "://", "http://", "a@", "+1 ", "1 ", "IBAN ", "account ", "token="):
+        pii.find_spans(part * (1_000_000 // len(part)))
+    assert time.time() - started < 60
+    zeros = "0" * 5000
+    assert pii.find_spans(f"at {zeros}1.0.0.{zeros} now") == [("ip", 3, 3 + 5001 + 5 + 5000)]
+    assert pii.find_spans("https://a.org/http://b.org/c, ftp://d.org") == [("url", 0, 28), ("url", 30, 41)]
+
+
 def test_pii_table(docs, empty, spark):
     got = pii.find_pii(docs, redact=True)
     assert got.columns == [*docs.columns, "pii_spans"] and got.count() == len(rows())
