@@ -101,6 +101,14 @@ def duplicates_by_event_type(df: DataFrame, keys=DEDUP_COLUMNS) -> DataFrame:
         F.countDistinct("user_session").alias("sessions"))
 
 
+def duplicate_involvement(df: DataFrame, keys=DEDUP_COLUMNS) -> DataFrame:
+    """Rows, distinct users and distinct sessions involved in duplication,
+    over all event types (a user can have several)."""
+    g = duplicate_groups(df, keys, seq="__none__").where(F.col("n") > 1)
+    return g.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows_involved"),
+                 F.countDistinct("user_id").alias("users"), F.countDistinct("user_session").alias("sessions"))
+
+
 def repetition_histogram(df: DataFrame, keys=DEDUP_COLUMNS) -> DataFrame:
     """How many keys occur exactly n times, for each n (D-30)."""
     return (duplicate_groups(df, keys, seq="__none__")

@@ -30,11 +30,6 @@ def semi_reduce(state: DataFrame, batch: DataFrame, keys: list[str]) -> DataFram
     return join_keys(state, batch.select(*keys).distinct(), keys, "left_semi")
 
 
-def new_rows(batch: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
-    """Batch rows whose key was never seen before (C-05)."""
-    return join_keys(batch, seen.select(*keys), keys, "left_anti")
-
-
 def upsert(state: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Insert-or-replace by key (C-06): the new snapshot is the old state
     without the batch keys, plus the batch rows."""

@@ -21,43 +21,54 @@ TIME_COLUMNS = ["analysis_type", "time_dimension", "time_value", "view_users", "
                 "cart_to_purchase_rate", "view_to_purchase_rate"]
 
 
-def _cohort(user_state: DataFrame, dimension: str, value) -> DataFrame:
+def _hour(time: str):
+    return "hour", hour_label(F.hour(time))
+
+
+def _weekday(time: str):
+    return "day_of_week", weekday_name(time)
+
+
+def _by_dimension(df: DataFrame, *dimensions) -> DataFrame:
+    """Every row once per (dimension, value), from one scan of ``df``."""
+    pairs = [F.struct(F.lit(d).alias("time_dimension"), v.alias("time_value")) for d, v in dimensions]
+    return df.select("*", F.explode(F.array(*pairs)).alias("_t")).select("*", "_t.*").drop("_t")
+
+
+def _cohort(user_state: DataFrame, *dimensions) -> DataFrame:
     viewed = user_state.where(F.col("viewed") == 1)
     # one row per user in the state, so a row count is the distinct-user count
-    t = funnel_totals(viewed.withColumn("time_value", value), "time_value")
-    return (add_rates(t)
-            .withColumn("analysis_type", F.lit("funnel_cohort"))
-            .withColumn("time_dimension", F.lit(dimension))
-            .select(*TIME_COLUMNS))
+    t = funnel_totals(_by_dimension(viewed, *dimensions), "time_dimension", "time_value")
+    return add_rates(t).withColumn("analysis_type", F.lit("funnel_cohort")).select(*TIME_COLUMNS)
 
 
 def cohort_hour(user_state: DataFrame) -> DataFrame:
     """First-view-hour cohorts (only observed hours)."""
-    return _cohort(user_state, "hour", hour_label(F.hour("first_view_time")))
+    return _cohort(user_state, _hour("first_view_time"))
 
 
 def cohort_weekday(user_state: DataFrame) -> DataFrame:
-    return _cohort(user_state, "day_of_week", weekday_name("first_view_time"))
+    return _cohort(user_state, _weekday("first_view_time"))
 
 
 def funnel_cohorts(user_state: DataFrame) -> DataFrame:
-    return cohort_hour(user_state).unionByName(cohort_weekday(user_state))
+    """Both cohort tables in one pass over the user state."""
+    return _cohort(user_state, _hour("first_view_time"), _weekday("first_view_time"))
 
 
-def _activity(events: DataFrame, dimension: str, value, spine: DataFrame) -> DataFrame:
-    p = (events.where(F.col("event_type") == "purchase")
-         .select(value.alias("time_value"), "user_id", money(F.coalesce(F.col("price"), F.lit(0))).alias("price")))
-    agg = p.groupBy("time_value").agg(
+def _activity(events: DataFrame, spine: DataFrame, *dimensions) -> DataFrame:
+    p = (_by_dimension(events.where(F.col("event_type") == "purchase"), *dimensions)
+         .select("time_dimension", "time_value", "user_id", money(F.coalesce(F.col("price"), F.lit(0))).alias("price")))
+    agg = p.groupBy("time_dimension", "time_value").agg(
         F.countDistinct("user_id").alias("purchase_users"),
         F.count(F.lit(1)).alias("purchase_events"),
         F.sum("price").cast("double").alias("revenue"))
-    out = F.broadcast(spine).join(agg, "time_value", "left")
+    out = F.broadcast(spine).join(agg, ["time_dimension", "time_value"], "left")
     null_long = F.lit(None).cast("bigint")
     null_dbl = F.lit(None).cast("double")
     return out.select(
         F.lit("purchase_activity").alias("analysis_type"),
-        F.lit(dimension).alias("time_dimension"),
-        "time_value",
+        "time_dimension", "time_value",
         null_long.alias("view_users"), null_long.alias("cart_users"),
         F.coalesce("purchase_users", F.lit(0)).cast("bigint").alias("purchase_users"),
         F.coalesce("purchase_events", F.lit(0)).cast("bigint").alias("purchase_events"),
@@ -74,16 +85,23 @@ def weekday_spine(spark) -> DataFrame:
     return spark.createDataFrame([(d,) for d in WEEKDAYS], "time_value string")
 
 
+def _spine(spark, dimension: str) -> DataFrame:
+    values = hour_spine(spark) if dimension == "hour" else weekday_spine(spark)
+    return values.select(F.lit(dimension).alias("time_dimension"), "time_value")
+
+
 def activity_hour(events: DataFrame) -> DataFrame:
-    return _activity(events, "hour", hour_label(F.hour("event_time")), hour_spine(events.sparkSession))
+    return _activity(events, _spine(events.sparkSession, "hour"), _hour("event_time"))
 
 
 def activity_weekday(events: DataFrame) -> DataFrame:
-    return _activity(events, "day_of_week", weekday_name("event_time"), weekday_spine(events.sparkSession))
+    return _activity(events, _spine(events.sparkSession, "day_of_week"), _weekday("event_time"))
 
 
 def purchase_activity(events: DataFrame) -> DataFrame:
-    return activity_hour(events).unionByName(activity_weekday(events))
+    """Both activity tables in one pass over the purchases."""
+    spine = _spine(events.sparkSession, "hour").unionByName(_spine(events.sparkSession, "day_of_week"))
+    return _activity(events, spine, _hour("event_time"), _weekday("event_time"))
 
 
 def order_time_rows(df: DataFrame) -> DataFrame:

@@ -97,6 +97,11 @@ def validate_user_funnel(state: DataFrame, keys=("user_id",)) -> DataFrame:
     return _dup_keys(state, keys, "duplicate_key").unionByName(_report(state.agg(*aggs)))
 
 
+def _among(c, values):
+    """``isin`` that is false for NULL."""
+    return F.coalesce(c.isin(list(values)), F.lit(False))
+
+
 def validate_time(time_df: DataFrame, expected_rows: int = TIME_ANALYSIS_ROWS) -> DataFrame:
     """Time-analysis table checks (Q-02, Q-03, Q-05, Q-06, Q-08, Q-11, Q-14)."""
     time_df = materialize(time_df)
@@ -106,10 +111,14 @@ def validate_time(time_df: DataFrame, expected_rows: int = TIME_ANALYSIS_ROWS) -
     coh = at == "funnel_cohort"
     aggs = [
         F.abs(F.count(F.lit(1)) - F.lit(expected_rows)).alias("row_count_vs_expected"),
-        F.count_if(~at.isin(ANALYSIS_TYPES)).alias("unexpected_analysis_type"),
-        F.count_if(~td.isin(TIME_DIMENSIONS)).alias("unexpected_dimension"),
-        F.count_if((td == "hour") & ~tv.isin(hours)).alias("unexpected_hour"),
-        F.count_if((td == "day_of_week") & ~tv.isin(WEEKDAYS)).alias("unexpected_weekday"),
+        F.count_if(~_among(at, ANALYSIS_TYPES)).alias("unexpected_analysis_type"),
+        F.count_if(~_among(td, TIME_DIMENSIONS)).alias("unexpected_dimension"),
+        F.count_if((td == "hour") & ~_among(tv, hours)).alias("unexpected_hour"),
+        F.count_if((td == "day_of_week") & ~_among(tv, WEEKDAYS)).alias("unexpected_weekday"),
+        (F.lit(len(ANALYSIS_TYPES)) - F.countDistinct(F.when(_among(at, ANALYSIS_TYPES), at))).alias("missing_analysis_type"),
+        (F.lit(len(TIME_DIMENSIONS)) - F.countDistinct(F.when(_among(td, TIME_DIMENSIONS), td))).alias("missing_dimension"),
+        (F.lit(24) - F.countDistinct(F.when((td == "hour") & _among(tv, hours), tv))).alias("missing_hour"),
+        (F.lit(7) - F.countDistinct(F.when((td == "day_of_week") & _among(tv, WEEKDAYS), tv))).alias("missing_weekday"),
         F.count_if(act & (td == "hour")).alias("activity_hours_vs_24"),
         F.count_if(act & (td == "day_of_week")).alias("activity_days_vs_7"),
         F.count_if(reduce(lambda a, b: a | b, [F.col(c) < 0 for c in _COUNTS])).alias("negative_metrics"),
@@ -132,11 +141,26 @@ def validate_time(time_df: DataFrame, expected_rows: int = TIME_ANALYSIS_ROWS) -
         .unionByName(dup).unionByName(rep)
 
 
+def time_label_differences(time_df: DataFrame) -> DataFrame:
+    """The labels behind Q-11, by name: (analysis_type, time_dimension,
+    time_value) that every full table has but this one lacks (side =
+    'missing') and those that no table should have ('unexpected', NULL
+    labels included)."""
+    labels = {"hour": [f"{h:02d}" for h in range(24)], "day_of_week": list(WEEKDAYS)}
+    keys = ["analysis_type", "time_dimension", "time_value"]
+    expected = time_df.sparkSession.createDataFrame(
+        [(a, d, v) for a in ANALYSIS_TYPES for d in TIME_DIMENSIONS for v in labels[d]], ", ".join(f"{k} string" for k in keys))
+    actual = materialize(time_df.select(*keys).distinct())
+    return (join_keys(expected, actual, keys, "left_anti").withColumn("side", F.lit("missing"))
+            .unionByName(join_keys(actual, expected, keys, "left_anti").withColumn("side", F.lit("unexpected"))))
+
+
 def reconcile(time_df: DataFrame, user_state: DataFrame, events: DataFrame) -> DataFrame:
     """Totals that must agree (Q-13): hour-cohort users vs the overall
     funnel, activity events / revenue vs all purchase events.  Expected
-    values are computed from the data, not hard-coded."""
-    time_df, user_state = materialize(time_df), materialize(user_state)
+    values are computed from the data, not hard-coded.  ``user_state`` is
+    read several times, by ``time_df`` too: hand in a materialised one."""
+    time_df = materialize(time_df)
     coh = time_df.where("analysis_type = 'funnel_cohort' AND time_dimension = 'hour'").agg(
         F.sum("view_users").alias("v"), F.sum("cart_users").alias("c"), F.sum("purchase_users").alias("p"))
     act = time_df.where("analysis_type = 'purchase_activity' AND time_dimension = 'hour'").agg(
@@ -166,6 +190,8 @@ def quality_report(raw: DataFrame, clean: DataFrame | None = None) -> DataFrame:
         F.count_if(F.col("user_id") <= 0).alias("nonpositive_user_id"),
         F.count_if(F.col("event_time").isNull() | F.col("event_type").isNull() | F.col("product_id").isNull()
                    | F.col("user_id").isNull()).alias("null_critical_field"),
+        F.count_if(F.col("price").isNull()).alias("null_price"),
+        F.count_if(F.col("category_id").isNull()).alias("null_category_id"),
         F.count_if(~F.col("event_type").isin(EVENT_TYPES)).alias("unexpected_event_type"),
     ]
     rep = _report(raw.agg(*aggs))

@@ -24,6 +24,7 @@ from cartwheel.operators import time_analysis as ta
 from cartwheel.operators import validate as va
 from cartwheel.sources.adapter import CHUNK_ROWS, chunk_of, shop_events
 from cartwheel.sources.events import DEDUP_COLUMNS, head_sample, prefix_run
+from cartwheel.sources.sinks import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -513,7 +514,7 @@ def _(spark, d):
 @q("reconcile")
 def _(spark, d):
     ev = clean(spark, d)
-    us = fn.user_funnel(ev)
+    us = materialize(fn.user_funnel(ev))
     return va.reconcile(ta.time_analysis(us, ev), us, ev)
 
 
@@ -582,12 +583,14 @@ def _(spark, d):
 STREAM_SLICES = 4
 
 
-def _replay(spark, d, run, variant="base"):
-    """``run(stream, checkpoint)`` over the clean-filled events, landing as
+def _replay(spark, d, run, variant="base", fill=True):
+    """``run(stream, checkpoint)`` over the events (filled or raw), landing as
     time-ordered slices (equal event-time ranges) of as many files as the
     data has partitions."""
     from cartwheel.streaming import replay_slices
-    ev = cl.fill_unknown(shop(spark, d, variant))
+    ev = shop(spark, d, variant)
+    if fill:
+        ev = cl.fill_unknown(ev)
     secs = micros_ntz("event_time")
     b = ev.agg(F.min(secs).alias("lo"), F.max(secs).alias("hi")).first()
     width = max((b["hi"] - b["lo"]) // STREAM_SLICES + 1, 1)
@@ -622,21 +625,29 @@ def _(spark, d):
     return latest_state(spark, out)
 
 
-@q("stream_activity")
-def _(spark, d):
+def _stream_activity(spark, d, dimension, spine):
     from cartwheel.session import scratch_path
-    from cartwheel.operators.time_analysis import hour_spine
     from cartwheel.streaming import stream_activity
-    path = scratch_path(spark, "stream-activity")
-    out = _replay(spark, d, lambda stream, ckpt: stream_activity(stream, path, checkpoint=ckpt))
+    path = scratch_path(spark, f"stream-activity-{dimension}")
+    out = _replay(spark, d, lambda stream, ckpt: stream_activity(stream, path, checkpoint=ckpt, dimension=dimension))
     agg = spark.read.parquet(out)
-    return (F.broadcast(hour_spine(spark)).join(agg, "time_value", "left")
+    return (F.broadcast(spine).join(agg, "time_value", "left")
             .select("time_value",
                     F.coalesce("purchase_users", F.lit(0)).cast("bigint").alias("purchase_users"),
                     F.coalesce("purchase_events", F.lit(0)).cast("bigint").alias("purchase_events"),
                     F.coalesce(F.col("revenue").cast("double"), F.lit(0.0)).alias("revenue")))
 
 
+@q("stream_activity")
+def _(spark, d):
+    return _stream_activity(spark, d, "hour", ta.hour_spine(spark))
+
+
+@q("stream_activity_weekday")
+def _(spark, d):
+    return _stream_activity(spark, d, "day_of_week", ta.weekday_spine(spark))
+
+
 # 12. sinks ------------------------------------------------------------------
 @q("roundtrip_parquet")
 def _(spark, d):
@@ -838,3 +849,108 @@ def _(spark, d):
 def _(spark, d):
     """Clean pipeline with the optional record-quality rules switched on."""
     return _dbl_price(cl.clean_events(shop(spark, d, "dirty"), quality=True))
+
+
+@q("stream_missing")
+def _(spark, d):
+    from cartwheel.session import scratch_path
+    from cartwheel.streaming import stream_missing
+    path = scratch_path(spark, "stream-missing")
+    out = _replay(spark, d, lambda stream, ckpt: stream_missing(stream, path, checkpoint=ckpt), "missing_price", fill=False)
+    return spark.read.parquet(out)
+
+
+@q("dup_involvement")
+def _(spark, d):
+    return dd.duplicate_involvement(shop(spark, d, "duplicates"))
+
+
+@q("state_left_fill")
+def _(spark, d):
+    """Every user of the later half with the state of the earlier half, and
+    zeros for users not seen there (C-03)."""
+    ev = clean(spark, d)
+    mid = _mid_chunk(ev)
+    state = fn.user_funnel(ev.where((chunk_of() < mid) & (F.col("user_id") % 2 == 0))).select("user_id", "viewed", "purchase_count", "purchase_revenue")
+    users = inc.batch_keys(ev.where(chunk_of() >= mid), ["user_id"])
+    return inc.left_fill(users, state, ["user_id"], {"viewed": 0, "purchase_count": 0, "purchase_revenue": 0.0})
+
+
+@q("seen_insert")
+def _(spark, d):
+    """The seen set after a batch: its fingerprints are added where absent (C-07)."""
+    ev = shop(spark, d, "duplicates")
+    mid = _mid_chunk(shop(spark, d))
+    seen = dd.fingerprint(ev.where(chunk_of() < mid)).select("fingerprint").distinct()
+    batch = dd.fingerprint(ev.where(chunk_of() >= mid)).select("fingerprint")
+    return inc.insert_if_absent(seen, batch, ["fingerprint"])
+
+
+# 14. users without views, and validators on tables with planted faults --------
+@q("user_funnel_thinned")
+def _(spark, d):
+    return fn.user_funnel(clean(spark, d, "thinned"))
+
+
+@q("purchase_only_users_thinned")
+def _(spark, d):
+    return sm.purchase_only_users(fn.user_funnel(clean(spark, d, "thinned")))
+
+
+@q("overall_funnel_thinned")
+def _(spark, d):
+    return sm.overall_funnel(fn.user_funnel(clean(spark, d, "thinned")))
+
+
+def _when(cond, value, column):
+    return F.when(F.expr(cond), value).otherwise(F.col(column)).alias(column)
+
+
+def _faulty(df, faults, again):
+    """``df`` with columns replaced by {column: (condition, value)} and the
+    rows of ``again`` twice."""
+    bad = df.select(*[_when(*faults[c], c) if c in faults else c for c in df.columns])
+    return bad.unionByName(bad.where(again))
+
+
+@q("validate_category_faulty")
+def _(spark, d):
+    s = materialize(seg_summary(spark, d, "category"))
+    return va.validate_summary(_faulty(s, {
+        "cart_users": ("category_code = 'SMALL'", F.col("view_users") + 1),
+        "purchase_users": ("category_code = 'STANDARD'", F.col("view_users") + 2),
+        "purchase_events": ("category_code = 'MEDIUM'", F.lit(-1)),
+        "revenue": ("category_code = 'ECONOMY'", F.lit(0.0)),
+        "category_code": ("category_code = 'Unknown'", F.lit(None)),
+    }, "category_code = 'LARGE'"), "category_code")
+
+
+@q("validate_user_funnel_faulty")
+def _(spark, d):
+    s = materialize(user_state(spark, d))
+    return va.validate_user_funnel(_faulty(s, {
+        "viewed": ("user_id % 7 = 0", F.lit(0)),
+        "added_to_cart": ("user_id % 5 = 0", F.lit(0)),
+        "purchase_count": ("user_id % 11 = 0", F.lit(-1)),
+        "purchase_revenue": ("user_id % 13 = 0", F.lit(-0.5)),
+    }, "user_id % 17 = 0"))
+
+
+def _faulty_time(spark, d):
+    t = materialize(time_table(spark, d))
+    return _faulty(t.where("time_value not in ('03', '04')"), {
+        "time_value": ("time_value = 'Monday' or (time_value = '05' and analysis_type = 'funnel_cohort')",
+                       F.when(F.col("time_value") == "Monday", "Mon")),
+        "cart_users": ("time_value = 'Friday' and analysis_type = 'funnel_cohort'", F.col("view_users") + 1),
+        "revenue": ("time_value = '07'", F.lit(-1.0)),
+    }, "time_value = '11'")
+
+
+@q("validate_time_faulty")
+def _(spark, d):
+    return va.validate_time(_faulty_time(spark, d))
+
+
+@q("time_label_differences")
+def _(spark, d):
+    return va.time_label_differences(_faulty_time(spark, d))

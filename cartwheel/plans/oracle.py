@@ -38,6 +38,7 @@ VARIANTS = {
     "duplicates": """shop AS (SELECT * FROM shop_base
       UNION ALL SELECT * REPLACE (seq + 1000000000 AS seq) FROM shop_base WHERE seq % 50 = 0
       UNION ALL SELECT * REPLACE (seq + 2000000000 AS seq) FROM shop_base WHERE seq % 250 = 0)""",
+    "thinned": "shop AS (SELECT * FROM shop_base WHERE NOT (event_type = 'view' AND user_id % 3 = 0))",
     "seconds": "shop AS (SELECT * REPLACE (date_trunc('second', event_time) AS event_time) FROM shop_base)",
     "disordered": """shop AS (SELECT * REPLACE (seq + CASE WHEN seq // 1000 = 1 THEN 1000
                                                   WHEN seq // 1000 = 2 THEN -1000 ELSE 0 END AS seq) FROM shop_base)""",
@@ -367,14 +368,18 @@ def build() -> dict[str, str]:
     hours = ", ".join(f"'{h:02d}'" for h in range(24))
     days = ", ".join(f"'{d}'" for d in WEEKDAYS)
     cnts = ["view_users", "cart_users", "purchase_users", "purchase_events", "revenue"]
-    S["validate_time"] = tm + report([
+    time_rows = [
         ("required_columns", "SELECT 0"),
         ("duplicate_key", "SELECT count(*) FROM (SELECT 1 FROM tm GROUP BY analysis_type, time_dimension, time_value HAVING count(*) > 1)"),
         ("row_count_vs_expected", "SELECT abs(count(*) - 62) FROM tm"),
         ("unexpected_analysis_type", "SELECT count(*) FILTER (analysis_type NOT IN ('funnel_cohort', 'purchase_activity')) FROM tm"),
         ("unexpected_dimension", "SELECT count(*) FILTER (time_dimension NOT IN ('hour', 'day_of_week')) FROM tm"),
-        ("unexpected_hour", f"SELECT count(*) FILTER (time_dimension = 'hour' AND time_value NOT IN ({hours})) FROM tm"),
-        ("unexpected_weekday", f"SELECT count(*) FILTER (time_dimension = 'day_of_week' AND time_value NOT IN ({days})) FROM tm"),
+        ("unexpected_hour", f"SELECT count(*) FILTER (time_dimension = 'hour' AND coalesce(time_value NOT IN ({hours}), true)) FROM tm"),
+        ("unexpected_weekday", f"SELECT count(*) FILTER (time_dimension = 'day_of_week' AND coalesce(time_value NOT IN ({days}), true)) FROM tm"),
+        ("missing_analysis_type", "SELECT 2 - count(DISTINCT analysis_type) FILTER (analysis_type IN ('funnel_cohort', 'purchase_activity')) FROM tm"),
+        ("missing_dimension", "SELECT 2 - count(DISTINCT time_dimension) FILTER (time_dimension IN ('hour', 'day_of_week')) FROM tm"),
+        ("missing_hour", f"SELECT 24 - count(DISTINCT time_value) FILTER (time_dimension = 'hour' AND time_value IN ({hours})) FROM tm"),
+        ("missing_weekday", f"SELECT 7 - count(DISTINCT time_value) FILTER (time_dimension = 'day_of_week' AND time_value IN ({days})) FROM tm"),
         ("activity_hours_vs_24", "SELECT abs(count(*) FILTER (analysis_type = 'purchase_activity' AND time_dimension = 'hour') - 24) FROM tm"),
         ("activity_days_vs_7", "SELECT abs(count(*) FILTER (analysis_type = 'purchase_activity' AND time_dimension = 'day_of_week') - 7) FROM tm"),
         ("negative_metrics", "SELECT count(*) FILTER (" + " OR ".join(f"{c} < 0" for c in cnts) + ") FROM tm"),
@@ -384,7 +389,8 @@ def build() -> dict[str, str]:
                                                   rate_chk("purchase_users", "view_users", "view_to_purchase_rate")]) + " FROM tm"),
         ("activity_funnel_fields_not_null", "SELECT count(*) FILTER (analysis_type = 'purchase_activity' AND (view_users IS NOT NULL OR "
          "cart_users IS NOT NULL OR view_to_cart_rate IS NOT NULL OR cart_to_purchase_rate IS NOT NULL OR view_to_purchase_rate IS NOT NULL)) FROM tm"),
-    ], "(SELECT 1)")
+    ]
+    S["validate_time"] = tm + report(time_rows, "(SELECT 1)")
     S["reconcile"] = tm + report([
         ("cohort_view_users", "SELECT abs((SELECT sum(view_users) FROM coh_h) - (SELECT sum(viewed) FROM uf))"),
         ("cohort_cart_users", "SELECT abs((SELECT sum(cart_users) FROM coh_h) - (SELECT sum(added_to_cart) FROM uf))"),
@@ -398,6 +404,8 @@ def build() -> dict[str, str]:
         ("nonpositive_category_id", "SELECT count(*) FILTER (category_id <= 0) FROM shop"),
         ("nonpositive_user_id", "SELECT count(*) FILTER (user_id <= 0) FROM shop"),
         ("null_critical_field", "SELECT count(*) FILTER (event_time IS NULL OR event_type IS NULL OR product_id IS NULL OR user_id IS NULL) FROM shop"),
+        ("null_price", "SELECT count(*) FILTER (price IS NULL) FROM shop"),
+        ("null_category_id", "SELECT count(*) FILTER (category_id IS NULL) FROM shop"),
         ("unexpected_event_type", "SELECT count(*) FILTER (event_type NOT IN ('view','cart','remove_from_cart','purchase')) FROM shop"),
     ]
     S["quality_report"] = (with_(variant="dirty") + "SELECT * FROM (" + report(qual_rows, "(SELECT 1)") + ") UNION ALL " +
@@ -480,6 +488,57 @@ def build() -> dict[str, str]:
     qclean = CLEAN.replace("FROM shop),", "FROM shop WHERE NOT (coalesce(price < 0, false) OR coalesce(product_id <= 0, false) "
                            "OR coalesce(category_id <= 0, false) OR coalesce(user_id <= 0, false) "
                            "OR coalesce(event_type NOT IN ('view','cart','remove_from_cart','purchase'), false))),", 1)
+    # 14. later additions
+    S["stream_activity_weekday"] = tm + "SELECT time_value, purchase_users, purchase_events, revenue FROM act_d"
+    S["stream_missing"] = with_(variant="missing_price") + "SELECT count(*) AS rows, " + ", ".join(
+        f"count(*) FILTER ({c} IS NULL) AS missing_{c}" for c in cols) + " FROM shop"
+    S["dup_involvement"] = with_(grp, variant="duplicates") + (
+        "SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_involved, count(DISTINCT user_id) AS users, "
+        "count(DISTINCT user_session) AS sessions FROM g WHERE n > 1")
+    S["state_left_fill"] = with_(CLEAN, *funnel_ctes("clean", where=f"WHERE seq // 1000 < {mid} AND user_id % 2 = 0")) + (
+        "SELECT b.user_id, coalesce(uf.viewed, 0) AS viewed, coalesce(uf.purchase_count, 0) AS purchase_count, "
+        "coalesce(uf.purchase_revenue, 0.0) AS purchase_revenue "
+        f"FROM (SELECT DISTINCT user_id FROM clean WHERE seq // 1000 >= {mid}) b LEFT JOIN uf ON uf.user_id = b.user_id")
+    S["seen_insert"] = with_(variant="duplicates") + f"SELECT DISTINCT {fmt} AS fingerprint FROM shop"
+    thin = with_(CLEAN, *funnel_ctes("clean"), variant="thinned")
+    S["user_funnel_thinned"] = thin + "SELECT * FROM uf"
+    S["purchase_only_users_thinned"] = S["purchase_only_users"].replace(uf, thin)
+    S["overall_funnel_thinned"] = S["overall_funnel"].replace(uf, thin)
+
+    def faulty(columns, src, faults, again, where="true"):
+        picked = ", ".join(f"CASE WHEN {faults[c][0]} THEN {faults[c][1]} ELSE {c} END AS {c}" if c in faults else c for c in columns)
+        return f"bad AS (SELECT {picked} FROM {src} WHERE {where}), ss AS (SELECT * FROM bad UNION ALL SELECT * FROM bad WHERE {again})"
+
+    counted = ["view_users", "cart_users", "purchase_users", "purchase_events", "revenue",
+               "view_to_cart_rate", "cart_to_purchase_rate", "view_to_purchase_rate"]
+    S["validate_category_faulty"] = with_(CLEAN, *summary_ctes("category_code", out="ok"), faulty(["category_code", *counted], "ok", {
+        "cart_users": ("category_code = 'SMALL'", "view_users + 1"),
+        "purchase_users": ("category_code = 'STANDARD'", "view_users + 2"),
+        "purchase_events": ("category_code = 'MEDIUM'", "-1"),
+        "revenue": ("category_code = 'ECONOMY'", "0.0"),
+        "category_code": ("category_code = 'Unknown'", "NULL"),
+    }, "category_code = 'LARGE'")) + report(summary_checks("category_code"), "(SELECT 1)")
+    user_cols = ["user_id", "viewed", "added_to_cart", "purchased", "purchase_count", "purchase_revenue"]
+    S["validate_user_funnel_faulty"] = S["validate_user_funnel"].replace(uf, with_(CLEAN, *funnel_ctes("clean", out="ok"), faulty(user_cols, "ok", {
+        "viewed": ("user_id % 7 = 0", "0"),
+        "added_to_cart": ("user_id % 5 = 0", "0"),
+        "purchase_count": ("user_id % 11 = 0", "-1"),
+        "purchase_revenue": ("user_id % 13 = 0", "-0.5"),
+    }, "user_id % 17 = 0"), "uf AS (SELECT * FROM ss)"))
+    bad_time = with_(CLEAN, *[c.replace("tm AS (", "all_times AS (", 1) if c.startswith("tm AS (") else c for c in time_ctes()],
+                     faulty(tcols, "all_times", {
+                         "time_value": ("time_value = 'Monday' OR (time_value = '05' AND analysis_type = 'funnel_cohort')",
+                                        "CASE WHEN time_value = 'Monday' THEN 'Mon' END"),
+                         "cart_users": ("time_value = 'Friday' AND analysis_type = 'funnel_cohort'", "view_users + 1"),
+                         "revenue": ("time_value = '07'", "-1.0"),
+                     }, "time_value = '11'", "time_value NOT IN ('03', '04')"), "tm AS (SELECT * FROM ss)")
+    S["validate_time_faulty"] = bad_time + report(time_rows, "(SELECT 1)")
+    labels = ("SELECT a.analysis_type, x.time_dimension, x.time_value FROM (VALUES ('funnel_cohort'), ('purchase_activity')) a(analysis_type), "
+              f"(SELECT 'hour' AS time_dimension, unnest([{hours}]) AS time_value UNION ALL SELECT 'day_of_week', unnest([{days}])) x")
+    keys = "analysis_type, time_dimension, time_value"
+    S["time_label_differences"] = bad_time + (
+        f"SELECT *, 'missing' AS side FROM (({labels}) EXCEPT SELECT {keys} FROM tm) "
+        f"UNION ALL SELECT *, 'unexpected' FROM (SELECT {keys} FROM tm EXCEPT ({labels}))")
     S["clean_quality"] = with_(qclean, variant="dirty") + "SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM clean"
     return S
 

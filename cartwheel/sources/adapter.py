@@ -27,6 +27,7 @@ MISSING_SESSION_EVERY = 401
 DUP2_EVERY = 50
 DUP3_EVERY = 250
 COPY_SEQ_OFFSET = 10 ** 9
+VIEWLESS_USER_EVERY = 3
 CHUNK_ROWS = 1000
 # ---------------------------------------------------------------------------
 
@@ -45,7 +46,8 @@ def shop_events(spark: SparkSession, sf_dir: str, variant: str = "base", columns
     join (on its primary key, so it changes no rows) is left out, and unread
     columns, parsed JSON included, are pruned at the scan.
 
-    variant: ``base`` | ``missing_price`` | ``dirty`` | ``duplicates`` | ``disordered``
+    variant: ``base`` | ``missing_price`` | ``dirty`` | ``duplicates`` |
+    ``disordered`` | ``thinned`` (every VIEWLESS_USER_EVERY-th user has no views)
     """
     ev = read_table(spark, sf_dir, "events")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
@@ -68,6 +70,8 @@ def shop_events(spark: SparkSession, sf_dir: str, variant: str = "base", columns
         F.when(cat_pos > 0, cat_pos.cast("bigint")).alias("category_id"),
         F.nullif(F.col("p_type"), F.lit(MISSING_CATEGORY)).alias("category_code"),
         F.nullif(F.col("p_brand"), F.lit(MISSING_BRAND)).alias("brand")]
+    if variant == "thinned":
+        ev = ev.where(~((et == "view") & (F.col("user_id") % VIEWLESS_USER_EVERY == 0)))
     base = ev.withColumn("k", k)
     if with_part:
         base = base.join(part, F.col("k") == F.col("p_partkey"), "left")

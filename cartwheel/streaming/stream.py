@@ -8,13 +8,20 @@
 * ``stream_funnel_merge`` — ``foreachBatch``: each micro-batch is summarised
   with the batch funnel operator (skew-safe aggregates) and merged into the
   previous state snapshot with the ordered-merge algebra; snapshots are
-  written per batch id under the checkpoint root, so a replayed batch
-  rewrites the same snapshot (idempotent).
+  written per query (its checkpoint) and batch id, so a replayed batch
+  rewrites the same snapshot (idempotent) and a query with a new checkpoint
+  starts from empty (I-07).  The snapshot before the latest is kept for
+  replays, older ones are removed.
 * ``stream_funnel_state`` — ``applyInPandasWithState``: the same summary
   kept per key in Spark's state store; the function sees only one key's
   events of one micro-batch.
-* ``stream_activity`` — purchases per hour bucket (complete mode) with
-  distinct users through a streaming dedup on (bucket, user).
+* ``stream_activity`` — purchases per hour or weekday bucket (complete
+  mode) with distinct users through a streaming dedup on (bucket, user).
+* ``stream_counts`` / ``stream_missing`` — running profile counters.
+
+Queries with keyed state run on the RocksDB state store, which keeps the
+state on disk instead of in executor heap; another provider set in the
+session is left as it is.
 
 Micro-batches must arrive in event-time order per key (the reference
 rejects out-of-order chunks, I-04); ``check_order=True`` enforces it.
@@ -23,16 +30,17 @@ Checkpoints always live under ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from decimal import Decimal
+import hashlib
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from cartwheel.functions.columns import hour_label, money
+from cartwheel.functions.columns import hour_label, money, weekday_name
 from cartwheel.operators.funnel import finish, funnel_partials, merge_partials
-from cartwheel.operators.incremental import OutOfOrderBatch
+from cartwheel.operators.incremental import check_batch_order
 from cartwheel.session import scratch_path
 from cartwheel.sources.events import DEDUP_COLUMNS
 
@@ -75,6 +83,26 @@ def replay_slices(df: DataFrame, slice_col: str, run):
     return result
 
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+HEAP_PROVIDER = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+DISK_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def _disk_state(spark: SparkSession):
+    """Starts a query on the RocksDB state store unless the session has
+    chosen another; a query keeps the provider it was first started with."""
+    before = spark.conf.get(PROVIDER, HEAP_PROVIDER)
+    chosen = before.split(".")[-1] != HEAP_PROVIDER.split(".")[-1]
+    if not chosen:
+        spark.conf.set(PROVIDER, DISK_PROVIDER)
+    try:
+        yield
+    finally:
+        if not chosen:
+            spark.conf.set(PROVIDER, before)
+
+
 def _run(q):
     q.awaitTermination()
     if q.exception() is not None:
@@ -84,9 +112,7 @@ def _run(q):
 def stream_dedup(stream: DataFrame, out_path: str, keys=DEDUP_COLUMNS, watermark: str | None = None,
                  time_col: str = "event_time", checkpoint: str | None = None) -> str:
     """Exact streaming dedup into a Parquet sink (append mode).  Without a
-    watermark every distinct row stays in the state store: for large keyed
-    state set spark.sql.streaming.stateStore.providerClass to the RocksDB
-    provider, which keeps it on disk instead of in executor heap."""
+    watermark every distinct row stays in the state store, on disk."""
     spark = stream.sparkSession
     s = stream
     if watermark:
@@ -94,30 +120,33 @@ def stream_dedup(stream: DataFrame, out_path: str, keys=DEDUP_COLUMNS, watermark
         s = s.dropDuplicatesWithinWatermark(list(keys)).drop("_wm")
     else:
         s = s.dropDuplicates(list(keys))
-    q = (s.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-dedup"))
-         .trigger(availableNow=True).start(out_path))
-    _run(q)
+    with _disk_state(spark):
+        q = (s.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-dedup"))
+             .trigger(availableNow=True).start(out_path))
+        _run(q)
     return out_path
 
 
-def _latest_version(spark: SparkSession, root: str, before: int):
-    """Highest committed snapshot version below ``before`` (listed from the
-    snapshot folder, so a restarted driver finds it again)."""
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Committed snapshot versions, ascending (listed from the snapshot
+    folder, so a restarted driver finds them again)."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(conf)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
-        return None
-    best = None
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            v = int(name[2:])
-            if v < before and (best is None or v > best):
-                best = v
-    return best
+        return []
+    return sorted(int(st.getPath().getName()[2:]) for st in fs.listStatus(path)
+                  if st.getPath().getName().startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")))
+
+
+def _drop_versions(spark: SparkSession, root: str, before: int) -> None:
+    jvm = spark.sparkContext._jvm
+    for v in _versions(spark, root):
+        if v < before:
+            for folder in (f"{root}/v={v:09d}", f"{root}/meta/v={v:09d}"):
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stream_funnel_merge(stream: DataFrame, state_root: str, keys=("user_id",), check_order: bool = True,
@@ -126,12 +155,15 @@ def stream_funnel_merge(stream: DataFrame, state_root: str, keys=("user_id",), c
 
     Each micro-batch is summarised with the batch operator and merged into
     the previous snapshot; snapshot ``v=<batch id>`` holds the partial state
-    and ``meta/v=<batch id>`` the latest event time seen.  Both are found
-    again by listing, so a restarted query continues from its checkpoint; a
-    replayed batch overwrites its own snapshot.  Returns the latest snapshot
-    folder."""
+    and ``meta/v=<batch id>`` the latest event time seen.  Both lie in a
+    folder of the query's checkpoint and are found again by listing, so a
+    restarted query continues from its checkpoint and a new one starts from
+    empty; a replayed batch overwrites its own snapshot.  Returns the latest
+    snapshot folder."""
     spark = stream.sparkSession
     keys = list(keys)
+    checkpoint = checkpoint or scratch_path(spark, "ckpt-funnel")
+    root = f"{state_root}/query={hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
 
     def step(batch: DataFrame, batch_id: int):
         batch.persist()
@@ -141,36 +173,37 @@ def stream_funnel_merge(stream: DataFrame, state_root: str, keys=("user_id",), c
             batch.unpersist()
 
     def merge(batch: DataFrame, batch_id: int):
-        prev = _latest_version(spark, state_root, batch_id)
+        prev = max((v for v in _versions(spark, root) if v < batch_id), default=None)
         rows, lo, hi = batch.agg(F.count(F.lit(1)), F.min("event_time"), F.max("event_time")).first()
         if rows == 0:
             return
         prev_hi = None
         if prev is not None:
-            prev_hi = spark.read.parquet(f"{state_root}/meta/v={prev:09d}").first()["hi"]
-        if check_order and prev_hi is not None and lo is not None and lo < prev_hi:
-            raise OutOfOrderBatch(f"batch {batch_id} starts before already processed events")
+            prev_hi = spark.read.parquet(f"{root}/meta/v={prev:09d}").first()["hi"]
+        if check_order:
+            check_batch_order(prev_hi, lo, f"batch {batch_id}")
         part = funnel_partials(batch, keys)
         if prev is not None:
-            part = merge_partials(spark.read.parquet(f"{state_root}/v={prev:09d}"), part, keys)
+            part = merge_partials(spark.read.parquet(f"{root}/v={prev:09d}"), part, keys)
         # a batch without any time still has purchases and revenue to add
         hi = max((h for h in (prev_hi, hi) if h is not None), default=None)
         spark.createDataFrame([(hi,)], "hi timestamp_ntz").write.mode("overwrite") \
-            .parquet(f"{state_root}/meta/v={batch_id:09d}")
-        part.write.mode("overwrite").parquet(f"{state_root}/v={batch_id:09d}")
+            .parquet(f"{root}/meta/v={batch_id:09d}")
+        part.write.mode("overwrite").parquet(f"{root}/v={batch_id:09d}")
+        if prev is not None:  # kept: a replay of this batch starts from it again
+            _drop_versions(spark, root, prev)
 
-    q = (stream.writeStream.foreachBatch(step)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-funnel"))
+    q = (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     _run(q)
-    latest = _latest_version(spark, state_root, 1 << 62)
-    return None if latest is None else f"{state_root}/v={latest:09d}"
+    have = _versions(spark, root)
+    return f"{root}/v={have[-1]:09d}" if have else None
 
 
 # -- applyInPandasWithState --------------------------------------------------
 
 _STATE_SCHEMA = ("V string, C string, P string, VC string, CP string, VCP string, "
-                 "purchase_count long, revenue string, version long")
+                 "purchase_count long, cents long, version long")
 
 
 def _summarise(pdfs) -> dict:
@@ -183,7 +216,7 @@ def _summarise(pdfs) -> dict:
     Positions are fixed-width digit strings, so text order is numeric order."""
     firsts = {"V": None, "C": None, "P": None}
     carts, buys = [], []
-    count, revenue = 0, Decimal(0)
+    count, cents = 0, 0
     for pdf in pdfs:
         pos, et = pdf["_pos"], pdf["event_type"]
         for k, t in (("V", "view"), ("C", "cart"), ("P", "purchase")):
@@ -192,8 +225,9 @@ def _summarise(pdfs) -> dict:
                 firsts[k] = m.min() if firsts[k] is None else min(firsts[k], m.min())
         carts.append(pos[et == "cart"])
         buys.append(pos[et == "purchase"])
-        count += int((et == "purchase").sum())
-        revenue += sum((Decimal(x) for x in pdf.loc[et == "purchase", "_price"].dropna().tolist()), start=Decimal(0))
+        bought = et == "purchase"
+        count += int(bought.sum())
+        cents += int(pdf.loc[bought, "_cents"].sum())
     carts = pd.concat(carts) if carts else pd.Series([], dtype=object)
     buys = pd.concat(buys) if buys else pd.Series([], dtype=object)
 
@@ -208,7 +242,7 @@ def _summarise(pdfs) -> dict:
     out["CP"] = first_after(buys, out["C"])
     out["VCP"] = first_after(buys, out["VC"])
     out["purchase_count"] = count
-    out["revenue"] = revenue
+    out["cents"] = cents
     return out
 
 
@@ -220,7 +254,7 @@ def _merge(a: dict, b: dict) -> dict:
         "CP": a["CP"] or (b["P"] if a["C"] else b["CP"]),
         "VCP": a["VCP"] or (b["P"] if a["VC"] else (b["CP"] if a["V"] else b["VCP"])),
         "purchase_count": a["purchase_count"] + b["purchase_count"],
-        "revenue": a["revenue"] + b["revenue"],
+        "cents": a["cents"] + b["cents"],
     }
 
 
@@ -230,16 +264,15 @@ def _state_fn(key, pdfs, state):
         v = state.get
         prev = {k: v[i] for i, k in enumerate(["V", "C", "P", "VC", "CP", "VCP"])}
         prev["purchase_count"] = v[6]
-        prev["revenue"] = Decimal(v[7])
+        prev["cents"] = v[7]
         version = v[8] + 1
         cur = _merge(prev, batch)
     else:
         cur, version = batch, 0
     state.update(tuple(cur[k] for k in ["V", "C", "P", "VC", "CP", "VCP"])
-                 + (cur["purchase_count"], str(cur["revenue"]), version))
+                 + (cur["purchase_count"], cur["cents"], version))
     yield pd.DataFrame([{"user_id": key[0], **{k: cur[k] for k in ["V", "C", "P", "VC", "CP", "VCP"]},
-                         "purchase_count": cur["purchase_count"], "revenue": str(cur["revenue"]),
-                         "version": version}])
+                         "purchase_count": cur["purchase_count"], "cents": cur["cents"], "version": version}])
 
 
 def stream_funnel_state(stream: DataFrame, out_path: str, checkpoint: str | None = None) -> str:
@@ -248,18 +281,19 @@ def stream_funnel_state(stream: DataFrame, out_path: str, checkpoint: str | None
     from cartwheel.functions.columns import event_pos
     spark = stream.sparkSession
     ev = stream.select("user_id", "event_type", event_pos().cast("string").alias("_pos"),
-                       money("price").cast("string").alias("_price"))
+                       F.coalesce(money("price") * 100, F.lit(0)).cast("bigint").alias("_cents"))
     # packed positions are fixed-width decimal text → compare by (length, text)
     ev = ev.withColumn("_pos", F.lpad("_pos", 40, "0"))
     out = ev.groupBy("user_id").applyInPandasWithState(
         _state_fn,
         "user_id long, V string, C string, P string, VC string, CP string, VCP string, "
-        "purchase_count long, revenue string, version long",
+        "purchase_count long, cents long, version long",
         _STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
-    q = (out.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-funnel-state"))
-         .trigger(availableNow=True).start(out_path))
-    _run(q)
+    with _disk_state(spark):
+        q = (out.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-funnel-state"))
+             .trigger(availableNow=True).start(out_path))
+        _run(q)
     return out_path
 
 
@@ -267,19 +301,21 @@ def latest_state(spark: SparkSession, path: str, keys=("user_id",)) -> DataFrame
     """Last emitted version per key of an append-mode state log, as a funnel."""
     keys = list(keys)
     log = spark.read.parquet(path)
-    cols = ["V", "C", "P", "VC", "CP", "VCP", "purchase_count", "revenue"]
+    cols = ["V", "C", "P", "VC", "CP", "VCP", "purchase_count", "cents"]
     last = log.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col("version")).alias("s")).select(*keys, "s.*")
     parts = last.select(*keys, *[F.col(c).cast("decimal(38,0)").alias(c) for c in ["V", "C", "P", "VC", "CP", "VCP"]],
-                        "purchase_count", F.col("revenue").cast("decimal(28,2)").alias("revenue_dec"))
+                        "purchase_count", (F.col("cents").cast("decimal(26,2)") / 100).cast("decimal(28,2)").alias("revenue_dec"))
     return finish(parts, keys)
 
 
-def stream_activity(stream: DataFrame, out_path: str, checkpoint: str | None = None) -> str:
-    """Purchases per hour bucket: events and revenue by streaming aggregate,
-    distinct users via streaming dedup on (bucket, user) (I-05)."""
+def stream_activity(stream: DataFrame, out_path: str, checkpoint: str | None = None, dimension: str = "hour") -> str:
+    """Purchases per bucket of ``dimension`` (hour or day_of_week): events and
+    revenue by streaming aggregate, distinct users via streaming dedup on
+    (bucket, user) (I-05)."""
     spark = stream.sparkSession
+    bucket = {"hour": hour_label(F.hour("event_time")), "day_of_week": weekday_name("event_time")}[dimension]
     p = (stream.where(F.col("event_type") == "purchase")
-         .select(hour_label(F.hour("event_time")).alias("time_value"), "user_id",
+         .select(bucket.alias("time_value"), "user_id",
                  money(F.coalesce(F.col("price"), F.lit(0))).alias("price"),
                  F.lit(1).alias("first_of_user")))
     # first purchase of a (bucket, user) pair marks a distinct user
@@ -289,24 +325,27 @@ def stream_activity(stream: DataFrame, out_path: str, checkpoint: str | None = N
            .groupBy("time_value").agg(F.sum("u").alias("purchase_users"), F.sum("e").alias("purchase_events"),
                                       F.sum("price").alias("revenue")))
 
+    return _complete(agg, out_path, checkpoint or scratch_path(spark, "ckpt-activity"))
+
+
+def _complete(agg: DataFrame, out_path: str, checkpoint: str) -> str:
+    """Runs a complete-mode aggregate; each trigger rewrites the totals."""
     def sink(batch: DataFrame, batch_id: int):
         batch.write.mode("overwrite").parquet(out_path)
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-activity"))
-         .trigger(availableNow=True).start())
-    _run(q)
+    with _disk_state(agg.sparkSession):
+        _run(agg.writeStream.outputMode("complete").foreachBatch(sink).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
     return out_path
 
 
-__all__ = ["write_ordered_slices", "event_stream", "stream_dedup", "stream_funnel_merge",
-           "stream_funnel_state", "stream_activity", "stream_counts", "latest_state"]
+__all__ = ["write_ordered_slices", "replay_slices", "event_stream", "stream_dedup", "stream_funnel_merge",
+           "stream_funnel_state", "stream_activity", "stream_counts", "stream_missing", "latest_state"]
 
 
 def stream_counts(stream: DataFrame, out_path: str, checkpoint: str | None = None) -> str:
     """Incremental profile counters (I-06): events, zero-price events and
-    missing category / brand per event type, complete mode; each trigger
-    rewrites the current totals."""
+    unknown category / brand per event type of filled events."""
     spark = stream.sparkSession
     agg = stream.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("events"),
@@ -314,11 +353,11 @@ def stream_counts(stream: DataFrame, out_path: str, checkpoint: str | None = Non
         F.count_if(F.col("category_code") == "Unknown").alias("unknown_category_code"),
         F.count_if(F.col("brand") == "Unknown").alias("unknown_brand"))
 
-    def sink(batch: DataFrame, batch_id: int):
-        batch.write.mode("overwrite").parquet(out_path)
+    return _complete(agg, out_path, checkpoint or scratch_path(spark, "ckpt-profile"))
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-profile"))
-         .trigger(availableNow=True).start())
-    _run(q)
-    return out_path
+
+def stream_missing(stream: DataFrame, out_path: str, columns=DEDUP_COLUMNS, checkpoint: str | None = None) -> str:
+    """Running missing-value counts of the raw columns, before any fill
+    (I-06): one row of totals over everything that has arrived."""
+    agg = stream.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in columns])
+    return _complete(agg, out_path, checkpoint or scratch_path(stream.sparkSession, "ckpt-missing"))

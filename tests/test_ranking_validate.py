@@ -84,3 +84,21 @@ def test_order_check_detects_swapped_chunks(spark):
     df = spark.createDataFrame(rows, "chunk long, event_time timestamp_ntz")
     bad = sorted(r.chunk for r in va.order_check(df).where(~F.col("in_order")).collect())
     assert bad == [2]
+
+
+def test_faulty_tables_fail_every_planted_check(spark, sf_dir):
+    from cartwheel.plans.catalog import QUERIES
+
+    def failed(name):
+        return {r["check"] for r in QUERIES[name](spark, sf_dir).where("not passed").collect()}
+
+    assert {"duplicate_key", "missing_key", "negative_purchase_events", "cart_gt_view", "purchase_gt_cart", "purchase_gt_view",
+            "rate_view_to_cart", "rate_view_to_purchase", "purchases_without_revenue"} <= failed("validate_category_faulty")
+    assert {"duplicate_key", "negative_purchase_count", "negative_purchase_revenue", "cart_without_view",
+            "purchase_without_cart"} <= failed("validate_user_funnel_faulty")
+    assert {"duplicate_key", "row_count_vs_expected", "missing_hour", "missing_weekday", "unexpected_hour", "unexpected_weekday",
+            "activity_hours_vs_24", "negative_metrics", "hierarchy", "rate_recompute"} <= failed("validate_time_faulty")
+    labels = {tuple(r) for r in QUERIES["time_label_differences"](spark, sf_dir).collect()}
+    assert {("funnel_cohort", "hour", "03", "missing"), ("purchase_activity", "hour", "03", "missing"), ("funnel_cohort", "hour", None, "unexpected"),
+            ("purchase_activity", "day_of_week", "Mon", "unexpected"), ("funnel_cohort", "day_of_week", "Monday", "missing")} <= labels
+    assert QUERIES["purchase_only_users_thinned"](spark, sf_dir).count() > 0

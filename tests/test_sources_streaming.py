@@ -129,3 +129,30 @@ def test_quotes_and_null_tokens_in_every_column(spark, tmp_path):
     path = _write(tmp_path, [HEADER + '\n"a ""b"", c",' + ",".join(["NA"] * 8) + "\n" + ",".join(["NaN"] * 9) + "\n"])
     rows = normalize_null_tokens(read_events(spark, path, "csv")).orderBy("seq").drop("seq").collect()
     assert rows[0]["event_time"] == 'a "b", c' and all(v is None for v in rows[0][1:]) and all(v is None for v in rows[1])
+
+
+def test_new_query_starts_from_empty(spark, sf_dir):
+    """A query with a new checkpoint on a used state folder neither returns
+    nor continues the older query's snapshots, even with fewer batches (I-07);
+    only the latest snapshot and the one before it are kept."""
+    ev = fill_unknown(shop_events(spark, sf_dir))
+    sliced = ev.withColumn("_slice", F.floor(F.col("seq") / 2500).cast("int"))
+    long, short, state = (scratch_path(spark, n) for n in ("long-src", "short-src", "shared-state"))
+    write_ordered_slices(sliced, "_slice", long)
+    write_ordered_slices(sliced.where("_slice = 3"), "_slice", short)
+    first = stream_funnel_merge(event_stream(spark, long, ev.schema), state)
+    second = stream_funnel_merge(event_stream(spark, short, ev.schema), state)
+    for latest, events in ((first, ev), (second, sliced.where("_slice = 3"))):
+        assert sorted(fn.finish(spark.read.parquet(latest), ["user_id"]).collect()) == sorted(fn.user_funnel(events).collect())
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(first).getParent()
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert sorted(s.getPath().getName() for s in fs.listStatus(path)) == ["meta", "v=000000002", "v=000000003"]
+
+
+def test_batch_order_check():
+    from cartwheel.operators.incremental import check_batch_order
+    check_batch_order(None, 1)
+    check_batch_order(5, None)
+    check_batch_order(5, 5)
+    with pytest.raises(OutOfOrderBatch, match="batch 7"):
+        check_batch_order(5, 4, "batch 7")
