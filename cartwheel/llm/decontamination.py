@@ -1,13 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman.
+"""Benchmark decontamination: n-gram hits, then Smith-Waterman.
 
 The benchmark is the small side: it is cut into blocks of bounded size and
 every block meets all documents in one pass over their whole texts.  A pass
 maps words to the block's vocabulary, finds runs of ``n`` such words whose
-gram stands in an item, and keeps the stretch of text around them.  Document
-frequencies of the grams are counted over the whole corpus; the rarest of
-each item are its seeds, so a passage that leaked into a third of all
-documents still has seeds.  Stretches with a seed are aligned with the item
-word by word, which scores edited and paraphrased copies.
+gram stands in an item, and takes the stretch of text around them.  Every
+stretch is aligned with its item word by word in the same task, which scores
+edited and paraphrased copies; only stretches that share too few words with
+the item for the wanted similarity, whatever their order, are left out.
 """
 
 from __future__ import annotations
@@ -18,17 +17,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from cartwheel.llm.common import mix, ship, table, text_column, tidy
+from cartwheel.llm.common import mix, ship, text_column, tidy
 
-GRAM, SEED_SHARE, LEAST_SEEDS = 4, 0.5, 8
+GRAM = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 SIMILARITY = 0.4
 #: Bytes of benchmark text that a task holds at a time.
 BLOCK_BYTES = 16_000_000
-#: Cells of the alignment matrices held at a time.
-CELLS = 2_000_000
+#: Cells of the alignment matrices held at a time, and words of stretches that
+#: a task gathers before it aligns them.
+CELLS, HELD_WORDS = 500_000, 2_000_000
 
 _WORD = re.compile(r"[^\W_]+")
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
@@ -51,7 +50,7 @@ class _Block:
     items and offsets where it stands."""
 
     def __init__(self, items):
-        self.ids, self.lengths, vocabulary, rows = [], [], {}, []
+        self.ids, self.lengths, self.words, self.bags, vocabulary, rows = [], [], [], [], {}, []
         for item_id, text in items:
             words = np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)], dtype=np.int64)
             if len(words) >= GRAM:
@@ -59,15 +58,28 @@ class _Block:
                 rows.append((gram_keys(words, at), np.full(len(at), len(self.ids)), at))
                 self.ids.append(item_id)
                 self.lengths.append(len(words))
+                self.words.append(words)
+                self.bags.append(np.unique(words, return_counts=True))
+        self.lengths = np.array(self.lengths, dtype=np.int64)
         self.vocabulary = vocabulary
         keys, item, at = (np.concatenate(x) for x in zip(*rows)) if rows else (np.zeros(0, np.uint64),) * 3
         order = np.argsort(keys, kind="stable")
         self.keys, self.item, self.at = keys[order], item[order].astype(np.int64), at[order].astype(np.int64)
 
-    def hits(self, words):
-        """(position, gram row) of every gram of the block in the words."""
+    def numbers(self, words):
+        """Numbers of the words in the vocabulary, 0 for others."""
         get = self.vocabulary.get
-        ids = np.array([get(w, 0) for w in words], dtype=np.int64)
+        return np.array([get(w, 0) for w in words], dtype=np.int64)
+
+    def common(self, item, ids):
+        """Words of the item that the word numbers hold, whatever the order:
+        no alignment has more matches."""
+        known, times = self.bags[item]
+        at = np.minimum(np.searchsorted(known, ids), len(known) - 1)
+        return int(np.minimum(np.bincount(at[known[at] == ids], minlength=len(known)), times).sum())
+
+    def hits(self, ids):
+        """(position, gram row) of every gram of the block in the words."""
         if len(ids) < GRAM or not len(self.keys):
             return None
         known = np.flatnonzero(_all_known(ids > 0))
@@ -89,57 +101,84 @@ def _all_known(known: np.ndarray) -> np.ndarray:
     return out
 
 
-def _stretches(items):
-    """Stretches of a document around the grams of each item."""
+def _copies(items, similarity):
+    """Stretches of a document around the grams of each item, aligned with
+    it: those of at least ``similarity``."""
+    def stretches(block, ids):
+        found = block.hits(ids)
+        if found is None:
+            return
+        pos, gram = found
+        item = block.item[gram]
+        order = np.lexsort((pos, item))
+        pos, gram, item = pos[order], gram[order], item[order]
+        length = block.lengths[item]
+        pad = length // 4 + 2
+        start = np.maximum(0, pos - block.at[gram] - pad)
+        end = np.minimum(len(ids), pos - block.at[gram] + length + pad)
+        i = 0
+        while i < len(pos):
+            j, s, e = i + 1, start[i], end[i]
+            while j < len(pos) and item[j] == item[i] and start[j] <= e:
+                s, e, j = min(s, start[j]), max(e, end[j]), j + 1
+            k = int(item[i])
+            if MATCH * block.common(k, ids[s:e]) / (MATCH * len(block.words[k])) >= similarity:
+                yield k, int(s), ids[s:e].astype(np.int32)
+            i = j
+
+    def aligned(block, held):
+        score, where = align_pairs([block.words[h[2]] for h in held], [h[4] for h in held])
+        share = score / (MATCH * block.lengths[[h[2] for h in held]])
+        good = np.flatnonzero(share >= similarity)
+        doc, key, item, start, _ = zip(*(held[i] for i in good)) if len(good) else ((),) * 5
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array([block.ids[i] for i in item], pa.int64()), pa.array(score[good], pa.int64()),
+             pa.array(np.array(start, dtype=np.int64) + where[good], pa.int64()), pa.array(share[good], pa.float64())],
+            names=["doc_id", "key", "item_id", "score", "end_word", "similarity"])
+
     @tidy
     def run(batches):
         block = _Block(items.value)
+        held, words = [], 0
         for batch in batches:
-            rows = []
             for doc_id, key, text in zip(*(batch.column(i) for i in range(3))):
-                words = words_of(text.as_py())
-                found = block.hits(words)
-                if found is None:
-                    continue
-                pos, gram = found
-                item = block.item[gram]
-                order = np.lexsort((pos, item))
-                pos, gram, item = pos[order], gram[order], item[order]
-                length = np.array(block.lengths)[item]
-                pad = length // 4 + 2
-                start = np.maximum(0, pos - block.at[gram] - pad)
-                end = np.minimum(len(words), pos - block.at[gram] + length + pad)
-                i = 0
-                while i < len(pos):
-                    j, s, e = i + 1, start[i], end[i]
-                    while j < len(pos) and item[j] == item[i] and start[j] <= e:
-                        s, e, j = min(s, start[j]), max(e, end[j]), j + 1
-                    rows.append((doc_id.as_py(), key.as_py(), block.ids[item[i]], int(s), words[s:e],
-                                 np.unique(block.keys[gram[i:j]]).view(np.int64).tolist()))
-                    i = j
-            if rows:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                                 names=["doc_id", "key", "item_id", "start", "words", "grams"])
+                for item, start, ids in stretches(block, block.numbers(words_of(text.as_py()))):
+                    held.append((doc_id.as_py(), key.as_py(), item, start, ids))
+                    words += len(ids)
+                    if words > HELD_WORDS:
+                        yield aligned(block, held)
+                        held, words = [], 0
+        if held:
+            yield aligned(block, held)
     return run
 
 
-def align(item: list[str], stretches: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    """Best local alignment score of the item with each stretch, and the word
-    of the stretch where it ends (exclusive).  All stretches advance together
-    one item word at a time; a running maximum carries the gaps."""
+def align_pairs(items: list[np.ndarray], stretches: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Best local alignment score of each item with its stretch (arrays of
+    word numbers, of items above 0), and the word of the stretch where it ends
+    (exclusive).  Pairs of similar size advance together one item word at a
+    time; a running maximum carries the gaps."""
+    best, where = np.zeros(len(items), dtype=np.int64), np.zeros(len(items), dtype=np.int64)
+    order = sorted(range(len(items)), key=lambda i: (len(stretches[i]), len(items[i])))
+    while order:
+        n = max(1, min(len(order), CELLS // max(1, len(stretches[order[-1]]))))
+        part, order = order[-n:], order[:-n]
+        best[part], where[part] = _align([items[i] for i in part], [stretches[i] for i in part])
+    return best, where
+
+
+def _align(items, stretches):
     longest = max(map(len, stretches))
-    number = {}
-    a = [number.setdefault(w, len(number)) for w in item]
-    b = np.full((len(stretches), longest), -1, dtype=np.int64)
-    for i, s in enumerate(stretches):
-        b[i, :len(s)] = [number.get(w, -1) for w in s]
+    a = np.full((max(map(len, items)), len(items)), -2, dtype=np.int32)  # past an item's end nothing matches
+    b = np.full((len(stretches), longest), -1, dtype=np.int32)
+    for i, (x, y) in enumerate(zip(items, stretches)):
+        a[:len(x), i], b[i, :len(y)] = x, y
     inside = np.arange(longest) < np.array([len(s) for s in stretches])[:, None]
     slope = -GAP * np.arange(1, longest + 1, dtype=np.int32)
     h = np.zeros((len(stretches), longest + 1), dtype=np.int32)
     best, where = np.zeros(len(stretches), dtype=np.int32), np.zeros(len(stretches), dtype=np.int64)
     for w in a:
-        step = np.where(b == w, MATCH, MISMATCH).astype(np.int32)
+        step = np.where(b == w[:, None], np.int32(MATCH), np.int32(MISMATCH))
         now = np.maximum(np.maximum(h[:, :-1] + step, h[:, 1:] + GAP), 0)
         now = np.maximum.accumulate(now + slope, axis=1) - slope
         now[~inside] = 0
@@ -151,30 +190,12 @@ def align(item: list[str], stretches: list[list[str]]) -> tuple[np.ndarray, np.n
     return best, where
 
 
-def _aligning(batches):
-    for batch in batches:
-        t = batch.to_pydict()
-        scores, ends = [0] * batch.num_rows, [0] * batch.num_rows
-        by_item = {}
-        for i, item in enumerate(t["item_text"]):
-            by_item.setdefault(item, []).append(i)
-        lengths = []
-        for text, rows in by_item.items():
-            item = words_of(text)
-            for i in rows:
-                lengths.append((i, len(item)))
-            rows.sort(key=lambda i: len(t["words"][i]))
-            while rows:
-                n = max(1, min(len(rows), CELLS // max(1, len(t["words"][rows[-1]]))))
-                part, rows = rows[-n:], rows[:-n]
-                best, where = align(item, [t["words"][i] for i in part])
-                for i, b, e in zip(part, best.tolist(), where.tolist()):
-                    scores[i], ends[i] = b, t["start"][i] + e
-        size = dict(lengths)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), batch.column(2), pa.array(scores, pa.int64()), pa.array(ends, pa.int64()),
-             pa.array([s / (MATCH * size[i]) for i, s in enumerate(scores)], pa.float64())],
-            names=["doc_id", "key", "item_id", "score", "end_word", "similarity"])
+def align(item: list[str], stretches: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """Best local alignment score of the item with each stretch, and the word
+    of the stretch where it ends (exclusive)."""
+    number = {}
+    a = np.array([number.setdefault(w, len(number) + 1) for w in item], dtype=np.int64)
+    return align_pairs([a] * len(stretches), [np.array([number.get(w, 0) for w in s], dtype=np.int64) for s in stretches])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -202,23 +223,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     found = None
     for k in range(n_blocks):
         block = [(r[0], r[1]) for r in items.filter(part == k).collect()]
-        one = base.mapInArrow(_stretches(spark.sparkContext.broadcast(block)),
-                              "doc_id long, key long, item_id long, start long, words array<string>, grams array<long>")
+        one = base.mapInArrow(_copies(spark.sparkContext.broadcast(block), similarity),
+                              "doc_id long, key long, item_id long, score long, end_word long, similarity double")
         found = one if found is None else found.unionByName(one)
-    found = table(found, "stretches")
-
-    frequency = (found.select("item_id", F.explode("grams").alias("gram")).groupBy("item_id", "gram").agg(F.count("*").alias("df")))
-    by_df = Window.partitionBy("item_id").orderBy("df", "gram")  # as many rows as the item has grams
-    ranked = frequency.withColumn("rank", F.row_number().over(by_df)).withColumn("n", F.count("*").over(Window.partitionBy("item_id")))
-    seeds = (ranked.filter(F.col("rank") <= F.greatest(F.lit(LEAST_SEEDS), F.ceil(F.col("n") * SEED_SHARE)))
-             .groupBy("item_id").agg(F.collect_list("gram").alias("seeds")))
-    candidates = (found.join(seeds, found["item_id"].eqNullSafe(seeds["item_id"])).drop(seeds["item_id"])
-                  .filter(F.arrays_overlap("grams", "seeds")).drop("grams", "seeds"))
-    whole = candidates.alias("c").join(items.alias("i"), F.col("c.item_id").eqNullSafe(F.col("i.item_id"))).select(
-        "c.doc_id", "c.key", "c.item_id", "c.start", "c.words", "i.item_text")
-    aligned = whole.mapInArrow(_aligning, "doc_id long, key long, item_id long, score long, end_word long, similarity double")
     best = F.max(F.struct("similarity", "score", "end_word")).alias("b")
-    return (aligned.filter(F.col("similarity") >= similarity).groupBy("doc_id", "key", "item_id").agg(best)
+    return (found.groupBy("doc_id", "key", "item_id").agg(best)
             .select("doc_id", "key", "item_id", "b.score", "b.end_word", "b.similarity"))
 
 

@@ -227,6 +227,32 @@ def test_decontamination(docs, empty, spark):
     assert decontamination.contaminated(docs, bench.filter("item_id = 0")).count() == 0
 
 
+def test_decontamination_finds_spread_edited_copies(spark):
+    """One exact copy, and the same edited or partial copy in many documents:
+    what the spread copy keeps of the item is never its rarest part."""
+    r = random.Random(11)
+    items, made = [], []
+    for k in range(12):
+        item = [f"i{k}w{j}" for j in range(r.randint(16, 59))]
+        items.append((k, " ".join(item)))
+        made.append(" ".join([f"a{k}", *item, "end"]))
+        edited = [w if r.random() > 0.2 else "edited" for w in item]
+        half = item[:len(item) // 2 + 1]
+        made += [" ".join([f"b{j}", *copy, f"c{k}"]) for copy in (edited, half) for j in range(4)]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    expected = {}
+    for k, text in items:
+        words_, grams = text.split(), set(zip(*(text.split()[j:] for j in range(4))))
+        scores = decontamination.align(words_, [t.split() for t in made])[0].tolist()
+        for i, score in enumerate(scores):
+            if score / (2 * len(words_)) >= decontamination.SIMILARITY and grams & set(zip(*(made[i].split()[j:] for j in range(4)))):
+                expected[i, k] = score
+    assert len(expected) > 80
+    got = {(x["doc_id"], x["item_id"]): x["score"] for x in decontamination.contaminated(docs, bench).collect()}
+    assert got == expected
+
+
 def test_alignment_equals_the_plain_program():
     def plain(a, b):
         h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
