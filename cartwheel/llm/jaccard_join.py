@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm.common import BASES, components, mix, ship, table, text_column, tidy, word_hashes
 
-#: Words of a shingle; links need 100 * intersection >= PERCENT * union.
+#: Words of a shingle, unless a caller asks for others; links need
+#: 100 * intersection >= PERCENT * union.
 WORDS, PERCENT = 3, 90
 #: Upper ends of the size bands grow by this factor; 64-bit words of a bitmap;
 #: members of one block of a tile.
@@ -43,31 +44,31 @@ def _edges(limit: int) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
-def shingles(text: str) -> np.ndarray:
+def shingles(text: str, size: int = WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word n-grams; a shorter text's
     whole sequence is one; no words, none."""
     h, _, _ = word_hashes(text.encode().lower())
     if not len(h):
         return h
-    k = min(WORDS, len(h))
+    k = min(size, len(h))
     out = np.full(len(h) - k + 1, k, dtype=np.uint64)
     for j in range(k):
         out = out * BASES[1] + mix(h[j:len(h) - k + 1 + j] + BASES[j % 3])
     return np.unique(mix(out))
 
 
-def _slices(s: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
+def _slices(s: np.ndarray, edges: np.ndarray, percent: int) -> list[np.ndarray]:
     """Hashes of the set's slices, for its own band and, if a linked set may
     lie there, the next one."""
     n, out = len(s), []
     band = int(np.searchsorted(edges, n, side="right")) - 1
     spread = mix(s)
     for k in (band, band + 1):
-        if k > band and 100 * n < PERCENT * edges[k]:
+        if k > band and 100 * n < percent * edges[k]:
             break
         top = int(edges[k + 1]) - 1
-        # |x ^ y| <= (|x| + |y|) (100 - PERCENT) / (100 + PERCENT) for linked sets
-        differ = 2 * top * (100 - PERCENT) // (100 + PERCENT)
+        # |x ^ y| <= (|x| + |y|) (100 - percent) / (100 + percent) for linked sets
+        differ = 2 * top * (100 - percent) // (100 + percent)
         m = differ + 1
         at = np.searchsorted(s, np.array([(i << 64) // m for i in range(m)], dtype=np.uint64))
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(spread)))
@@ -77,45 +78,49 @@ def _slices(s: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-@tidy
-def _signatures(batches):
-    edges = _edges(1 << 40)
-    for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
-            rows = []
-            for doc_id, text in zip(part.column(0), part.column(1)):
-                s = shingles(text.as_py())
-                if not len(s):
-                    rows.append((doc_id.as_py(), 0, 0, 0, [0] * BITMAP, []))
-                    continue
-                bit = (s % np.uint64(64 * BITMAP)).astype(np.int64)
-                words = np.zeros(64 * BITMAP, dtype=np.uint8)
-                words[bit] = 1
-                rows.append((doc_id.as_py(), len(s), *(np.array([mix(s).sum(), mix(s ^ BASES[0]).sum()], dtype=np.uint64).view(np.int64).tolist()),
-                             np.packbits(words).view(np.int64).tolist(), np.concatenate(_slices(s, edges)).view(np.int64)))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                             names=["doc_id", "n", "h1", "h2", "bits", "slices"])
-
-
-@tidy
-def _intersections(batches):
+def _signatures(size, percent):
+    @tidy
+    def run(batches):
+        edges = _edges(1 << 40)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                rows = []
+                for doc_id, text in zip(part.column(0), part.column(1)):
+                    s = shingles(text.as_py(), size)
+                    if not len(s):
+                        rows.append((doc_id.as_py(), 0, 0, 0, [0] * BITMAP, []))
+                        continue
+                    bit = (s % np.uint64(64 * BITMAP)).astype(np.int64)
+                    words = np.zeros(64 * BITMAP, dtype=np.uint8)
+                    words[bit] = 1
+                    rows.append((doc_id.as_py(), len(s), *(np.array([mix(s).sum(), mix(s ^ BASES[0]).sum()], dtype=np.uint64).view(np.int64).tolist()),
+                                 np.packbits(words).view(np.int64).tolist(), np.concatenate(_slices(s, edges, percent)).view(np.int64)))
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                                 names=["doc_id", "n", "h1", "h2", "bits", "slices"])
+    return run
+
+
+def _intersections(size, percent):
     """Exact check of the pairs (a, b, text of a, text of b)."""
-    for batch in batches:
-        linked, last, x = [], None, None
-        for a, b in zip(batch.column(2), batch.column(3)):
-            a = a.as_py()
-            if a != last:
-                last, x = a, shingles(a)
-            y = shingles(b.as_py())
-            if not len(x) or not len(y):
-                linked.append(False)
-                continue
-            at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-            both = int((x[at] == y).sum())
-            linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+    @tidy
+    def run(batches):
+        for batch in batches:
+            linked, last, x = [], None, None
+            for a, b in zip(batch.column(2), batch.column(3)):
+                a = a.as_py()
+                if a != last:
+                    last, x = a, shingles(a, size)
+                y = shingles(b.as_py(), size)
+                if not len(x) or not len(y):
+                    linked.append(False)
+                    continue
+                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+                both = int((x[at] == y).sum())
+                linked.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+    return run
 
 
 def _only_near(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -138,57 +143,59 @@ def _only_near(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.filter(held(slot))
 
 
-def _tile_pairs(batches):
+def _tile_pairs(percent):
     """Pairs of one block (sorted rows of one tile and block pair) that the
     sizes and bit counts allow and no component joins yet."""
-    def pairs(rows):
-        doc, n, comp, block, bits = (np.array(c) for c in zip(*rows))
-        order = np.argsort(n, kind="stable")
-        doc, n, comp, block, bits = doc[order], n[order], comp[order], block[order], bits[order].astype(np.int64).view(np.uint64)
-        two = block.min() != block.max()
-        a, b = [], []
-        for i in range(len(doc) - 1):
-            j = int(np.searchsorted(n, n[i] * 100 // PERCENT, side="right"))
-            at = np.arange(i + 1, j)
-            if len(at):
-                keep = comp[at] != comp[i]
-                if two:
-                    keep &= block[at] != block[i]
-                at = at[keep]
-                differ = np.bitwise_count(bits[at] ^ bits[i]).sum(1, dtype=np.int64)
-                at = at[differ * (100 + PERCENT) <= (100 - PERCENT) * (n[at] + n[i])]
-                a.append(np.minimum(doc[at], doc[i]))
-                b.append(np.maximum(doc[at], doc[i]))
-        return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
-
-    key, rows, out = None, [], []
-
-    def batch_of(found):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[i] for x in found])) for i in (0, 1)], names=["a", "b"])
-
-    for batch in batches:
-        t = batch.to_pydict()
-        for sig, i, j, doc, n, comp, block, bits in zip(t["slice"], t["i"], t["j"], t["doc_id"], t["n"], t["comp"], t["block"], t["bits"]):
-            if (sig, i, j) != key:
-                if len(rows) > 1:
-                    out.append(pairs(rows))
-                    if sum(len(x[0]) for x in out) > 100_000:
-                        yield batch_of(out)
-                        out = []
-                key, rows = (sig, i, j), []
-            rows.append((doc, n, comp, block, bits))
-    if len(rows) > 1:
-        out.append(pairs(rows))
-    if out:
-        yield batch_of(out)
-
-
-def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def run(batches):
+        def pairs(rows):
+            doc, n, comp, block, bits = (np.array(c) for c in zip(*rows))
+            order = np.argsort(n, kind="stable")
+            doc, n, comp, block, bits = doc[order], n[order], comp[order], block[order], bits[order].astype(np.int64).view(np.uint64)
+            two = block.min() != block.max()
+            a, b = [], []
+            for i in range(len(doc) - 1):
+                j = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
+                at = np.arange(i + 1, j)
+                if len(at):
+                    keep = comp[at] != comp[i]
+                    if two:
+                        keep &= block[at] != block[i]
+                    at = at[keep]
+                    differ = np.bitwise_count(bits[at] ^ bits[i]).sum(1, dtype=np.int64)
+                    at = at[differ * (100 + percent) <= (100 - percent) * (n[at] + n[i])]
+                    a.append(np.minimum(doc[at], doc[i]))
+                    b.append(np.maximum(doc[at], doc[i]))
+            return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
+
+        key, rows, out = None, [], []
+
+        def batch_of(found):
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[i] for x in found])) for i in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            t = batch.to_pydict()
+            for sig, i, j, doc, n, comp, block, bits in zip(t["slice"], t["i"], t["j"], t["doc_id"], t["n"], t["comp"], t["block"], t["bits"]):
+                if (sig, i, j) != key:
+                    if len(rows) > 1:
+                        out.append(pairs(rows))
+                        if sum(len(x[0]) for x in out) > 100_000:
+                            yield batch_of(out)
+                            out = []
+                    key, rows = (sig, i, j), []
+                rows.append((doc, n, comp, block, bits))
+        if len(rows) > 1:
+            out.append(pairs(rows))
+        if out:
+            yield batch_of(out)
+    return run
+
+
+def links(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(signatures, components): n and class hashes of every row, and the
     component of every class that has a link."""
     ship(docs.sparkSession)
     base = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
-    signed = table(base.mapInArrow(_signatures, "doc_id long, n long, h1 long, h2 long, bits array<long>, slices array<long>"), "signatures")
+    signed = table(base.mapInArrow(_signatures(size, percent), "doc_id long, n long, h1 long, h2 long, bits array<long>, slices array<long>"), "signatures")
     classes = signed.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("doc_id"))
     narrow = table(signed.select("doc_id", "n", "h1", "h2", "bits").join(classes, ["doc_id", "n", "h1", "h2"], "left_semi")
                    .select("doc_id", "n", "bits"), "classes")
@@ -198,8 +205,8 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # the first document of a tile is the first of its class, too; other copies go
     members = table(sliced.join(shared, "slice").join(narrow.select("doc_id"), "doc_id", "left_semi").distinct(), "tiles")
 
-    allowed = (f"least(na, nb) * 100 >= {PERCENT} * greatest(na, nb) and {100 + PERCENT} * aggregate("
-               f"zip_with(bits_a, bits_b, (x, y) -> bit_count(x ^ y)), 0L, (s, x) -> s + x) <= {100 - PERCENT} * (na + nb)")
+    allowed = (f"least(na, nb) * 100 >= {percent} * greatest(na, nb) and {100 + percent} * aggregate("
+               f"zip_with(bits_a, bits_b, (x, y) -> bit_count(x ^ y)), 0L, (s, x) -> s + x) <= {100 - percent} * (na + nb)")
 
     def bounded(pairs):
         a = narrow.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
@@ -212,7 +219,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         near = _only_near(base, wanted)
         both = (pairs.join(near.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
                 .join(near.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"))
-        return table(both.select("a", "b", "text_a", "text_b").mapInArrow(_intersections, "a long, b long, linked boolean")
+        return table(both.select("a", "b", "text_a", "text_b").mapInArrow(_intersections(size, percent), "a long, b long, linked boolean")
                      .filter("linked").select("a", "b"), "links")
 
     star = exact(bounded(members.filter("doc_id <> lo").select(F.col("lo").alias("a"), F.col("doc_id").alias("b")).distinct()))
@@ -230,14 +237,15 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
              .join(narrow, "doc_id")
              .select("slice", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "n", "comp", "block", "bits"))
     rest = (tiled.repartition("slice", "i", "j").sortWithinPartitions("slice", "i", "j")
-            .mapInArrow(_tile_pairs, "a long, b long").distinct())
+            .mapInArrow(_tile_pairs(percent), "a long, b long").distinct())
     more = exact(rest)
     return signed.select("doc_id", "n", "h1", "h2"), components(star.unionByName(more))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles (distinct word 3-grams) and component_id (smallest
-    doc_id reachable by links) of every row.
+def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles (distinct word n-grams of ``size`` words) and
+    component_id (smallest doc_id reachable by links, Jaccard similarity of
+    ``percent`` or more) of every row.
 
     Words are runs of bytes other than space and tab to carriage return, with
     A-Z lower-cased.  Null and empty texts have an empty set and no link.  A
@@ -246,13 +254,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     one document, linked if any of them is.  An empty table gives no rows;
     other columns are ignored.
     """
-    signed, found = links(docs)
+    signed, found = links(docs, size, percent)
     rep = signed.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"))
     joined = (signed.join(rep, ["n", "h1", "h2"], "left")
               .join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
               .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id")))
     unknown = (docs.filter("doc_id is null").select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
-               .mapInArrow(_signatures, "doc_id long, n long, h1 long, h2 long, bits array<long>, slices array<long>")
+               .mapInArrow(_signatures(size, percent), "doc_id long, n long, h1 long, h2 long, bits array<long>, slices array<long>")
                .select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id")))
     return joined.unionByName(unknown)
 

@@ -153,6 +153,35 @@ def test_jaccard_join_finds_every_link_at_the_edge(spark):
     assert got == {i: root(i) for i in sets}
 
 
+def test_jaccard_join_by_another_rule(spark):
+    """Five words and 80 percent: the review's near copies, and edits around
+    the threshold at many sizes."""
+    r = random.Random(6)
+    base = [f"b{i}" for i in range(1000)]
+    edited = list(base)
+    for at in range(25, 1000, 50):
+        edited[at] = f"e{at}"
+    short = [f"s{i}" for i in range(100)]
+    longer = [f"l{i}" for i in range(100)]
+    made = [base, edited, short, short[:50] + [f"x{i}" for i in range(8)] + short[50:], longer, longer + [f"y{i}" for i in range(15)]]
+    for size in [1, 4, 5, 6, 8, 9, 12, 13, 19, 28, 40, 42, 90, 150, 400]:
+        for _ in range(6):
+            own = [f"w{r.randint(0, 10 ** 9)}" for _ in range(size)]
+            for _ in range(4):
+                made.append([w if r.random() > 0.03 else f"e{r.randint(0, 10 ** 9)}" for w in own] + ["t"] * r.randint(0, 1))
+    sets = [frozenset(zip(*(w[j:] for j in range(5)))) if len(w) > 4 else frozenset([tuple(w)]) for w in made]
+    label = list(range(len(made)))
+    for _ in range(5):
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets[:i]):
+                if label[i] != label[j] and 100 * len(x & y) >= 80 * len(x | y):
+                    label[i] = label[j] = min(label[i], label[j])
+    assert label[:6] == [0, 0, 2, 2, 4, 4]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(made)], "doc_id long, text string")
+    got = {x["doc_id"]: (x["component_id"], x["n_shingles"]) for x in jaccard_join.near_duplicates(docs, size=5, percent=80).collect()}
+    assert got == {i: (label[i], len(s)) for i, s in enumerate(sets)}
+
+
 def test_tiles_compare_only_what_stars_left_open(spark):
     """Chains and a large tile: a hub of copies with small edits."""
     r = random.Random(9)
