@@ -7,7 +7,9 @@ on a whole text.  All training documents' vote patterns are counted; a
 generative label model, fitted to the counts by expectation maximisation,
 estimates every voter's accuracy, and the correlation of voters given the
 label discounts those that repeat each other.  A linear classifier is then
-trained on the posterior labels of the sample and scores every document.
+trained on the posteriors of a bounded sample of all training documents,
+labelled or not (a gold label is one more, strong voter), and scores every
+document.
 """
 
 from __future__ import annotations
@@ -22,8 +24,11 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm.common import fold_column, ship, table, text_column, tidy
 
-#: Labelled rows (expected number) used to find terms and fit the classifier.
+#: Labelled rows (expected number) used to find terms; as many other training
+#: rows fit the classifier with them.
 SAMPLE = 12_000
+#: How often a gold label is taken to be right when it votes on its row.
+GOLD_ACCURACY = 0.999
 #: Terms kept, least number of toxic rows with the term, least log odds.
 TERMS, LEAST_ROWS, LEAST_ODDS = 3000, 3, 2.5
 PREFIXES = (4, 5, 6)
@@ -85,7 +90,7 @@ class Terms:
             "+" if any(self.number[t] % 2 for t in starts) else "0",
             "+" if stems > 1 else "0",
             "+" if stems * 200 > total > 0 else "0",
-            "0" if stems else "-",
+            "0" if stems or not self.number else "-",
             "0" if insults else "-",
         )
         dense = [float(np.log1p(len(plain))), float(np.log1p(stems)), float(np.log1p(len(insults))),
@@ -131,7 +136,9 @@ def _votes(terms):
 
 class LabelModel:
     """Accuracies and correlations of the voters, from counts of vote
-    patterns with the gold label where there is one (else None)."""
+    patterns with the gold label where there is one (else None).  Without any
+    gold label nothing tells toxic texts from those that merely hold a word
+    of the lexicon: the voters keep the accuracies they start with."""
 
     SIGNS = "+0-"
 
@@ -144,7 +151,7 @@ class LabelModel:
         # start: a toxic vote is twice as likely on toxic text
         self.table = np.tile(np.array([[[2.0, 1.0, 0.5]], [[0.5, 1.0, 2.0]]]) / 3.5, (1, len(VOTERS), 1))  # label, voter, vote
         self.weight = np.ones(len(VOTERS))
-        for _ in range(rounds):
+        for _ in range(rounds if (gold >= 0).any() else 0):
             q = self._posterior(votes)
             q = np.where(gold >= 0, gold, q)
             mass = np.stack([n * q, n * (1 - q)])
@@ -166,18 +173,23 @@ class LabelModel:
         self.correlation = total
         return 1 / (1 + np.maximum(total.sum(1) - np.diag(total), 0))
 
-    def _posterior(self, votes):
+    def _posterior(self, votes, extra=0.0):
         ratio = np.log(self.table[0]) - np.log(self.table[1])  # voter, vote
-        z = np.log(self.prior / (1 - self.prior)) + (self.weight * ratio[np.arange(len(VOTERS)), votes]).sum(1)
+        z = np.log(self.prior / (1 - self.prior)) + (self.weight * ratio[np.arange(len(VOTERS)), votes]).sum(1) + extra
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
-    def posterior(self, patterns) -> np.ndarray:
-        return self._posterior(np.array([[self.SIGNS.index(s) for s in p] for p in patterns], dtype=np.int64).reshape(len(patterns), len(VOTERS)))
+    def posterior(self, patterns, gold) -> np.ndarray:
+        """Of rows with these votes, and their gold labels or None."""
+        sure = np.log(GOLD_ACCURACY / (1 - GOLD_ACCURACY))
+        votes = np.array([[self.SIGNS.index(s) for s in p] for p in patterns], dtype=np.int64).reshape(len(patterns), len(VOTERS))
+        return self._posterior(votes, np.array([0.0 if g is None else sure if g else -sure for g in gold]))
 
 
-def fit_linear(rows, labels: np.ndarray, n_terms: int, rounds: int = 400, decay: float = 1e-3) -> np.ndarray:
+def fit_linear(rows, labels: np.ndarray, times: np.ndarray, n_terms: int, rounds: int = 400, decay: float = 1e-3) -> np.ndarray:
     """Logistic regression on present terms and dense features, by Adam on
-    the whole sample; the last weight is the intercept."""
+    the whole sample, each row counted as often as it occurs and no class
+    raised, so that scores keep to the posteriors; the last weight is the
+    intercept."""
     size = n_terms + DENSE + 1
     if not rows:
         return np.zeros(size)
@@ -185,11 +197,10 @@ def fit_linear(rows, labels: np.ndarray, n_terms: int, rounds: int = 400, decay:
     term = np.array([t for p, _ in rows for t in p], dtype=np.int64)
     dense = np.array([d for _, d in rows], dtype=np.float64).reshape(len(rows), DENSE)
     w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
-    balance = np.where(labels > 0.5, 0.5 / max(labels.mean(), 1e-6), 0.5 / max(1 - labels.mean(), 1e-6))
-    balance /= balance.mean()
+    share = times / times.sum()
     for t in range(1, rounds + 1):
         z = np.bincount(at, weights=w[term], minlength=len(rows)) + dense @ w[n_terms:-1] + w[-1]
-        r = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) * balance / max(len(rows), 1)
+        r = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) * share
         g = np.concatenate((np.bincount(term, weights=r[at], minlength=n_terms), dense.T @ r, [r.sum()])) + decay * np.append(w[:-1], 0) / 10
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.05 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
@@ -216,9 +227,11 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 5, held_part: int = 0,
     """Learn from the rows whose crc32(doc_id as text) modulo ``parts`` isn't
     ``held_part``; no label of another row is read into the model.
 
-    Rows without a label still count in the label model.  Null texts are
-    empty; null labels and ids are no labels; an id with several labels is
-    toxic if one of them says so.  With no labelled rows the model is only the fixed lexicon's voters.
+    Rows without a label count in the label model and train the classifier by
+    their posteriors.  Null texts are empty; null labels and ids are no
+    labels; an id with several labels is toxic if one of them says so.  With
+    no labelled rows the voters are the fixed lexicon's, of assumed accuracy;
+    with no rows at all two words of the lexicon make a text toxic.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -250,12 +263,19 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 5, held_part: int = 0,
                                               pa.array([f[2] for f in found], pa.list_(pa.float64())), batch.column(1)],
                                              names=["votes", "present", "dense", "toxic_label"])
 
-    fitted = rows.mapInArrow(features, "votes string, present array<long>, dense array<double>, toxic_label boolean").collect()
-    posterior = model.posterior([r["votes"] for r in fitted])
-    posterior = np.where([r["toxic_label"] for r in fitted], np.maximum(posterior, 0.9), np.minimum(posterior, 0.1)) if fitted else posterior
-    weights = fit_linear([(r["present"], r["dense"]) for r in fitted], posterior, len(terms))
+    known_ids = chosen.select(F.col("doc_id").alias("known_id"))
+    n_rows = sum(n for _, _, n in patterns)
+    drawn = (training.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(steps)) < int(steps * min(1.0, sample / max(n_rows, 1))))
+             .join(F.broadcast(known_ids), F.col("doc_id") == F.col("known_id"), "left_anti")
+             .join(gold, "doc_id", "left").select("text", "toxic_label"))
+    columns = ["votes", "present", "dense", "toxic_label"]
+    # rows alike are one, with their number: a repeated document is not collected once per row
+    fitted = (rows.unionByName(drawn).mapInArrow(features, "votes string, present array<long>, dense array<double>, toxic_label boolean")
+              .groupBy(*columns).agg(F.count("*").alias("n")).orderBy(*columns).collect())
+    posterior = model.posterior([r["votes"] for r in fitted], [r["toxic_label"] for r in fitted])
+    weights = fit_linear([(r["present"], r["dense"]) for r in fitted], posterior, np.array([r["n"] for r in fitted], dtype=np.float64), len(terms))
     if not fitted:  # fixed lexicon only
-        weights[len(terms) + 2], weights[-1] = 4.0, -2.0
+        weights[len(terms) + 2], weights[-1] = 4.0, -3.6
     return ToxicityModel(terms, weights, model)
 
 

@@ -405,3 +405,32 @@ def test_chat_repair_is_cheapest_and_legal(spark, monkeypatch):
         body = seen[1:] if seen[0] == "system" else seen
         assert body == ["user", "assistant"] * (len(body) // 2) and text.count(chat_format.END) == len(seen)
     assert len(by) == 43 and chat_format.format_chats(df.filter("conv_id = -1")).count() == 0
+
+
+def test_toxicity_trains_on_posteriors(spark, monkeypatch):
+    """Unlabelled documents train the classifier, and the label model's
+    posteriors are its targets, unclamped."""
+    r = random.Random(5)
+    made, labels = [], []
+    for i in range(600):
+        bad = i % 4 == 0
+        made.append((i, words(50, i) + (" you idiot zornify scum" if bad else "")))
+        if i < 200:
+            labels.append((i, int(not bad if i % 40 == 0 else bad)))  # some gold labels are wrong
+    seen = []
+    plain = toxicity.fit_linear
+    monkeypatch.setattr(toxicity, "fit_linear", lambda rows, target, times, *a: seen.append((target, times)) or plain(rows, target, times, *a))
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    model = toxicity.fit(df, spark.createDataFrame(labels, "doc_id long, toxic int"), held_part=9)
+    assert seen[0][1].sum() == 600 and seen[0][0].max() > 0.99 and seen[0][0].min() < 0.01
+    score = model.scorer()
+    assert all((score(t) >= 0.5) == (i % 4 == 0) for i, t in made)
+
+
+def test_toxicity_without_labels(spark):
+    """One word of the lexicon makes no text toxic; several aimed at the reader do."""
+    made = [(i, words(300, i) + (" they kill time" if i % 10 == 0 else " you stupid worthless idiot" if i % 10 == 1 else "")) for i in range(200)]
+    df, gold = spark.createDataFrame(made, "doc_id long, text string"), spark.createDataFrame([], "doc_id long, toxic int")
+    for docs in (df, df.filter("doc_id < 0")):
+        got = {x["doc_id"] for x in toxicity.score_texts(df, toxicity.fit(docs, gold)).filter("toxicity >= 0.5").collect()}
+        assert got == {i for i, _ in made if i % 10 == 1}
