@@ -8,14 +8,19 @@ without listing all their pairs:
 
 1. copies of one set are a single class; only its first document is compared;
 2. each tile compares its members with its first one (a star).  Hashed bitmap
-   signatures bound the overlap from above by bit counts; pairs that pass are
-   settled by exact intersection of the sorted arrays;
+   signatures, as long as the set asks for, bound the overlap from above by
+   bit counts; pairs that pass are settled by exact intersection of the
+   sorted arrays;
 3. tiles whose other members aren't all in one component yet are compared
-   exhaustively in blocks of bounded size; only pairs of different components
-   that pass the size and bit bounds leave a block.
+   exhaustively in blocks of bounded size, of tiles with the same members one
+   only; pairs of different components that pass the size and bit bounds
+   leave a block.
 
 No link between different components can be missed: two linked documents
-share a tile, and in it they are compared unless already connected.
+share a tile, and in it they are compared unless already connected.  Empty
+slices make no tile: a set with more slices that hold something than two
+linked sets can differ by agrees on one of those.  Only sets that are too
+thin for that (few, as there are spare slices) also meet in empty ones.
 """
 
 from __future__ import annotations
@@ -31,9 +36,12 @@ from cartwheel.llm.common import BASES, components, mix, ship, table, text_colum
 #: Words of a shingle, unless a caller asks for others; links need
 #: 100 * intersection >= PERCENT * union.
 WORDS, PERCENT = 3, 90
-#: Upper ends of the size bands grow by this factor; 64-bit words of a bitmap;
-#: members of one block of a tile.
-BAND, BITMAP, BLOCK = 1.5, 8, 1024
+#: Upper ends of the size bands grow by this factor; bits of a bitmap for each
+#: shingle, at least; members of one block of a tile.
+BAND, BITS, BLOCK = 1.5, 2, 1024
+#: Open tiles that a document's rows list, so that a pair leaves the first one
+#: it shares only; the pairs of a document in more may leave several.
+LISTED = 4096
 FILTER_BITS = 1 << 23
 
 
@@ -58,8 +66,8 @@ def shingles(text: str, size: int = WORDS) -> np.ndarray:
 
 
 def _slices(s: np.ndarray, edges: np.ndarray, percent: int) -> list[np.ndarray]:
-    """Hashes of the set's slices, for its own band and, if a linked set may
-    lie there, the next one."""
+    """Hashes of the set's slices that make tiles, for its own band and, if a
+    linked set may lie there, the next one."""
     n, out = len(s), []
     band = int(np.searchsorted(edges, n, side="right")) - 1
     spread = mix(s)
@@ -69,15 +77,28 @@ def _slices(s: np.ndarray, edges: np.ndarray, percent: int) -> list[np.ndarray]:
         top = int(edges[k + 1]) - 1
         # |x ^ y| <= (|x| + |y|) (100 - percent) / (100 + percent) for linked sets
         differ = 2 * top * (100 - percent) // (100 + percent)
-        m = differ + 1
+        # spare slices for those that chance leaves empty
+        empty = (differ + 1) * float(np.exp(-edges[k] / (differ + 1)))
+        m = differ + 2 + int(2 * empty + 6 * empty ** 0.5)
         at = np.searchsorted(s, np.array([(i << 64) // m for i in range(m)], dtype=np.uint64))
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(spread)))
         size = np.diff(np.append(at, n))
-        out.append(mix(total[at + size] - total[at] + mix((size.astype(np.uint64) << np.uint64(40)) + np.arange(m, dtype=np.uint64) * BASES[2]
-                                                          + np.uint64(k * int(BASES[0]) % (1 << 64)))))
+        slices = mix(total[at + size] - total[at] + mix((size.astype(np.uint64) << np.uint64(40)) + np.arange(m, dtype=np.uint64) * BASES[2]
+                                                        + np.uint64(k * int(BASES[0]) % (1 << 64))))
+        out.append(slices[size > 0] if (size > 0).sum() > differ else slices)
     return out
 
 
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """Hashed bits of a set, in a power of two of 64-bit words: at least BITS
+    a shingle.  The bitmap of half the length is that of both halves joined."""
+    words = 1 << max(0, (BITS * len(s) - 1) // 64).bit_length()
+    bits = np.zeros(64 * words, dtype=np.uint8)
+    # words are cut from the low end, so that halves fold onto each other
+    bits[(s % np.uint64(64 * words)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _signatures(size, percent):
     @tidy
     def run(batches):
@@ -89,13 +110,10 @@ def _signatures(size, percent):
                 for doc_id, text in zip(part.column(0), part.column(1)):
                     s = shingles(text.as_py(), size)
                     if not len(s):
-                        rows.append((doc_id.as_py(), 0, 0, 0, [0] * BITMAP, []))
+                        rows.append((doc_id.as_py(), 0, 0, 0, [], []))
                         continue
-                    bit = (s % np.uint64(64 * BITMAP)).astype(np.int64)
-                    words = np.zeros(64 * BITMAP, dtype=np.uint8)
-                    words[bit] = 1
                     rows.append((doc_id.as_py(), len(s), *(np.array([mix(s).sum(), mix(s ^ BASES[0]).sum()], dtype=np.uint64).view(np.int64).tolist()),
-                                 np.packbits(words).view(np.int64).tolist(), np.concatenate(_slices(s, edges, percent)).view(np.int64)))
+                                 bitmap(s), np.concatenate(_slices(s, edges, percent)).view(np.int64)))
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
                                                  names=["doc_id", "n", "h1", "h2", "bits", "slices"])
@@ -143,26 +161,51 @@ def _only_near(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.filter(held(slot))
 
 
+def _fold(bits: np.ndarray) -> np.ndarray:
+    half = bits.shape[1] // 2
+    return bits[:, :half] | bits[:, half:]
+
+
 def _tile_pairs(percent):
     """Pairs of one block (sorted rows of one tile and block pair) that the
-    sizes and bit counts allow and no component joins yet."""
+    sizes and bit counts allow and no component joins yet, unless both
+    documents list an earlier tile."""
+    @tidy
     def run(batches):
-        def pairs(rows):
-            doc, n, comp, block, bits = (np.array(c) for c in zip(*rows))
-            order = np.argsort(n, kind="stable")
-            doc, n, comp, block, bits = doc[order], n[order], comp[order], block[order], bits[order].astype(np.int64).view(np.uint64)
+        def pairs(tile, rows):
+            early: list = [None] * len(rows)
+
+            def earlier(i):
+                if early[i] is None:
+                    tiles = rows[i][5]
+                    early[i] = frozenset(tiles[tiles < tile].tolist())
+                return early[i]
+
+            rows.sort(key=lambda r: r[1])
+            doc, n, comp, block = (np.array(c) for c in list(zip(*rows))[:4])
             two = block.min() != block.max()
+            # rows of one bitmap length are neighbours; linked sets differ by one doubling at most
+            words = np.array([len(r[4]) for r in rows])
+            maps = {w: np.stack([r[4] for r in rows if len(r[4]) == w]).view(np.uint64) for w in np.unique(words).tolist()}
+            folded = {w: _fold(maps[2 * w]) for w in maps if 2 * w in maps}
+            begin = {w: int(np.searchsorted(words, w)) for w in maps}
             a, b = [], []
             for i in range(len(doc) - 1):
+                w = int(words[i])
+                middle = int(np.searchsorted(words, w, side="right"))
                 j = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
-                at = np.arange(i + 1, j)
-                if len(at):
+                own = maps[w][i - begin[w]]
+                for start, end, others in ((i + 1, min(j, middle), maps[w][i + 1 - begin[w]:]), (middle, j, folded.get(w))):
+                    at = np.arange(start, end)
+                    if not len(at):
+                        continue
                     keep = comp[at] != comp[i]
                     if two:
                         keep &= block[at] != block[i]
                     at = at[keep]
-                    differ = np.bitwise_count(bits[at] ^ bits[i]).sum(1, dtype=np.int64)
+                    differ = np.bitwise_count(others[at - start] ^ own).sum(1, dtype=np.int64)
                     at = at[differ * (100 + percent) <= (100 - percent) * (n[at] + n[i])]
+                    at = at[[earlier(i).isdisjoint(earlier(j)) for j in at.tolist()]] if len(at) else at
                     a.append(np.minimum(doc[at], doc[i]))
                     b.append(np.maximum(doc[at], doc[i]))
             return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
@@ -173,18 +216,19 @@ def _tile_pairs(percent):
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[i] for x in found])) for i in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            t = batch.to_pydict()
-            for sig, i, j, doc, n, comp, block, bits in zip(t["slice"], t["i"], t["j"], t["doc_id"], t["n"], t["comp"], t["block"], t["bits"]):
+            sigs, firsts, seconds, docs, sizes, comps, blocks = (batch.column(k).to_pylist() for k in range(7))
+            (cut, flat), (ends, tiles) = ((c.offsets.to_numpy(), c.values.to_numpy()) for c in (batch.column(7), batch.column(8)))
+            for at, (sig, i, j, doc, n, comp, block) in enumerate(zip(sigs, firsts, seconds, docs, sizes, comps, blocks)):
                 if (sig, i, j) != key:
                     if len(rows) > 1:
-                        out.append(pairs(rows))
+                        out.append(pairs(key[0], rows))
                         if sum(len(x[0]) for x in out) > 100_000:
                             yield batch_of(out)
                             out = []
                     key, rows = (sig, i, j), []
-                rows.append((doc, n, comp, block, bits))
+                rows.append((doc, n, comp, block, flat[cut[at]:cut[at + 1]], tiles[ends[at]:ends[at + 1]]))
         if len(rows) > 1:
-            out.append(pairs(rows))
+            out.append(pairs(key[0], rows))
         if out:
             yield batch_of(out)
     return run
@@ -193,6 +237,8 @@ def _tile_pairs(percent):
 def links(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(signatures, components): n and class hashes of every row, and the
     component of every class that has a link."""
+    if percent < 50:
+        raise ValueError("percent has to be 50 or more: linked sets differ in size by one doubling at most")
     ship(docs.sparkSession)
     base = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
     signed = table(base.mapInArrow(_signatures(size, percent), "doc_id long, n long, h1 long, h2 long, bits array<long>, slices array<long>"), "signatures")
@@ -205,8 +251,13 @@ def links(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple[D
     # the first document of a tile is the first of its class, too; other copies go
     members = table(sliced.join(shared, "slice").join(narrow.select("doc_id"), "doc_id", "left_semi").distinct(), "tiles")
 
-    allowed = (f"least(na, nb) * 100 >= {percent} * greatest(na, nb) and {100 + percent} * aggregate("
-               f"zip_with(bits_a, bits_b, (x, y) -> bit_count(x ^ y)), 0L, (s, x) -> s + x) <= {100 - percent} * (na + nb)")
+    def folded(name, other):  # the longer bitmap to the length of the shorter
+        half = f"size({other})"
+        return f"if(size({name}) > {half}, zip_with(slice({name}, 1, {half}), slice({name}, {half} + 1, {half}), (x, y) -> x | y), {name})"
+
+    allowed = (f"case when least(na, nb) * 100 < {percent} * greatest(na, nb) then false else {100 + percent} * aggregate("
+               f"zip_with({folded('bits_a', 'bits_b')}, {folded('bits_b', 'bits_a')}, (x, y) -> bit_count(x ^ y)), 0L, (s, x) -> s + x)"
+               f" <= {100 - percent} * (na + nb) end")
 
     def bounded(pairs):
         a = narrow.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
@@ -228,14 +279,20 @@ def links(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple[D
     placed = members.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
         "slice", "doc_id", "lo", F.coalesce("component", "doc_id").alias("comp"))
     # the pairs with the tile's first member are settled: what is open lies between the others
+    # of tiles with the same members (by count and two 64-bit hashes of the set) one is compared
     open_tiles = (placed.filter("doc_id <> lo").groupBy("slice")
-                  .agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members")).filter("x < y"))
+                  .agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members"),
+                       F.bit_xor(F.xxhash64("doc_id")).alias("set1"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("set2")).filter("x < y")
+                  .groupBy("members", "set1", "set2").agg(F.min("slice").alias("slice")))
     blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
-    tiled = (placed.filter("doc_id <> lo").join(open_tiles.select("slice", blocks.alias("blocks")), "slice")
-             .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    inside = table(placed.filter("doc_id <> lo").join(open_tiles.select("slice", blocks.alias("blocks")), "slice")
+                   .select("slice", "doc_id", "comp", "blocks"), "open-tiles")
+    listed = inside.groupBy("doc_id").agg(F.collect_list("slice").alias("listed")).withColumn(
+        "listed", F.when(F.size("listed") <= LISTED, F.col("listed")).otherwise(F.array().cast("array<long>")))
+    tiled = (inside.join(listed, "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .join(narrow, "doc_id")
-             .select("slice", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "n", "comp", "block", "bits"))
+             .select("slice", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "n", "comp", "block", "bits", "listed"))
     rest = (tiled.repartition("slice", "i", "j").sortWithinPartitions("slice", "i", "j")
             .mapInArrow(_tile_pairs(percent), "a long, b long").distinct())
     more = exact(rest)
