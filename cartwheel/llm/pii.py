@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import ship, text_column
+from cartwheel.llm.common import ship, text_column, tidy
 
 #: Kinds in the order of the output; the first four are the base kinds.
 KINDS = ("email", "ip", "card", "phone", "url", "iban", "account", "secret", "address")
@@ -33,15 +33,27 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SCHEME = re.compile(r"(?:https?|ftp|ssh|git|file)\Z", re.I)
 _URL_REST = re.compile(r"[^\s<>\"'`{}|\\^]+")
-_IBAN = re.compile(r"[\s:#]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
-_ACCOUNT = re.compile(r"(?:\s{0,2}(?:number|no\.?|nr\.?|id))?[\s:#=]{1,4}([0-9](?:[ -]?[0-9]){5,16})(?![0-9A-Za-z])", re.I)
+_IBAN = re.compile(r"[\s:#]{0,4}([A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30})(?![A-Za-z0-9])")
+_ACCOUNT = re.compile(r"(?:\s{0,2}(?:number|nummer|numéro|número|no\.?|nr\.?|id))?[\s:#=]{1,4}([0-9](?:[ -]?[0-9]){5,16})(?![0-9A-Za-z])", re.I)
 _ACCESS_KEY = re.compile(r"[A-Z0-9]{16}(?![A-Za-z0-9])")
-_ASSIGNED = re.compile(r"\s{0,2}[=:]\s{0,2}[\"']?([A-Za-z0-9+/_.-]{8,200})")
+#: A secret is as long as it is.
+_ASSIGNED = re.compile(r"[\"']?\s{0,2}[=:]\s{0,2}[\"']?([A-Za-z0-9+/_.~-]{8,}+)")
+_BEARER = re.compile(r"\s{1,2}([A-Za-z0-9+/_.~-]{8,}+)")
 _HOUSE = re.compile(r"(?<![0-9A-Za-z])[0-9]{1,5}[A-Za-z]? (?:[^\W\d_][\w.'-]{0,30} ){1,4}\Z")
-
-_ACCOUNT_CUES = ("account", "Account", "ACCOUNT", "acct", "Acct")
-_SECRET_CUES = ("password", "Password", "PASSWORD", "passwd", "token", "Token", "TOKEN", "secret", "Secret", "api_key", "API_KEY", "apikey")
-_STREET_CUES = ("Street", "Avenue", "Road", "Boulevard", "Lane", "Drive", "Court", "Highway")
+#: A house number behind the street's name, and what may stand before a cue
+#: that is the end of a name.
+_NUMBER = re.compile(r"\s{1,2}[0-9]{1,5}[A-Za-z]?(?![\w])")
+_NAME_PART = re.compile(r"[^\W\d_][\w'-]{0,40}\Z")
+_NAME = re.compile(r" (?:[^\W\d_][\w.'-]{0,30} ){1,5}[0-9]{1,5}[A-Za-z]?(?![\w])")
+
+#: Cues are found in any mix of upper and lower case.
+_ACCOUNT_CUES = ("account", "acct", "konto", "kontonummer", "compte", "cuenta")
+_SECRET_CUES = ("password", "passwd", "passwort", "passphrase", "token", "secret", "api_key", "api-key", "api key", "apikey", "access_key", "private_key")
+#: After a house number and a name; at the end of a name before the number;
+#: before a name and the number.
+_STREET_CUES = ("street", "avenue", "road", "boulevard", "lane", "drive", "court", "highway", "square", "place", "st.", "ave.", "rd.", "blvd")
+_ENDING_CUES = ("strasse", "straße", "str.", "platz", "allee")
+_LEADING_CUES = ("rue", "calle", "avenida", "paseo")
 
 
 @functools.lru_cache(maxsize=1)
@@ -52,9 +64,11 @@ def _automaton():
         a.add_word(word, ("digit", 1))
     a.add_word("@", ("at", 1))
     a.add_word("://", ("scheme", 3))
-    a.add_word("IBAN", ("iban", 4))
-    a.add_word("AKIA", ("key", 4))
-    for kind, cues in (("account", _ACCOUNT_CUES), ("secret", _SECRET_CUES), ("street", _STREET_CUES)):
+    a.add_word("iban", ("iban", 4))
+    a.add_word("akia", ("key", 4))
+    a.add_word("bearer", ("bearer", 6))
+    for kind, cues in (("account", _ACCOUNT_CUES), ("secret", _SECRET_CUES), ("street", _STREET_CUES), ("ending", _ENDING_CUES),
+                       ("leading", _LEADING_CUES)):
         for cue in cues:
             a.add_word(cue, (kind, len(cue)))
     a.make_automaton()
@@ -84,7 +98,8 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     matches of their patterns, less those that fail their check."""
     found = {k: [] for k in KINDS}
     email_end = cluster_end = url_end = 0
-    for end, (kind, size) in _automaton().iter(text):
+    # A-Z only, so that positions stay
+    for end, (kind, size) in _automaton().iter(text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")):
         at = end - size + 1
         after = end + 1
         if kind == "digit":
@@ -122,18 +137,28 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
                     found["url"].append((at - len(m[0]), stop))
                     url_end = stop
         elif kind == "iban":
-            m = _IBAN.match(text, after)
-            if m and _iban_valid(m[1]):
-                found["iban"].append(m.span(1))
+            number = m[1] if (m := _IBAN.match(text, after)) else ""
+            while number and not _iban_valid(number):  # words that follow go
+                number = number.rpartition(" ")[0]
+            if len(number.replace(" ", "")) >= 15:
+                found["iban"].append((m.start(1), m.start(1) + len(number)))
         elif kind == "account":
             if m := _ACCOUNT.match(text, after):
                 found["account"].append(m.span(1))
         elif kind == "key":
-            if (at == 0 or not text[at - 1].isalnum()) and (m := _ACCESS_KEY.match(text, after)):
+            if text[at:after] == "AKIA" and (at == 0 or not text[at - 1].isalnum()) and (m := _ACCESS_KEY.match(text, after)):
                 found["secret"].append((at, m.end()))
-        elif kind == "secret":
-            if (m := _ASSIGNED.match(text, after)) and any("0" <= c <= "9" for c in m[1]):
+        elif kind in ("secret", "bearer"):
+            m = _ASSIGNED.match(text, after) or kind == "bearer" and (at == 0 or not text[at - 1].isalnum()) and _BEARER.match(text, after)
+            if m and any("0" <= c <= "9" for c in m[1]):
                 found["secret"].append(m.span(1))
+        elif kind == "ending":
+            name = _NAME_PART.search(text, max(0, at - 42), at)
+            if (m := _NUMBER.match(text, after)) and (name or text[at].isupper()):
+                found["address"].append((name.start() if name else at, m.end()))
+        elif kind == "leading":
+            if (at == 0 or not text[at - 1].isalnum()) and (m := _NAME.match(text, after)):
+                found["address"].append((at, m.end()))
         elif (after == len(text) or not text[after].isalnum()) and (m := _HOUSE.search(text[max(0, at - 160):at])):
             found["address"].append((at - len(m[0]), after))
     return [(k, s, e) for k in KINDS for s, e in sorted(set(found[k]))]
@@ -158,6 +183,7 @@ def redact_text(text: str, spans: list[tuple[str, int, int]]) -> str:
 def _find(redact):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
+    @tidy
     def run(batches):
         for batch in batches:
             at = batch.schema.get_field_index("text")
