@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import ship, text_column, tidy
+from cartwheel.llm.common import give_back, ship, text_column, tidy
 
 #: Characters of a block, and encoded words buffered before they are sent on.
 BLOCK_CHARS, BUFFER_WORDS = 32_000_000, 400_000
@@ -138,7 +138,7 @@ def _expand(chunks, pattern, rank_path):
     return list(number), np.cumsum(sizes) - sizes, sizes, np.frombuffer(flat, dtype=np.int64)
 
 
-def _blocks(batches, chunk_pattern, positions):
+def _blocks(batches, chunk_pattern, positions, block_chars):
     """(block id, distinct chunks, documents) of the rows of one task, cut
     only by the number of characters seen.  With ``positions`` the documents
     are (doc_id, numbers of the chunks); else they are left out."""
@@ -158,7 +158,7 @@ def _blocks(batches, chunk_pattern, positions):
                 seen.update(zip(find(text), itertools.repeat(None)))
             digest.update(b"%d\0" % (doc_id or 0) + text.encode() + b"\0")
             chars += len(text)
-            if chars >= BLOCK_CHARS:
+            if chars >= block_chars:
                 yield int.from_bytes(digest.digest(), "little", signed=True), seen, docs
                 seen, docs, digest, chars = start()
     if chars or docs:
@@ -173,10 +173,10 @@ def _is_utf8(b: bytes) -> bool:
         return False
 
 
-def _block_words(pattern, chunk_pattern, rank_path):
+def _block_words(pattern, chunk_pattern, rank_path, block_chars):
     @tidy
     def run(batches):
-        for block, chunks, _ in _blocks(batches, chunk_pattern, False):
+        for block, chunks, _ in _blocks(batches, chunk_pattern, False, block_chars):
             words = _expand(chunks, pattern, rank_path)[0]
             for at in range(0, len(words), 100_000):
                 part = words[at:at + 100_000]
@@ -186,11 +186,11 @@ def _block_words(pattern, chunk_pattern, rank_path):
     return run
 
 
-def _block_codes(pattern, chunk_pattern, rank_path):
+def _block_codes(pattern, chunk_pattern, rank_path, block_chars):
     @tidy
     def run(batches):
         pack = zstandard.ZstdCompressor(level=3).compress
-        for block, chunks, docs in _blocks(batches, chunk_pattern, True):
+        for block, chunks, docs in _blocks(batches, chunk_pattern, True, block_chars):
             words, starts, sizes, flat = _expand(chunks, pattern, rank_path)
             for at in range(0, len(docs), 2000):
                 part = docs[at:at + 2000]
@@ -281,6 +281,7 @@ def _reassemble(rank_path, decoded):
                 columns.append(pa.array([back(x) for x in out], pa.binary()))
             parts.append(pa.RecordBatch.from_arrays(columns, names=names))
         kinds = [pa.int64(), pa.binary(), pa.binary()]
+        give_back()
         return pa.Table.from_batches(parts, schema=pa.schema(list(zip(names, kinds))))
     return run
 
@@ -297,13 +298,15 @@ def _decoder(rank_path):
     return lambda x: _gather(starts, sizes, flat, x).tobytes()
 
 
-def encode(docs: DataFrame, rank_path: str, pattern: str, chunk_pattern: str = CHUNKS, decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, rank_path: str, pattern: str, chunk_pattern: str = CHUNKS, decoded: bool = False,
+           block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Token ids of every whole text: doc_id, ids (binary, little-endian
     unsigned 32-bit, in text order).  One row per input row.  ``decoded``
     adds the bytes that the ids stand for, decoded by the same tasks.
     ``chunk_pattern`` cuts a text into chunks cheaply, only where ``pattern``
     always starts a new match; the default suits patterns that cut before
-    each single space.
+    each single space.  A task holds ``block_chars`` characters at a time:
+    smaller blocks need less memory and send common words more often.
 
     Null text is read as empty and has no ids; a null doc_id is kept; repeated
     rows are encoded alike; a text or a word of any length is encoded whole;
@@ -313,10 +316,10 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, chunk_pattern: str = C
     """
     ship(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
-    words = (base.mapInArrow(_block_words(pattern, chunk_pattern, rank_path), "word string, block long, k int")
+    words = (base.mapInArrow(_block_words(pattern, chunk_pattern, rank_path, block_chars), "word string, block long, k int")
              .repartition("word").sortWithinPartitions("word")
              .mapInArrow(_encode_words(rank_path), "block long, n int, ids binary"))
-    codes = base.mapInArrow(_block_codes(pattern, chunk_pattern, rank_path), "block long, n_words int, doc_id long, codes binary")
+    codes = base.mapInArrow(_block_codes(pattern, chunk_pattern, rank_path, block_chars), "block long, n_words int, doc_id long, codes binary")
     return (codes.groupBy("block").cogroup(words.groupBy("block"))
             .applyInArrow(_reassemble(rank_path, decoded), "doc_id long, ids binary" + ", decoded binary" * decoded))
 

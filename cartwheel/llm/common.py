@@ -51,17 +51,22 @@ def ship(spark) -> None:
     sc._cartwheel_shipped = True
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system, so that reused workers don't hold
+    what an earlier task needed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def tidy(run):
-    """Wraps a task's generator: when it ends, freed memory goes back to the
-    system, so that reused workers don't hold what an earlier task needed."""
+    """Wraps a task's generator, which gives memory back when it ends."""
     @functools.wraps(run)
     def wrapped(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):  # not glibc
-            pass
+        give_back()
     return wrapped
 
 
