@@ -9,6 +9,8 @@ it kept; its result is written as Parquet and read again as the next one's
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,30 +21,58 @@ from cartwheel.llm.common import table, text_column
 #: the stages against brute force instead.
 ORACLE_SQL = None
 
+#: Words of a shingle, and similarity in percent, of the near-duplicate stage.
+SHINGLE, PERCENT = 5, 80
+#: Characters the encoder's tasks hold at a time, next to what executors keep
+#: of the stages before.
+BLOCK_CHARS = 8_000_000
+
+
+def _keeps_columns(stage):
+    """A stage that sees columns of its own naming beside doc_id and text, so
+    that no column of the input can clash with those of its operator, and
+    returns the columns of its input."""
+    @functools.wraps(stage)
+    def run(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [c if c in ("doc_id", "text") else f"other_column_{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*names), sf_dir).select(*names).toDF(*docs.columns)
+    return run
 
+
+@_keeps_columns
 def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scoring under 0.5.  A null text is scored as empty and stays
     null; null ids are scored; repeated rows are treated alike; without rows
     or labels nothing but the fixed lexicon decides."""
     model = toxicity.fit(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score_texts(docs, model).filter("toxicity < 0.5").select(*docs.columns)
+    return toxicity.score_texts(docs, model).filter("toxicity < 0.5").drop("toxicity")
 
 
+@_keeps_columns
 def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest doc_id of every group of linked documents.
-    Texts without words and rows without a doc_id are in no group and stay;
-    of rows that repeat a doc_id one stays."""
-    groups = table(jaccard_join.near_duplicates(docs.select("doc_id", "text"))
-                   .filter("doc_id is not null and n_shingles > 0").groupBy("doc_id")
-                   .agg(F.min("component_id").alias("component"), F.count("*").alias("rows"))
-                   .filter("component < doc_id or rows > 1").select(F.col("doc_id").alias("group_id"), (F.col("component") < F.col("doc_id")).alias("goes")), "groups")
-    worded = F.length(F.regexp_replace(text_column(), "[\\x20\\x09-\\x0D]+", "")) > 0
-    marked = docs.join(groups, (docs["doc_id"] == groups["group_id"]) & worded, "left")
-    alone = marked.filter("goes is null")
-    repeated = marked.filter("not goes").dropDuplicates(["doc_id"])
-    return alone.select(*docs.columns).unionByName(repeated.select(*docs.columns))
-
-
+    """One document of every group of near duplicates (five words, 80 percent):
+    the one of smallest doc_id, null last.
+
+    A document is a doc_id with a text: rows of one doc_id and different texts
+    are grouped by their own texts, and of rows equal in both one stays (their
+    other columns may differ; which is not fixed).  Texts without words, and
+    null texts, are in no group and stay."""
+    node = F.xxhash64("doc_id", text_column())
+    groups = table(jaccard_join.near_duplicates(docs.select(node.alias("doc_id"), "text"), SHINGLE, PERCENT)
+                   .filter("n_shingles > 0").groupBy(F.col("doc_id").alias("node"))
+                   .agg(F.min("component_id").alias("component"), F.count("*").alias("rows")), "groups")
+    ids = docs.select(node.alias("node"), F.col("doc_id").isNull().alias("unnamed"), "doc_id").distinct()
+    members = groups.join(ids, "node")
+    first = members.groupBy("component").agg(F.min(F.struct("unnamed", "doc_id", "node")).alias("first"), F.count("*").alias("size")).filter("size > 1")
+    goes = members.join(first, "component").filter("node <> first.node").select("node", F.lit(True).alias("goes"))
+    marks = table(goes.unionByName(groups.filter("rows > 1").select("node", F.lit(False).alias("goes")))
+                  .groupBy(F.col("node").alias("marked_node")).agg(F.max("goes").alias("goes")), "marks")
+    marked = docs.join(marks, node == marks["marked_node"], "left")
+    repeated = marked.filter("not goes").dropDuplicates(["marked_node"])
+    return marked.filter("goes is null").unionByName(repeated).drop("marked_node", "goes")
+
+
+@_keeps_columns
 def drop_contaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no copy of a benchmark item.  Null and empty texts
     hold none; rows that repeat doc_id and text stay or go together."""
@@ -54,17 +84,17 @@ def drop_contaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mask_personal_data(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind in brackets and
     n_chars counted anew.  Null texts stay null."""
-    masked = pii.find_pii(docs, redact=True).drop("pii_spans")
+    masked = _keeps_columns(lambda spark, docs, _: pii.find_pii(docs, redact=True).drop("pii_spans"))(spark, docs, sf_dir)
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return masked.select(*docs.columns)
+    return masked
 
 
 def encode_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian unsigned 32-bit) of every document, with
     digests of the ids and of the bytes they decode to."""
     rank_path, pattern = bpe.public_vocabulary()
-    return bpe.encode(docs, rank_path, pattern, decoded=True).select(
+    return bpe.encode(docs, rank_path, pattern, decoded=True, block_chars=BLOCK_CHARS).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
