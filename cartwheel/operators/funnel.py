@@ -26,9 +26,9 @@ rows — into a single task), the funnel is computed from *positions*:
 3. only purchases are joined to ``VC`` to get ``VCP`` = first purchase
    after ``VC``.
 
-The joins are lookups against one row per key; a skewed key on the event
-side is split by AQE's skew-join handling, and a small per-key side is
-broadcast by Catalyst's size check.  The full event set is never shuffled.
+The joins are lookups against one row per key; a hot key on the event side is
+salted, and a small per-key side is broadcast by Catalyst's size check.  The
+full event set is never shuffled.
 
 ``(V, C, P, VC, CP, VCP)`` is also the associative summary of an ordered
 slice of events, so per-slice partials can be merged in time order
@@ -157,6 +157,23 @@ def segment_funnel(events: DataFrame, segment: str, **kw) -> DataFrame:
     return funnel(with_segment(events, segment), ["user_id", col], **kw)
 
 
+def all_funnels(events: DataFrame, segments=SEGMENTS, **kw) -> DataFrame:
+    """The user funnel and the funnels of all segments from one pass (D-01 ..
+    D-04): one row per (user_id, segment_type, segment), the user funnel being
+    segment_type ``user`` with an empty segment.
+
+    Every event stands once for each kind of key, so the partial aggregate
+    that precedes the exchange meets all of them in the same scan: three scans
+    of the events and one exchange of partials a round for any number of
+    segments, where separate funnels take three scans and an exchange each."""
+    kinds = [F.struct(F.lit("user").alias("segment_type"), F.lit("").alias("segment"))]
+    for name, col in segments.items():
+        value = price_band("price") if name == "price_band" else F.coalesce(F.col(col), F.lit(UNKNOWN))
+        kinds.append(F.struct(F.lit(name).alias("segment_type"), value.alias("segment")))
+    each = events.select("user_id", "event_time", "seq", "event_type", "price", F.explode(F.array(*kinds)).alias("_kind"))
+    return funnel(each.select("*", "_kind.*").drop("_kind"), ["user_id", "segment_type", "segment"], **kw)
+
+
 def funnel_trace(events: DataFrame, keys=("user_id",), time: str = "event_time",
                  seq: str = "seq", **kw) -> DataFrame:
     """Event-level trace (E-01 .. E-04): each event with its running

@@ -56,6 +56,19 @@ def funnel_cohorts(user_state: DataFrame) -> DataFrame:
     return _cohort(user_state, _hour("first_view_time"), _weekday("first_view_time"))
 
 
+def by_hour_and_weekday(events: DataFrame) -> DataFrame:
+    """Every event once for its hour and once for its weekday."""
+    return _by_dimension(events, _hour("event_time"), _weekday("event_time"))
+
+
+def dense_activity(activity: DataFrame) -> DataFrame:
+    """Activity rows of all hours and weekdays from (time_dimension,
+    time_value, purchase_users, purchase_events, revenue) of observed ones."""
+    spark = activity.sparkSession
+    spine = _spine(spark, "hour").unionByName(_spine(spark, "day_of_week"))
+    return _on_spine(spine, activity)
+
+
 def _activity(events: DataFrame, spine: DataFrame, *dimensions) -> DataFrame:
     p = (_by_dimension(events.where(F.col("event_type") == "purchase"), *dimensions)
          .select("time_dimension", "time_value", "user_id", money(F.coalesce(F.col("price"), F.lit(0))).alias("price")))
@@ -63,6 +76,10 @@ def _activity(events: DataFrame, spine: DataFrame, *dimensions) -> DataFrame:
         F.countDistinct("user_id").alias("purchase_users"),
         F.count(F.lit(1)).alias("purchase_events"),
         F.sum("price").cast("double").alias("revenue"))
+    return _on_spine(spine, agg)
+
+
+def _on_spine(spine: DataFrame, agg: DataFrame) -> DataFrame:
     out = F.broadcast(spine).join(agg, ["time_dimension", "time_value"], "left")
     null_long = F.lit(None).cast("bigint")
     null_dbl = F.lit(None).cast("double")

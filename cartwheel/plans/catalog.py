@@ -607,13 +607,20 @@ def _(spark, d):
     return _dbl_price(spark.read.parquet(out).select(*DEDUP_COLUMNS))
 
 
+def _stream_buckets(spark, d, keys, segment=None):
+    """Funnel on bucketed state over the replayed slices; folded every second
+    batch, so that folds, appended summaries and their union all take part."""
+    from cartwheel.session import scratch_path
+    from cartwheel.streaming import stream_funnel_buckets
+    path = scratch_path(spark, "stream-" + "-".join(keys))
+    state = _replay(spark, d, lambda stream, ckpt: stream_funnel_buckets(
+        fn.with_segment(stream, segment) if segment else stream, path, keys, ckpt, buckets=8, fold_every=2))
+    return state.funnel()
+
+
 @q("stream_funnel")
 def _(spark, d):
-    from cartwheel.session import scratch_path
-    from cartwheel.streaming import stream_funnel_merge
-    path = scratch_path(spark, "stream-funnel-state")
-    latest = _replay(spark, d, lambda stream, ckpt: stream_funnel_merge(stream, path, checkpoint=ckpt))
-    return fn.finish(spark.read.parquet(latest), ["user_id"])
+    return _stream_buckets(spark, d, ["user_id"])
 
 
 @q("stream_funnel_state")
@@ -795,29 +802,17 @@ def _(spark, d):
 
 @q("stream_category")
 def _(spark, d):
-    from cartwheel.session import scratch_path
-    from cartwheel.streaming import stream_funnel_merge
-    path = scratch_path(spark, "stream-category-state")
-    latest = _replay(spark, d, lambda stream, ckpt: stream_funnel_merge(stream, path, keys=["user_id", "category_code"], checkpoint=ckpt))
-    return fn.finish(spark.read.parquet(latest), ["user_id", "category_code"])
-
-
-def _stream_segment(spark, d, segment):
-    from cartwheel.session import scratch_path
-    from cartwheel.streaming import stream_funnel_merge
-    keys, path = ["user_id", fn.SEGMENTS[segment]], scratch_path(spark, f"stream-{segment}-state")
-    latest = _replay(spark, d, lambda stream, ckpt: stream_funnel_merge(fn.with_segment(stream, segment), path, keys=keys, checkpoint=ckpt))
-    return fn.finish(spark.read.parquet(latest), keys)
+    return _stream_buckets(spark, d, ["user_id", "category_code"], "category")
 
 
 @q("stream_brand")
 def _(spark, d):
-    return _stream_segment(spark, d, "brand")
+    return _stream_buckets(spark, d, ["user_id", "brand"], "brand")
 
 
 @q("stream_price")
 def _(spark, d):
-    return _stream_segment(spark, d, "price_band")
+    return _stream_buckets(spark, d, ["user_id", "price_band"], "price_band")
 
 
 @q("stream_dedup_watermark")
@@ -954,3 +949,172 @@ def _(spark, d):
 @q("time_label_differences")
 def _(spark, d):
     return va.time_label_differences(_faulty_time(spark, d))
+
+
+# 15. state that outlives a run ------------------------------------------------
+BATCHES = 3
+
+
+def _batches(ev: DataFrame, n: int = BATCHES):
+    """(number, rows) of ``n`` batches in ingestion order."""
+    top = ev.agg(F.max("seq")).first()[0] + 1
+    return [(b, ev.where((F.col("seq") >= b * top // n) & (F.col("seq") < (b + 1) * top // n))) for b in range(n)]
+
+
+def _fresh(spark, name):
+    from cartwheel.session import scratch_path
+    return scratch_path(spark, name)
+
+
+@q("bucketed_upsert")
+def _(spark, d):
+    """The reference's per-chunk loop on bucketed state: read the buckets of
+    the batch's keys, merge, replace those buckets (C-04, C-06)."""
+    from cartwheel.operators.keyed_state import BucketTable
+    keys = ["user_id"]
+    table = BucketTable(spark, _fresh(spark, "bucketed"), keys, buckets=8)
+    for b, rows in _batches(clean(spark, d)):
+        new = fn.funnel_partials(rows, keys)
+        old = table.read(table.touched(table.bucketed(new)))
+        if old is not None:
+            new = fn.merge_partials(inc.state_for_batch(old.drop("bucket"), new, keys), new, keys)
+        table.upsert(new, b)
+    return fn.finish(table.read().drop("bucket"), keys)
+
+
+@q("late_rows")
+def _(spark, d):
+    """Rows that come after a later time of an earlier batch, with their
+    batch; the rest goes into the funnel (I-04)."""
+    from cartwheel.operators.keyed_state import FunnelState
+    state = FunnelState(spark, _fresh(spark, "late"), buckets=8, late="aside")
+    for b, rows in _batches(shop(spark, d, "disordered"), 5):
+        state.append(rows, b)
+    late = state.late_rows()
+    if late is None:
+        return shop(spark, d, "disordered").where("false").select(F.lit(0).alias("batch"), "seq", "user_id", "event_type", "event_time")
+    return late.select("batch", "seq", "user_id", "event_type", "event_time")
+
+
+@q("late_rows_funnel")
+def _(spark, d):
+    """The funnel of the rows that are not late."""
+    from cartwheel.operators.keyed_state import FunnelState
+    state = FunnelState(spark, _fresh(spark, "late"), buckets=8, late="aside", fold_every=2)
+    for b, rows in _batches(shop(spark, d, "disordered"), 5):
+        state.append(rows, b)
+    return state.funnel()
+
+
+@q("replayed_batches")
+def _(spark, d):
+    """Funnel over batches of which each is run twice, with folds in between,
+    as after a restart (I-07)."""
+    from cartwheel.operators.keyed_state import FunnelState
+    state = FunnelState(spark, _fresh(spark, "replayed"), buckets=8, fold_every=2)
+    for b, rows in _batches(clean(spark, d)):
+        state.append(rows, b)
+        state.append(rows, b)
+    return state.funnel()
+
+
+@q("seen_store")
+def _(spark, d):
+    """Exact dedup over three batches against the stored fingerprints."""
+    from cartwheel.operators.seen import SeenStore
+    store, out = SeenStore(spark, _fresh(spark, "seen")), _fresh(spark, "seen-rows")
+    for b, rows in _batches(shop(spark, d, "duplicates")):
+        store.add(rows, b, out)
+    return _dbl_price(spark.read.parquet(out).select(*DEDUP_COLUMNS))
+
+
+@q("clean_append")
+def _(spark, d):
+    """Clean table appended batch by batch, one of them replayed (A-07)."""
+    from cartwheel.sources.sinks import append_clean
+    path = _fresh(spark, "clean-append")
+    ev = clean(spark, d)
+    for b, rows in [*_batches(ev), _batches(ev)[1]]:
+        append_clean(rows, path, b)
+    return _dbl_price(spark.read.parquet(path).select(*ev.columns))
+
+
+@q("funnels_all")
+def _(spark, d):
+    return fn.all_funnels(clean(spark, d))
+
+
+@q("activity_bitmap_merge")
+def _(spark, d):
+    """Dense purchase activity from bitmaps and sums of three batches."""
+    from cartwheel.operators.bitmaps import ActivityStore
+    store = ActivityStore(spark, _fresh(spark, "activity"))
+    for b, rows in _batches(clean(spark, d)):
+        store.add(rows, b)
+    return ta.dense_activity(store.read())
+
+
+@q("distinct_bitmap")
+def _(spark, d):
+    """Distinct users, sessions, products and categories from bitmaps of
+    three batches."""
+    from cartwheel.operators.bitmaps import DistinctStore
+    names = {"user_id": "users", "user_session": "sessions", "product_id": "products", "category_id": "categories"}
+    store = DistinctStore(spark, _fresh(spark, "distinct"))
+    for b, rows in _batches(shop(spark, d)):
+        store.add(rows, list(names), b)
+    return store.counts().agg(*[F.coalesce(F.max(F.when(F.col("attribute") == a, F.col("distinct_values"))), F.lit(0)).alias(n)
+                                for a, n in names.items()])
+
+
+@q("distinct_sketch")
+def _(spark, d):
+    """Whether the estimate of united daily sketches lies within its bound of
+    the exact count."""
+    from cartwheel.operators import bitmaps
+    ev, names = shop(spark, d).withColumn("day", F.to_date("event_time")), ["user_id", "user_session", "product_id"]
+    est = bitmaps.sketch_estimates(bitmaps.sketches(ev, names, "day"), names)
+    exact = ev.agg(*[F.countDistinct(a).alias(a) for a in names]).select(
+        F.expr("stack(3, " + ", ".join(f"'{a}', {a}" for a in names) + ") as (name, exact)"))
+    return est.join(exact, F.col("attribute") == F.col("name")).select(
+        "attribute", "exact", (F.abs(F.col("estimate") - F.col("exact")) <= F.col("bound")).alias("within_bound"))
+
+
+# 16. malformed and missing input ----------------------------------------------
+SHORT_EVERY, LONG_EVERY, BAD_PRICE_EVERY, BAD_TIME_EVERY = 101, 103, 107, 109
+
+
+def _damaged_export(spark, d) -> str:
+    """The events as text lines without a header, of which some lack their
+    last field, some have one more, and some hold no number or time."""
+    path, t, s = _fresh(spark, "damaged-csv"), _text(shop(spark, d)), F.col("seq")
+    t = t.withColumns({"price": F.when(s % BAD_PRICE_EVERY == 0, "free").otherwise(F.col("price")),
+                       "event_time": F.when(s % BAD_TIME_EVERY == 0, "yesterday").otherwise(F.col("event_time"))})
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in DEDUP_COLUMNS]
+    line = (F.when(s % SHORT_EVERY == 0, F.concat_ws(",", *fields[:-1])).when(s % LONG_EVERY == 0, F.concat_ws(",", *fields, F.lit("more")))
+            .otherwise(F.concat_ws(",", *fields)))
+    t.orderBy("seq").select(line.alias("value")).write.text(path)
+    return path
+
+
+@q("csv_quarantine")
+def _(spark, d):
+    """Rows kept and set aside of a text file with malformed rows."""
+    from cartwheel.sources.events import quarantine_report, read_events_lenient
+    return quarantine_report(*read_events_lenient(spark, _damaged_export(spark, d), header=False))
+
+
+@q("csv_quarantine_funnel")
+def _(spark, d):
+    """User funnel of the rows that are kept."""
+    from cartwheel.sources.events import read_events_lenient
+    good, _ = read_events_lenient(spark, _damaged_export(spark, d), header=False)
+    return fn.user_funnel(cl.clean_events(good))
+
+
+@q("input_report")
+def _(spark, d):
+    """Which inputs of a run are there (A-05): the tables it reads, and a
+    clean table of an earlier run, which is not."""
+    from cartwheel.sources.events import input_report
+    return input_report(spark, {"events": f"{d}/events.parquet", "part": f"{d}/part.parquet", "clean_events": f"{d}/clean_events.parquet"})

@@ -452,6 +452,33 @@ def build() -> dict[str, str]:
     S["summary_csv"] = S["category_summary"]
     S["state_semi_category"] = with_(CLEAN, *funnel_ctes("clean", "category_code", where=f"WHERE seq // 1000 < {mid}")) + (
         f"SELECT * FROM uf WHERE (user_id, category_code) IN (SELECT (user_id, category_code) FROM clean WHERE seq // 1000 >= {mid})")
+    S["bucketed_upsert"] = S["replayed_batches"] = S["user_funnel"]
+    batch5 = "seq * 5 // (SELECT max(seq) + 1 FROM shop)"
+    late = with_(f"batched AS (SELECT *, CAST({batch5} AS INTEGER) AS batch FROM shop)",
+                 "tops AS (SELECT batch, max(event_time) AS hi FROM batched GROUP BY batch)",
+                 "marked AS (SELECT b.*, coalesce(b.event_time < (SELECT max(hi) FROM tops t WHERE t.batch < b.batch), false) AS late FROM batched b)",
+                 "on_time AS (SELECT * FROM marked WHERE NOT late)", variant="disordered")
+    S["late_rows"] = late + "SELECT batch, seq, user_id, event_type, event_time FROM marked WHERE late"
+    S["late_rows_funnel"] = late.rstrip() + ",\n" + ",\n".join(funnel_ctes("on_time")) + "\nSELECT * FROM uf"
+    S["seen_store"] = with_(variant="duplicates") + f"SELECT DISTINCT {EV9.replace('price', 'CAST(price AS DOUBLE) AS price')} FROM shop"
+    S["clean_append"] = S["roundtrip_parquet"]
+    kinds = [("user", None), ("category", "category_code"), ("brand", "brand"), ("price_band", "price_band")]
+    cols = "viewed, added_to_cart, purchased, first_view_time, first_cart_time, first_purchase_time, purchase_count, purchase_revenue"
+    S["funnels_all"] = with_(CLEAN, *[c for k, seg in kinds for c in funnel_ctes("clean", seg, out=f"f_{k}")]) + " UNION ALL ".join(
+        f"SELECT user_id, '{k}' AS segment_type, {seg or repr('')} AS segment, {cols} FROM f_{k}" for k, seg in kinds)
+    S["activity_bitmap_merge"] = tm + f"SELECT {TIME_COLS} FROM act_h UNION ALL SELECT {TIME_COLS} FROM act_d"
+    S["distinct_bitmap"] = S["distinct_counts"]
+    S["distinct_sketch"] = sh + " UNION ALL ".join(
+        f"SELECT '{a}' AS attribute, count(DISTINCT {a}) AS exact, true AS within_bound FROM shop" for a in ("user_id", "user_session", "product_id"))
+    ill = "seq % 101 = 0 OR seq % 103 = 0"
+    odd = "seq % 107 = 0 OR seq % 109 = 0"
+    S["csv_quarantine"] = sh + (
+        f"SELECT 'read' AS check, count(*) AS rows FROM shop UNION ALL SELECT 'kept', count(*) FROM shop WHERE NOT ({ill} OR {odd}) "
+        f"UNION ALL SELECT 'set_aside_fields', count(*) FROM shop WHERE {ill} "
+        f"UNION ALL SELECT 'set_aside_unparsable', count(*) FROM shop WHERE ({odd}) AND NOT ({ill})")
+    S["csv_quarantine_funnel"] = with_(f"kept AS (SELECT * FROM shop WHERE NOT ({ill} OR {odd}))", CLEAN.replace("FROM shop)", "FROM kept)"),
+                                       *funnel_ctes("clean"), variant="seconds") + "SELECT * FROM uf"
+    S["input_report"] = ("SELECT 'events' AS input, true AS present UNION ALL SELECT 'part', true UNION ALL SELECT 'clean_events', false")
     S["incremental_upsert"] = S["user_funnel"]
     S["dup_marks"] = with_(variant="duplicates") + (
         f"SELECT seq, seq <> min(seq) OVER (PARTITION BY {EV9}) AS duplicate_after_first, "

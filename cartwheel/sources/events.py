@@ -19,6 +19,9 @@ RAW_COLUMNS = ["event_time", "event_type", "product_id", "category_id",
 # Exact-duplicate key: the nine original columns.
 DEDUP_COLUMNS = list(RAW_COLUMNS)
 
+#: Columns of another type than text.
+TYPED_COLUMNS = ["event_time", "product_id", "category_id", "price", "user_id"]
+
 RAW_CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
 
 
@@ -85,6 +88,52 @@ def read_events(spark: SparkSession, path: str, fmt: str = "csv",
     return df
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_events_lenient(spark: SparkSession, path: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Text events of a file that may hold malformed rows (A-01, Q-16, Q-18):
+    (good, bad).  ``good`` has the raw columns and ``seq``; ``bad`` has
+    ``seq``, the ``reason`` and the ``line`` of every row that is set aside:
+
+    * ``fields``: too few or too many fields;
+    * ``unparsable``: a time, price or id that is there but is none.
+
+    The file is read once, into the checkpoint folder, and both parts come
+    from that table."""
+    from cartwheel.operators.cleaning import coerce_lenient, normalize_null_tokens
+    require_input(spark, path)
+    schema = T.StructType([*RAW_CSV_SCHEMA.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    raw = with_ingest_seq(spark.read.schema(schema).option("header", header).option("enforceSchema", not header).option("escape", '"')
+                          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    read = normalize_null_tokens(raw.withColumns({f"_raw_{c}": F.col(c) for c in RAW_COLUMNS}), RAW_COLUMNS)
+    typed = coerce_lenient(read.withColumns({f"_text_{c}": F.col(c) for c in TYPED_COLUMNS}))
+    lost = F.lit(False)
+    for c in TYPED_COLUMNS:
+        lost = lost | (F.col(f"_text_{c}").isNotNull() & F.col(c).isNull())
+    reason = F.when(F.col(CORRUPT).isNotNull(), "fields").when(lost, "unparsable")
+    marked = typed.withColumn("_reason", reason)
+    good = marked.where(F.col("_reason").isNull()).select(*[F.col(f"_raw_{c}").alias(c) for c in RAW_COLUMNS], "seq")
+    line = F.coalesce(F.col(CORRUPT), F.concat_ws(",", *[F.coalesce(f"_raw_{c}", F.lit("")) for c in RAW_COLUMNS]))
+    bad = marked.where(F.col("_reason").isNotNull()).select("seq", F.col("_reason").alias("reason"), line.alias("line"))
+    return good, bad
+
+
+def quarantine_report(good: DataFrame, bad: DataFrame) -> DataFrame:
+    """Rows read, kept and set aside by reason, as (check, rows)."""
+    kept = good.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("kept").alias("check"), "rows")
+    reasons = good.sparkSession.createDataFrame([("fields",), ("unparsable",)], "reason string")
+    aside = reasons.join(bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n")), "reason", "left").select(
+        F.concat(F.lit("set_aside_"), "reason").alias("check"), F.coalesce("n", F.lit(0)).alias("rows"))
+    both = kept.unionByName(aside)
+    return both.unionByName(both.agg(F.sum("rows").alias("rows")).select(F.lit("read").alias("check"), "rows"))
+
+
+def input_report(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """(input, present) of every named path (A-05), for a report before a run."""
+    return spark.createDataFrame([(k, path_exists(spark, p)) for k, p in sorted(paths.items())], "input string, present boolean")
+
+
 def head_sample(df: DataFrame, n: int, order: str = "seq") -> DataFrame:
     """First ``n`` rows in ingestion order (A-03), deterministic.  Planned as
     ``TakeOrderedAndProject``: each task keeps its own top ``n``."""

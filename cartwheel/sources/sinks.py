@@ -31,6 +31,14 @@ def write_clean(df: DataFrame, path: str, fmt: str = "parquet", partitions: int
         w.partitionBy("event_date").parquet(path)
 
 
+def append_clean(df: DataFrame, path: str, batch: int, partitions: int | None = None) -> None:
+    """Clean events of one batch beside those of the others (A-07, I-07):
+    folder ``batch=<n>`` below ``path``, laid out as ``write_clean`` does.
+    Replaying a batch replaces its folder and no other; the whole table is
+    read from ``path``, by batch or by date."""
+    write_clean(df, f"{path.rstrip('/')}/batch={batch}", partitions=partitions)
+
+
 def write_funnel(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """User funnel ordered by user (range-partitioned sort, no single task)."""
     w = df.orderBy("user_id").write.mode("overwrite")

@@ -41,6 +41,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from cartwheel.functions.columns import hour_label, money, weekday_name
 from cartwheel.operators.funnel import finish, funnel_partials, merge_partials
 from cartwheel.operators.incremental import check_batch_order
+from cartwheel.operators.keyed_state import FunnelState
 from cartwheel.session import scratch_path
 from cartwheel.sources.events import DEDUP_COLUMNS
 
@@ -200,6 +201,30 @@ def stream_funnel_merge(stream: DataFrame, state_root: str, keys=("user_id",), c
     return f"{root}/v={have[-1]:09d}" if have else None
 
 
+def stream_funnel_buckets(stream: DataFrame, state_root: str, keys=("user_id",), checkpoint: str | None = None,
+                          buckets: int = 64, fold_every: int = 8, late: str = "reject") -> FunnelState:
+    """Incremental funnel on bucketed state (I-02 / I-03): a micro-batch
+    appends the summary of its own keys, whatever the state's size, and every
+    ``fold_every`` batches what was appended is folded into the buckets it
+    touches.  The state belongs to the query's checkpoint, so a restarted
+    query goes on and a new one starts from empty; a replayed batch replaces
+    its own summary.  ``late`` as in :class:`FunnelState`.  Returns the state."""
+    spark = stream.sparkSession
+    checkpoint = checkpoint or scratch_path(spark, "ckpt-funnel")
+    root = f"{state_root}/query={hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
+    state = FunnelState(spark, root, keys, buckets, fold_every, late)
+
+    def step(batch: DataFrame, batch_id: int):
+        batch.persist()
+        try:
+            state.append(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    _run(stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return state
+
+
 # -- applyInPandasWithState --------------------------------------------------
 
 _STATE_SCHEMA = ("V string, C string, P string, VC string, CP string, VCP string, "
