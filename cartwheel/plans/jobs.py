@@ -21,6 +21,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from cartwheel.operators import cleaning as cl
 from cartwheel.operators import funnel as fn
@@ -42,12 +43,15 @@ def run_all(spark: SparkSession, raw: str, out: str, fmt: str = "csv", quality:
     clean = spark.read.parquet(f"{out}/clean_events")
     write_summary(cl.run_summary(raw_df, clean), f"{out}/run_summary")
 
-    write_funnel(fn.user_funnel(clean), f"{out}/user_funnel")
+    # the four funnels in one pass over the clean events
+    fn.all_funnels(clean).write.mode("overwrite").partitionBy("segment_type").parquet(f"{out}/funnels")
+    states = spark.read.parquet(f"{out}/funnels")
+    write_funnel(states.where("segment_type = 'user'").drop("segment_type", "segment"), f"{out}/user_funnel")
     users = spark.read.parquet(f"{out}/user_funnel")
 
     for seg, name in SEGMENT_OUTPUTS.items():
         col = fn.SEGMENTS[seg]
-        state = fn.segment_funnel(clean, seg)
+        state = states.where(F.col("segment_type") == seg).withColumnRenamed("segment", col)
         summary = sm.segment_summary(state, col, sort_key=(seg == "price_band"))
         write_summary(summary, f"{out}/eda/{name}")
         write_summary(va.validate_summary(spark.read.option("header", True).schema(summary.schema)

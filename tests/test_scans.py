@@ -16,18 +16,21 @@ from cartwheel.plans.catalog import clean
 events = clean(spark, sys.argv[2])
 n = events.count()
 spark.sparkContext.setJobDescription("measured")
-time_analysis.time_analysis(funnel.user_funnel(events), events).collect()
+if sys.argv[3] == "time":
+    time_analysis.time_analysis(funnel.user_funnel(events), events).collect()
+else:
+    funnel.all_funnels(events).collect()
 spark.sparkContext.setJobDescription("")
 print(n)
 spark.stop()
 """
 
 
-def test_time_analysis_reads_the_events_four_times_at_most(tmp_path):
+def records_read(tmp_path, what):
+    """(events, records read by ``what``)."""
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    out = subprocess.run([sys.executable, "-c", PROGRAM, str(tmp_path), "/root/testdata/sf0.001"], cwd=top, env={**os.environ, "PYTHONPATH": top},
-                         capture_output=True, text=True, timeout=300, check=True)
-    events = int(out.stdout.split()[-1])
+    out = subprocess.run([sys.executable, "-c", PROGRAM, str(tmp_path), "/root/testdata/sf0.001", what], cwd=top,
+                         env={**os.environ, "PYTHONPATH": top}, capture_output=True, text=True, timeout=300, check=True)
     measured, read = set(), 0
     for name in os.listdir(tmp_path):
         for line in open(tmp_path / name):
@@ -36,5 +39,17 @@ def test_time_analysis_reads_the_events_four_times_at_most(tmp_path):
                 measured.update(e["Stage IDs"])
             if e["Event"] == "SparkListenerTaskEnd" and e["Stage ID"] in measured:
                 read += e["Task Metrics"]["Input Metrics"]["Records Read"]
+    return int(out.stdout.split()[-1]), read
+
+
+def test_time_analysis_reads_the_events_four_times_at_most(tmp_path):
+    events, read = records_read(tmp_path, "time")
     # the checkpointed table of one row per user is read, too
     assert events <= read <= 4 * events + 8 * 150
+
+
+def test_four_funnels_read_the_events_three_times(tmp_path):
+    events, read = records_read(tmp_path, "funnels")
+    # the checkpointed table of one row per key (at most one per event and kind) is read four times
+    assert events <= read <= 3 * events + 4 * 4 * events
+    assert read < 12 * events
