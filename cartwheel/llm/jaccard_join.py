@@ -42,7 +42,8 @@ BAND, BITS, BLOCK = 1.5, 2, 1024
 #: Open tiles that a document's rows list, so that a pair leaves the first one
 #: it shares only; the pairs of a document in more may leave several.
 LISTED = 4096
-FILTER_BITS = 1 << 23
+#: Bits of the filter before a join, and of one of Spark's bitmaps.
+FILTER_BITS, PAGE_BITS = 1 << 26, 1 << 15
 
 
 def _edges(limit: int) -> np.ndarray:
@@ -141,24 +142,24 @@ def _intersections(size, percent):
     return run
 
 
-def _only_near(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id may stand in ``wanted``: a bitmap of
-    FILTER_BITS hashed ids (of that size whatever the data) keeps most other
-    texts out of the shuffle; the join that follows decides."""
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    words = wanted.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits")).collect()
-    bitmap = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    for r in words:
-        bitmap[r["w"]] = r["bits"]
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+def _only_near(rows: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows whose ``key`` may stand in ``wanted``: a bitmap of FILTER_BITS
+    hashed keys (of that size whatever the data) keeps most others out of the
+    shuffle; the join that follows decides."""
+    slot = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    pages = wanted.select((slot + 1).alias("s")).groupBy((F.bitmap_bucket_number("s") - 1).alias("page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits")).collect()
+    bitmap = np.zeros((FILTER_BITS // PAGE_BITS, PAGE_BITS // 8), dtype=np.uint8)
+    for r in pages:
+        bitmap[r["page"]] = np.frombuffer(r["bits"], dtype=np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap.reshape(-1))
 
     @F.pandas_udf("boolean")
     def held(s: pd.Series) -> pd.Series:
         at = s.to_numpy()
-        return pd.Series((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1)
+        return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
 
-    return docs.filter(held(slot))
+    return rows.filter(held(slot))
 
 
 def _fold(bits: np.ndarray) -> np.ndarray:
@@ -247,9 +248,11 @@ def links(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple[D
                    .select("doc_id", "n", "bits"), "classes")
 
     sliced = signed.select("doc_id", F.explode("slices").alias("slice"))
-    shared = sliced.groupBy("slice").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("slice", "lo")
-    # the first document of a tile is the first of its class, too; other copies go
-    members = table(sliced.join(shared, "slice").join(narrow.select("doc_id"), "doc_id", "left_semi").distinct(), "tiles")
+    shared = table(sliced.groupBy("slice").agg(F.count("*").alias("rows")).filter("rows > 1").select("slice"), "shared")
+    # a table first: else the documents' whole slice arrays would meet the class rows
+    met = table(_only_near(sliced, shared, "slice").join(shared, "slice"), "met").join(narrow.select("doc_id"), "doc_id", "left_semi").distinct()
+    first = met.groupBy("slice").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("slice", "lo")
+    members = table(met.join(first, "slice"), "tiles")
 
     def folded(name, other):  # the longer bitmap to the length of the shorter
         half = f"size({other})"
