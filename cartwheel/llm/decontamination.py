@@ -1,12 +1,12 @@
-"""Benchmark decontamination: n-gram hits, then Smith-Waterman.
-
-The benchmark is the small side: it is cut into blocks of bounded size and
-every block meets all documents in one pass over their whole texts.  A pass
-maps words to the block's vocabulary, finds runs of ``n`` such words whose
-gram stands in an item, and takes the stretch of text around them.  Every
-stretch is aligned with its item word by word in the same task, which scores
-edited and paraphrased copies; only stretches that share too few words with
-the item for the wanted similarity, whatever their order, are left out.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman.
+
+Grams of the items that the corpus holds at all are found with a bitmap of
+fixed size in one pass over the documents, and their document frequencies are
+counted.  The rarest grams of every short window of an item are its seeds;
+grams that many items share (a common question head) seed nothing as long as
+the item has others.  Seeds join texts to items, and the stretches around the
+seeds of a (document, item) pair are aligned word by word, which scores edited
+and paraphrased copies.
 """
 
 from __future__ import annotations
@@ -15,141 +15,168 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import mix, ship, text_column, tidy
+from cartwheel.llm.common import BASES, ship, table, text_column, tidy, window_hashes, word_hashes
 
 GRAM = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 SIMILARITY = 0.4
-#: Bytes of benchmark text that a task holds at a time.
-BLOCK_BYTES = 16_000_000
+#: A gram is a seed if, in one of the windows of WINDOW grams that hold it, none
+#: is more than CLOSE times rarer.  With more than SHARED item texts holding it,
+#: it is one only for items that have no other gram.
+WINDOW, CLOSE, SHARED = 4, 16, 16
+#: Bits of the bitmap of item grams (8 MB); false positives only cost rows.
+MASK_BITS = 1 << 26
 #: Cells of the alignment matrices held at a time, and words of stretches that
 #: a task gathers before it aligns them.
 CELLS, HELD_WORDS = 500_000, 2_000_000
 
 _WORD = re.compile(r"[^\W_]+")
-_FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
 
 
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def gram_keys(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """64-bit keys of the GRAM word numbers from each position."""
-    key = np.zeros(len(at), dtype=np.uint64)
-    for j in range(GRAM):
-        key = key + mix(ids[at + j].astype(np.uint64) + _FACTORS[j]) * _FACTORS[j]
-    return key
-
-
-class _Block:
-    """Vocabulary and grams of some items: sorted keys, and for each the
-    items and offsets where it stands."""
-
-    def __init__(self, items):
-        self.ids, self.lengths, self.words, self.bags, vocabulary, rows = [], [], [], [], {}, []
-        for item_id, text in items:
-            words = np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)], dtype=np.int64)
-            if len(words) >= GRAM:
-                at = np.arange(len(words) - GRAM + 1)
-                rows.append((gram_keys(words, at), np.full(len(at), len(self.ids)), at))
-                self.ids.append(item_id)
-                self.lengths.append(len(words))
-                self.words.append(words)
-                self.bags.append(np.unique(words, return_counts=True))
-        self.lengths = np.array(self.lengths, dtype=np.int64)
-        self.vocabulary = vocabulary
-        keys, item, at = (np.concatenate(x) for x in zip(*rows)) if rows else (np.zeros(0, np.uint64),) * 3
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.item, self.at = keys[order], item[order].astype(np.int64), at[order].astype(np.int64)
-
-    def numbers(self, words):
-        """Numbers of the words in the vocabulary, 0 for others."""
-        get = self.vocabulary.get
-        return np.array([get(w, 0) for w in words], dtype=np.int64)
-
-    def common(self, item, ids):
-        """Words of the item that the word numbers hold, whatever the order:
-        no alignment has more matches."""
-        known, times = self.bags[item]
-        at = np.minimum(np.searchsorted(known, ids), len(known) - 1)
-        return int(np.minimum(np.bincount(at[known[at] == ids], minlength=len(known)), times).sum())
-
-    def hits(self, ids):
-        """(position, gram row) of every gram of the block in the words."""
-        if len(ids) < GRAM or not len(self.keys):
-            return None
-        known = np.flatnonzero(_all_known(ids > 0))
-        if not len(known):
-            return None
-        keys = gram_keys(ids, known)
-        lo, hi = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
-        n = hi - lo
-        if not n.any():
-            return None
-        rows = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.repeat(known, n), rows
-
-
-def _all_known(known: np.ndarray) -> np.ndarray:
-    out = known[:len(known) - GRAM + 1].copy()
-    for j in range(1, GRAM):
-        out &= known[j:len(known) - GRAM + 1 + j]
+def hashes_of(text: str) -> np.ndarray:
+    """64-bit hash of every word."""
+    return word_hashes(" ".join(words_of(text)).encode())[0]
+
+
+def gram_keys(words: np.ndarray) -> np.ndarray:
+    """64-bit key of the GRAM words from each position on; a shorter text is
+    one gram as a whole."""
+    return window_hashes(words, min(GRAM, len(words)), BASES[0]) if len(words) else np.zeros(0, dtype=np.uint64)
+
+
+@tidy
+def _item_grams(batches):
+    for batch in batches:
+        rows = [(item.as_py(), gram_keys(hashes_of(text.as_py()))) for item, text in zip(batch.column(0), batch.column(1))]
+        n = [len(keys) for _, keys in rows]
+        keys = np.concatenate([keys for _, keys in rows]) if rows else np.zeros(0, dtype=np.uint64)
+        at = np.concatenate([np.arange(k) for k in n]) if rows else np.zeros(0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.array([item for item, _ in rows], dtype=np.int64), n)), pa.array(at, pa.int32()), pa.array(keys.view(np.int64))],
+            names=["item", "at", "gram"])
+
+
+def _mask(grams: DataFrame) -> np.ndarray:
+    """Bitmap of MASK_BITS bits with two of them set for every gram."""
+    places = grams.select(F.explode(F.array("gram", F.shiftrightunsigned("gram", 32))).alias("x")).select(
+        (F.col("x").bitwiseAND(F.lit(MASK_BITS - 1)) + 1).alias("place"))
+    out = np.zeros(MASK_BITS // 8, dtype=np.uint8)
+    pages = places.groupBy(F.bitmap_bucket_number("place").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    for page, bits in pages.collect():  # at most MASK_BITS / 32768 rows of 4 KB
+        part = np.frombuffer(bits, dtype=np.uint8)
+        out[(page - 1) * 4096:(page - 1) * 4096 + len(part)] = part
     return out
 
 
-def _copies(items, similarity):
-    """Stretches of a document around the grams of each item, aligned with
-    it: those of at least ``similarity``."""
-    def stretches(block, ids):
-        found = block.hits(ids)
-        if found is None:
-            return
-        pos, gram = found
-        item = block.item[gram]
-        order = np.lexsort((pos, item))
-        pos, gram, item = pos[order], gram[order], item[order]
-        length = block.lengths[item]
-        pad = length // 4 + 2
-        start = np.maximum(0, pos - block.at[gram] - pad)
-        end = np.minimum(len(ids), pos - block.at[gram] + length + pad)
-        i = 0
-        while i < len(pos):
-            j, s, e = i + 1, start[i], end[i]
-            while j < len(pos) and item[j] == item[i] and start[j] <= e:
-                s, e, j = min(s, start[j]), max(e, end[j]), j + 1
-            k = int(item[i])
-            if MATCH * block.common(k, ids[s:e]) / (MATCH * len(block.words[k])) >= similarity:
-                yield k, int(s), ids[s:e].astype(np.int32)
-            i = j
-
-    def aligned(block, held):
-        score, where = align_pairs([block.words[h[2]] for h in held], [h[4] for h in held])
-        share = score / (MATCH * block.lengths[[h[2] for h in held]])
+def _in_mask(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    def has(x):
+        x = x & np.uint64(MASK_BITS - 1)
+        return (bits[x >> np.uint64(3)] >> (x & np.uint64(7)).astype(np.uint8)) & 1
+    return (has(keys) & has(keys >> np.uint64(32))) > 0
+
+
+def _hits(mask):
+    """One row per text and gram that the mask may hold, with its positions."""
+    @tidy
+    def run(batches):
+        for batch in batches:
+            rows, grams, places, counts = [], [], [], []
+            for i, text in enumerate(batch.column(2)):
+                keys = gram_keys(hashes_of(text.as_py()))
+                at = np.flatnonzero(_in_mask(mask.value, keys))
+                if not len(at):
+                    continue
+                at = at[np.argsort(keys[at], kind="stable")]
+                found = keys[at]
+                first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+                rows.append(np.full(len(first), i))
+                grams.append(found[first])
+                places.append(at)
+                counts.append(np.diff(np.append(first, len(at))))
+            if rows:
+                take = pa.array(np.concatenate(rows))
+                ends = np.concatenate(([0], np.cumsum(np.concatenate(counts))))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(np.concatenate(grams).view(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(places), pa.int32()))],
+                    names=["doc_id", "key", "gram", "positions"])
+    return run
+
+
+def _seeds(grams: DataFrame, hits: DataFrame) -> DataFrame:
+    """item, gram, lo and hi (first and last place of the gram in the item) of
+    the grams that the corpus is searched with."""
+    shared = grams.select("item", "gram").distinct().groupBy("gram").agg(F.count("*").alias("items"))
+    frequency = hits.groupBy("gram").agg(F.count("*").alias("df"))
+    along = Window.partitionBy("item").orderBy("at")
+    own = F.max(F.col("items") <= SHARED).over(Window.partitionBy("item"))
+    return (grams.join(shared, "gram").join(frequency, "gram", "left").withColumn("own", own)
+            .withColumn("rarest", F.min("df").over(along.rangeBetween(0, WINDOW - 1)))
+            .withColumn("rarest", F.max("rarest").over(along.rangeBetween(1 - WINDOW, 0)))
+            .filter((F.col("df") <= CLOSE * F.col("rarest")) & ((F.col("items") <= SHARED) | ~F.col("own")))
+            .groupBy("item", "gram").agg(F.min("at").alias("lo"), F.max("at").alias("hi")))
+
+
+def _stretches(seeds, length: int, n_words: int):
+    """Merged intervals of the text's words around an item's seeds."""
+    pos = np.concatenate([np.array(s["positions"], dtype=np.int64) for s in seeds])
+    lo, hi = (np.repeat([s[name] for s in seeds], [len(s["positions"]) for s in seeds]) for name in ("lo", "hi"))
+    pad = length // 4 + 2
+    start, end = np.maximum(0, pos - hi - pad), np.minimum(n_words, pos - lo + length + pad)
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum.accumulate(end[order])
+    new = np.flatnonzero(np.concatenate(([True], start[1:] > end[:-1])))
+    return zip(start[new].tolist(), end[np.append(new[1:], len(end)) - 1].tolist())
+
+
+def _copies(similarity: float):
+    """Aligns the stretches of every text with its items: those of at least
+    ``similarity``."""
+    def near(text, items):
+        words = hashes_of(text)
+        for item in items:
+            own = hashes_of(item["item_text"])
+            known, number, times = np.unique(own, return_inverse=True, return_counts=True)
+            for s, e in _stretches(item["seeds"], len(own), len(words)):
+                at = np.minimum(np.searchsorted(known, words[s:e]), len(known) - 1)
+                ids = np.where(known[at] == words[s:e], at + 1, 0)
+                common = np.minimum(np.bincount(ids, minlength=len(known) + 1)[1:], times).sum()
+                if common / len(own) >= similarity:  # no alignment has more matches
+                    yield item["item"], s, number + 1, ids.astype(np.int32)
+
+    def aligned(held):
+        doc, key, item, start, own, ids = zip(*held)
+        score, where = align_pairs(own, ids)
+        share = score / (MATCH * np.array([len(x) for x in own]))
         good = np.flatnonzero(share >= similarity)
-        doc, key, item, start, _ = zip(*(held[i] for i in good)) if len(good) else ((),) * 5
+
+        def kept(values):
+            return [values[i] for i in good]
         return pa.RecordBatch.from_arrays(
-            [pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array([block.ids[i] for i in item], pa.int64()), pa.array(score[good], pa.int64()),
-             pa.array(np.array(start, dtype=np.int64) + where[good], pa.int64()), pa.array(share[good], pa.float64())],
-            names=["doc_id", "key", "item_id", "score", "end_word", "similarity"])
+            [pa.array(kept(doc), pa.int64()), pa.array(kept(key), pa.int64()), pa.array(kept(item), pa.int64()), pa.array(score[good], pa.int64()),
+             pa.array(np.array(kept(start), dtype=np.int64) + where[good], pa.int64()), pa.array(share[good], pa.float64())],
+            names=["doc_id", "key", "item", "score", "end_word", "similarity"])
 
     @tidy
     def run(batches):
-        block = _Block(items.value)
-        held, words = [], 0
+        held, n = [], 0
         for batch in batches:
-            for doc_id, key, text in zip(*(batch.column(i) for i in range(3))):
-                for item, start, ids in stretches(block, block.numbers(words_of(text.as_py()))):
-                    held.append((doc_id.as_py(), key.as_py(), item, start, ids))
-                    words += len(ids)
-                    if words > HELD_WORDS:
-                        yield aligned(block, held)
-                        held, words = [], 0
+            for doc_id, key, text, items in zip(*(batch.column(i) for i in range(4))):
+                for item, start, own, ids in near(text.as_py(), items.as_py()):
+                    held.append((doc_id.as_py(), key.as_py(), item, start, own, ids))
+                    n += len(ids) + len(own)
+                    if n > HELD_WORDS:
+                        yield aligned(held)
+                        held, n = [], 0
         if held:
-            yield aligned(block, held)
+            yield aligned(held)
     return run
 
 
@@ -204,30 +231,42 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     end_word (word of the document where it ends), similarity (score as a
     share of a perfect copy's), at least ``similarity``.
 
-    Words are runs of letters and digits, lower-cased.  Null and empty texts
-    hold nothing; items of fewer than GRAM words can't be told from ordinary
-    text and match nothing; of several copies of an item in one document the
-    best counts; rows that repeat doc_id and text give one pair, as do items
-    that repeat item_id (the best); null ids are kept; an empty table on
-    either side gives no pairs; other columns are ignored.
+    Words are runs of letters and digits, lower-cased.  A copy has to hold a
+    seed of the item (see the module); what only repeats words that more than
+    SHARED items have in common is none.  Items of fewer than GRAM words match
+    texts of exactly these words.  Null and empty texts hold nothing; of several
+    copies of an item in one document the best counts; rows that repeat doc_id
+    and text give one pair, as do items that repeat item_id (the best); null ids
+    are kept; an empty table on either side gives no pairs; other columns are
+    ignored.
     """
     spark = docs.sparkSession
     ship(spark)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text")).select(
         "doc_id", F.xxhash64("text").alias("key"), "text")
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_column().alias("item_text")).distinct()
-    size = items.agg(F.coalesce(F.sum(F.octet_length("item_text")), F.lit(0))).first()[0]
-    n_blocks = max(1, -(-size // BLOCK_BYTES))
-    part = F.pmod(F.xxhash64("item_id", "item_text"), F.lit(n_blocks))
-
-    found = None
-    for k in range(n_blocks):
-        block = [(r[0], r[1]) for r in items.filter(part == k).collect()]
-        one = base.mapInArrow(_copies(spark.sparkContext.broadcast(block), similarity),
-                              "doc_id long, key long, item_id long, score long, end_word long, similarity double")
-        found = one if found is None else found.unionByName(one)
+    named = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_column().alias("item_text")).withColumn("item", F.xxhash64("item_text"))
+    texts = named.groupBy("item").agg(F.first("item_text").alias("item_text"))
+
+    grams = table(texts.select("item", "item_text").mapInArrow(_item_grams, "item long, at int, gram long"), "item-grams")
+    mask = spark.sparkContext.broadcast(_mask(grams))
+    hits = table(base.mapInArrow(_hits(mask), "doc_id long, key long, gram long, positions array<int>"), "gram-hits")
+    mask.unpersist()
+    seeds = table(_seeds(grams, hits), "seeds")
+    pairs = table(hits.join(seeds, "gram").dropDuplicates(["doc_id", "key", "item", "gram"])
+                  .groupBy("doc_id", "key", "item").agg(F.collect_list(F.struct("positions", "lo", "hi")).alias("seeds")), "seeded-pairs")
+
+    def same(other):
+        return base["doc_id"].eqNullSafe(other["doc_id"]) & (base["key"] == other["key"])
+    wanted = pairs.select("doc_id", "key").distinct()
+    found_texts = table(base.join(wanted, same(wanted), "left_semi").dropDuplicates(["doc_id", "key"]), "seeded-texts")
+    items = (pairs.join(texts, "item").groupBy(F.col("doc_id").alias("id"), F.col("key").alias("hash"))
+             .agg(F.collect_list(F.struct("item", "item_text", "seeds")).alias("items")))
     best = F.max(F.struct("similarity", "score", "end_word")).alias("b")
-    return (found.groupBy("doc_id", "key", "item_id").agg(best)
+    return (found_texts.join(items, found_texts["doc_id"].eqNullSafe(items["id"]) & (found_texts["key"] == items["hash"]))
+            .select("doc_id", "key", "text", "items")
+            .mapInArrow(_copies(similarity), "doc_id long, key long, item long, score long, end_word long, similarity double")
+            .join(named.select("item", "item_id").distinct(), "item")
+            .groupBy("doc_id", "key", "item_id").agg(best)
             .select("doc_id", "key", "item_id", "b.score", "b.end_word", "b.similarity"))
 
 

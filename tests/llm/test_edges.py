@@ -448,3 +448,32 @@ def test_toxicity_without_labels(spark):
     for docs in (df, df.filter("doc_id < 0")):
         got = {x["doc_id"] for x in toxicity.score_texts(df, toxicity.fit(docs, gold)).filter("toxicity >= 0.5").collect()}
         assert got == {i for i, _ in made if i % 10 == 1}
+
+
+def test_decontamination_templates_and_repeats(spark):
+    """A head that many items share tells nothing of any of them; a text that
+    repeats an item's word takes one row per gram; short items are exact."""
+    head = " ".join(f"head{j}" for j in range(13))
+    items = [(k, head + " " + " ".join(f"t{k}w{j}" for j in range(10))) for k in range(60)]
+    items += [(100, "go " * 300), (101, "short item"), (102, items[3][1])]
+    made = [(1, words(40, 31) + " " + head + " " + words(40, 32)), (2, words(30, 33) + " " + items[5][1]), (3, items[3][1]),
+            (4, "go " * 20000), (5, "Short, item!"), (6, "a short item is no copy"), (7, "go " * 50)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.contaminated(spark.createDataFrame(made, "doc_id long, text string"), bench)
+    pairs = {(r["doc_id"], r["item_id"]): r["similarity"] for r in got.collect()}
+    assert pairs == {(2, 5): 1.0, (3, 3): 1.0, (3, 102): 1.0, (4, 100): 1.0, (5, 101): 1.0}
+
+
+@pytest.mark.parametrize("rate", [0.2, 0.25, 0.3])
+def test_decontamination_recall_of_edited_copies(spark, rate):
+    """Copies with every word replaced at ``rate``: at least 0.9 of those that
+    reach the similarity are found."""
+    r = random.Random(int(rate * 100))
+    items = [(k, [f"i{k}w{j}" for j in range(r.randint(16, 59))]) for k in range(150)]
+    made = [(k, [w if r.random() > rate else f"edit{r.getrandbits(40)}" for w in item]) for k, item in items]
+    wanted = {k for k, item in items if decontamination.align(item, [made[k][1]])[0][0] / (2 * len(item)) >= decontamination.SIMILARITY}
+    docs = spark.createDataFrame([(k, words(20, k) + " " + " ".join(w) + " " + words(20, k + 500)) for k, w in made], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    got = {x["doc_id"] for x in decontamination.contaminated(docs, bench).collect() if x["doc_id"] == x["item_id"]}
+    print(f"recall at {rate}: {len(got & wanted) / len(wanted):.3f} of {len(wanted)}")
+    assert len(got & wanted) >= 0.9 * len(wanted)
