@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cartwheel.llm import mixing, vector_codes
+from cartwheel.llm import jaccard_join, mixing, spelling, vector_codes
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -70,7 +70,97 @@ parts AS (
 SELECT doc_id, size, source_size, target, CAST(size * whole + part AS BIGINT) AS taken, source, CAST(whole AS BIGINT) AS whole, part FROM parts
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_SUBSTRINGS = f"""
+WITH worded AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+windows AS MATERIALIZED (
+  SELECT doc_id, i, md5(array_to_string(list_slice(words, i, i + 49), ' ')) AS h
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM worded WHERE len(words) >= 50 AND doc_id IS NOT NULL)),
+firsts AS (SELECT h, min(doc_id) AS lo FROM windows GROUP BY h),
+gone AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS w FROM windows JOIN firsts USING (h) WHERE lo < doc_id),
+edges AS (
+  SELECT doc_id, count(*) AS n_removed, list(w) AS ws, count(*) FILTER (before IS NULL OR w - before > 1) AS n_spans
+  FROM (SELECT doc_id, w, lag(w) OVER (PARTITION BY doc_id ORDER BY w) AS before FROM gone) GROUP BY doc_id),
+kept AS (
+  SELECT g.doc_id, string_agg(g.word, ' ' ORDER BY g.w) AS text
+  FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS w FROM worded) g
+  ANTI JOIN gone USING (doc_id, w) GROUP BY g.doc_id)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(e.n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256, CAST(coalesce(e.n_spans, 0) AS BIGINT) AS n_spans
+FROM worded d LEFT JOIN edges e ON e.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+#: Candidates share one of the rarest shingles that a link can't do without.
+_JACCARD = f"""
+WITH RECURSIVE worded AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{WORD}') AS words FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, md5(array_to_string(list_slice(words, i, i + {jaccard_join.WORDS - 1}), ' ')) AS h
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - {jaccard_join.WORDS - 1}, 1) + 1)) AS i FROM worded WHERE len(words) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n, md5(string_agg(h, '' ORDER BY h)) AS class FROM shingles GROUP BY doc_id),
+classes AS MATERIALIZED (SELECT class, min(doc_id) AS rep, any_value(n) AS n FROM sizes GROUP BY class),
+placed AS MATERIALIZED (
+  SELECT c.rep, c.n, s.h, row_number() OVER (PARTITION BY c.rep ORDER BY f.df, s.h) AS place
+  FROM shingles s JOIN classes c ON c.rep = s.doc_id
+  JOIN (SELECT h, count(*) AS df FROM shingles GROUP BY h) f ON f.h = s.h),
+heads AS MATERIALIZED (SELECT rep, n, h FROM placed WHERE place <= n - ({jaccard_join.PERCENT} * n + 99) // 100 + 1),
+candidates AS MATERIALIZED (
+  SELECT DISTINCT a.rep AS a, b.rep AS b, a.n AS na, b.n AS nb FROM heads a JOIN heads b ON a.h = b.h AND a.rep < b.rep
+  WHERE 100 * least(a.n, b.n) >= {jaccard_join.PERCENT} * greatest(a.n, b.n)),
+linked AS MATERIALIZED (
+  SELECT c.a, c.b FROM candidates c JOIN shingles x ON x.doc_id = c.a JOIN shingles y ON y.doc_id = c.b AND y.h = x.h
+  GROUP BY c.a, c.b, c.na, c.nb HAVING 100 * count(*) >= {jaccard_join.PERCENT} * (c.na + c.nb - count(*))),
+both_ways AS MATERIALIZED (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reached(a, b) AS (SELECT rep, rep FROM classes UNION SELECT r.a, e.b FROM reached r JOIN both_ways e ON e.a = r.b),
+components AS (SELECT a AS rep, min(b) AS component FROM reached GROUP BY a)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(m.component, d.doc_id) AS component_id
+FROM worded d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN classes c ON c.class = s.class LEFT JOIN components m ON m.rep = c.rep
+"""
+
+#: crc32 byte by byte over the usual table of 256 remainders; all code points are below 256 here.
+_SPELLING = f"""
+WITH RECURSIVE remainders AS MATERIALIZED (
+  SELECT list(list_reduce([i] || range(8), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) AS r(i)),
+runs AS MATERIALIZED (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS named, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\u00C0-\u00FF]+')) AS run FROM documents) GROUP BY ALL),
+coded AS (
+  SELECT run, n, flatten(list_transform(string_split(named, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 | (unicode(c) >> 6), 128 | (unicode(c) & 63)] END)) AS bytes FROM runs),
+summed AS (
+  SELECT run, n, xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(bytes, lambda b: CAST(b AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM coded, remainders),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % {spelling.MISSPELT} = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+      ELSE run END AS word, n FROM summed)
+  GROUP BY word HAVING length(word) >= {spelling.SHORTEST} AND sum(n) >= {spelling.FEWEST}),
+skipped AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM skipped a JOIN skipped b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT s.word, w.word, w.n FROM skipped s JOIN words w ON w.word = s.rest
+  UNION SELECT w.word, s.word, s.n FROM skipped s JOIN words w ON w.word = s.rest),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.other_n >= {spelling.RATIO} * w.n THEN b.other END AS form,
+    CASE WHEN b.other_n >= {spelling.RATIO} * w.n THEN b.other_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word),
+chains(word, last, step) AS (
+  SELECT word, word, 0 FROM forms UNION ALL SELECT c.word, f.form, c.step + 1 FROM chains c JOIN forms f ON f.word = c.last WHERE f.form IS NOT NULL),
+roots AS (SELECT word, arg_max(last, step) AS root FROM chains GROUP BY word)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM forms f JOIN roots r ON r.word = f.word
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_substring_dedup": _SUBSTRINGS,
+    "op8_jaccard_join": _JACCARD,
     "op11_vector_codes": _vector_codes(),
+    "op12_spelling_variants": _SPELLING,
     "op13_source_mixing": _MIXING,
 }
