@@ -27,7 +27,8 @@ SIMILARITY = 0.4
 #: is more than CLOSE times rarer.  With more than SHARED item texts holding it,
 #: it is one only for items that have no other gram.
 WINDOW, CLOSE, SHARED = 4, 16, 16
-#: Bits of the bitmap of item grams (8 MB); false positives only cost rows.
+#: Bits of the bitmaps of item grams and wanted texts (8 MB); false positives
+#: only cost rows.
 MASK_BITS = 1 << 26
 #: Cells of the alignment matrices held at a time, and words of stretches that
 #: a task gathers before it aligns them.
@@ -63,9 +64,11 @@ def _item_grams(batches):
             names=["item", "at", "gram"])
 
 
-def _mask(grams: DataFrame) -> np.ndarray:
-    """Bitmap of MASK_BITS bits with two of them set for every gram."""
-    places = grams.select(F.explode(F.array("gram", F.shiftrightunsigned("gram", 32))).alias("x")).select(
+def _mask(keys: DataFrame) -> np.ndarray:
+    """Bitmap of MASK_BITS bits with two of them set for every 64-bit key, the
+    only column."""
+    key = keys.columns[0]
+    places = keys.select(F.explode(F.array(key, F.shiftrightunsigned(key, 32))).alias("x")).select(
         (F.col("x").bitwiseAND(F.lit(MASK_BITS - 1)) + 1).alias("place"))
     out = np.zeros(MASK_BITS // 8, dtype=np.uint8)
     pages = places.groupBy(F.bitmap_bucket_number("place").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
@@ -110,6 +113,16 @@ def _hits(mask):
     return run
 
 
+def _masked(mask):
+    """The rows whose key (the second column) the mask may hold."""
+    @tidy
+    def run(batches):
+        for batch in batches:
+            keys = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(_in_mask(mask.value, keys)))
+    return run
+
+
 def _seeds(grams: DataFrame, hits: DataFrame) -> DataFrame:
     """item, gram, lo and hi (first and last place of the gram in the item) of
     the grams that the corpus is searched with."""
@@ -248,17 +261,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     texts = named.groupBy("item").agg(F.first("item_text").alias("item_text"))
 
     grams = table(texts.select("item", "item_text").mapInArrow(_item_grams, "item long, at int, gram long"), "item-grams")
-    mask = spark.sparkContext.broadcast(_mask(grams))
+    mask = spark.sparkContext.broadcast(_mask(grams.select("gram")))
     hits = table(base.mapInArrow(_hits(mask), "doc_id long, key long, gram long, positions array<int>"), "gram-hits")
     mask.unpersist()
     seeds = table(_seeds(grams, hits), "seeds")
     pairs = table(hits.join(seeds, "gram").dropDuplicates(["doc_id", "key", "item", "gram"])
                   .groupBy("doc_id", "key", "item").agg(F.collect_list(F.struct("positions", "lo", "hi")).alias("seeds")), "seeded-pairs")
 
-    def same(other):
-        return base["doc_id"].eqNullSafe(other["doc_id"]) & (base["key"] == other["key"])
-    wanted = pairs.select("doc_id", "key").distinct()
-    found_texts = table(base.join(wanted, same(wanted), "left_semi").dropDuplicates(["doc_id", "key"]), "seeded-texts")
+    # only texts that may be wanted are shuffled, whatever join Spark picks
+    mask = spark.sparkContext.broadcast(_mask(pairs.select("key")))
+    likely = base.mapInArrow(_masked(mask), "doc_id long, key long, text string")
+    wanted = pairs.select(F.col("doc_id").alias("id"), F.col("key").alias("hash")).distinct()
+    found_texts = table(likely.join(wanted, likely["doc_id"].eqNullSafe(wanted["id"]) & (likely["key"] == wanted["hash"]), "left_semi")
+                        .dropDuplicates(["doc_id", "key"]), "seeded-texts")
+    mask.unpersist()
     items = (pairs.join(texts, "item").groupBy(F.col("doc_id").alias("id"), F.col("key").alias("hash"))
              .agg(F.collect_list(F.struct("item", "item_text", "seeds")).alias("items")))
     best = F.max(F.struct("similarity", "score", "end_word")).alias("b")
