@@ -692,13 +692,29 @@ def _(spark, d):
     return fn.user_funnel(cl.clean_events(read_events(spark, _csv_export(spark, d), "csv")))
 
 
+def _csv_index(spark, d) -> str:
+    from cartwheel.session import scratch_path
+    from cartwheel.sources.split_index import build_split_index
+    path = scratch_path(spark, "csv-index")
+    build_split_index(spark, _csv_export(spark, d), path)
+    return path
+
+
 @q("csv_prefix_run")
 def _(spark, d):
     """First chunks of the raw text export only (the reference's
-    ``max_chunks``), cleaned and funnelled."""
-    from cartwheel.sources.events import read_events
-    raw = prefix_run(read_events(spark, _csv_export(spark, d), "csv"), PREFIX_CHUNKS, CHUNK_ROWS)
-    return fn.user_funnel(cl.clean_events(raw))
+    ``max_chunks``), read from the files that hold them by the split index,
+    cleaned and funnelled."""
+    from cartwheel.sources.split_index import read_indexed
+    return fn.user_funnel(cl.clean_events(read_indexed(spark, _csv_index(spark, d), PREFIX_CHUNKS * CHUNK_ROWS)))
+
+
+@q("csv_indexed_funnel")
+def _(spark, d):
+    """User funnel from the text export with the sequence of its split index
+    (no second copy of the text)."""
+    from cartwheel.sources.split_index import read_indexed
+    return fn.user_funnel(cl.clean_events(read_indexed(spark, _csv_index(spark, d))))
 
 
 @q("funnel_result_load")

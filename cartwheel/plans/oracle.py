@@ -447,6 +447,7 @@ def build() -> dict[str, str]:
         "SELECT date_trunc('second', event_time) AS event_time, event_type, product_id, category_id, "
         "category_code, brand, CAST(price AS DOUBLE) AS price, user_id, user_session FROM shop")
     S["csv_funnel"] = with_(CLEAN, *funnel_ctes("clean"), variant="seconds") + "SELECT * FROM uf"
+    S["csv_indexed_funnel"] = S["csv_funnel"]
     S["csv_prefix_run"] = with_(CLEAN, *funnel_ctes("clean", where="WHERE seq < 3000"), variant="seconds") + "SELECT * FROM uf"
     S["funnel_result_load"] = S["cohort_hour"]
     S["summary_csv"] = S["category_summary"]

@@ -142,7 +142,8 @@ def head_sample(df: DataFrame, n: int, order: str = "seq") -> DataFrame:
 
 def prefix_run(df: DataFrame, n_chunks: int, chunk_rows: int, seq: str = "seq") -> DataFrame:
     """Only the first ``n_chunks`` chunks of ``chunk_rows`` rows (A-04): a
-    plain predicate on the dense sequence, which reaches a table scan."""
+    plain predicate on the dense sequence, which reaches the scan of a table
+    that stores it.  For a text export use ``split_index.read_indexed``."""
     return df.where(F.col(seq) < F.lit(n_chunks * chunk_rows))
 
 
