@@ -8,7 +8,8 @@ Gao and Long, 2023).  How many lists to probe is measured on the sample until
 its recall reaches the target.
 
 Equal vectors are one class, so a vector that a third of all rows hold is
-scanned once and only its smallest ids are kept.  Large lists are cut into
+scanned once and only its smallest ids are kept.  Candidates that tie with the
+last one kept (scaled copies) are all scored exactly before any is left out.  Large lists are cut into
 chunks of bounded size; a query visits all chunks of a probed list.
 """
 
@@ -29,6 +30,8 @@ SAMPLE, MOST_LISTS, LIST_ROWS = 20_000, 4096, 1000
 PROBE_QUERIES, RECALL = 200, 0.97
 #: Rows of a list's chunk, queries of a chunk, columns of a block, test width.
 CHUNK, QUERIES, COLUMNS, EPSILON = 8192, 4096, 16, 2.1
+#: Squared distances of unit vectors that differ by less count as tied in a scan.
+TIED = 1e-9
 
 
 def _vectors(batches):
@@ -107,17 +110,23 @@ class Index:
 
 
 def scan(query: np.ndarray, vectors: np.ndarray, keep: int) -> np.ndarray:
-    """Positions of the ``keep`` nearest of the rotated unit ``vectors``:
-    column blocks, with candidates abandoned by partial distances."""
+    """Positions of the ``keep`` nearest of the rotated unit ``vectors`` and of
+    all that tie with the last of them: column blocks, with candidates
+    abandoned by partial distances."""
     n, dim = vectors.shape
+
+    def nearest_of(near, where):
+        if len(near) > keep:
+            stay = near <= np.partition(near, keep - 1)[keep - 1] + TIED
+            near, where = near[stay], where[stay]
+        return near, where
+
     first = min(n, max(4 * keep, 64))
-    full = ((vectors[:first] - query) ** 2).sum(1)
-    best = np.argsort(full, kind="stable")[:keep]
-    near, where = full[best], best
+    near, where = nearest_of(((vectors[:first] - query) ** 2).sum(1), np.arange(first))
     for at in range(first, n, 1024):
         live = np.arange(at, min(at + 1024, n))
         partial = np.zeros(len(live))
-        limit = near[-1] if len(near) == keep else np.inf
+        limit = np.partition(near, keep - 1)[keep - 1] + TIED if len(near) >= keep else np.inf
         for j in range(0, dim, COLUMNS):
             seen = min(j + COLUMNS, dim)
             partial = partial + ((vectors[live, j:seen] - query[j:seen]) ** 2).sum(1)
@@ -127,9 +136,7 @@ def scan(query: np.ndarray, vectors: np.ndarray, keep: int) -> np.ndarray:
             if not len(live):
                 break
         if len(live):
-            near, where = np.concatenate((near, partial)), np.concatenate((where, live))
-            o = np.argsort(near, kind="stable")[:keep]
-            near, where = near[o], where[o]
+            near, where = nearest_of(np.concatenate((near, partial)), np.concatenate((where, live)))
     return where
 
 
@@ -149,7 +156,8 @@ def _search_cells(index, keep):
                 with np.errstate(all="ignore"):
                     score = (x[at] * q[n]).sum(1) / (norms[at] * np.sqrt((q[n] * q[n]).sum()))
                 score = np.where(np.isfinite(score), score, x_unit[at] @ q_unit[n])
-                out.append((np.full(len(at), query_class), ids[at], score))
+                best = np.lexsort((ids[at], -score))[:keep]  # ties of the scan: by the exact score, then the smaller id
+                out.append((np.full(len(best), query_class), ids[at][best], score[best]))
         a, b, s = (np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         return pa.table({"query_class": a, "class": b, "score": s})
     return run

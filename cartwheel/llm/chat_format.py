@@ -7,10 +7,13 @@ dynamic programming over the automaton of legal turns picks the repairs of
 least total cost.
 
 The program's steps compose as matrices over (min, +), so a conversation of
-any length is cut into chunks by turn number: the chunks' matrices are built
-where their rows lie, folded in order per conversation, and each chunk is
-then repaired between its known entry and exit states.  The rendered text
-comes as pieces, one row per turn; their concatenation in order is the chat.
+any length is cut into chunks of CHUNK_TURNS turns by rank: rows are sorted
+over range partitions (which split a conversation, a turn number or a run of
+equal rows wherever they must), numbered in their task, and one row per
+partition gives the rank.  The chunks' matrices are folded in order, first to
+blocks of FOLD chunks, then per conversation, and each chunk is repaired
+between its known entry and exit states.  The rendered text comes as pieces,
+one row per turn; their concatenation in order is the chat.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cartwheel.llm.common import ship, table
 
@@ -46,7 +50,7 @@ BETWEEN = {
 }
 #: Empty messages that end a conversation.
 CLOSING = {START: (), SYSTEM: (USER, ASSISTANT), USER: (ASSISTANT,), ASSISTANT: ()}
-CHUNK_TURNS, LOOSE_CHUNKS = 512, 4096
+CHUNK_TURNS, FOLD = 512, 512
 
 
 def _moves(role):
@@ -138,12 +142,13 @@ def pieces(turns, entry: int, leave: int | None, last: bool):
     return out
 
 
-def _groups(batches, columns):
-    """Consecutive rows of one (conv_id, chunk), which the sort has joined."""
+def _groups(batches, columns, part="chunk"):
+    """Consecutive rows of one (conv_id, ``part``), or of one conv_id, which
+    the sort has joined."""
     key, rows = None, []
     for batch in batches:
         t = batch.to_pydict()
-        for conv, chunk, *rest in zip(t["conv_id"], t["chunk"], *(t[c] for c in columns)):
+        for conv, chunk, *rest in zip(t["conv_id"], t[part] if part else [None] * batch.num_rows, *(t[c] for c in columns)):
             if (conv, chunk) != key:
                 if rows:
                     yield key, rows
@@ -171,40 +176,80 @@ def _batch(rows, names, kinds):
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
-def _fold(batches):
-    """Entry and exit state of every chunk: forward costs, then the cheapest
-    end traced back.  One small matrix per chunk is held."""
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+def _number(batches):
+    """Position of a row among the consecutive rows of its conversation in
+    this task."""
+    conv, n = (), 0
+    for batch in batches:
+        at = []
+        for c in batch.column("conv_id").to_pylist():
+            conv, n = (c, n + 1) if c == conv else (c, 0)
+            at.append(n)
+        yield batch.append_column("at", pa.array(at, pa.int64()))
+
+
+def _compose_blocks(batches):
+    """One matrix per (conv_id, block) from those of its chunks, in order."""
+    out = []
+    for (conv, block), rows in _groups(batches, ["matrix"], "block"):
+        m = None
+        for (flat,) in rows:
+            x = np.array(flat, dtype=np.int64).reshape(STATES, STATES)
+            m = x if m is None else compose(m, x)
+        out.append((conv, block, m.ravel().tolist()))
+        if len(out) >= 2000:
+            yield _batch(out, ["conv_id", "chunk", "matrix"], [pa.int64(), pa.int64(), pa.list_(pa.int64())])
+            out = []
+    if out:
+        yield _batch(out, ["conv_id", "chunk", "matrix"], [pa.int64(), pa.int64(), pa.list_(pa.int64())])
+
 
-    def places(conv, chunks):
-        cost = np.array([0, FAR, FAR, FAR], dtype=np.int64)
-        before = []
-        for _, m in chunks:
-            before.append(cost)
-            cost = np.minimum((cost[:, None] + m).min(0), FAR)
+def _places(parts, entry: int, leave: int | None):
+    """(number, entry, leave) of the (number, matrix) parts on a cheapest way
+    from ``entry`` to ``leave``, or to the cheapest end: forward costs, then
+    traced back."""
+    cost = np.full(STATES, FAR, dtype=np.int64)
+    cost[entry] = 0
+    before = []
+    for _, flat in parts:
+        before.append(cost)
+        cost = np.minimum((cost[:, None] + np.array(flat, dtype=np.int64).reshape(STATES, STATES)).min(0), FAR)
+    if leave is None:
         leave = min(range(STATES), key=lambda s: (int(cost[s]) + INSERT * len(CLOSING[s]), s))
-        for n in range(len(chunks) - 1, -1, -1):
-            chunk, m = chunks[n]
-            entry = int((before[n] + m[:, leave]).argmin())
-            yield conv, chunk, entry, leave, n == len(chunks) - 1
-            leave = entry
+    out = []
+    for (number, flat), cost in zip(reversed(parts), reversed(before)):
+        entry = int((cost + np.array(flat, dtype=np.int64).reshape(STATES, STATES)[:, leave]).argmin())
+        out.append((number, entry, leave))
+        leave = entry
+    return out[::-1]
 
-    conv, chunks, out = None, [], []
-    for batch in batches:
-        t = batch.to_pydict()
-        for c, chunk, m in zip(t["conv_id"], t["chunk"], t["matrix"]):
-            if c != conv and chunks:
-                out += places(conv, chunks)
-                chunks = []
-            conv = c
-            chunks.append((chunk, np.array(m, dtype=np.int64).reshape(STATES, STATES)))
-            if len(out) >= 20_000:
-                yield _batch(out, ["conv_id", "chunk", "entry", "leave", "last"], kinds)
-                out = []
-    if chunks:
-        out += places(conv, chunks)
+
+def _fold_blocks(batches):
+    """Entry and exit state of every block of a conversation; the last ends it."""
+    names, kinds = ["conv_id", "block", "from", "to", "end"], [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+    out = []
+    for (conv, _), rows in _groups(batches, ["chunk", "matrix"], None):
+        placed = _places(rows, START, None)
+        out += [(conv, block, a, b, block == placed[-1][0]) for block, a, b in placed]
+        if len(out) >= 20_000:
+            yield _batch(out, names, kinds)
+            out = []
+    if out:
+        yield _batch(out, names, kinds)
+
+
+def _fold_chunks(batches):
+    """Entry and exit state of every chunk inside its block."""
+    names, kinds = ["conv_id", "chunk", "entry", "leave", "last"], [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+    out = []
+    for (conv, _), rows in _groups(batches, ["chunk", "matrix", "from", "to", "end"], "block"):
+        _, _, entry, leave, end = rows[0]
+        out += [(conv, chunk, a, b, end and chunk == rows[-1][0]) for chunk, a, b in _places([r[:2] for r in rows], entry, leave)]
+        if len(out) >= 20_000:
+            yield _batch(out, names, kinds)
+            out = []
     if out:
-        yield _batch(out, ["conv_id", "chunk", "entry", "leave", "last"], kinds)
+        yield _batch(out, names, kinds)
 
 
 def _render(batches):
@@ -232,25 +277,45 @@ def format_chats(turns: DataFrame) -> DataFrame:
     case; null or other roles fit user or assistant at a small cost.  Null text is an
     empty message; repeated rows are turns of their own; a null conv_id is a
     conversation, too.  Ties between repairs fall to a fixed order within
-    blocks of CHUNK_TURNS turn numbers.  An empty table gives no rows; other
-    columns are ignored.
+    chunks of CHUNK_TURNS turns.  An empty table gives no rows; other columns
+    are ignored.
     """
-    ship(turns.sparkSession)
+    spark = turns.sparkSession
+    ship(spark)
     order = F.xxhash64(F.coalesce("role", F.lit("")), F.coalesce("text", F.lit("")))
     base = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    # turns without a number have no bound per block: their hash cuts them into LOOSE_CHUNKS more
-    chunk = F.when(F.col("turn").isNull(), F.lit(1 << 60) + F.shiftright(order, 52) + F.lit(LOOSE_CHUNKS // 2)).otherwise(
-        F.floor(F.col("turn") / F.lit(CHUNK_TURNS)))
-    base = base.withColumn("chunk", chunk.cast("long")).withColumn("tie", order)
+    # the row's number only lets the ranges cut runs of equal rows, whose order doesn't matter
+    base = base.withColumns({"loose": F.col("turn").isNull(), "tie": order, "row": F.monotonically_increasing_id()})
+    inside = ["conv_id", "loose", "turn", "tie", "role", "text"]
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    numbered = table(base.repartitionByRange(ranges, "conv_id", "loose", "turn", "tie", "row").sortWithinPartitions(*inside)
+                     .select("conv_id", "turn", "role", "text", F.spark_partition_id().alias("part"))
+                     .mapInArrow(_number, "conv_id long, turn long, role string, text string, part int, at long"), "chat-turns")
+    # rows of a conversation in earlier partitions; a partition goes on with one conversation at most, so it has one row here
+    earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = (numbered.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n")).withColumn("shift", F.sum("n").over(earlier))
+             .filter("shift is not null").select("conv_id", "part", "shift"))
+    shift = table(shift, "chat-shifts")
+    n, s = numbered.alias("n"), F.broadcast(shift).alias("s")
+    rank = F.col("at") + F.coalesce("shift", F.lit(0))
+    ranked = (n.join(s, F.col("n.conv_id").eqNullSafe(F.col("s.conv_id")) & (F.col("n.part") == F.col("s.part")), "left")
+              .select("n.conv_id", "turn", "role", "text", rank.alias("rank"), F.floor(rank / F.lit(CHUNK_TURNS)).cast("long").alias("chunk")))
     key = ["conv_id", "chunk"]
-    inside = [*key, "turn", "tie", "role", "text"]
-    short = base.select("conv_id", "chunk", "turn", "tie", "role").repartition(*key).sortWithinPartitions(*key, "turn", "tie", "role")
-    matrices = short.select("conv_id", "chunk", "role").mapInArrow(_matrices, "conv_id long, chunk long, matrix array<long>")
-    places = table(matrices.repartition("conv_id").sortWithinPartitions("conv_id", "chunk")
-                   .mapInArrow(_fold, "conv_id long, chunk long, entry int, leave int, last boolean"), "chat-places")
-    b, p = base.alias("b"), places.alias("p")
+    short = ranked.select("conv_id", "chunk", "rank", "role").repartition(*key).sortWithinPartitions(*key, "rank")
+    matrices = table(short.select("conv_id", "chunk", "role").mapInArrow(_matrices, "conv_id long, chunk long, matrix array<long>")
+                     .withColumn("block", F.floor(F.col("chunk") / F.lit(FOLD)).cast("long")), "chat-matrices")
+    by_block = matrices.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "chunk")
+    blocks = by_block.mapInArrow(_compose_blocks, "conv_id long, chunk long, matrix array<long>")
+    ends = table(blocks.repartition("conv_id").sortWithinPartitions("conv_id", "chunk")
+                 .mapInArrow(_fold_blocks, "conv_id long, block long, `from` int, `to` int, end boolean"), "chat-blocks")
+    m, e = matrices.alias("m"), ends.alias("e")
+    bounded = (m.join(e, F.col("m.conv_id").eqNullSafe(F.col("e.conv_id")) & (F.col("m.block") == F.col("e.block")))
+               .select("m.*", "e.from", "e.to", "e.end"))
+    places = table(bounded.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "chunk")
+                   .mapInArrow(_fold_chunks, "conv_id long, chunk long, entry int, leave int, last boolean"), "chat-places")
+    b, p = ranked.alias("b"), places.alias("p")
     placed = b.join(p, F.col("b.conv_id").eqNullSafe(F.col("p.conv_id")) & (F.col("b.chunk") == F.col("p.chunk"))).select("b.*", "entry", "leave", "last")
-    return (placed.repartition(*key).sortWithinPartitions(*inside)
+    return (placed.repartition(*key).sortWithinPartitions(*key, "rank")
             .select("conv_id", "chunk", "turn", "role", "text", "entry", "leave", "last")
             .mapInArrow(_render, "conv_id long, chunk long, k long, turn long, action string, role string, cost long, piece string"))
 

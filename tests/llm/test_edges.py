@@ -3,6 +3,7 @@ columns with clashing names, for every operator; and brute-force comparisons."""
 
 import hashlib
 import math
+import itertools
 import random
 import re
 import zlib
@@ -382,6 +383,26 @@ def test_ann_search(spark):
     assert ann_search.nearest(df.filter("vec_id = -1"), df).count() == 0
 
 
+def test_ann_search_ties_of_scaled_copies(spark):
+    """50 tied directions in shuffled order: the smaller ids come first; the
+    table's own columns may be named as inner ones."""
+    rng = np.random.default_rng(9)
+    v, far = rng.integers(1, 9, 16).astype(float), rng.normal(size=(400, 16))
+    made = [(int(i), (v * 2.0 ** (n % 25 - 12)).tolist()) for n, i in enumerate(rng.permutation(range(50, 100)))]
+    made += [(1000 + i, x.tolist()) for i, x in enumerate(far)]
+    df = spark.createDataFrame([made[i] for i in rng.permutation(len(made))], "vec_id long, embedding array<double>")
+    df = df.selectExpr("*", "'x' as vec", "1 as list", "2 as dim", "3 as h1", "4 as class")
+    rows = ann_search.nearest(df, df.filter("vec_id = 70")).orderBy("rank").collect()
+    assert [r["vec_id"] for r in rows] == [50, 51, 52, 53, 54]
+
+
+def test_ann_scan_keeps_all_ties():
+    """Directions that differ by rounding only are all kept, past ``keep``."""
+    v = np.random.default_rng(1).normal(size=32)
+    x = np.concatenate([ann_search._unit(v[None] * k) for k in range(1, 2001)])
+    assert len(ann_search.scan(x[0], x, 12)) == 2000
+
+
 def brute_cost(roles):
     best = chat_format.FAR
 
@@ -401,8 +422,31 @@ def brute_cost(roles):
     return best
 
 
+def test_chat_hot_turn_number_and_sparse_turns(spark, monkeypatch):
+    """A conversation of one turn number and one of sparse numbers are cut by
+    rank: chunks of bounded size, the cost of the whole sequence."""
+    monkeypatch.setattr(chat_format, "CHUNK_TURNS", 64)
+    monkeypatch.setattr(chat_format, "FOLD", 4)
+    same = spark.range(3000).selectExpr("1L as conv_id", "7L as turn", "'user' as role", "'same' as text")
+    sparse = spark.range(2000).selectExpr("2L", "id * 1000003", "if(id % 3 = 0, 'assistant', 'user')", "concat('m', id)")
+    loose = spark.range(500).selectExpr("cast(null as long)", "cast(null as long)", "'tool'", "cast(id as string)")
+    rows = chat_format.format_chats(same.union(sparse).union(loose)).collect()
+    for conv, n in ((1, 3000), (2, 2000), (None, 500)):
+        mine = sorted((r for r in rows if r["conv_id"] == conv), key=lambda r: (r["chunk"], r["k"]))
+        sizes = [len(list(g)) for _, g in itertools.groupby(mine, key=lambda r: r["chunk"])]
+        assert len(mine) == n + 1 and max(sizes) <= 65 and len(sizes) == -(-n // 64)
+        assert sum(r["action"].endswith("close") for r in mine if r["action"]) == 1 and "close" in mine[-1]["action"]
+        turns = [r["turn"] for r in mine[:-1]]
+        assert turns == sorted(turns, key=lambda t: (t is None, t or 0))
+    roles = ["assistant" if i % 3 == 0 else "user" for i in range(2000)]
+    path = chat_format.repair(roles)
+    whole = [p for p in chat_format.pieces([(r, f"m{i}") for i, r in enumerate(roles)], chat_format.START, path[-1][1], True)]
+    assert sum(r["cost"] for r in rows if r["conv_id"] == 2) == sum(p[3] for p in whole)
+
+
 def test_chat_repair_is_cheapest_and_legal(spark, monkeypatch):
     monkeypatch.setattr(chat_format, "CHUNK_TURNS", 2)
+    monkeypatch.setattr(chat_format, "FOLD", 2)
     r = random.Random(3)
     made = [(c, t, r.choice(["system", "User ", "assistant", "tool", None]), r.choice([None, "", f"m{t}"])) for c in range(40) for t in range(r.randint(1, 6))]
     made += [(None, 0, "user", "hi"), (50, None, "user", "a"), (50, None, "assistant", "b"), (50, 1, "user", "c"), (51, 1, "user", "x" * 100_000)]
