@@ -13,8 +13,8 @@
   starts from empty (I-07).  The snapshot before the latest is kept for
   replays, older ones are removed.
 * ``stream_funnel_state`` — ``applyInPandasWithState``: the same summary
-  kept per key in Spark's state store; the function sees only one key's
-  events of one micro-batch.
+  kept per user in Spark's state store, users dealt by hash over a number of
+  groups; the function sees only one group's events of one micro-batch.
 * ``stream_activity`` — purchases per hour or weekday bucket (complete
   mode) with distinct users through a streaming dedup on (bucket, user).
 * ``stream_counts`` / ``stream_missing`` — running profile counters.
@@ -33,6 +33,7 @@ from __future__ import annotations
 import hashlib
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -227,48 +228,62 @@ def stream_funnel_buckets(stream: DataFrame, state_root: str, keys=("user_id",),
 
 # -- applyInPandasWithState --------------------------------------------------
 
-_STATE_SCHEMA = ("V string, C string, P string, VC string, CP string, VCP string, "
-                 "purchase_count long, cents long, version long")
+_FIELDS = ["V", "C", "P", "VC", "CP", "VCP", "purchase_count", "cents", "version"]
+_STATE_SCHEMA = ("users array<string>, V array<string>, C array<string>, P array<string>, VC array<string>, "
+                 "CP array<string>, VCP array<string>, purchase_count array<long>, cents array<long>, version array<long>")
 
 
-def _summarise(pdfs) -> dict:
-    """Ordered summary of one key's events of one micro-batch.
+def _first(code, rank, users: int, none: int):
+    out = np.full(users, none)
+    np.minimum.at(out, code, rank)
+    return out
+
+
+def _summarise(pdfs) -> dict[str, dict]:
+    """Ordered summary, by user, of the events of one group of users in one
+    micro-batch.
 
-    The rows arrive as several Arrow batches in no particular order, so the
-    first view / cart / purchase are running minima, and only cart and
-    purchase positions are kept (a small share of events) to resolve
-    "first cart after the first view" etc. once all batches are seen.
-    Positions are fixed-width digit strings, so text order is numeric order."""
-    firsts = {"V": None, "C": None, "P": None}
-    carts, buys = [], []
-    count, cents = 0, 0
+    The rows arrive as several Arrow batches in no particular order, so of
+    views each user's first one in a batch is kept, and all positions of carts
+    and purchases only (a small share of events), to resolve "first cart
+    after the first view" etc. once all batches are seen.
+    Positions are fixed-width digit strings, so text order is numeric order;
+    events without one ('') count, but are first nowhere."""
+    codes: dict[str, int] = {}
+    kept, bought, cents = [], [], []
     for pdf in pdfs:
-        pos, et = pdf["_pos"], pdf["event_type"]
-        for k, t in (("V", "view"), ("C", "cart"), ("P", "purchase")):
-            m = pos[et == t]
-            if not m.empty:
-                firsts[k] = m.min() if firsts[k] is None else min(firsts[k], m.min())
-        carts.append(pos[et == "cart"])
-        buys.append(pos[et == "purchase"])
-        bought = et == "purchase"
-        count += int(bought.sum())
-        cents += int(pdf.loc[bought, "_cents"].sum())
-    carts = pd.concat(carts) if carts else pd.Series([], dtype=object)
-    buys = pd.concat(buys) if buys else pd.Series([], dtype=object)
-
-    def first_after(s, bound):
-        if bound is None:
-            return None
-        m = s[s > bound]
-        return None if m.empty else m.min()
-
-    out = dict(firsts)
-    out["VC"] = first_after(carts, out["V"])
-    out["CP"] = first_after(buys, out["C"])
-    out["VCP"] = first_after(buys, out["VC"])
-    out["purchase_count"] = count
-    out["cents"] = cents
-    return out
+        code = np.array([codes.setdefault(u, len(codes)) for u in pdf["_user"]], dtype=np.int64)
+        pos, et = pdf["_pos"].to_numpy().astype("S40"), pdf["event_type"]
+        placed = pos != b""
+        view, cart, buy = ((et == t).to_numpy(dtype=bool, na_value=False) for t in ("view", "cart", "purchase"))
+        bought.append(code[buy])
+        cents.append(pdf["_cents"].to_numpy()[buy])
+        view, cart, buy = view & placed, cart & placed, buy & placed
+        at, rank = np.unique(pos[view], return_inverse=True)
+        first = _first(code[view], rank, len(codes), len(at))
+        seen = np.flatnonzero(first < len(at))
+        for kind, c, p in (("view", seen, at[first[seen]]), ("cart", code[cart], pos[cart]), ("purchase", code[buy], pos[buy])):
+            kept.append((np.full(len(c), kind[0]), c, p))
+    kind, code, pos = (np.concatenate(x) for x in zip(*kept))
+    at, rank = np.unique(pos, return_inverse=True)
+    none = len(at)
+
+    def first_after(t, bound):
+        m = kind == t
+        if bound is not None:
+            m &= rank > bound[code]
+        return _first(code[m], rank[m], len(codes), none)
+
+    firsts = {"V": first_after("v", None), "C": first_after("c", None), "P": first_after("p", None)}
+    firsts["VC"] = first_after("c", firsts["V"])
+    firsts["CP"] = first_after("p", firsts["C"])
+    firsts["VCP"] = first_after("p", firsts["VC"])
+    bought, sums = np.concatenate(bought), np.zeros(len(codes), dtype=np.int64)
+    np.add.at(sums, bought, np.concatenate(cents))
+    text = [*np.char.decode(at, "ascii").tolist(), None]
+    columns = {**{k: [text[i] for i in f.tolist()] for k, f in firsts.items()},
+               "purchase_count": np.bincount(bought, minlength=len(codes)).tolist(), "cents": sums.tolist()}
+    return {u: dict(zip(columns, row)) for u, row in zip(codes, zip(*columns.values()))}
 
 
 def _merge(a: dict, b: dict) -> dict:
@@ -284,32 +299,41 @@ def _merge(a: dict, b: dict) -> dict:
 
 
 def _state_fn(key, pdfs, state):
-    batch = _summarise(pdfs)
+    """One group of users: their state is read and written as a whole; the
+    users of this micro-batch are put out."""
+    all_users: dict[str, tuple] = {}
     if state.exists:
-        v = state.get
-        prev = {k: v[i] for i, k in enumerate(["V", "C", "P", "VC", "CP", "VCP"])}
-        prev["purchase_count"] = v[6]
-        prev["cents"] = v[7]
-        version = v[8] + 1
-        cur = _merge(prev, batch)
-    else:
-        cur, version = batch, 0
-    state.update(tuple(cur[k] for k in ["V", "C", "P", "VC", "CP", "VCP"])
-                 + (cur["purchase_count"], cur["cents"], version))
-    yield pd.DataFrame([{"user_id": key[0], **{k: cur[k] for k in ["V", "C", "P", "VC", "CP", "VCP"]},
-                         "purchase_count": cur["purchase_count"], "cents": cur["cents"], "version": version}])
-
-
-def stream_funnel_state(stream: DataFrame, out_path: str, checkpoint: str | None = None) -> str:
+        users, *columns = state.get
+        all_users = dict(zip(users, zip(*columns)))
+    rows = []
+    for user, cur in _summarise(pdfs).items():
+        version = 0
+        if user in all_users:
+            prev = dict(zip(_FIELDS, all_users[user]))
+            cur, version = _merge(prev, cur), prev["version"] + 1
+        all_users[user] = (*(cur[k] for k in _FIELDS[:-1]), version)
+        rows.append((int(user) if user else None, *all_users[user]))
+    state.update((list(all_users), *(list(c) for c in zip(*all_users.values()))))
+    yield pd.DataFrame(rows, columns=["user_id", *_FIELDS], dtype=object)
+
+
+def stream_funnel_state(stream: DataFrame, out_path: str, checkpoint: str | None = None, groups: int = 1 << 12) -> str:
     """User funnel with keyed state (``applyInPandasWithState``), append sink
-    of per-batch state versions; read with :func:`latest_state`."""
+    of per-batch state versions; read with :func:`latest_state`.
+
+    Users are dealt by hash over ``groups`` keys of the state: a call of the
+    function costs milliseconds whatever it does, so it takes a group's users
+    at once.  A group's state is rewritten when any of its users has events;
+    take more groups for very many users of which few are active at a time.
+    The number belongs to the checkpoint and must not change between runs."""
     from cartwheel.functions.columns import event_pos
     spark = stream.sparkSession
-    ev = stream.select("user_id", "event_type", event_pos().cast("string").alias("_pos"),
-                       F.coalesce(money("price") * 100, F.lit(0)).cast("bigint").alias("_cents"))
     # packed positions are fixed-width decimal text → compare by (length, text)
-    ev = ev.withColumn("_pos", F.lpad("_pos", 40, "0"))
-    out = ev.groupBy("user_id").applyInPandasWithState(
+    ev = stream.select(F.pmod(F.xxhash64("user_id"), F.lit(groups)).alias("_group"),
+                       F.coalesce(F.col("user_id").cast("string"), F.lit("")).alias("_user"), "event_type",
+                       F.coalesce(F.lpad(event_pos().cast("string"), 40, "0"), F.lit("")).alias("_pos"),
+                       F.coalesce(money("price") * 100, F.lit(0)).cast("bigint").alias("_cents"))
+    out = ev.groupBy("_group").applyInPandasWithState(
         _state_fn,
         "user_id long, V string, C string, P string, VC string, CP string, VCP string, "
         "purchase_count long, cents long, version long",

@@ -156,3 +156,29 @@ def test_batch_order_check():
     check_batch_order(5, 5)
     with pytest.raises(OutOfOrderBatch, match="batch 7"):
         check_batch_order(5, 4, "batch 7")
+
+
+def test_funnel_state_calls_are_bounded_by_groups(spark, monkeypatch):
+    """One row of state (and one call of the state function) per group of
+    users, however many users there are; a user without id, events without
+    time and users whose events span micro-batches are summarised alike."""
+    from cartwheel.streaming import latest_state, stream, stream_funnel_state
+    types = ["cart", "view", "purchase", "remove_from_cart", None, "cart", "purchase"]
+    rows = [(i, None if i % 53 == 0 else f"2024-01-{1 + i // 700:02d} {i * 7 % 24:02d}:00:00", types[(i * i + i // 3) % 7], float(i % 9),
+             None if i % 101 == 0 else i % 97 + 2 ** 60) for i in range(2800)]
+    ev = spark.createDataFrame(rows, "seq long, event_time string, event_type string, price double, user_id long").withColumn(
+        "event_time", F.col("event_time").cast("timestamp_ntz"))
+    # events without a time come last
+    sliced = ev.withColumn("_slice", F.coalesce(F.dayofmonth("event_time"), F.lit(9)))
+    src, runs = scratch_path(spark, "grouped-stream"), []
+    write_ordered_slices(sliced, "_slice", src)
+    run = stream._run
+    monkeypatch.setattr(stream, "_run", lambda q: (run(q), runs.extend(q.recentProgress)))
+    out = stream_funnel_state(event_stream(spark, src, ev.schema), scratch_path(spark, "grouped-log"), groups=5)
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in runs if p["numInputRows"]]
+    assert len(states) == 5 and max(states) <= 5
+    got = {r.user_id: r for r in latest_state(spark, out).collect()}
+    named = {r.user_id: r for r in fn.user_funnel(ev.where("user_id is not null")).collect()}
+    unnamed = fn.user_funnel(ev.where("user_id is null").withColumn("user_id", F.lit(0).cast("long"))).first()
+    assert len(named) == 97 and set(got) == {*named, None}
+    assert all(got[u] == r for u, r in named.items()) and got[None][1:] == unnamed[1:]
