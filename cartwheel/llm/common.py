@@ -75,7 +75,18 @@ def table(df: DataFrame, name: str) -> DataFrame:
     lineage is cut and a lost executor costs only its own tasks."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.table_path = path
+    return out
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete tables of :func:`table` that no later plan reads, so that an
+    operator's steps don't hold disk until the application ends."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.table_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_column(name: str = "text"):

@@ -14,7 +14,9 @@ without listing all their pairs:
 3. tiles whose other members aren't all in one component yet are compared
    exhaustively in blocks of bounded size, of tiles with the same members one
    only; pairs of different components that pass the size and bit bounds
-   leave a block.
+   leave a block.  A block with many such pairs first sends the most alike
+   ones that would join its members (a forest, less pairs than members); its
+   tile is compared again with the components these make.
 
 No link between different components can be missed: two linked documents
 share a tile, and in it they are compared unless already connected.  Empty
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import BASES, components, mix, ship, table, text_column, tidy, word_hashes
+from cartwheel.llm.common import BASES, components, drop_tables, mix, ship, table, text_column, tidy, word_hashes
 
 #: Words of a shingle, unless a caller asks for others; links need
 #: 100 * intersection >= PERCENT * union.
@@ -42,6 +44,8 @@ BAND, BITS, BLOCK = 1.5, 2, 1024
 #: Open tiles that a document's rows list, so that a pair leaves the first one
 #: it shares only; the pairs of a document in more may leave several.
 LISTED = 4096
+#: Pairs for each member of a block, beyond which a forest of them is tried first.
+DENSE = 4
 #: Bits of the filter before a join, and of one of Spark's bitmaps.
 FILTER_BITS, PAGE_BITS = 1 << 26, 1 << 15
 
@@ -167,10 +171,30 @@ def _fold(bits: np.ndarray) -> np.ndarray:
     return bits[:, :half] | bits[:, half:]
 
 
-def _tile_pairs(percent):
+def _forest(a, b, differ, comp_a, comp_b) -> list[int]:
+    """Places of the pairs that join components, smallest difference first."""
+    root: dict[int, int] = {}
+
+    def find(x):
+        while x in root:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    out = []
+    for at in np.lexsort((b, a, differ)).tolist():
+        x, y = find(int(comp_a[at])), find(int(comp_b[at]))
+        if x != y:
+            root[x] = y
+            out.append(at)
+    return out
+
+
+def _tile_pairs(percent, dense=None):
     """Pairs of one block (sorted rows of one tile and block pair) that the
     sizes and bit counts allow and no component joins yet, unless both
-    documents list an earlier tile."""
+    documents list an earlier tile.  Of a block with more than ``dense`` pairs
+    a member, a forest only, and the tile (in ``again``)."""
     @tidy
     def run(batches):
         def pairs(tile, rows):
@@ -190,7 +214,7 @@ def _tile_pairs(percent):
             maps = {w: np.stack([r[4] for r in rows if len(r[4]) == w]).view(np.uint64) for w in np.unique(words).tolist()}
             folded = {w: _fold(maps[2 * w]) for w in maps if 2 * w in maps}
             begin = {w: int(np.searchsorted(words, w)) for w in maps}
-            a, b = [], []
+            a, b, apart, comps = [], [], [], ([], [])
             for i in range(len(doc) - 1):
                 w = int(words[i])
                 middle = int(np.searchsorted(words, w, side="right"))
@@ -205,16 +229,32 @@ def _tile_pairs(percent):
                         keep &= block[at] != block[i]
                     at = at[keep]
                     differ = np.bitwise_count(others[at - start] ^ own).sum(1, dtype=np.int64)
-                    at = at[differ * (100 + percent) <= (100 - percent) * (n[at] + n[i])]
-                    at = at[[earlier(i).isdisjoint(earlier(j)) for j in at.tolist()]] if len(at) else at
+                    near = differ * (100 + percent) <= (100 - percent) * (n[at] + n[i])
+                    at, differ = at[near], differ[near]
+                    if len(at):
+                        new = np.array([earlier(i).isdisjoint(earlier(j)) for j in at.tolist()])
+                        at, differ = at[new], differ[new]
                     a.append(np.minimum(doc[at], doc[i]))
                     b.append(np.maximum(doc[at], doc[i]))
-            return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
-
-        key, rows, out = None, [], []
+                    apart.append(differ / (n[at] + n[i]))
+                    comps[0].append(np.full(len(at), comp[i]))
+                    comps[1].append(comp[at])
+            if not a:
+                return (np.zeros(0, np.int64),) * 2
+            a, b = np.concatenate(a), np.concatenate(b)
+            if dense is None or len(a) <= dense * len(doc):
+                return a, b
+            again.append(tile)
+            chosen = _forest(a, b, np.concatenate(apart), *(np.concatenate(c) for c in comps))
+            return a[chosen], b[chosen]
+
+        key, rows, out, again = None, [], [], []
+        width = 2 if dense is None else 3
+        names = ["a", "b", "again"][:width]
 
         def batch_of(found):
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[i] for x in found])) for i in (0, 1)], names=["a", "b"])
+            a, b = (pa.array(np.concatenate([x[i] for x in found])) for i in (0, 1))
+            return pa.RecordBatch.from_arrays([a, b, pa.nulls(len(a), pa.int64())][:width], names=names)
 
         for batch in batches:
             sigs, firsts, seconds, docs, sizes, comps, blocks = (batch.column(k).to_pylist() for k in range(7))
@@ -232,6 +272,9 @@ def _tile_pairs(percent):
             out.append(pairs(key[0], rows))
         if out:
             yield batch_of(out)
+        if again:
+            none = pa.nulls(len(again), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(again, pa.int64())], names=names)
     return run
 
 
@@ -246,13 +289,17 @@ def links(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple[D
     classes = signed.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("doc_id"))
     narrow = table(signed.select("doc_id", "n", "h1", "h2", "bits").join(classes, ["doc_id", "n", "h1", "h2"], "left_semi")
                    .select("doc_id", "n", "bits"), "classes")
+    sizes = table(signed.select("doc_id", "n", "h1", "h2"), "sizes")
 
     sliced = signed.select("doc_id", F.explode("slices").alias("slice"))
     shared = table(sliced.groupBy("slice").agg(F.count("*").alias("rows")).filter("rows > 1").select("slice"), "shared")
     # a table first: else the documents' whole slice arrays would meet the class rows
-    met = table(_only_near(sliced, shared, "slice").join(shared, "slice"), "met").join(narrow.select("doc_id"), "doc_id", "left_semi").distinct()
+    held = table(_only_near(sliced, shared, "slice").join(shared, "slice"), "met")
+    drop_tables(signed, shared)
+    met = held.join(narrow.select("doc_id"), "doc_id", "left_semi").distinct()
     first = met.groupBy("slice").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("slice", "lo")
     members = table(met.join(first, "slice"), "tiles")
+    drop_tables(held)
 
     def folded(name, other):  # the longer bitmap to the length of the shorter
         half = f"size({other})"
@@ -292,14 +339,25 @@ def links(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple[D
                    .select("slice", "doc_id", "comp", "blocks"), "open-tiles")
     listed = inside.groupBy("doc_id").agg(F.collect_list("slice").alias("listed")).withColumn(
         "listed", F.when(F.size("listed") <= LISTED, F.col("listed")).otherwise(F.array().cast("array<long>")))
-    tiled = (inside.join(listed, "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .join(narrow, "doc_id")
-             .select("slice", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "n", "comp", "block", "bits", "listed"))
-    rest = (tiled.repartition("slice", "i", "j").sortWithinPartitions("slice", "i", "j")
-            .mapInArrow(_tile_pairs(percent), "a long, b long").distinct())
-    more = exact(rest)
-    return signed.select("doc_id", "n", "h1", "h2"), components(star.unionByName(more))
+    def compared(inside, dense=None):
+        tiled = (inside.join(listed, "doc_id").withColumn("listed", F.expr("filter(listed, x -> x < slice)"))
+                 .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                 .join(narrow, "doc_id")
+                 .select("slice", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "n", "comp", "block", "bits", "listed"))
+        return (tiled.repartition("slice", "i", "j").sortWithinPartitions("slice", "i", "j")
+                .mapInArrow(_tile_pairs(percent, dense), "a long, b long" + (", again long" if dense else "")).distinct())
+
+    tried = table(compared(inside, DENSE), "tried")
+    joined = star.unionByName(exact(tried.filter("again is null").select("a", "b")))
+    found = components(joined)
+    dense = tried.filter("again is not null").select(F.col("again").alias("slice"))
+    if dense.isEmpty():
+        return sizes, found
+    # pairs that a forest stood for, between components that are still apart
+    left = (inside.join(dense, "slice").join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+            .select("slice", "doc_id", F.coalesce("component", "doc_id").alias("comp"), "blocks"))
+    return sizes, components(joined.unionByName(exact(compared(left).select("a", "b"))))
 
 
 def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:

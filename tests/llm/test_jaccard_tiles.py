@@ -110,3 +110,42 @@ def test_documents_that_share_most_slices(spark):
     assert got == dict(enumerate(label))
     with pytest.raises(ValueError):
         J.links(docs, percent=40)
+
+
+def test_a_dense_block_sends_a_forest_first(spark, monkeypatch):
+    """Of a block of near copies fewer pairs than members leave, and its tile;
+    in the join, links that no forest held are found in the second comparison."""
+    r = np.random.default_rng(5)
+    shared = r.integers(0, (1 << 64) - 1, 1000, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((shared, r.integers(0, (1 << 64) - 1, 20, dtype=np.uint64)))) for _ in range(40)]
+    rows = [(4, 0, 0, i, len(s), i, 0, J.bitmap(s), []) for i, s in enumerate(sets)]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                       names=["slice", "i", "j", "doc_id", "n", "comp", "block", "bits", "listed"])
+    found = [p for b in J._tile_pairs(90, J.DENSE)(iter([batch])) for p in zip(*(c.to_pylist() for c in b.columns))]
+    assert len(found) == 40 and found[-1] == (None, None, 4)
+    assert len({x for a, b, _ in found[:-1] for x in (a, b)}) == 40
+    whole = [p for b in J._tile_pairs(90)(iter([batch])) for p in zip(*(c.to_pylist() for c in b.columns))]
+    assert len(whole) == 40 * 39 // 2 and {(a, b) for a, b, _ in found[:-1]} <= set(whole)
+
+    pick = random.Random(6)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(pick.randint(0, 4)):
+            words[pick.randrange(60)] = f"x{pick.randrange(30)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = [J.shingles(t) for t in texts]
+    part = list(range(120))
+    for i in range(120):
+        for j in range(i):
+            if linked(own[i], own[j], 80) and part[i] != part[j]:
+                lo, hi = sorted((part[i], part[j]))
+                part = [lo if p == hi else p for p in part]
+    monkeypatch.setattr(J, "DENSE", 0.1)
+    # a forest of the least alike, so that most of its pairs are no links
+    monkeypatch.setattr(J, "_forest", lambda a, b, differ, x, y: [int(np.argmax(differ))])
+    got = {r.doc_id: r.component_id for r in J.near_duplicates(docs, 3, 80).collect()}
+    assert got == dict(enumerate(part)) and len(set(part)) > 1
